@@ -13,9 +13,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.operators import adjust, breadth, clean
+from marketlake.operators import adjust, breadth, clean, maintain
 from marketlake.plans import lake
-from marketlake.sources import fixtures
+from marketlake.plans.serve import Lake
+from marketlake.session import scratch_path
+from marketlake.sources import fixtures, landing
+from marketlake.streaming import clean_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +26,16 @@ Query = Callable[[SparkSession, str], DataFrame]
 EQ_ORDER = ("ingested_at", "tiebreak", "total_turnover")
 FO_ORDER = ("ingested_at", "tiebreak", "value_in_lakh")
 
+# Parameters of the serving queries.
+SERVE_SYMBOL = "sym7"
+SERVE_FROM, SERVE_TO = "1996-01-01", "1997-12-31"
+BREADTH_FROM, BREADTH_TO = "1997-01-01", "1998-06-30"
+SILVER_START = "1996-01-01"
+
+
+def _load(spark: SparkSession, sf_dir: str):
+    return lambda name: fixtures.load(spark, sf_dir, name)
+
 
 def _round_breadth(df: DataFrame) -> DataFrame:
     return df.withColumns({
@@ -31,14 +44,327 @@ def _round_breadth(df: DataFrame) -> DataFrame:
     })
 
 
+def _ex_date_text(df: DataFrame) -> DataFrame:
+    return df.withColumn("ex_date", F.col("ex_date").cast("string"))
+
+
+# --- sources / landing -------------------------------------------------------
+
+def land_equity(spark, sf_dir):
+    return landing.land_equity(_load(spark, sf_dir)("equity_landing"))
+
+
+def land_fo(spark, sf_dir):
+    return landing.land_fo(_load(spark, sf_dir)("fo_landing"))
+
+
+def land_index(spark, sf_dir):
+    return landing.land_index(_load(spark, sf_dir)("index_landing"))
+
+
+def land_corporate(spark, sf_dir):
+    return landing.land_corporate(_load(spark, sf_dir)("corporate_landing"))
+
+
+def land_surveillance(spark, sf_dir):
+    load = _load(spark, sf_dir)
+    return landing.land_surveillance([load("surveillance_landing_a"), load("surveillance_landing_b")])
+
+
+def land_macro(spark, sf_dir):
+    macro = _load(spark, sf_dir)("macro")
+    return landing.land_macro(
+        macro.where(F.col("record_type") == "FII_DII"),
+        macro.where(F.col("record_type") == "MARKET_STATUS"),
+    )
+
+
+def columnar_to_rows(spark, sf_dir):
+    """Each line item stands for one columnar deliverable-position payload."""
+    li = fixtures.table(spark, sf_dir, "lineitem")
+    columnar = li.select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ingested_at"),
+        F.col("l_shipdate").cast("date").cast("string").alias("trade_date"),
+        F.array(F.concat(F.lit("SYM"), F.col("l_suppkey").cast("string")),
+                F.concat(F.lit("SYM"), (F.col("l_partkey") % 100).cast("string"))).alias(" Symbol "),
+        F.array(F.col("l_quantity").cast("bigint"),
+                (F.col("l_quantity") * 2).cast("bigint")).alias("Deliverable Qty"),
+        F.array(F.col("l_discount") * 100, F.col("l_tax") * 100).alias("Delivery Pct"),
+    )
+    return landing.columnar_to_rows(columnar, [" Symbol ", "Deliverable Qty", "Delivery Pct"])
+
+
+def business_keys(spark, sf_dir):
+    load = _load(spark, sf_dir)
+    domains = {
+        "equity": landing.land_equity(load("equity_landing")),
+        "fo": load("fo_raw"),
+        "index": landing.land_index(load("index_landing")),
+        "surveillance": load("surveillance_raw"),
+        "corporate": landing.land_corporate(load("corporate_landing")),
+        "macro": load("macro"),
+    }
+    out = None
+    for name, df in domains.items():
+        part = df.select(F.lit(name).alias("domain"), landing.business_key(name, df).alias("message_key"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def enforce_schema(spark, sf_dir):
+    accepted, _ = landing.enforce_schema(land_equity(spark, sf_dir), "equity_raw")
+    return accepted
+
+
+def ingest_summary(spark, sf_dir):
+    return landing.ingest_summary([
+        ("equity", land_equity(spark, sf_dir)),
+        ("fo", land_fo(spark, sf_dir)),
+        ("index", land_index(spark, sf_dir)),
+        ("corporate", land_corporate(spark, sf_dir)),
+        ("surveillance", land_surveillance(spark, sf_dir)),
+        ("macro", land_macro(spark, sf_dir)),
+    ])
+
+
+def trading_calendar(spark, sf_dir):
+    """Trading weekdays spanning the equity records' date range."""
+    from marketlake.sources.calendar import weekdays_between
+
+    eq = _load(spark, sf_dir)("equity_raw")
+    bounds = eq.agg(F.min("trade_date").alias("lo"), F.max("trade_date").alias("hi"))
+    return weekdays_between(bounds, "lo", "hi")
+
+
+# --- cleaning ------------------------------------------------------------------
+
+def equity_normalise(spark, sf_dir):
+    return clean.equity_normalise(_load(spark, sf_dir)("equity_raw"))
+
+
+def equity_valid(spark, sf_dir):
+    return clean.equity_valid(equity_normalise(spark, sf_dir))
+
+
+def equity_rejects(spark, sf_dir):
+    return clean.equity_rejects(equity_normalise(spark, sf_dir))
+
+
+def equity_dedup(spark, sf_dir):
+    return clean.equity_dedup(_load(spark, sf_dir)("equity_raw"), EQ_ORDER)
+
+
+def equity_clean(spark, sf_dir):
+    return clean.equity_clean(_load(spark, sf_dir)("equity_raw"), EQ_ORDER)
+
+
+def fo_normalise(spark, sf_dir):
+    return clean.fo_normalise(_load(spark, sf_dir)("fo_raw"))
+
+
+def fo_valid(spark, sf_dir):
+    return clean.fo_valid(fo_normalise(spark, sf_dir))
+
+
+def fo_dedup_contract(spark, sf_dir):
+    return clean.fo_dedup_contract(fo_valid(spark, sf_dir), FO_ORDER)
+
+
+def fo_dedup_contract_day(spark, sf_dir):
+    return clean.fo_dedup_contract_day(fo_valid(spark, sf_dir), FO_ORDER)
+
+
+def fo_clean(spark, sf_dir):
+    return clean.fo_clean(_load(spark, sf_dir)("fo_raw"), FO_ORDER)
+
+
+# --- adjustment (silver) ------------------------------------------------------
+
+def adjustment_factor(spark, sf_dir):
+    from marketlake.functions.factor import adjustment_factor as factor
+
+    corp = land_corporate(spark, sf_dir)
+    return corp.select("symbol", "details", factor("details").alias("adj_factor"))
+
+
+def adjusting_actions(spark, sf_dir):
+    return _ex_date_text(adjust.adjusting_actions(_load(spark, sf_dir)("corporate")))
+
+
+def actions_range_join(spark, sf_dir):
+    prices = equity_clean(spark, sf_dir).select(*adjust.PRICE_COLUMNS)
+    joined = adjust.actions_range_join(prices, _load(spark, sf_dir)("corporate"))
+    return _ex_date_text(joined)
+
+
+def cumulative_factor(spark, sf_dir):
+    prices = equity_clean(spark, sf_dir)
+    out = adjust.cumulative_factor_join(prices, _load(spark, sf_dir)("corporate"))
+    return out.withColumn("cumulative_adj_factor", F.round("cumulative_adj_factor", 12))
+
+
+def _silver(spark, sf_dir, start_date=None):
+    load = _load(spark, sf_dir)
+    return lake.silver(load("equity_raw"), load("corporate"), EQ_ORDER, start_date=start_date)
+
+
+def ohlcv_adjusted(spark, sf_dir):
+    return _silver(spark, sf_dir, SILVER_START)
+
+
+# --- aggregation (gold) -------------------------------------------------------
+
+def advance_decline(spark, sf_dir):
+    return _round_breadth(breadth.advance_decline(_silver(spark, sf_dir)))
+
+
+def put_call_ratio(spark, sf_dir):
+    return breadth.put_call_ratio(lake.fo_bronze_for_pcr(_load(spark, sf_dir)("fo_raw"), FO_ORDER))
+
+
 def market_breadth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: clean -> adjust -> breadth, joined with the put-call ratio."""
-    load = lambda name: fixtures.load(spark, sf_dir, name)
+    load = _load(spark, sf_dir)
     gold = lake.gold(load("equity_raw"), load("corporate"), load("fo_raw"),
                      order=EQ_ORDER, fo_order=FO_ORDER)
     return _round_breadth(gold)
 
 
+# --- serving -------------------------------------------------------------------
+
+def _lake(spark, sf_dir) -> Lake:
+    return Lake(
+        spark,
+        silver=_silver(spark, sf_dir),
+        gold=market_breadth(spark, sf_dir),
+        fo=fo_clean(spark, sf_dir),
+        surveillance=_load(spark, sf_dir)("surveillance_raw"),
+        equity=equity_clean(spark, sf_dir),
+    )
+
+
+def serve_ohlcv(spark, sf_dir):
+    return _lake(spark, sf_dir).get_ohlcv(SERVE_SYMBOL, SERVE_FROM, SERVE_TO)
+
+
+def serve_ohlcv_raw(spark, sf_dir):
+    return _lake(spark, sf_dir).get_ohlcv_raw(SERVE_SYMBOL, SERVE_FROM, SERVE_TO)
+
+
+def serve_breadth(spark, sf_dir):
+    return _lake(spark, sf_dir).get_market_breadth(BREADTH_FROM, BREADTH_TO)
+
+
+def serve_fo_bhavcopy(spark, sf_dir):
+    lk = _lake(spark, sf_dir)
+    day = (lk.fo.where(F.col("symbol") == SERVE_SYMBOL.upper())
+           .agg(F.min("trade_date").alias("d")).first()["d"])
+    return lk.get_fo_bhavcopy(SERVE_SYMBOL, day or "")
+
+
+def serve_surveillance(spark, sf_dir):
+    return _lake(spark, sf_dir).get_surveillance("gsm", None)
+
+
+def serve_surveillance_day(spark, sf_dir):
+    return _lake(spark, sf_dir).get_surveillance("asm_lt", "2024-01-03")
+
+
+ADHOC_SQL = (
+    "SELECT symbol, count(*) AS n_days, max(close_adj) AS max_close_adj, "
+    "min(cumulative_adj_factor) AS min_factor "
+    "FROM {silver} WHERE trade_date BETWEEN :d0 AND :d1 GROUP BY symbol"
+)
+
+
+def adhoc_sql(spark, sf_dir):
+    return _lake(spark, sf_dir).query(ADHOC_SQL, {"d0": SERVE_FROM, "d1": SERVE_TO})
+
+
+# --- streaming -----------------------------------------------------------------
+
+def _stream_keys(spark, sf_dir, domain: str) -> DataFrame:
+    view = "equity_raw" if domain == "equity" else "fo_raw"
+    src = scratch_path(spark, f"{domain}-landing")
+    out = scratch_path(spark, f"{domain}-bronze")
+    ckpt = scratch_path(spark, f"{domain}-checkpoint")
+    # Land the raw records as JSON message files (several per table so the
+    # stream runs several micro-batches).
+    (fixtures.load(spark, sf_dir, view).write.option("maxRecordsPerFile", 10000)
+     .mode("overwrite").json(src))
+    stream = clean_stream.read_stream(spark, src, clean_stream.RAW_SCHEMAS[domain],
+                                      fmt="json", max_files_per_trigger=2)
+    if domain == "equity":
+        cleaned = clean_stream.equity_clean_stream(stream)
+        keys, parts = list(clean.EQUITY_KEY), ("trade_date", "series")
+    else:
+        cleaned = clean_stream.fo_clean_stream(stream)
+        keys, parts = list(clean.FO_CONTRACT_DAY_KEY), ("trade_date",)
+    query = clean_stream.write_bronze(cleaned, out, ckpt, partition_by=parts)
+    clean_stream.run_available_now(query)
+    # trade_date is a partition directory: read it back as text, as written
+    bronze = spark.read.option("basePath", out).parquet(out)
+    return bronze.withColumn("trade_date", F.col("trade_date").cast("string")).select(*keys)
+
+
+def stream_equity_clean(spark, sf_dir):
+    return _stream_keys(spark, sf_dir, "equity")
+
+
+def stream_fo_clean(spark, sf_dir):
+    return _stream_keys(spark, sf_dir, "fo")
+
+
+# --- maintenance -----------------------------------------------------------------
+
+def zorder_rewrite(spark, sf_dir):
+    return maintain.zorder(equity_clean(spark, sf_dir), ["symbol", "trade_date"])
+
+
+def compaction_plan(spark, sf_dir):
+    parts = [maintain.compaction_plan(fixtures.table(spark, sf_dir, t)) for t in ("lineitem", "orders")]
+    return parts[0].unionByName(parts[1])
+
+
 QUERIES: dict[str, Query] = {
+    "land_equity": land_equity,
+    "land_fo": land_fo,
+    "land_index": land_index,
+    "land_corporate": land_corporate,
+    "land_surveillance": land_surveillance,
+    "land_macro": land_macro,
+    "columnar_to_rows": columnar_to_rows,
+    "business_keys": business_keys,
+    "enforce_schema": enforce_schema,
+    "ingest_summary": ingest_summary,
+    "trading_calendar": trading_calendar,
+    "equity_normalise": equity_normalise,
+    "equity_valid": equity_valid,
+    "equity_rejects": equity_rejects,
+    "equity_dedup": equity_dedup,
+    "equity_clean": equity_clean,
+    "fo_normalise": fo_normalise,
+    "fo_valid": fo_valid,
+    "fo_dedup_contract": fo_dedup_contract,
+    "fo_dedup_contract_day": fo_dedup_contract_day,
+    "fo_clean": fo_clean,
+    "adjustment_factor": adjustment_factor,
+    "adjusting_actions": adjusting_actions,
+    "actions_range_join": actions_range_join,
+    "cumulative_factor": cumulative_factor,
+    "ohlcv_adjusted": ohlcv_adjusted,
+    "advance_decline": advance_decline,
+    "put_call_ratio": put_call_ratio,
     "market_breadth": market_breadth,
+    "serve_ohlcv": serve_ohlcv,
+    "serve_ohlcv_raw": serve_ohlcv_raw,
+    "serve_breadth": serve_breadth,
+    "serve_fo_bhavcopy": serve_fo_bhavcopy,
+    "serve_surveillance": serve_surveillance,
+    "serve_surveillance_day": serve_surveillance_day,
+    "adhoc_sql": adhoc_sql,
+    "stream_equity_clean": stream_equity_clean,
+    "stream_fo_clean": stream_fo_clean,
+    "zorder_rewrite": zorder_rewrite,
+    "compaction_plan": compaction_plan,
 }

@@ -167,3 +167,237 @@ def build() -> dict[str, str]:
         ("equity_raw", "corporate", "fo_raw"), *eq_chain, ACTS, SILVER, *fo_chain, AD, PCR,
     ) + "\nSELECT ad.*, pcr.put_oi, pcr.call_oi, pcr.pcr_oi FROM ad LEFT JOIN pcr USING (trade_date)"
     return q
+
+
+# --- landed tables -------------------------------------------------------------
+
+def _cols(*pairs: tuple[str, str]) -> str:
+    return ", ".join(f"{e} AS {n}" for e, n in pairs)
+
+
+L_EQUITY = "l_equity AS (SELECT " + _cols(
+    ("CAST(ingested_at AS BIGINT)", "ingested_at"), ("trade_date", "trade_date"),
+    ("TckrSymb", "symbol"), ("SctySrs", "series"), ("ISIN", "isin"),
+    (safe_float("OpnPric"), "open"), (safe_float("HghPric"), "high"), (safe_float("LwPric"), "low"),
+    (safe_float("ClsPric"), "close"), (safe_float("LastPric"), "last"),
+    (safe_float("PrvsClsgPric"), "prev_close"), (safe_int("TtlNbOfTxsExctd"), "total_trades"),
+    (safe_int("TtlTradgVol"), "total_quantity"), (safe_float("TtlTrfVal"), "total_turnover"),
+    ("CAST(NULL AS BIGINT)", "deliverable_qty"), ("CAST(NULL AS DOUBLE)", "delivery_pct"),
+    ("'bhavcopy'", "source"),
+) + " FROM equity_landing)"
+
+L_FO = "l_fo AS (SELECT " + _cols(
+    ("CAST(ingested_at AS BIGINT)", "ingested_at"), ("trade_date", "trade_date"),
+    ("TckrSymb", "symbol"), ("FinInstrmTp", "instrument_type"), ("XpryDt", "expiry_date"),
+    (safe_float("StrkPric"), "strike_price"), ("OptnTp", "option_type"),
+    (safe_float("OpnPric"), "open"), (safe_float("HghPric"), "high"), (safe_float("LwPric"), "low"),
+    (safe_float("ClsPric"), "close"), (safe_float("SttlmPric"), "settle_price"),
+    (safe_int("TtlNbOfTxsExctd"), "contracts"), (safe_float("TtlTrfVal"), "value_in_lakh"),
+    (safe_int("OpnIntrst"), "open_interest"), (safe_int("ChngInOpnIntrst"), "change_in_oi"),
+) + " FROM fo_landing)"
+
+L_INDEX = "l_index AS (SELECT " + _cols(
+    ("CAST(ingested_at AS BIGINT)", "ingested_at"), ("trade_date", "trade_date"),
+    ("coalesce(\"index\", indexSymbol, 'UNKNOWN')", "index_name"),
+    (comma_float("open"), "open"), (comma_float("high"), "high"), (comma_float("low"), "low"),
+    (comma_float("CASE WHEN last IS NOT NULL AND last <> '' THEN last ELSE indicativeClose END"), "close"),
+    (comma_float("variation"), "points_change"), (comma_float("percentChange"), "pct_change"),
+    ("CAST(0 AS BIGINT)", "volume"), ("CAST(0.0 AS DOUBLE)", "turnover_cr"),
+    (comma_float("pe"), "pe_ratio"), (comma_float("pb"), "pb_ratio"), (comma_float("dy"), "div_yield"),
+) + " FROM index_landing)"
+
+L_CORPORATE = "l_corporate AS (SELECT " + _cols(
+    ("CAST(ingested_at AS BIGINT)", "ingested_at"),
+    (strip("coalesce(symbol, '')"), "symbol"), (blank_null("comp"), "company_name"),
+    (strip("coalesce(subject, 'UNKNOWN')"), "action_type"), (blank_null("exDate"), "ex_date"),
+    (blank_null("recDate"), "record_date"), (blank_null("bcStartDate"), "bc_start_date"),
+    (blank_null("bcEndDate"), "bc_end_date"), (blank_null("ndStartDate"), "nd_start_date"),
+    (blank_null("ndEndDate"), "nd_end_date"), (blank_null("subject"), "details"),
+    (blank_null("coalesce(series, 'EQ')"), "series"),
+) + " FROM corporate_landing)"
+
+
+def _surv(view: str, sym: str, isin: str, name: str) -> str:
+    cols = _cols(
+        ("CAST(ingested_at AS BIGINT)", "ingested_at"), ("as_of_date", "as_of_date"),
+        (strip(f"coalesce({sym}, '')"), "symbol"), (blank_null(isin), "isin"),
+        (blank_null(name), "company_name"), ("list_type", "list_type"),
+        (f"CAST({safe_int('stage')} AS INTEGER)", "stage"), (blank_null("reason"), "reason"),
+    )
+    nonempty = " OR ".join(f"{c} IS NOT NULL" for c in (sym, isin, name, "stage", "reason"))
+    return f"SELECT {cols} FROM {view} WHERE {nonempty}"
+
+
+L_SURVEILLANCE = ("l_surveillance AS (" + _surv("surveillance_landing_a", "symbol", "isin", "companyName")
+                  + " UNION ALL " + _surv("surveillance_landing_b", "SYMBOL", "ISIN", "NAME") + ")")
+
+L_MACRO = """l_macro AS (
+  SELECT CAST(ingested_at AS BIGINT) AS ingested_at, trade_date, 'FII_DII' AS record_type, data
+  FROM macro WHERE record_type = 'FII_DII'
+  UNION ALL
+  SELECT CAST(ingested_at AS BIGINT), trade_date, 'MARKET_STATUS',
+         CASE WHEN json_valid(data) AND json_type(data) = 'OBJECT' THEN data
+              ELSE CAST(json_object('raw', data) AS VARCHAR) END
+  FROM macro WHERE record_type = 'MARKET_STATUS')"""
+
+LANDED = {
+    "l_equity": (("equity_landing",), L_EQUITY),
+    "l_fo": (("fo_landing",), L_FO),
+    "l_index": (("index_landing",), L_INDEX),
+    "l_corporate": (("corporate_landing",), L_CORPORATE),
+    "l_surveillance": (("surveillance_landing_a", "surveillance_landing_b"), L_SURVEILLANCE),
+    "l_macro": (("macro",), L_MACRO),
+}
+
+
+def landed(*names: str, extra_views: tuple[str, ...] = (), extra: tuple[str, ...] = ()) -> str:
+    views: list[str] = list(extra_views)
+    for n in names:
+        for v in LANDED[n][0]:
+            if v not in views:
+                views.append(v)
+    return with_views(tuple(views), *[LANDED[n][1] for n in names], *extra)
+
+
+PRICE_COLS = ("trade_date, symbol, series, open, high, low, close, total_quantity, "
+              "total_turnover, delivery_pct")
+
+
+def silver_from(src: str) -> str:
+    return SILVER.replace("FROM eq_clean p", f"FROM {src} p")
+
+
+def build_all() -> dict[str, str]:
+    q = build()
+    eq_chain = (EQ_NORM, EQ_VALID, EQ_CLEAN)
+    fo_chain = (FO_NORM, FO_VALID, fo_dedup("fo_valid", True, "fo_clean"))
+    eq_views = ("equity_raw",)
+
+    for name in ("equity", "fo", "index", "corporate", "surveillance", "macro"):
+        q[f"land_{name}"] = landed(f"l_{name}") + f"\nSELECT * FROM l_{name}"
+
+    q["columnar_to_rows"] = """
+SELECT l_orderkey*10+l_linenumber AS ingested_at,
+       CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS trade_date, 'deliverable' AS source,
+       unnest([concat('SYM', CAST(l_suppkey AS VARCHAR)),
+               concat('SYM', CAST(l_partkey%100 AS VARCHAR))]) AS symbol,
+       unnest([CAST(l_quantity AS BIGINT), CAST(l_quantity*2 AS BIGINT)]) AS deliverable_qty,
+       unnest([l_discount*100, l_tax*100]) AS delivery_pct
+FROM lineitem"""
+
+    def key(*cols: str) -> str:
+        return "concat_ws('_', " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), 'None')" for c in cols) + ")"
+
+    q["business_keys"] = landed(
+        "l_equity", "l_index", "l_corporate", extra_views=("fo_raw", "surveillance_raw", "macro"),
+    ) + f"""
+SELECT 'equity' AS domain, {key('symbol', 'trade_date')} AS message_key FROM l_equity
+UNION ALL SELECT 'fo', {key('symbol', 'instrument_type', 'expiry_date', 'strike_price', 'option_type')} FROM fo_raw
+UNION ALL SELECT 'index', {key('index_name', 'trade_date')} FROM l_index
+UNION ALL SELECT 'surveillance', {key('symbol', 'list_type', 'as_of_date')} FROM surveillance_raw
+UNION ALL SELECT 'corporate', {key('symbol', 'action_type', 'ex_date')} FROM l_corporate
+UNION ALL SELECT 'macro', {key('record_type', 'trade_date')} FROM macro"""
+
+    q["enforce_schema"] = landed("l_equity") + (
+        "\nSELECT * FROM l_equity WHERE trade_date IS NOT NULL AND symbol IS NOT NULL AND series IS NOT NULL")
+
+    q["ingest_summary"] = landed("l_equity", "l_fo", "l_index", "l_corporate", "l_surveillance", "l_macro") + """
+SELECT domain, count(*) FILTER (WHERE ok) AS records, count(*) FILTER (WHERE NOT ok) AS errors,
+       CASE WHEN count(*) FILTER (WHERE ok) > 0 THEN 'ok' ELSE 'empty' END AS status
+FROM (
+  SELECT 'equity' AS domain, (trade_date IS NOT NULL AND symbol IS NOT NULL AND series IS NOT NULL) AS ok FROM l_equity
+  UNION ALL SELECT 'fo', (trade_date IS NOT NULL AND symbol IS NOT NULL AND instrument_type IS NOT NULL
+                          AND expiry_date IS NOT NULL) FROM l_fo
+  UNION ALL SELECT 'index', (trade_date IS NOT NULL AND index_name IS NOT NULL) FROM l_index
+  UNION ALL SELECT 'corporate', (symbol IS NOT NULL AND action_type IS NOT NULL) FROM l_corporate
+  UNION ALL SELECT 'surveillance', (as_of_date IS NOT NULL AND symbol IS NOT NULL AND list_type IS NOT NULL)
+            FROM l_surveillance
+  UNION ALL SELECT 'macro', TRUE FROM l_macro) s
+GROUP BY domain"""
+
+    q["trading_calendar"] = with_views(eq_views) + """
+SELECT CAST(CAST(d AS DATE) AS VARCHAR) AS trade_date FROM (
+  SELECT unnest(generate_series(CAST(min(trade_date) AS DATE), CAST(max(trade_date) AS DATE),
+                                INTERVAL 1 DAY)) AS d
+  FROM equity_raw) t
+WHERE isodow(d) <= 5"""
+
+    q["equity_normalise"] = with_views(eq_views, EQ_NORM) + "\nSELECT * FROM eq_norm"
+    q["equity_valid"] = with_views(eq_views, EQ_NORM, EQ_VALID) + "\nSELECT * FROM eq_valid"
+    q["equity_rejects"] = with_views(eq_views, EQ_NORM) + """
+SELECT * FROM (
+  SELECT *, CASE WHEN symbol = '' THEN 'missing_symbol' WHEN close IS NULL THEN 'missing_close'
+                 WHEN NOT (close > 0) OR isnan(close) THEN 'non_positive_close' END AS reject_reason
+  FROM eq_norm) r WHERE reject_reason IS NOT NULL"""
+    q["equity_dedup"] = with_views(eq_views) + f"""
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY symbol, trade_date ORDER BY {FIXTURE_ORDER_EQ}) AS rn
+  FROM equity_raw) t WHERE rn = 1"""
+    q["equity_clean"] = with_views(eq_views, *eq_chain) + "\nSELECT * FROM eq_clean"
+
+    fo_views = ("fo_raw",)
+    q["fo_normalise"] = with_views(fo_views, FO_NORM) + "\nSELECT * FROM fo_norm"
+    q["fo_valid"] = with_views(fo_views, FO_NORM, FO_VALID) + "\nSELECT * FROM fo_valid"
+    q["fo_dedup_contract"] = with_views(fo_views, FO_NORM, FO_VALID, fo_dedup("fo_valid", False, "fo_c")) + (
+        "\nSELECT * FROM fo_c")
+    q["fo_dedup_contract_day"] = with_views(fo_views, *fo_chain) + "\nSELECT * FROM fo_clean"
+    q["fo_clean"] = q["fo_dedup_contract_day"]
+
+    q["adjustment_factor"] = landed("l_corporate") + (
+        f"\nSELECT symbol, details, {factor('details')} AS adj_factor FROM l_corporate")
+    q["adjusting_actions"] = with_views(("corporate",), ACTS) + """
+SELECT symbol, CAST(ex_date AS VARCHAR) AS ex_date, action_type, details, adj_factor FROM (
+  SELECT DISTINCT a.symbol, a.ex_date, c.action_type, a.details, a.adj_factor
+  FROM acts_adj a JOIN (SELECT DISTINCT symbol, TRY_CAST(ex_date AS DATE) AS ex_date, details, action_type
+                        FROM corporate) c
+    ON a.symbol = c.symbol AND a.details = c.details AND a.ex_date IS NOT DISTINCT FROM c.ex_date) t"""
+    q["actions_range_join"] = with_views(("equity_raw", "corporate"), *eq_chain, ACTS) + f"""
+SELECT {', '.join('p.' + c.strip() for c in PRICE_COLS.split(','))},
+       CAST(a.ex_date AS VARCHAR) AS ex_date, a.adj_factor
+FROM eq_clean p LEFT JOIN acts_adj a
+  ON p.symbol = a.symbol AND TRY_CAST(p.trade_date AS DATE) < a.ex_date"""
+    q["cumulative_factor"] = with_views(("equity_raw", "corporate"), *eq_chain, ACTS) + f"""
+SELECT {PRICE_COLS},
+       round(CASE WHEN count(adj_factor) > 0
+                  THEN exp(sum(ln(CASE WHEN adj_factor > 0 THEN adj_factor END))) ELSE 1.0 END, 12)
+         AS cumulative_adj_factor
+FROM (SELECT p.*, a.adj_factor FROM eq_clean p LEFT JOIN acts_adj a
+        ON p.symbol = a.symbol AND TRY_CAST(p.trade_date AS DATE) < a.ex_date) j
+GROUP BY {PRICE_COLS}"""
+    since = "eq_since AS (SELECT * FROM eq_clean WHERE trade_date >= '1996-01-01')"
+    q["ohlcv_adjusted"] = with_views(("equity_raw", "corporate"), *eq_chain, since, ACTS,
+                                     silver_from("eq_since")) + "\nSELECT * FROM silver"
+    q["advance_decline"] = with_views(("equity_raw", "corporate"), *eq_chain, ACTS, SILVER, AD) + (
+        "\nSELECT * FROM ad")
+    q["put_call_ratio"] = with_views(("fo_raw",), *fo_chain, PCR) + "\nSELECT * FROM pcr"
+
+    gold = with_views(("equity_raw", "corporate", "fo_raw"), *eq_chain, ACTS, SILVER, *fo_chain, AD, PCR,
+                      "gold AS (SELECT ad.*, pcr.put_oi, pcr.call_oi, pcr.pcr_oi "
+                      "FROM ad LEFT JOIN pcr USING (trade_date))")
+    silver_sql = with_views(("equity_raw", "corporate"), *eq_chain, ACTS, SILVER)
+    q["serve_ohlcv"] = silver_sql + """
+SELECT trade_date, symbol, open_adj, high_adj, low_adj, close_adj, total_quantity, total_turnover,
+       delivery_pct, cumulative_adj_factor
+FROM silver WHERE symbol = 'SYM7' AND trade_date BETWEEN '1996-01-01' AND '1997-12-31'"""
+    q["serve_ohlcv_raw"] = with_views(eq_views, *eq_chain) + """
+SELECT trade_date, symbol, open, high, low, close, total_quantity, total_turnover, delivery_pct
+FROM eq_clean WHERE symbol = 'SYM7' AND trade_date BETWEEN '1996-01-01' AND '1997-12-31'"""
+    q["serve_breadth"] = gold + "\nSELECT * FROM gold WHERE trade_date BETWEEN '1997-01-01' AND '1998-06-30'"
+    q["serve_fo_bhavcopy"] = with_views(fo_views, *fo_chain) + """
+SELECT * FROM fo_clean
+WHERE symbol = 'SYM7' AND trade_date = (SELECT min(trade_date) FROM fo_clean WHERE symbol = 'SYM7')"""
+    q["serve_surveillance"] = with_views(("surveillance_raw",)) + (
+        "\nSELECT * FROM surveillance_raw WHERE list_type = 'GSM'")
+    q["serve_surveillance_day"] = with_views(("surveillance_raw",)) + (
+        "\nSELECT * FROM surveillance_raw WHERE list_type = 'ASM_LT' AND as_of_date = '2024-01-03'")
+    q["adhoc_sql"] = silver_sql + """
+SELECT symbol, count(*) AS n_days, max(close_adj) AS max_close_adj, min(cumulative_adj_factor) AS min_factor
+FROM silver WHERE trade_date BETWEEN '1996-01-01' AND '1997-12-31' GROUP BY symbol"""
+
+    q["stream_equity_clean"] = with_views(eq_views, EQ_NORM, EQ_VALID) + (
+        "\nSELECT DISTINCT symbol, trade_date FROM eq_valid")
+    q["stream_fo_clean"] = with_views(fo_views, FO_NORM, FO_VALID) + (
+        "\nSELECT DISTINCT symbol, instrument_type, expiry_date, strike_price, option_type, trade_date "
+        "FROM fo_valid")
+    q["zorder_rewrite"] = with_views(eq_views, *eq_chain) + "\nSELECT * FROM eq_clean"
+    return q

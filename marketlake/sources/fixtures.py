@@ -189,21 +189,31 @@ VIEWS: dict[str, View] = {
         "CAST(NULL AS STRING) AS ndEndDate",
         "CASE WHEN p_partkey%4=0 THEN NULL WHEN p_partkey%4=1 THEN ' ' ELSE 'EQ' END AS series",
     ), "p_partkey < 300"),
-    # Surveillance landing items: upper- and camel-case key variants.
-    "surveillance_landing": View("customer", (
+    # Surveillance landing items. Lists deliver either camel-case keys
+    # (symbol, isin, companyName) or upper-case keys (SYMBOL, ISIN, NAME).
+    "surveillance_landing_a": View("customer", (
         "CAST(c_custkey AS BIGINT) AS ingested_at",
         "CAST(DATE '2024-01-01' + CAST(c_custkey%5 AS INT) AS STRING) AS as_of_date",
         "CASE c_mktsegment WHEN 'BUILDING' THEN 'ASM_LT' WHEN 'MACHINERY' THEN 'ASM_ST' "
         "WHEN 'HOUSEHOLD' THEN 'GSM' ELSE 'FO_BAN' END AS list_type",
-        "CASE WHEN c_custkey%2=0 THEN concat(' CUST', CAST(c_custkey AS STRING), ' ') END AS symbol",
-        "CASE WHEN c_custkey%2=1 THEN concat('CUST', CAST(c_custkey AS STRING)) END AS SYMBOL",
-        "CASE WHEN c_custkey%3=0 THEN concat('INE', CAST(c_custkey AS STRING)) END AS isin",
-        "CASE WHEN c_custkey%3=1 THEN ' ' END AS ISIN",
-        "CASE WHEN c_custkey%4<2 THEN c_name END AS companyName",
-        "CASE WHEN c_custkey%4>=2 THEN concat(c_name, ' LTD') END AS NAME",
+        "CASE WHEN c_custkey%8<>0 THEN concat(' CUST', CAST(c_custkey AS STRING), ' ') END AS symbol",
+        "CASE WHEN c_custkey%3=0 THEN concat('INE', CAST(c_custkey AS STRING)) "
+        "WHEN c_custkey%3=1 THEN ' ' END AS isin",
+        "CASE WHEN c_custkey%8<>0 THEN c_name END AS companyName",
         "CASE WHEN c_mktsegment='HOUSEHOLD' THEN CAST(c_nationkey%7 AS STRING) END AS stage",
-        "CASE WHEN c_custkey%6=0 THEN 'price band' WHEN c_custkey%6=1 THEN '' END AS reason",
-    )),
+        "CASE WHEN c_custkey%6=0 THEN 'price band' WHEN c_custkey%6=2 THEN '' END AS reason",
+    ), "c_custkey%2=0"),
+    "surveillance_landing_b": View("customer", (
+        "CAST(c_custkey AS BIGINT) AS ingested_at",
+        "CAST(DATE '2024-01-01' + CAST(c_custkey%5 AS INT) AS STRING) AS as_of_date",
+        "CASE c_mktsegment WHEN 'BUILDING' THEN 'ASM_LT' WHEN 'MACHINERY' THEN 'ASM_ST' "
+        "WHEN 'HOUSEHOLD' THEN 'GSM' ELSE 'FO_BAN' END AS list_type",
+        "concat('CUST', CAST(c_custkey AS STRING)) AS SYMBOL",
+        "CASE WHEN c_custkey%3=0 THEN concat('INE', CAST(c_custkey AS STRING)) END AS ISIN",
+        "concat(c_name, ' LTD') AS NAME",
+        "CASE WHEN c_mktsegment='HOUSEHOLD' THEN CAST(c_nationkey%7 AS STRING) END AS stage",
+        "CAST(NULL AS STRING) AS reason",
+    ), "c_custkey%2=1"),
 }
 
 
