@@ -9,7 +9,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The characters Python's str.strip() removes by default
-# (Unicode whitespace), as a Java/RE2 character class.
+# (Unicode whitespace), as a string and as a Java/RE2 character class.
+PY_WHITESPACE_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 PY_WHITESPACE = (
     r"[\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
     r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
@@ -30,8 +35,11 @@ def _col(c: Column | str) -> Column:
 
 
 def py_strip(c: Column | str) -> Column:
-    """Python ``str.strip()``: remove leading/trailing Unicode whitespace."""
-    return F.regexp_replace(_col(c), f"^{PY_WHITESPACE}+|{PY_WHITESPACE}+$", "")
+    """Python ``str.strip()``: remove leading/trailing Unicode whitespace.
+
+    ``btrim`` with an explicit character set: a character scan, no regex.
+    """
+    return F.btrim(_col(c), F.lit(PY_WHITESPACE_CHARS))
 
 
 def clean_text(c: Column | str) -> Column:
@@ -45,14 +53,30 @@ def blank_to_null(c: Column | str) -> Column:
     return F.when(stripped != "", stripped)
 
 
+# Spellings of infinity / not-a-number that end in a letter.
+_SPECIAL = ("inf", "+inf", "-inf", "infinity", "+infinity", "-infinity", "nan")
+
+
 def safe_float(c: Column | str) -> Column:
     """Null, blank or unparsable text -> null, else the double value.
 
-    ``try_cast`` alone accepts Java suffixes such as ``12d``; the grammar
-    guard keeps exactly the strings Python's ``float`` accepts.
+    Exactly the strings Python's ``float`` accepts. ``try_cast`` parses; it
+    also accepts Java-only forms (``12d``, ``1f``, hex ``0x1p3``), which a
+    Python-valid number never has: it ends in a digit or '.', or is an
+    inf/nan word, and has no 'x'. Text with underscores (digit grouping) is
+    checked against the full grammar, the only regex on this path.
     """
     text = py_strip(_col(c).cast("string"))
-    return F.when(text.rlike(FLOAT_TEXT), F.regexp_replace(text, "_", "").try_cast("double"))
+    lower = F.lower(text)
+    last = F.substring(text, -1, 1)
+    plain = (
+        (last.isin(*"0123456789.") | lower.isin(*_SPECIAL))
+        & ~F.contains(lower, F.lit("x"))
+    )
+    grouped = F.when(
+        text.rlike(FLOAT_TEXT), F.replace(text, F.lit("_"), F.lit("")).try_cast("double")
+    )
+    return F.when(F.contains(text, F.lit("_")), grouped).when(plain, text.try_cast("double"))
 
 
 def safe_int(c: Column | str) -> Column:
@@ -71,9 +95,10 @@ def comma_int(c: Column | str) -> Column:
 
 
 def non_negative(c: Column | str) -> Column:
-    """Clamp a negative price to null; zero and NaN are kept."""
+    """Clamp a negative price to null; zero and NaN are kept (NaN sorts above
+    every number in Spark, so ``NaN >= 0`` holds)."""
     x = _col(c)
-    return F.when(~(x < 0) | x.isNull(), x)
+    return F.when(x >= 0, x)
 
 
 def truthy_text(c: Column | str) -> Column:

@@ -49,7 +49,7 @@ def equity_normalise(df: DataFrame) -> DataFrame:
 def equity_valid(df: DataFrame) -> DataFrame:
     """Keep rows with a symbol and a positive close (NaN is not positive)."""
     c = F.col("close")
-    return df.where((F.col("symbol") != "") & c.isNotNull() & (c > 0) & ~F.isnan(c))
+    return df.where((F.col("symbol") != "") & (c > 0) & ~F.isnan(c))
 
 
 def equity_rejects(df: DataFrame) -> DataFrame:

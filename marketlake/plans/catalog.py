@@ -296,15 +296,15 @@ def _stream_keys(spark, sf_dir, domain: str) -> DataFrame:
                                       fmt="json", max_files_per_trigger=2)
     if domain == "equity":
         cleaned = clean_stream.equity_clean_stream(stream)
-        keys, parts = list(clean.EQUITY_KEY), ("trade_date", "series")
+        keys = list(clean.EQUITY_KEY)
     else:
         cleaned = clean_stream.fo_clean_stream(stream)
-        keys, parts = list(clean.FO_CONTRACT_DAY_KEY), ("trade_date",)
-    query = clean_stream.write_bronze(cleaned, out, ckpt, partition_by=parts)
+        keys = list(clean.FO_CONTRACT_DAY_KEY)
+    # A multi-year backfill in one run: partition by year, not by day.
+    cleaned = cleaned.withColumn("trade_year", F.substring("trade_date", 1, 4))
+    query = clean_stream.write_bronze(cleaned, out, ckpt, partition_by=("trade_year",))
     clean_stream.run_available_now(query)
-    # trade_date is a partition directory: read it back as text, as written
-    bronze = spark.read.option("basePath", out).parquet(out)
-    return bronze.withColumn("trade_date", F.col("trade_date").cast("string")).select(*keys)
+    return spark.read.parquet(out).select(*keys)
 
 
 def stream_equity_clean(spark, sf_dir):
