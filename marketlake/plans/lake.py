@@ -68,3 +68,25 @@ def gold(
 def with_trade_year(df: DataFrame) -> DataFrame:
     """Partition column for yearly layouts (``years(trade_date)``)."""
     return df.withColumn("trade_year", F.year(F.col("trade_date").try_cast("date")))
+
+
+def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """Overwrite only the partitions present in ``df`` (dynamic overwrite).
+
+    A rebuild from a start date therefore replaces the touched years and
+    keeps older history, instead of dropping the whole table.
+    """
+    (df.write.mode("overwrite")
+       .option("partitionOverwriteMode", "dynamic")
+       .partitionBy(*partition_by)
+       .parquet(path))
+
+
+def write_silver(silver_df: DataFrame, path: str) -> None:
+    """Silver table partitioned by ``trade_year`` (``years(trade_date)``)."""
+    write_partitioned(with_trade_year(silver_df), path, ["trade_year"])
+
+
+def write_gold(gold_df: DataFrame, path: str) -> None:
+    """Gold table partitioned by ``trade_year``; no global sort before the write."""
+    write_partitioned(with_trade_year(gold_df), path, ["trade_year"])
