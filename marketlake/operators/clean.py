@@ -82,6 +82,18 @@ def fo_valid(df: DataFrame) -> DataFrame:
     return df.where(present("symbol") & present("instrument_type") & present("expiry_date"))
 
 
+def fo_rejects(df: DataFrame) -> DataFrame:
+    """Rows C5 drops, with the first missing field as the reason (dead letters)."""
+    def missing(c: str):
+        return F.col(c).isNull() | (F.col(c) == "")
+    reason = (
+        F.when(missing("symbol"), F.lit("missing_symbol"))
+        .when(missing("instrument_type"), F.lit("missing_instrument_type"))
+        .when(missing("expiry_date"), F.lit("missing_expiry_date"))
+    )
+    return df.withColumn("reject_reason", reason).where(F.col("reject_reason").isNotNull())
+
+
 def first_arrival(
     df: DataFrame,
     keys: Sequence[str],
@@ -141,6 +153,6 @@ def fo_clean(
 
 __all__ = [
     "equity_normalise", "equity_valid", "equity_rejects", "equity_dedup", "equity_clean",
-    "fo_normalise", "fo_valid", "fo_dedup_contract", "fo_dedup_contract_day", "fo_clean",
+    "fo_normalise", "fo_valid", "fo_rejects", "fo_dedup_contract", "fo_dedup_contract_day", "fo_clean",
     "first_arrival", "py_strip",
 ]

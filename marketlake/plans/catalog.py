@@ -166,6 +166,11 @@ def fo_valid(spark, sf_dir):
     return clean.fo_valid(fo_normalise(spark, sf_dir))
 
 
+def fo_rejects(spark, sf_dir):
+    """Dead letters of the FO landing: records without symbol/type/expiry."""
+    return clean.fo_rejects(clean.fo_normalise(land_fo(spark, sf_dir)))
+
+
 def fo_dedup_contract(spark, sf_dir):
     return clean.fo_dedup_contract(fo_valid(spark, sf_dir), FO_ORDER)
 
@@ -345,6 +350,7 @@ QUERIES: dict[str, Query] = {
     "equity_clean": equity_clean,
     "fo_normalise": fo_normalise,
     "fo_valid": fo_valid,
+    "fo_rejects": fo_rejects,
     "fo_dedup_contract": fo_dedup_contract,
     "fo_dedup_contract_day": fo_dedup_contract_day,
     "fo_clean": fo_clean,

@@ -338,6 +338,13 @@ SELECT * EXCLUDE (rn) FROM (
     fo_views = ("fo_raw",)
     q["fo_normalise"] = with_views(fo_views, FO_NORM) + "\nSELECT * FROM fo_norm"
     q["fo_valid"] = with_views(fo_views, FO_NORM, FO_VALID) + "\nSELECT * FROM fo_valid"
+    fo_norm_landed = FO_NORM.replace("fo_norm AS", "fo_norm_l AS").replace("FROM fo_raw)", "FROM l_fo)")
+    q["fo_rejects"] = landed("l_fo", extra=(fo_norm_landed,)) + """
+SELECT * FROM (
+  SELECT *, CASE WHEN symbol IS NULL OR symbol = '' THEN 'missing_symbol'
+                 WHEN instrument_type IS NULL OR instrument_type = '' THEN 'missing_instrument_type'
+                 WHEN expiry_date IS NULL OR expiry_date = '' THEN 'missing_expiry_date' END AS reject_reason
+  FROM fo_norm_l) r WHERE reject_reason IS NOT NULL"""
     q["fo_dedup_contract"] = with_views(fo_views, FO_NORM, FO_VALID, fo_dedup("fo_valid", False, "fo_c")) + (
         "\nSELECT * FROM fo_c")
     q["fo_dedup_contract_day"] = with_views(fo_views, *fo_chain) + "\nSELECT * FROM fo_clean"

@@ -153,8 +153,9 @@ VIEWS: dict[str, View] = {
         f"{_DAY} AS trade_date",
         "CASE l_returnflag WHEN 'N' THEN 'OPTIDX' WHEN 'A' THEN 'OPTSTK' ELSE 'FUTSTK' END "
         "AS FinInstrmTp",
-        "concat('SYM', CAST(l_suppkey AS STRING)) AS TckrSymb",
-        "CAST(CAST(l_shipdate AS DATE)+30 AS STRING) AS XpryDt",
+        "CASE WHEN l_linenumber=6 THEN ' ' ELSE concat('SYM', CAST(l_suppkey AS STRING)) END AS TckrSymb",
+        "CASE WHEN l_linenumber=5 AND l_returnflag='R' THEN NULL "
+        "ELSE CAST(CAST(l_shipdate AS DATE)+30 AS STRING) END AS XpryDt",
         f"CASE WHEN l_returnflag='R' THEN ' ' "
         f"ELSE CAST(CAST(floor({_PRICE}/100) AS DOUBLE)*100 AS STRING) END AS StrkPric",
         "CASE WHEN l_returnflag='R' THEN NULL WHEN l_linestatus='O' THEN 'CE' ELSE 'PE' END "
