@@ -46,6 +46,16 @@ def read_stream(
     return reader.load(path)
 
 
+def parse_messages(messages: DataFrame, schema: T.StructType, value_col: str = "value") -> DataFrame:
+    """Decode value-only JSON messages (e.g. a Kafka topic's ``value``) to typed rows.
+
+    Malformed messages decode to all-null rows and are removed by the
+    cleaners' validity filters.
+    """
+    decoded = F.from_json(F.col(value_col).cast("string"), schema)
+    return messages.select(decoded.alias("_m")).select("_m.*")
+
+
 def _event_time(df: DataFrame) -> DataFrame:
     return df.withColumn("_event_ts", F.timestamp_millis(F.col("ingested_at")))
 

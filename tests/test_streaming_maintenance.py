@@ -66,3 +66,12 @@ def test_compaction_rewrite_and_fault_isolation(spark, sf_dir):
 
     status = maintain.compact_tables([("bad", boom), ("good", lambda: None)])
     assert status["good"] == "ok" and status["bad"].startswith("failed")
+
+
+def test_parse_messages_round_trip(spark, sf_dir):
+    raw = fixtures.load(spark, sf_dir, "equity_raw").drop("tiebreak")
+    msgs = raw.select(F.to_json(F.struct(*raw.columns)).alias("value"))
+    back = clean_stream.parse_messages(msgs, clean_stream.RAW_SCHEMAS["equity"])
+    assert back.exceptAll(raw).count() == 0 and raw.exceptAll(back).count() == 0
+    bad = spark.createDataFrame([("not json",)], "value string")
+    assert clean_stream.parse_messages(bad, clean_stream.RAW_SCHEMAS["equity"]).first()["symbol"] is None
