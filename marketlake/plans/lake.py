@@ -90,3 +90,30 @@ def write_silver(silver_df: DataFrame, path: str) -> None:
 def write_gold(gold_df: DataFrame, path: str) -> None:
     """Gold table partitioned by ``trade_year``; no global sort before the write."""
     write_partitioned(with_trade_year(gold_df), path, ["trade_year"])
+
+
+def run_lake(
+    equity_raw: DataFrame,
+    corporate: DataFrame,
+    fo_raw: DataFrame,
+    root: str,
+    order: Sequence[str] = clean.ARRIVAL_ORDER,
+    fo_order: Sequence[str] = clean.ARRIVAL_ORDER,
+    start_date: str | None = None,
+) -> dict[str, str]:
+    """Daily batch: bronze -> silver (written) -> gold (written).
+
+    Silver is written under ``root`` (a shared folder, e.g. below
+    ``spark.checkpoint.dir``) and gold is computed from the *written* silver
+    table, so a lost executor during the gold stage recomputes from silver
+    files, not from the raw landing data. Returns the table paths.
+    """
+    spark = equity_raw.sparkSession
+    paths = {"silver": f"{root}/silver/ohlcv_adjusted", "gold": f"{root}/gold/market_breadth",
+             "fo": f"{root}/bronze/fo_for_pcr"}
+    write_silver(silver(equity_raw, corporate, order, start_date), paths["silver"])
+    write_partitioned(fo_bronze_for_pcr(fo_raw, fo_order), paths["fo"], [])
+    silver_t = spark.read.parquet(paths["silver"]).drop("trade_year")
+    gold_df = breadth.market_breadth(silver_t, spark.read.parquet(paths["fo"]))
+    write_gold(gold_df, paths["gold"])
+    return paths

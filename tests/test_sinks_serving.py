@@ -50,3 +50,19 @@ def test_adhoc_sql_binds_parameters(spark, sf_dir):
     evil = "1996-01-01' OR '1'='1"
     out = lk.query("SELECT count(*) AS n FROM {silver} WHERE trade_date = :d", {"d": evil})
     assert out.first()["n"] == 0
+
+
+def test_run_lake_writes_silver_then_gold(spark, sf_dir):
+    from marketlake.sources import fixtures
+
+    load = lambda n: fixtures.load(spark, sf_dir, n)
+    root = scratch_path(spark, "lake")
+    paths = lake.run_lake(load("equity_raw"), load("corporate"), load("fo_raw"), root,
+                          order=catalog.EQ_ORDER, fo_order=catalog.FO_ORDER)
+    gold = spark.read.parquet(paths["gold"]).drop("trade_year")
+    expected = lake.gold(load("equity_raw"), load("corporate"), load("fo_raw"),
+                         order=catalog.EQ_ORDER, fo_order=catalog.FO_ORDER)
+    cols = ["trade_date", "advances", "declines", "unchanged", "total_stocks", "total_volume",
+            "put_oi", "call_oi"]
+    assert gold.select(*cols).exceptAll(expected.select(*cols)).count() == 0
+    assert gold.count() == expected.count()
