@@ -312,6 +312,27 @@ def _stream_keys(spark, sf_dir, domain: str) -> DataFrame:
     return spark.read.parquet(out).select(*keys)
 
 
+def stream_equity_dedup_ttl(spark, sf_dir):
+    """C3 with processing-time TTL state (exact variant), key set output."""
+    from marketlake.streaming import ttl_dedup
+
+    src = scratch_path(spark, "equity-landing-ttl")
+    out = scratch_path(spark, "equity-bronze-ttl")
+    ckpt = scratch_path(spark, "equity-checkpoint-ttl")
+    (fixtures.load(spark, sf_dir, "equity_raw").write.option("maxRecordsPerFile", 20000)
+     .mode("overwrite").json(src))
+    stream = clean_stream.read_stream(spark, src, clean_stream.RAW_SCHEMAS["equity"], fmt="json",
+                                      max_files_per_trigger=2)
+    valid = stream.transform(clean.equity_normalise).transform(clean.equity_valid)
+    deduped = ttl_dedup.dedup_with_ttl(valid, list(clean.EQUITY_KEY))
+    query = ttl_dedup.start_with_conf(spark, lambda: (
+        deduped.writeStream.format("parquet").option("path", out)
+        .option("checkpointLocation", ckpt).trigger(availableNow=True).start()),
+        state_partitions=spark.sparkContext.defaultParallelism)
+    clean_stream.run_available_now(query)
+    return spark.read.parquet(out).select(*clean.EQUITY_KEY)
+
+
 def stream_equity_clean(spark, sf_dir):
     return _stream_keys(spark, sf_dir, "equity")
 
@@ -370,6 +391,7 @@ QUERIES: dict[str, Query] = {
     "serve_surveillance_day": serve_surveillance_day,
     "adhoc_sql": adhoc_sql,
     "stream_equity_clean": stream_equity_clean,
+    "stream_equity_dedup_ttl": stream_equity_dedup_ttl,
     "stream_fo_clean": stream_fo_clean,
     "zorder_rewrite": zorder_rewrite,
     "compaction_plan": compaction_plan,

@@ -403,6 +403,7 @@ FROM silver WHERE trade_date BETWEEN '1996-01-01' AND '1997-12-31' GROUP BY symb
 
     q["stream_equity_clean"] = with_views(eq_views, EQ_NORM, EQ_VALID) + (
         "\nSELECT DISTINCT symbol, trade_date FROM eq_valid")
+    q["stream_equity_dedup_ttl"] = q["stream_equity_clean"]
     q["stream_fo_clean"] = with_views(fo_views, FO_NORM, FO_VALID) + (
         "\nSELECT DISTINCT symbol, instrument_type, expiry_date, strike_price, option_type, trade_date "
         "FROM fo_valid")

@@ -75,3 +75,27 @@ def test_parse_messages_round_trip(spark, sf_dir):
     assert back.exceptAll(raw).count() == 0 and raw.exceptAll(back).count() == 0
     bad = spark.createDataFrame([("not json",)], "value string")
     assert clean_stream.parse_messages(bad, clean_stream.RAW_SCHEMAS["equity"]).first()["symbol"] is None
+
+
+def test_ttl_dedup_variants_match_batch_keys(spark, sf_dir):
+    from marketlake.streaming import ttl_dedup
+
+    raw = fixtures.load(spark, sf_dir, "equity_raw")
+    src = scratch_path(spark, "ttl-src")
+    raw.write.option("maxRecordsPerFile", 2000).json(src)
+    batch = clean.equity_valid(clean.equity_normalise(raw)).select("symbol", "trade_date").distinct()
+    before = spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled")
+    for variant in (ttl_dedup.dedup_with_ttl, ttl_dedup.dedup_with_timeout):
+        out, ckpt = scratch_path(spark, "ttl-out"), scratch_path(spark, "ttl-ckpt")
+        stream = clean_stream.read_stream(spark, src, clean_stream.RAW_SCHEMAS["equity"],
+                                          max_files_per_trigger=1)
+        valid = stream.transform(clean.equity_normalise).transform(clean.equity_valid)
+        deduped = variant(valid, list(clean.EQUITY_KEY))
+        q = ttl_dedup.start_with_conf(spark, lambda: (
+            deduped.writeStream.format("parquet").option("path", out)
+            .option("checkpointLocation", ckpt).trigger(availableNow=True).start()), state_partitions=4)
+        clean_stream.run_available_now(q, timeout_s=300)
+        keys = spark.read.parquet(out).select("symbol", "trade_date")
+        assert keys.count() == keys.distinct().count() == batch.count()
+        assert keys.exceptAll(batch).count() == 0
+    assert spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled") == before
