@@ -15,13 +15,19 @@ OPTION_INSTRUMENTS = ("OPTIDX", "OPTSTK")
 PUT, CALL = "PE", "CE"
 
 
-def advance_decline(silver: DataFrame) -> DataFrame:
+def advance_decline(silver: DataFrame, unique_symbol_days: bool = False) -> DataFrame:
     """A3-A7 per trade_date.
 
     advances / declines count rows with close_adj above / below open_adj;
     all other rows (equal or null) are unchanged. ``total_stocks`` is the
     exact number of distinct symbols. ``ad_ratio`` is null when there are no
     declines.
+
+    ``unique_symbol_days`` declares that the input has at most one row per
+    (symbol, trade_date) -- true for a silver table built by this pipeline,
+    whose dedup keeps one row per symbol and day. The distinct count is then
+    ``count(symbol)``, which aggregates map-side; the general form must shuffle
+    every (date, symbol) pair unless the input is already partitioned on them.
     """
     up = F.col("close_adj") > F.col("open_adj")
     down = F.col("close_adj") < F.col("open_adj")
@@ -30,7 +36,7 @@ def advance_decline(silver: DataFrame) -> DataFrame:
         F.count_if(up).alias("advances"),
         F.count_if(down).alias("declines"),
         F.count(F.lit(1)).alias("_rows"),
-        F.count_distinct("symbol").alias("total_stocks"),
+        (F.count("symbol") if unique_symbol_days else F.count_distinct("symbol")).alias("total_stocks"),
         F.sum("total_quantity").alias("total_volume"),
         F.sum("total_turnover").alias("total_turnover_cr"),
         F.avg(ret).cast("double").alias("avg_return_pct"),
@@ -60,10 +66,10 @@ def put_call_ratio(fo: DataFrame) -> DataFrame:
     )
 
 
-def market_breadth(silver: DataFrame, fo: DataFrame) -> DataFrame:
+def market_breadth(silver: DataFrame, fo: DataFrame, unique_symbol_days: bool = False) -> DataFrame:
     """Breadth LEFT JOIN put-call ratio USING (trade_date).
 
     Both sides are one row per date; AQE broadcasts whichever side measures
     small at run time. Dates with options but no equities are dropped.
     """
-    return advance_decline(silver).join(put_call_ratio(fo), "trade_date", "left")
+    return advance_decline(silver, unique_symbol_days).join(put_call_ratio(fo), "trade_date", "left")

@@ -114,6 +114,7 @@ def run_lake(
     write_silver(silver(equity_raw, corporate, order, start_date), paths["silver"])
     write_partitioned(fo_bronze_for_pcr(fo_raw, fo_order), paths["fo"], [])
     silver_t = spark.read.parquet(paths["silver"]).drop("trade_year")
-    gold_df = breadth.market_breadth(silver_t, spark.read.parquet(paths["fo"]))
+    # silver was written by this job: one row per (symbol, trade_date)
+    gold_df = breadth.market_breadth(silver_t, spark.read.parquet(paths["fo"]), unique_symbol_days=True)
     write_gold(gold_df, paths["gold"])
     return paths

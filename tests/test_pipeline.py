@@ -118,3 +118,16 @@ def test_gold_plan_shuffles_each_big_table_once(spark, sf_dir):
     exchanges = plan.count("Exchange hashpartitioning")
     assert exchanges <= 6, plan
     assert "BroadcastHashJoin" in plan
+
+
+def test_unique_symbol_days_count_is_exact_and_shuffle_free(spark, sf_dir):
+    from marketlake.session import scratch_path
+
+    path = scratch_path(spark, "silver-unique")
+    catalog._silver(spark, sf_dir).write.parquet(path)
+    silver = spark.read.parquet(path)
+    exact = breadth.advance_decline(silver).select("trade_date", "total_stocks")
+    fast = breadth.advance_decline(silver, unique_symbol_days=True)
+    assert fast.select("trade_date", "total_stocks").exceptAll(exact).count() == 0
+    plan = fast._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1  # only the per-date partial rows move
