@@ -100,21 +100,33 @@ def run_lake(
     order: Sequence[str] = clean.ARRIVAL_ORDER,
     fo_order: Sequence[str] = clean.ARRIVAL_ORDER,
     start_date: str | None = None,
-) -> dict[str, str]:
+) -> dict[str, object]:
     """Daily batch: bronze -> silver (written) -> gold (written).
 
     Silver is written under ``root`` (a shared folder, e.g. below
     ``spark.checkpoint.dir``) and gold is computed from the *written* silver
     table, so a lost executor during the gold stage recomputes from silver
-    files, not from the raw landing data. Returns the table paths.
+    files, not from the raw landing data.
+
+    ``start_date`` rebuilds from that date on; it is floored to 1 January so
+    every ``trade_year`` partition the dynamic overwrite replaces is rebuilt
+    whole. A newly arrived split/bonus changes the factors of all earlier
+    prices of its symbol, so after new actions run with ``start_date=None``
+    (full rebuild). Row counts are observed during the writes (no re-run).
     """
+    from pyspark.sql import Observation
+
     spark = equity_raw.sparkSession
+    if start_date:
+        start_date = f"{start_date[:4]}-01-01"
     paths = {"silver": f"{root}/silver/ohlcv_adjusted", "gold": f"{root}/gold/market_breadth",
              "fo": f"{root}/bronze/fo_for_pcr"}
-    write_silver(silver(equity_raw, corporate, order, start_date), paths["silver"])
+    silver_obs, gold_obs = Observation("silver"), Observation("gold")
+    silver_df = silver(equity_raw, corporate, order, start_date)
+    write_silver(silver_df.observe(silver_obs, F.count(F.lit(1)).alias("rows")), paths["silver"])
     write_partitioned(fo_bronze_for_pcr(fo_raw, fo_order), paths["fo"], [])
     silver_t = spark.read.parquet(paths["silver"]).drop("trade_year")
     # silver was written by this job: one row per (symbol, trade_date)
     gold_df = breadth.market_breadth(silver_t, spark.read.parquet(paths["fo"]), unique_symbol_days=True)
-    write_gold(gold_df, paths["gold"])
-    return paths
+    write_gold(gold_df.observe(gold_obs, F.count(F.lit(1)).alias("rows")), paths["gold"])
+    return {**paths, "silver_rows": silver_obs.get["rows"], "gold_rows": gold_obs.get["rows"]}

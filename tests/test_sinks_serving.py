@@ -65,4 +65,9 @@ def test_run_lake_writes_silver_then_gold(spark, sf_dir):
     cols = ["trade_date", "advances", "declines", "unchanged", "total_stocks", "total_volume",
             "put_oi", "call_oi"]
     assert gold.select(*cols).exceptAll(expected.select(*cols)).count() == 0
-    assert gold.count() == expected.count()
+    assert gold.count() == expected.count() == paths["gold_rows"]
+    assert paths["silver_rows"] == spark.read.parquet(paths["silver"]).count()
+    # a mid-year restart rebuilds whole years and loses nothing
+    again = lake.run_lake(load("equity_raw"), load("corporate"), load("fo_raw"), root,
+                          order=catalog.EQ_ORDER, fo_order=catalog.FO_ORDER, start_date="1998-07-15")
+    assert spark.read.parquet(again["silver"]).count() == paths["silver_rows"]
