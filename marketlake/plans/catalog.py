@@ -235,6 +235,14 @@ def market_breadth(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round_breadth(gold)
 
 
+def lake_job_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily job: silver and gold written to the shared folder, gold read back."""
+    load = _load(spark, sf_dir)
+    paths = lake.run_lake(load("equity_raw"), load("corporate"), load("fo_raw"),
+                          scratch_path(spark, "lake"), order=EQ_ORDER, fo_order=FO_ORDER)
+    return _round_breadth(spark.read.parquet(paths["gold"]).drop("trade_year"))
+
+
 # --- serving -------------------------------------------------------------------
 
 def _lake(spark, sf_dir) -> Lake:
@@ -383,6 +391,7 @@ QUERIES: dict[str, Query] = {
     "advance_decline": advance_decline,
     "put_call_ratio": put_call_ratio,
     "market_breadth": market_breadth,
+    "lake_job_gold": lake_job_gold,
     "serve_ohlcv": serve_ohlcv,
     "serve_ohlcv_raw": serve_ohlcv_raw,
     "serve_breadth": serve_breadth,

@@ -378,6 +378,7 @@ GROUP BY {PRICE_COLS}"""
         "\nSELECT * FROM ad")
     q["put_call_ratio"] = with_views(("fo_raw",), *fo_chain, PCR) + "\nSELECT * FROM pcr"
 
+    q["lake_job_gold"] = q["market_breadth"]
     gold = with_views(("equity_raw", "corporate", "fo_raw"), *eq_chain, ACTS, SILVER, *fo_chain, AD, PCR,
                       "gold AS (SELECT ad.*, pcr.put_oi, pcr.call_oi, pcr.pcr_oi "
                       "FROM ad LEFT JOIN pcr USING (trade_date))")
