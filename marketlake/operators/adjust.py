@@ -35,6 +35,10 @@ PRICE_COLUMNS = (
 # on the data (not estimated from file statistics).
 BROADCAST_ACTIONS_MAX_BYTES = 64 * 1024 * 1024
 
+# Above this many adjusting actions for one symbol the per-row array fold
+# would cost too much; the exact range-join plan is used instead.
+ARRAY_MAX_ACTIONS_PER_SYMBOL = 10_000
+
 
 def since(prices: DataFrame, start_date: str | None) -> DataFrame:
     """``trade_date >= start_date`` (string compare, partition-prunable)."""
@@ -75,11 +79,13 @@ def actions_by_symbol(adjusting: DataFrame) -> DataFrame:
     )
 
 
-def _measured_bytes(by_symbol: DataFrame) -> int:
+def _measure(by_symbol: DataFrame) -> tuple[int, int]:
+    """(bytes, largest per-symbol action count) of the per-symbol table, one job."""
     row = by_symbol.agg(
-        F.coalesce(F.sum(F.length("symbol") + F.size("_acts") * 16 + 32), F.lit(0)).alias("b")
+        F.coalesce(F.sum(F.length("symbol") + F.size("_acts") * 16 + 32), F.lit(0)).alias("b"),
+        F.coalesce(F.max(F.size("_acts")), F.lit(0)).alias("m"),
     ).first()
-    return int(row["b"])
+    return int(row["b"]), int(row["m"])
 
 
 def _fold(acts):
@@ -100,13 +106,20 @@ def cumulative_factor_array(
 ) -> DataFrame:
     """Prices with ``cumulative_adj_factor`` (array plan, one row per price row).
 
-    ``broadcast=None`` measures the per-symbol action table and broadcasts it
-    only under ``BROADCAST_ACTIONS_MAX_BYTES``; above it the join shuffles on
-    symbol and AQE splits a hot symbol's price partition.
+    One small job measures the per-symbol action table. ``broadcast=None``
+    broadcasts it only under ``BROADCAST_ACTIONS_MAX_BYTES``; above it the
+    join shuffles on symbol and AQE splits a hot symbol's price partition.
+    A symbol with more than ``ARRAY_MAX_ACTIONS_PER_SYMBOL`` actions switches
+    to the exact range-join plan (``prices`` must then hold exactly the ten
+    price columns, one row per price).
     """
     by_symbol = actions_by_symbol(adjusting_actions(actions))
+    size, widest = _measure(by_symbol)
+    if widest > ARRAY_MAX_ACTIONS_PER_SYMBOL:
+        # exact fallback: range join + regroup (prices here are one row per key)
+        return cumulative_factor_join(prices, actions).select(*prices.columns, "cumulative_adj_factor")
     if broadcast is None:
-        broadcast = _measured_bytes(by_symbol) <= BROADCAST_ACTIONS_MAX_BYTES
+        broadcast = size <= BROADCAST_ACTIONS_MAX_BYTES
     right = F.broadcast(by_symbol) if broadcast else by_symbol
     return (
         prices.join(right, "symbol", "left")

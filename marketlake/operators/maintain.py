@@ -103,11 +103,15 @@ def zorder(df: DataFrame, columns: Sequence[str], num_partitions: int | None = N
     if not cols:
         return df
     parts = num_partitions or df.sparkSession.sparkContext.defaultParallelism
+    # A row hash as secondary range key: rows sharing one z-value (a hot
+    # symbol-day) spread over several output files instead of one task.
+    salt = F.xxhash64(*[F.col(c) for c in df.columns])
     return (
         with_zorder(df, cols)
-        .repartitionByRange(parts, "_z")
+        .withColumn("_salt", salt)
+        .repartitionByRange(parts, "_z", "_salt")
         .sortWithinPartitions("_z")
-        .drop("_z")
+        .drop("_z", "_salt")
     )
 
 

@@ -131,3 +131,30 @@ def test_unique_symbol_days_count_is_exact_and_shuffle_free(spark, sf_dir):
     assert fast.select("trade_date", "total_stocks").exceptAll(exact).count() == 0
     plan = fast._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1  # only the per-date partial rows move
+
+
+def test_many_actions_per_symbol_falls_back_to_exact_join(spark, sf_dir, monkeypatch):
+    prices = clean.equity_clean(_eq(spark, sf_dir), catalog.EQ_ORDER).select(*adjust.PRICE_COLUMNS)
+    corp = fixtures.load(spark, sf_dir, "corporate")
+    normal = adjust.cumulative_factor_array(prices, corp)
+    monkeypatch.setattr(adjust, "ARRAY_MAX_ACTIONS_PER_SYMBOL", 0)
+    fallback = adjust.cumulative_factor_array(prices, corp)
+    assert "RangeJoin" in fallback._jdf.queryExecution().optimizedPlan().toString() or \
+        "Aggregate" in fallback._jdf.queryExecution().optimizedPlan().toString()
+    a = normal.select("symbol", "trade_date", F.round("cumulative_adj_factor", 12).alias("f"))
+    b = fallback.select("symbol", "trade_date", F.round("cumulative_adj_factor", 12).alias("f"))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_zorder_splits_a_hot_value(spark):
+    from marketlake.operators import maintain
+
+    df = spark.range(0, 30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("S"), (F.col("id") % 97).cast("string"))).alias("symbol"),
+        F.when(F.col("id") % 3 == 0, F.lit("2024-01-01")).otherwise(F.lit("2024-01-02")).alias("trade_date"),
+        F.col("id"),
+    )
+    z = maintain.zorder(df, ["symbol", "trade_date"], num_partitions=6)
+    sizes = [r[1] for r in z.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 10000  # the 10,000-row hot value is not one partition
+    assert z.exceptAll(df).count() == 0 and z.count() == df.count()
