@@ -71,3 +71,37 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint root."""
     root = checkpoint_root(spark)
     return f"{root}/{name}-{os.getpid()}-{uuid.uuid4().hex[:12]}"
+
+
+def cluster_conf(
+    input_bytes: int,
+    total_cores: int,
+    shuffled_fraction: float = 0.4,
+    shuffle_partition_bytes: int = 512 * 1024 * 1024,
+    scan_split_bytes: int = 1024 * 1024 * 1024,
+) -> dict[str, str]:
+    """Starting settings for a cluster run over ``input_bytes`` of Parquet.
+
+    Scan splits of ``scan_split_bytes`` keep the map-task count (and shuffle
+    metadata) bounded -- 100 TB -> ~100k tasks. Shuffle partitions are sized
+    from the bytes that actually move (the dedup shuffles carry the pruned
+    columns only, ``shuffled_fraction`` of the input) at
+    ``shuffle_partition_bytes`` each, never fewer than 2x the cores; AQE then
+    coalesces small ones and splits skewed join partitions. Pass the result
+    to ``spark-submit --conf`` or ``SparkSession.builder.config``.
+    """
+    import math
+
+    shuffled = input_bytes * shuffled_fraction
+    partitions = max(2 * total_cores, math.ceil(shuffled / shuffle_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(scan_split_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(shuffle_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    }

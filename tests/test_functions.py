@@ -109,3 +109,13 @@ def test_when_reads_all_strings(spark):
     df = spark.createDataFrame([("+",), ("1e+",), ("+-1",)], "v string")
     assert [r[0] for r in df.select(safe_float("v")).collect()] == [None, None, None]
     assert df.select(F.count("*")).first()[0] == 3
+
+
+def test_cluster_conf_scales_with_input():
+    from marketlake.session import cluster_conf
+
+    big = cluster_conf(100 * 10**12, 8000)
+    small = cluster_conf(10**9, 8)
+    assert 50_000 <= int(big["spark.sql.shuffle.partitions"]) <= 200_000
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
+    assert big["spark.sql.adaptive.enabled"] == "true"
