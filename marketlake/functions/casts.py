@@ -67,12 +67,10 @@ def safe_float(c: Column | str) -> Column:
     checked against the full grammar, the only regex on this path.
     """
     text = py_strip(_col(c).cast("string"))
-    lower = F.lower(text)
     last = F.substring(text, -1, 1)
-    plain = (
-        (last.isin(*"0123456789.") | lower.isin(*_SPECIAL))
-        & ~F.contains(lower, F.lit("x"))
-    )
+    numeric = last.isin(*"0123456789.") & ~F.contains(text, F.lit("x")) & ~F.contains(text, F.lit("X"))
+    # the lower-cased copy is only made when the text does not end in a digit
+    plain = numeric | F.lower(text).isin(*_SPECIAL)
     grouped = F.when(
         text.rlike(FLOAT_TEXT), F.replace(text, F.lit("_"), F.lit("")).try_cast("double")
     )
