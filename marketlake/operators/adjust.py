@@ -1,9 +1,13 @@
 """Split/bonus back-adjustment of daily prices (silver layer: P1-P7, J1, A1, A2).
 
-Two plans compute the cumulative factor -- the product of all adjusting
+Three plans compute the cumulative factor -- the product of all adjusting
 factors whose ex-date is after the trade date:
 
-* ``cumulative_factor_array`` (default): the adjusting actions are reduced to
+* ``cumulative_factor_interval`` (default): per symbol, the factor is constant
+  between consecutive ex-dates; those intervals (with their suffix products)
+  are built on the small action table and prices join them on symbol with a
+  range condition -- one match per price row, fully code-generated.
+* ``cumulative_factor_array``: the adjusting actions are reduced to
   one row per symbol holding its actions sorted by ex-date; prices join that
   table on ``symbol`` (broadcast when its measured size is under a bound,
   shuffled otherwise) and fold the matching factors with higher-order array
@@ -129,6 +133,68 @@ def cumulative_factor_array(
     )
 
 
+def factor_intervals(adjusting: DataFrame) -> DataFrame:
+    """Per symbol, the validity intervals of the cumulative factor.
+
+    With a symbol's actions sorted by (ex_date, factor) as e_1..e_k, a trade
+    date d in [e_(i-1), e_i) is matched by exactly the actions i..k, so its
+    factor is the product of that suffix -- multiplied left to right in
+    ex-date order. One row per action: ``_lo`` (null for i = 1), ``_hi``,
+    ``_f`` (null when every matched factor is zero), ``_hit`` = true. Dates
+    on or after e_k match no interval (factor 1.0). All array work happens
+    here, on the small action table.
+    """
+    by_symbol = actions_by_symbol(adjusting)
+    pos = by_symbol.select("symbol", "_acts", F.posexplode("_acts").alias("_i", "_act"))
+    suffix = F.slice("_acts", F.col("_i") + 1, F.size("_acts") - F.col("_i"))
+    positive = F.filter(suffix, lambda a: a["adj_factor"] > 0)
+    product = F.aggregate(positive, F.lit(1.0), lambda acc, a: acc * a["adj_factor"])
+    return pos.select(
+        F.col("symbol").alias("_s"),
+        F.when(F.col("_i") > 0, F.element_at("_acts", F.col("_i"))["ex_date"]).alias("_lo"),
+        F.col("_act")["ex_date"].alias("_hi"),
+        F.when(F.size(positive) > 0, product).alias("_f"),
+        F.lit(True).alias("_hit"),
+    )
+
+
+def cumulative_factor_interval(
+    prices: DataFrame,
+    actions: DataFrame,
+    broadcast: bool | None = None,
+) -> DataFrame:
+    """Prices with ``cumulative_adj_factor`` (interval plan, the default).
+
+    Prices join the per-symbol factor intervals on ``symbol`` with the range
+    ``_lo <= trade_date < _hi`` as join condition. The intervals of a symbol
+    do not overlap, so each price row matches at most one: no fan-out, no
+    regroup, and the probe side stays in whole-stage codegen. The interval
+    table is broadcast only when its measured size is under
+    ``BROADCAST_ACTIONS_MAX_BYTES`` (else shuffled on symbol, AQE splitting a
+    hot symbol); a symbol with more than ``ARRAY_MAX_ACTIONS_PER_SYMBOL``
+    actions switches to the exact range-join plan.
+    """
+    adjusting = adjusting_actions(actions)
+    size, widest = _measure(actions_by_symbol(adjusting))
+    if widest > ARRAY_MAX_ACTIONS_PER_SYMBOL:
+        return cumulative_factor_join(prices, actions).select(*prices.columns, "cumulative_adj_factor")
+    intervals = factor_intervals(adjusting)
+    if broadcast is None:
+        broadcast = size <= BROADCAST_ACTIONS_MAX_BYTES
+    right = F.broadcast(intervals) if broadcast else intervals
+    d = _trade_day()
+    cond = (
+        (F.col("symbol") == F.col("_s"))
+        & (F.col("_lo").isNull() | (d >= F.col("_lo")))
+        & (d < F.col("_hi"))
+    )
+    factor = F.when(F.col("_hit").isNull(), F.lit(1.0)).otherwise(F.col("_f"))
+    return (
+        prices.join(right, cond, "left")
+        .select(*prices.columns, factor.alias("cumulative_adj_factor"))
+    )
+
+
 def actions_range_join(prices: DataFrame, actions: DataFrame) -> DataFrame:
     """Prices LEFT JOIN adjusting actions ON symbol AND date(trade_date) < ex_date."""
     acts = adjusting_actions(actions).select(
@@ -173,7 +239,7 @@ def ohlcv_adjusted(
     actions: DataFrame,
     start_date: str | None = None,
     prices_unique: bool = False,
-    plan: str = "array",
+    plan: str = "interval",
     broadcast: bool | None = None,
 ) -> DataFrame:
     """Silver table: back-adjusted OHLCV per (symbol, trade_date).
@@ -188,4 +254,5 @@ def ohlcv_adjusted(
     base = prices.select(*PRICE_COLUMNS)
     if not prices_unique:
         base = base.dropDuplicates(list(PRICE_COLUMNS))
-    return apply_factor(cumulative_factor_array(base, actions, broadcast))
+    fold = cumulative_factor_interval if plan == "interval" else cumulative_factor_array
+    return apply_factor(fold(base, actions, broadcast))

@@ -29,7 +29,7 @@ def silver(
     corporate: DataFrame,
     order: Sequence[str] = clean.ARRIVAL_ORDER,
     start_date: str | None = None,
-    plan: str = "array",
+    plan: str = "interval",
 ) -> DataFrame:
     """Clean equity records (C7) and back-adjust them.
 
@@ -56,7 +56,7 @@ def gold(
     order: Sequence[str] = clean.ARRIVAL_ORDER,
     fo_order: Sequence[str] = clean.ARRIVAL_ORDER,
     start_date: str | None = None,
-    plan: str = "array",
+    plan: str = "interval",
 ) -> DataFrame:
     """Flagship: market breadth with put-call ratio, one row per trade date."""
     return breadth.market_breadth(

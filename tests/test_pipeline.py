@@ -158,3 +158,34 @@ def test_zorder_splits_a_hot_value(spark):
     sizes = [r[1] for r in z.groupBy(F.spark_partition_id()).count().collect()]
     assert max(sizes) < 10000  # the 10,000-row hot value is not one partition
     assert z.exceptAll(df).count() == 0 and z.count() == df.count()
+
+
+def test_interval_plan_matches_array_plan_bit_for_bit(spark, sf_dir):
+    prices = clean.equity_clean(_eq(spark, sf_dir), catalog.EQ_ORDER).select(*adjust.PRICE_COLUMNS)
+    corp = fixtures.load(spark, sf_dir, "corporate")
+    a = adjust.cumulative_factor_array(prices, corp)
+    i = adjust.cumulative_factor_interval(prices, corp)
+    assert i.count() == prices.count()
+    assert a.exceptAll(i).count() == 0 and i.exceptAll(a).count() == 0
+    plan = i._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_interval_plan_edge_cases(spark):
+    prices = spark.createDataFrame(
+        [("2024-01-01", "A"), ("2024-02-01", "A"), ("2024-03-01", "A"), ("2024-04-01", "A"),
+         ("bad-date", "A"), ("2024-01-01", "B"), ("2024-01-01", "Z")],
+        "trade_date string, symbol string")
+    acts = spark.createDataFrame(
+        [("A", "2024-02-01", "BONUS 1:1"), ("A", "2024-02-01", "SPLIT RS 10 TO RS 5"),
+         ("A", "2024-03-15", "SPLIT RS 10 TO RS 2"), ("B", "2024-06-01", "SPLIT RS 10 TO RS 0")],
+        "symbol string, ex_date string, details string").withColumn("action_type", F.col("details"))
+    got = {(r["symbol"], r["trade_date"]): r["cumulative_adj_factor"]
+           for r in adjust.cumulative_factor_interval(prices, acts).collect()}
+    assert got[("A", "2024-01-01")] == 0.5 * 0.5 * 0.2
+    assert got[("A", "2024-02-01")] == 0.2      # ex-date equal to trade date: not applied
+    assert got[("A", "2024-03-01")] == 0.2
+    assert got[("A", "2024-04-01")] == 1.0
+    assert got[("A", "bad-date")] == 1.0
+    assert got[("B", "2024-01-01")] is None     # only a zero factor matches
+    assert got[("Z", "2024-01-01")] == 1.0
