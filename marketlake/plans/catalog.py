@@ -193,7 +193,8 @@ def adjustment_factor(spark, sf_dir):
 
 
 def adjusting_actions(spark, sf_dir):
-    return _ex_date_text(adjust.adjusting_actions(_load(spark, sf_dir)("corporate")))
+    """P2-P5 over the landed corporate-action feed (one item per part)."""
+    return _ex_date_text(adjust.adjusting_actions(land_corporate(spark, sf_dir)))
 
 
 def actions_range_join(spark, sf_dir):

@@ -352,12 +352,12 @@ SELECT * FROM (
 
     q["adjustment_factor"] = landed("l_corporate") + (
         f"\nSELECT symbol, details, {factor('details')} AS adj_factor FROM l_corporate")
-    q["adjusting_actions"] = with_views(("corporate",), ACTS) + """
-SELECT symbol, CAST(ex_date AS VARCHAR) AS ex_date, action_type, details, adj_factor FROM (
-  SELECT DISTINCT a.symbol, a.ex_date, c.action_type, a.details, a.adj_factor
-  FROM acts_adj a JOIN (SELECT DISTINCT symbol, TRY_CAST(ex_date AS DATE) AS ex_date, details, action_type
-                        FROM corporate) c
-    ON a.symbol = c.symbol AND a.details = c.details AND a.ex_date IS NOT DISTINCT FROM c.ex_date) t"""
+    q["adjusting_actions"] = landed("l_corporate") + f"""
+SELECT DISTINCT symbol, CAST(TRY_CAST(ex_date AS DATE) AS VARCHAR) AS ex_date, action_type, details,
+       adj_factor
+FROM (SELECT *, {factor('details')} AS adj_factor FROM l_corporate
+      WHERE regexp_matches(action_type, '(?i)bonus|split')) a
+WHERE adj_factor < 1.0"""
     q["actions_range_join"] = with_views(("equity_raw", "corporate"), *eq_chain, ACTS) + f"""
 SELECT {', '.join('p.' + c.strip() for c in PRICE_COLS.split(','))},
        CAST(a.ex_date AS VARCHAR) AS ex_date, a.adj_factor

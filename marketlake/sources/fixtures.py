@@ -170,7 +170,8 @@ VIEWS: dict[str, View] = {
         "CAST(l_quantity*100 AS STRING) AS OpnIntrst",
         "CAST(l_linenumber-4 AS STRING) AS ChngInOpnIntrst",
     )),
-    # Corporate-action landing items (string fields, padding, blanks, nulls).
+    # Corporate-action landing items (string fields, padding, blanks, nulls),
+    # one per part: the whole table.
     "corporate_landing": View("part", (
         "CAST(p_partkey AS BIGINT) AS ingested_at",
         "CASE WHEN p_partkey%13=0 THEN NULL ELSE concat(' SYM', CAST(p_partkey%100 AS STRING), ' ') END "
@@ -189,7 +190,7 @@ VIEWS: dict[str, View] = {
         "CASE WHEN p_partkey%7=0 THEN ' 2024-01-01 ' ELSE NULL END AS ndStartDate",
         "CAST(NULL AS STRING) AS ndEndDate",
         "CASE WHEN p_partkey%4=0 THEN NULL WHEN p_partkey%4=1 THEN ' ' ELSE 'EQ' END AS series",
-    ), "p_partkey < 300"),
+    )),
     # Surveillance landing items. Lists deliver either camel-case keys
     # (symbol, isin, companyName) or upper-case keys (SYMBOL, ISIN, NAME).
     "surveillance_landing_a": View("customer", (
