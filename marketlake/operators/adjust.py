@@ -39,9 +39,10 @@ PRICE_COLUMNS = (
 # on the data (not estimated from file statistics).
 BROADCAST_ACTIONS_MAX_BYTES = 64 * 1024 * 1024
 
-# Above this many adjusting actions for one symbol the per-row array fold
-# would cost too much; the exact range-join plan is used instead.
-ARRAY_MAX_ACTIONS_PER_SYMBOL = 10_000
+# Above this many adjusting actions for one symbol the per-symbol arrays
+# (k actions -> k intervals over k-long suffixes) grow too large; the exact
+# range-join plan is used instead.
+ARRAY_MAX_ACTIONS_PER_SYMBOL = 1_000
 
 
 def since(prices: DataFrame, start_date: str | None) -> DataFrame:
@@ -83,11 +84,21 @@ def actions_by_symbol(adjusting: DataFrame) -> DataFrame:
     )
 
 
-def _measure(by_symbol: DataFrame) -> tuple[int, int]:
-    """(bytes, largest per-symbol action count) of the per-symbol table, one job."""
-    row = by_symbol.agg(
-        F.coalesce(F.sum(F.length("symbol") + F.size("_acts") * 16 + 32), F.lit(0)).alias("b"),
-        F.coalesce(F.max(F.size("_acts")), F.lit(0)).alias("m"),
+def _measure(adjusting: DataFrame) -> tuple[int, int]:
+    """(bytes, largest per-symbol action count) of the per-symbol action table.
+
+    Measured from per-symbol counts (a partial hash aggregate) *before* any
+    list is collected, so a symbol holding a huge share of the actions is
+    detected without ever building its array. One small job.
+    """
+    per_symbol = (
+        adjusting.where(F.col("ex_date").isNotNull())
+        .groupBy("symbol")
+        .agg(F.count(F.lit(1)).alias("n"), F.max(F.length("symbol")).alias("w"))
+    )
+    row = per_symbol.agg(
+        F.coalesce(F.sum(F.col("n") * 48 + F.col("w") + 32), F.lit(0)).alias("b"),
+        F.coalesce(F.max("n"), F.lit(0)).alias("m"),
     ).first()
     return int(row["b"]), int(row["m"])
 
@@ -117,11 +128,12 @@ def cumulative_factor_array(
     to the exact range-join plan (``prices`` must then hold exactly the ten
     price columns, one row per price).
     """
-    by_symbol = actions_by_symbol(adjusting_actions(actions))
-    size, widest = _measure(by_symbol)
+    adjusting = adjusting_actions(actions)
+    size, widest = _measure(adjusting)
     if widest > ARRAY_MAX_ACTIONS_PER_SYMBOL:
         # exact fallback: range join + regroup (prices here are one row per key)
         return cumulative_factor_join(prices, actions).select(*prices.columns, "cumulative_adj_factor")
+    by_symbol = actions_by_symbol(adjusting)
     if broadcast is None:
         broadcast = size <= BROADCAST_ACTIONS_MAX_BYTES
     right = F.broadcast(by_symbol) if broadcast else by_symbol
@@ -175,7 +187,7 @@ def cumulative_factor_interval(
     actions switches to the exact range-join plan.
     """
     adjusting = adjusting_actions(actions)
-    size, widest = _measure(actions_by_symbol(adjusting))
+    size, widest = _measure(adjusting)
     if widest > ARRAY_MAX_ACTIONS_PER_SYMBOL:
         return cumulative_factor_join(prices, actions).select(*prices.columns, "cumulative_adj_factor")
     intervals = factor_intervals(adjusting)
