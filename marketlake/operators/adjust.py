@@ -25,7 +25,7 @@ factor.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake.functions.factor import ADJUSTING_ACTION, adjustment_factor
@@ -170,6 +170,28 @@ def factor_intervals(adjusting: DataFrame) -> DataFrame:
     )
 
 
+def factor_intervals_window(adjusting: DataFrame) -> DataFrame:
+    """The same intervals as ``factor_intervals`` built with window functions.
+
+    A running product over each symbol's actions in descending ex-date order
+    gives every suffix product in one O(k) pass, with no arrays -- for
+    symbols with very many actions. The products associate from the latest
+    ex-date backwards, so they equal the array form's up to rounding.
+    """
+    acts = adjusting.where(F.col("ex_date").isNotNull()).select("symbol", "ex_date", "adj_factor")
+    asc = Window.partitionBy("symbol").orderBy("ex_date", "adj_factor")
+    desc = (Window.partitionBy("symbol").orderBy(F.desc("ex_date"), F.desc("adj_factor"))
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    positive = F.when(F.col("adj_factor") > 0, F.col("adj_factor"))
+    return acts.select(
+        F.col("symbol").alias("_s"),
+        F.lag("ex_date").over(asc).alias("_lo"),
+        F.col("ex_date").alias("_hi"),
+        F.when(F.count(positive).over(desc) > 0, F.product(positive).over(desc)).alias("_f"),
+        F.lit(True).alias("_hit"),
+    )
+
+
 def cumulative_factor_interval(
     prices: DataFrame,
     actions: DataFrame,
@@ -183,14 +205,16 @@ def cumulative_factor_interval(
     regroup, and the probe side stays in whole-stage codegen. The interval
     table is broadcast only when its measured size is under
     ``BROADCAST_ACTIONS_MAX_BYTES`` (else shuffled on symbol, AQE splitting a
-    hot symbol); a symbol with more than ``ARRAY_MAX_ACTIONS_PER_SYMBOL``
-    actions switches to the exact range-join plan.
+    hot symbol). When a symbol has more than ``ARRAY_MAX_ACTIONS_PER_SYMBOL``
+    actions the intervals are built with window functions instead of arrays;
+    either way each price row matches at most one interval.
     """
     adjusting = adjusting_actions(actions)
     size, widest = _measure(adjusting)
     if widest > ARRAY_MAX_ACTIONS_PER_SYMBOL:
-        return cumulative_factor_join(prices, actions).select(*prices.columns, "cumulative_adj_factor")
-    intervals = factor_intervals(adjusting)
+        intervals = factor_intervals_window(adjusting)
+    else:
+        intervals = factor_intervals(adjusting)
     if broadcast is None:
         broadcast = size <= BROADCAST_ACTIONS_MAX_BYTES
     right = F.broadcast(intervals) if broadcast else intervals

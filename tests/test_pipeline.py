@@ -189,3 +189,17 @@ def test_interval_plan_edge_cases(spark):
     assert got[("A", "bad-date")] == 1.0
     assert got[("B", "2024-01-01")] is None     # only a zero factor matches
     assert got[("Z", "2024-01-01")] == 1.0
+
+
+def test_window_intervals_agree_with_array_intervals(spark, sf_dir, monkeypatch):
+    prices = clean.equity_clean(_eq(spark, sf_dir), catalog.EQ_ORDER).select(*adjust.PRICE_COLUMNS)
+    corp = fixtures.load(spark, sf_dir, "corporate")
+    exact = adjust.cumulative_factor_interval(prices, corp).select(
+        "symbol", "trade_date", F.col("cumulative_adj_factor").alias("a"))
+    monkeypatch.setattr(adjust, "ARRAY_MAX_ACTIONS_PER_SYMBOL", 0)
+    windowed = adjust.cumulative_factor_interval(prices, corp)
+    assert "Window" in windowed._jdf.queryExecution().executedPlan().toString()
+    both = exact.join(windowed.select("symbol", "trade_date", F.col("cumulative_adj_factor").alias("w")),
+                      ["symbol", "trade_date"])
+    assert both.count() == prices.count()
+    assert both.where(F.abs(F.col("a") - F.col("w")) > 1e-12 * F.abs(F.col("a"))).count() == 0
