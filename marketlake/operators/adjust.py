@@ -125,14 +125,13 @@ def cumulative_factor_array(
     broadcasts it only under ``BROADCAST_ACTIONS_MAX_BYTES``; above it the
     join shuffles on symbol and AQE splits a hot symbol's price partition.
     A symbol with more than ``ARRAY_MAX_ACTIONS_PER_SYMBOL`` actions switches
-    to the exact range-join plan (``prices`` must then hold exactly the ten
-    price columns, one row per price).
+    to the interval plan with window-built intervals.
     """
     adjusting = adjusting_actions(actions)
     size, widest = _measure(adjusting)
     if widest > ARRAY_MAX_ACTIONS_PER_SYMBOL:
-        # exact fallback: range join + regroup (prices here are one row per key)
-        return cumulative_factor_join(prices, actions).select(*prices.columns, "cumulative_adj_factor")
+        # per-symbol arrays would be too long: window-built intervals instead
+        return cumulative_factor_interval(prices, actions, broadcast)
     by_symbol = actions_by_symbol(adjusting)
     if broadcast is None:
         broadcast = size <= BROADCAST_ACTIONS_MAX_BYTES
