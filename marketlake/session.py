@@ -31,14 +31,29 @@ def build_session(
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
-    """Return a session for scripts/tests; an existing session is reused."""
-    builder = SparkSession.builder.appName(app_name)
-    if master:
-        builder = builder.master(master)
+    """Return a session for scripts/tests.
+
+    A new session gets the defaults; an already running session is reused
+    and only keys it does not set yet are filled in (runtime SQL settings;
+    static ones cannot change on a running session and are left alone).
+    """
     conf = dict(SESSION_DEFAULTS)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        for key, value in conf.items():
+            if active.conf.get(key, None) is None:
+                try:
+                    active.conf.set(key, value)
+                except Exception:  # noqa: BLE001 - static config of a running session
+                    pass
+        checkpoint_root(active)
+        return active
+    builder = SparkSession.builder.appName(app_name)
+    if master:
+        builder = builder.master(master)
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
