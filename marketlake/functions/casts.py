@@ -53,28 +53,41 @@ def blank_to_null(c: Column | str) -> Column:
     return F.when(stripped != "", stripped)
 
 
-# Spellings of infinity / not-a-number that end in a letter.
-_SPECIAL = ("inf", "+inf", "-inf", "infinity", "+infinity", "-infinity", "nan")
+# The spellings of infinity and not-a-number Python accepts
+# (compared lower-cased).
+_POS_INF = ("inf", "+inf", "infinity", "+infinity")
+_NEG_INF = ("-inf", "-infinity")
+_NAN = ("nan", "+nan", "-nan")
 
 
 def safe_float(c: Column | str) -> Column:
     """Null, blank or unparsable text -> null, else the double value.
 
-    Exactly the strings Python's ``float`` accepts. ``try_cast`` parses; it
-    also accepts Java-only forms (``12d``, ``1f``, hex ``0x1p3``), which a
-    Python-valid number never has: it ends in a digit or '.', or is an
-    inf/nan word, and has no 'x'. Text with underscores (digit grouping) is
-    checked against the full grammar, the only regex on this path.
+    Exactly the strings Python's ``float`` accepts. ``try_cast`` parses
+    plain decimal text; Java's parser also takes forms Python rejects
+    (``12d``, ``1f``, hex ``0x1p3``, leading control characters), which a
+    Python-valid number never has: it starts with a digit, sign or '.', ends
+    in a digit or '.', and has no 'x'. inf/nan words are mapped directly.
+    Text with underscores (digit grouping) is checked against the full
+    grammar, the only regex on this path.
     """
     text = py_strip(_col(c).cast("string"))
-    last = F.substring(text, -1, 1)
-    numeric = last.isin(*"0123456789.") & ~F.contains(text, F.lit("x")) & ~F.contains(text, F.lit("X"))
-    # the lower-cased copy is only made when the text does not end in a digit
-    plain = numeric | F.lower(text).isin(*_SPECIAL)
+    first, last = F.substring(text, 1, 1), F.substring(text, -1, 1)
+    numeric = (
+        first.isin(*"0123456789+-.") & last.isin(*"0123456789.")
+        & ~F.contains(text, F.lit("x")) & ~F.contains(text, F.lit("X"))
+    )
     grouped = F.when(
         text.rlike(FLOAT_TEXT), F.replace(text, F.lit("_"), F.lit("")).try_cast("double")
     )
-    return F.when(F.contains(text, F.lit("_")), grouped).when(plain, text.try_cast("double"))
+    lower = F.lower(text)
+    return (
+        F.when(F.contains(text, F.lit("_")), grouped)
+        .when(numeric, text.try_cast("double"))
+        .when(lower.isin(*_POS_INF), F.lit(float("inf")))
+        .when(lower.isin(*_NEG_INF), F.lit(float("-inf")))
+        .when(lower.isin(*_NAN), F.lit(float("nan")))
+    )
 
 
 def safe_int(c: Column | str) -> Column:
