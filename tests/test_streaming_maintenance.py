@@ -99,3 +99,26 @@ def test_ttl_dedup_variants_match_batch_keys(spark, sf_dir):
         assert keys.count() == keys.distinct().count() == batch.count()
         assert keys.exceptAll(batch).count() == 0
     assert spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled") == before
+
+
+def test_watermark_dedup_on_rocksdb_state_store(spark, sf_dir):
+    from marketlake.streaming import ttl_dedup
+
+    raw = fixtures.load(spark, sf_dir, "equity_raw")
+    src, out, ckpt = (scratch_path(spark, n) for n in ("rsrc", "rout", "rckpt"))
+    raw.write.option("maxRecordsPerFile", 2000).json(src)
+    stream = clean_stream.read_stream(spark, src, clean_stream.RAW_SCHEMAS["equity"], max_files_per_trigger=1)
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, ttl_dedup.ROCKSDB_PROVIDER)
+    try:
+        q = clean_stream.write_bronze(clean_stream.equity_clean_stream(stream), out, ckpt, partition_by=())
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+    clean_stream.run_available_now(q)
+    keys = spark.read.parquet(out).select("symbol", "trade_date")
+    batch = clean.equity_valid(clean.equity_normalise(raw)).select("symbol", "trade_date").distinct()
+    assert keys.count() == batch.count() and keys.exceptAll(batch).count() == 0
