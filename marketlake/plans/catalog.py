@@ -333,7 +333,7 @@ def stream_equity_dedup_ttl(spark, sf_dir):
     stream = clean_stream.read_stream(spark, src, clean_stream.RAW_SCHEMAS["equity"], fmt="json",
                                       max_files_per_trigger=2)
     valid = stream.transform(clean.equity_normalise).transform(clean.equity_valid)
-    deduped = ttl_dedup.dedup_with_ttl(valid, list(clean.EQUITY_KEY))
+    deduped = ttl_dedup.dedup_with_ttl_rows(valid, list(clean.EQUITY_KEY))
     query = ttl_dedup.start_with_conf(spark, lambda: (
         deduped.writeStream.format("parquet").option("path", out)
         .option("checkpointLocation", ckpt).trigger(availableNow=True).start()),

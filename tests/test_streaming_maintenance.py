@@ -85,7 +85,7 @@ def test_ttl_dedup_variants_match_batch_keys(spark, sf_dir):
     raw.write.option("maxRecordsPerFile", 2000).json(src)
     batch = clean.equity_valid(clean.equity_normalise(raw)).select("symbol", "trade_date").distinct()
     before = spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled")
-    for variant in (ttl_dedup.dedup_with_ttl, ttl_dedup.dedup_with_timeout):
+    for variant in (ttl_dedup.dedup_with_ttl_rows, ttl_dedup.dedup_with_ttl, ttl_dedup.dedup_with_timeout):
         out, ckpt = scratch_path(spark, "ttl-out"), scratch_path(spark, "ttl-ckpt")
         stream = clean_stream.read_stream(spark, src, clean_stream.RAW_SCHEMAS["equity"],
                                           max_files_per_trigger=1)
