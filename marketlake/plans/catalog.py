@@ -316,7 +316,10 @@ def _stream_keys(spark, sf_dir, domain: str) -> DataFrame:
         keys = list(clean.FO_CONTRACT_DAY_KEY)
     # A multi-year backfill in one run: partition by year, not by day.
     cleaned = cleaned.withColumn("trade_year", F.substring("trade_date", 1, 4))
-    query = clean_stream.write_bronze(cleaned, out, ckpt, partition_by=("trade_year",))
+    # one state partition per core (fixed in the checkpoint at first start)
+    query = clean_stream.start_query(
+        spark, lambda: clean_stream.write_bronze(cleaned, out, ckpt, partition_by=("trade_year",)),
+        state_partitions=spark.sparkContext.defaultParallelism)
     clean_stream.run_available_now(query)
     return spark.read.parquet(out).select(*keys)
 

@@ -123,3 +123,28 @@ def run_available_now(query: StreamingQuery, timeout_s: int = 600) -> None:
         raise TimeoutError(f"streaming query {query.name or query.id} did not finish in {timeout_s}s")
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
+
+
+def start_query(spark, start, state_partitions: int | None = None,
+                conf: dict[str, str] | None = None):
+    """Start a streaming query under extra session settings, then restore them.
+
+    ``state_partitions`` fixes the number of state-store partitions (kept in
+    the checkpoint for the life of the query); default: the session's shuffle
+    partitions. A started query runs on a clone of the session's conf, so
+    restoring the caller's values afterwards does not affect it.
+    """
+    settings = dict(conf or {})
+    if state_partitions:
+        settings["spark.sql.shuffle.partitions"] = str(state_partitions)
+    previous = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        return start()
+    finally:
+        for k, v in previous.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

@@ -161,27 +161,10 @@ START_CONF = {
 
 
 def start_with_conf(spark, start, state_partitions: int | None = None):
-    """Start a streaming query under ``START_CONF`` and restore the session.
+    """Start a streaming query under ``START_CONF`` (see ``clean_stream.start_query``).
 
-    ``state_partitions`` fixes the number of state-store partitions (kept in
-    the checkpoint for the life of the query); default: the session's
-    shuffle partitions.
-
-    A started query runs on a clone of the session's conf, so restoring the
-    caller's values afterwards does not affect it. Restarts from the same
-    checkpoint must use the same state store provider.
+    Restarts from the same checkpoint must use the same state store provider.
     """
-    conf = dict(START_CONF)
-    if state_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(state_partitions)
-    previous = {k: spark.conf.get(k, None) for k in conf}
-    for k, v in conf.items():
-        spark.conf.set(k, v)
-    try:
-        return start()
-    finally:
-        for k, v in previous.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+    from marketlake.streaming.clean_stream import start_query
+
+    return start_query(spark, start, state_partitions, START_CONF)
