@@ -24,6 +24,8 @@ from pyspark.sql.streaming import StreamingQuery
 from marketlake import schemas
 from marketlake.operators import clean
 
+# How long a key is remembered -- 24 h for equities, 48 h for
+# derivative contracts.
 EQUITY_DELAY = "24 hours"
 FO_DELAY = "48 hours"
 

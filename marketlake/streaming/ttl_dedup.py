@@ -29,6 +29,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# Fixed value: default key lifetime, 24 h in milliseconds.
 DAY_MS = 24 * 60 * 60 * 1000
 
 
