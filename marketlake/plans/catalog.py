@@ -246,42 +246,44 @@ def lake_job_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- serving -------------------------------------------------------------------
 
-def _lake(spark, sf_dir) -> Lake:
-    return Lake(
-        spark,
-        silver=_silver(spark, sf_dir),
-        gold=market_breadth(spark, sf_dir),
-        fo=fo_clean(spark, sf_dir),
-        surveillance=_load(spark, sf_dir)("surveillance_raw"),
-        equity=equity_clean(spark, sf_dir),
-    )
+def _lake(spark, sf_dir, *tables: str) -> Lake:
+    """A serving surface holding only the named tables (each is a lazy plan;
+    building silver or gold runs the small action-table measurement)."""
+    build = {
+        "silver": lambda: _silver(spark, sf_dir),
+        "gold": lambda: market_breadth(spark, sf_dir),
+        "fo": lambda: fo_clean(spark, sf_dir),
+        "surveillance": lambda: _load(spark, sf_dir)("surveillance_raw"),
+        "equity": lambda: equity_clean(spark, sf_dir),
+    }
+    return Lake(spark, **{t: build[t]() for t in tables})
 
 
 def serve_ohlcv(spark, sf_dir):
-    return _lake(spark, sf_dir).get_ohlcv(SERVE_SYMBOL, SERVE_FROM, SERVE_TO)
+    return _lake(spark, sf_dir, "silver").get_ohlcv(SERVE_SYMBOL, SERVE_FROM, SERVE_TO)
 
 
 def serve_ohlcv_raw(spark, sf_dir):
-    return _lake(spark, sf_dir).get_ohlcv_raw(SERVE_SYMBOL, SERVE_FROM, SERVE_TO)
+    return _lake(spark, sf_dir, "equity").get_ohlcv_raw(SERVE_SYMBOL, SERVE_FROM, SERVE_TO)
 
 
 def serve_breadth(spark, sf_dir):
-    return _lake(spark, sf_dir).get_market_breadth(BREADTH_FROM, BREADTH_TO)
+    return _lake(spark, sf_dir, "gold").get_market_breadth(BREADTH_FROM, BREADTH_TO)
 
 
 def serve_fo_bhavcopy(spark, sf_dir):
-    lk = _lake(spark, sf_dir)
+    lk = _lake(spark, sf_dir, "fo")
     day = (lk.fo.where(F.col("symbol") == SERVE_SYMBOL.upper())
            .agg(F.min("trade_date").alias("d")).first()["d"])
     return lk.get_fo_bhavcopy(SERVE_SYMBOL, day or "")
 
 
 def serve_surveillance(spark, sf_dir):
-    return _lake(spark, sf_dir).get_surveillance("gsm", None)
+    return _lake(spark, sf_dir, "surveillance").get_surveillance("gsm", None)
 
 
 def serve_surveillance_day(spark, sf_dir):
-    return _lake(spark, sf_dir).get_surveillance("asm_lt", "2024-01-03")
+    return _lake(spark, sf_dir, "surveillance").get_surveillance("asm_lt", "2024-01-03")
 
 
 ADHOC_SQL = (
@@ -292,7 +294,7 @@ ADHOC_SQL = (
 
 
 def adhoc_sql(spark, sf_dir):
-    return _lake(spark, sf_dir).query(ADHOC_SQL, {"d0": SERVE_FROM, "d1": SERVE_TO})
+    return _lake(spark, sf_dir, "silver").query(ADHOC_SQL, {"d0": SERVE_FROM, "d1": SERVE_TO})
 
 
 # --- streaming -----------------------------------------------------------------
