@@ -122,14 +122,21 @@ def rewrite(
     zorder_by: Sequence[str] = ("symbol", "trade_date"),
     partition_by: Sequence[str] = (),
     target_bytes: int = TARGET_FILE_BYTES,
+    min_input_files: int = MIN_INPUT_FILES,
+    force: bool = False,
 ) -> int:
     """Compact (and z-order) a Parquet table from ``src`` into ``dst``.
 
-    Output file count is ``ceil(bytes / target)``; returns it.
+    Runs only when the table has at least ``min_input_files`` data files
+    (or ``force``); the output has ``ceil(bytes / target)`` files. Returns
+    the number of output files, 0 when nothing was rewritten.
     """
     df = spark.read.parquet(src)
-    plan = compaction_plan(df, target_bytes).agg(F.sum("input_bytes").alias("b")).first()
-    n_out = max(1, math.ceil((plan["b"] or 0) / target_bytes))
+    totals = compaction_plan(df, target_bytes, min_input_files).agg(
+        F.sum("input_bytes").alias("b"), F.sum("input_files").alias("n")).first()
+    if not force and (totals["n"] or 0) < min_input_files:
+        return 0
+    n_out = max(1, math.ceil((totals["b"] or 0) / target_bytes))
     out = zorder(df, zorder_by, n_out)
     out.write.mode("overwrite").partitionBy(*partition_by).parquet(dst)
     return n_out

@@ -61,6 +61,11 @@ def test_compaction_rewrite_and_fault_isolation(spark, sf_dir):
     out = spark.read.parquet(dst)
     assert n == 1 and out.exceptAll(eq).count() == 0 and out.count() == eq.count()
 
+    # a table with fewer than 10 files is left alone
+    one = scratch_path(spark, "one-file")
+    eq.coalesce(1).write.parquet(one)
+    assert maintain.rewrite(spark, one, scratch_path(spark, "unused")) == 0
+
     def boom():
         raise RuntimeError("missing table")
 
