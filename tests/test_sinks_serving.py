@@ -71,3 +71,23 @@ def test_run_lake_writes_silver_then_gold(spark, sf_dir):
     again = lake.run_lake(load("equity_raw"), load("corporate"), load("fo_raw"), root,
                           order=catalog.EQ_ORDER, fo_order=catalog.FO_ORDER, start_date="1998-07-15")
     assert spark.read.parquet(again["silver"]).count() == paths["silver_rows"]
+
+
+def test_jobs_cli_silver_gold_compact(spark, sf_dir):
+    from marketlake import jobs
+    from marketlake.operators import clean as clean_ops
+    from marketlake.sources import fixtures
+
+    root = scratch_path(spark, "jobs")
+    eq = clean_ops.equity_clean(fixtures.load(spark, sf_dir, "equity_raw"), catalog.EQ_ORDER)
+    eq.write.parquet(f"{root}/bronze_eq")
+    fixtures.load(spark, sf_dir, "corporate").write.parquet(f"{root}/corp")
+    fixtures.load(spark, sf_dir, "fo_raw").write.parquet(f"{root}/fo_raw")
+    jobs.run(["silver", "--equity", f"{root}/bronze_eq", "--corporate", f"{root}/corp",
+              "--out", f"{root}/silver"], spark)
+    jobs.run(["gold", "--silver", f"{root}/silver", "--fo", f"{root}/fo_raw", "--fo-raw",
+              "--out", f"{root}/gold"], spark)
+    gold = spark.read.parquet(f"{root}/gold")
+    assert gold.count() == catalog.market_breadth(spark, sf_dir).count()
+    status = jobs.run(["compact", f"{root}/silver={root}/silver_c", f"{root}/missing={root}/x"], spark)
+    assert status[f"{root}/silver"] == "ok" and status[f"{root}/missing"].startswith("failed")
