@@ -19,7 +19,7 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from marketlake.operators import breadth, clean, maintain
+from marketlake.operators import breadth, maintain
 from marketlake.plans import lake
 from marketlake.streaming import clean_stream
 
@@ -57,6 +57,7 @@ def _parser() -> argparse.ArgumentParser:
     st.add_argument("--out", required=True)
     st.add_argument("--checkpoint", required=True)
     st.add_argument("--trigger", default="availableNow", help="availableNow or e.g. '60 seconds'")
+    st.add_argument("--dead-letters", default=None, help="path for rejected records")
     return p
 
 
@@ -94,11 +95,18 @@ def run(argv: list[str], spark: SparkSession | None = None) -> dict:
     query = clean_stream.write_bronze(cleaned, args.out, args.checkpoint, partition_by=parts,
                                       available_now=available,
                                       processing_time=None if available else args.trigger)
-    if available:
-        clean_stream.run_available_now(query)
-    else:
-        query.awaitTermination()
-    return {"bronze": args.out}
+    queries = [query]
+    if args.dead_letters:
+        dlq = clean_stream.rejects_stream(clean_stream.read_stream(spark, args.source, schema), args.domain)
+        queries.append(clean_stream.write_bronze(
+            dlq, args.dead_letters, f"{args.checkpoint}-dead-letters", partition_by=(),
+            available_now=available, processing_time=None if available else args.trigger))
+    for q in queries:
+        if available:
+            clean_stream.run_available_now(q)
+        else:
+            q.awaitTermination()
+    return {"bronze": args.out, "dead_letters": args.dead_letters}
 
 
 def main() -> None:

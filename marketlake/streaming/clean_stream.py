@@ -87,6 +87,17 @@ def fo_clean_stream(df: DataFrame, delay: str = FO_DELAY, per_day: bool = True)
     )
 
 
+def rejects_stream(df: DataFrame, domain: str) -> DataFrame:
+    """Dead letters: the records a stream cleaner drops, with ``reject_reason``.
+
+    Stateless (normalise + the inverse of the validity filter), so it runs as
+    its own query on the same source with its own checkpoint.
+    """
+    if domain == "equity":
+        return clean.equity_rejects(clean.equity_normalise(df))
+    return clean.fo_rejects(clean.fo_normalise(df))
+
+
 def write_bronze(
     df: DataFrame,
     path: str,

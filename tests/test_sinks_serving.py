@@ -91,3 +91,21 @@ def test_jobs_cli_silver_gold_compact(spark, sf_dir):
     assert gold.count() == catalog.market_breadth(spark, sf_dir).count()
     status = jobs.run(["compact", f"{root}/silver={root}/silver_c", f"{root}/missing={root}/x"], spark)
     assert status[f"{root}/silver"] == "ok" and status[f"{root}/missing"].startswith("failed")
+
+
+def test_jobs_stream_with_dead_letters(spark, sf_dir):
+    from marketlake import jobs
+    from marketlake.operators import clean as clean_ops
+    from marketlake.sources import fixtures
+
+    root = scratch_path(spark, "jobs-stream")
+    raw = fixtures.load(spark, sf_dir, "equity_raw")
+    raw.write.option("maxRecordsPerFile", 2000).json(f"{root}/landing")
+    jobs.run(["stream", "equity", "--source", f"{root}/landing", "--out", f"{root}/bronze",
+              "--checkpoint", f"{root}/ckpt", "--dead-letters", f"{root}/dlq"], spark)
+    bronze, dlq = spark.read.parquet(f"{root}/bronze"), spark.read.parquet(f"{root}/dlq")
+    valid = clean_ops.equity_valid(clean_ops.equity_normalise(raw))
+    assert bronze.select("symbol", "trade_date").distinct().count() == \
+        valid.select("symbol", "trade_date").distinct().count()
+    assert dlq.count() == raw.count() - valid.count() > 0
+    assert dlq.where("reject_reason IS NULL").count() == 0
