@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.functions.casts import clean_text, non_negative, py_strip
+from marketlake.functions.casts import clean_text, non_negative
 
 EQUITY_PRICES = ("open", "high", "low", "close", "last", "prev_close")
 FO_PRICES = ("open", "high", "low", "close", "settle_price")
@@ -154,5 +154,5 @@ def fo_clean(
 __all__ = [
     "equity_normalise", "equity_valid", "equity_rejects", "equity_dedup", "equity_clean",
     "fo_normalise", "fo_valid", "fo_rejects", "fo_dedup_contract", "fo_dedup_contract_day", "fo_clean",
-    "first_arrival", "py_strip",
+    "first_arrival",
 ]
