@@ -127,6 +127,10 @@ def ingest_summary(spark, sf_dir):
     ])
 
 
+def ingest_totals(spark, sf_dir):
+    return landing.ingest_totals(ingest_summary(spark, sf_dir))
+
+
 def trading_calendar(spark, sf_dir):
     """Trading weekdays spanning the equity records' date range."""
     from marketlake.sources.calendar import weekdays_between
@@ -377,6 +381,7 @@ QUERIES: dict[str, Query] = {
     "business_keys": business_keys,
     "enforce_schema": enforce_schema,
     "ingest_summary": ingest_summary,
+    "ingest_totals": ingest_totals,
     "trading_calendar": trading_calendar,
     "equity_normalise": equity_normalise,
     "equity_valid": equity_valid,

@@ -301,9 +301,11 @@ UNION ALL SELECT 'macro', {key('record_type', 'trade_date')} FROM macro"""
     q["enforce_schema"] = landed("l_equity") + (
         "\nSELECT * FROM l_equity WHERE trade_date IS NOT NULL AND symbol IS NOT NULL AND series IS NOT NULL")
 
-    q["ingest_summary"] = landed("l_equity", "l_fo", "l_index", "l_corporate", "l_surveillance", "l_macro") + """
+    q["ingest_summary"] = landed("l_equity", "l_fo", "l_index", "l_corporate", "l_surveillance", "l_macro") + """,
+per_domain AS (
 SELECT domain, count(*) FILTER (WHERE ok) AS records, count(*) FILTER (WHERE NOT ok) AS errors,
-       CASE WHEN count(*) FILTER (WHERE ok) > 0 THEN 'ok' ELSE 'empty' END AS status
+       CASE WHEN count(*) FILTER (WHERE ok) > 0 THEN 'ok'
+            WHEN count(*) FILTER (WHERE NOT ok) > 0 THEN 'error' ELSE 'empty' END AS status
 FROM (
   SELECT 'equity' AS domain, (trade_date IS NOT NULL AND symbol IS NOT NULL AND series IS NOT NULL) AS ok FROM l_equity
   UNION ALL SELECT 'fo', (trade_date IS NOT NULL AND symbol IS NOT NULL AND instrument_type IS NOT NULL
@@ -313,7 +315,13 @@ FROM (
   UNION ALL SELECT 'surveillance', (as_of_date IS NOT NULL AND symbol IS NOT NULL AND list_type IS NOT NULL)
             FROM l_surveillance
   UNION ALL SELECT 'macro', TRUE FROM l_macro) s
-GROUP BY domain"""
+GROUP BY domain)
+SELECT * FROM per_domain"""
+    q["ingest_totals"] = q["ingest_summary"].replace(
+        "SELECT * FROM per_domain",
+        "SELECT CAST(sum(records) AS BIGINT) AS total_records, CAST(sum(errors) AS BIGINT) AS total_errors, "
+        "coalesce(string_agg(CASE WHEN status = 'error' THEN domain END, ',' ORDER BY domain), '') "
+        "AS failed_domains FROM per_domain")
 
     q["trading_calendar"] = with_views(eq_views) + """
 SELECT CAST(CAST(d AS DATE) AS VARCHAR) AS trade_date FROM (

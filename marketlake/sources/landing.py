@@ -313,4 +313,17 @@ def ingest_summary(results: Iterable[tuple[str, DataFrame]]) -> DataFrame:
     return union.groupBy("domain").agg(
         F.count_if("_ok").alias("records"),
         F.count_if(~F.col("_ok")).alias("errors"),
-    ).withColumn("status", F.when(F.col("records") > 0, F.lit("ok")).otherwise(F.lit("empty")))
+    ).withColumn("status", F.when(F.col("records") > 0, F.lit("ok"))
+                 .when(F.col("errors") > 0, F.lit("error")).otherwise(F.lit("empty")))
+
+
+def ingest_totals(summary: DataFrame) -> DataFrame:
+    """S13 run totals: records and errors over all domains, and the sorted,
+    comma-separated list of failed domains (every record rejected). The input
+    is one row per domain, so the list is bounded by the number of domains."""
+    return summary.agg(
+        F.sum("records").alias("total_records"),
+        F.sum("errors").alias("total_errors"),
+        F.concat_ws(",", F.array_sort(F.collect_list(
+            F.when(F.col("status") == "error", F.col("domain"))))).alias("failed_domains"),
+    )

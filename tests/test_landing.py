@@ -84,3 +84,16 @@ def test_enforce_schema_rejects_missing_required(spark):
 def test_trading_weekdays(spark):
     days = [r[0] for r in trading_weekdays(spark, "2024-01-01", "2024-01-08").collect()]
     assert days == ["2024-01-01", "2024-01-02", "2024-01-03", "2024-01-04", "2024-01-05", "2024-01-08"]
+
+
+def test_ingest_totals_lists_failed_domains(spark):
+    bad = landing.land_equity(spark.createDataFrame([("1", "2024-01-02", None, "EQ")],
+                                                    "ingested_at string, trade_date string, TckrSymb string, "
+                                                    "SctySrs string"))
+    good = landing.land_corporate(spark.createDataFrame([("1", "ABC", "BONUS 1:1")],
+                                                        "ingested_at string, symbol string, subject string"))
+    summary = landing.ingest_summary([("equity", bad), ("corporate", good)])
+    status = {r["domain"]: r["status"] for r in summary.collect()}
+    assert status == {"equity": "error", "corporate": "ok"}
+    totals = landing.ingest_totals(summary).first()
+    assert (totals["total_records"], totals["total_errors"], totals["failed_domains"]) == (1, 1, "equity")
