@@ -20,6 +20,14 @@ PY_WHITESPACE = (
     r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 )
 
+# The whitespace Python's float()/int() skip around a number --
+# the str.strip() set without the separators \x1c-\x1f, which they reject.
+FLOAT_WHITESPACE_CHARS = "".join(ch for ch in PY_WHITESPACE_CHARS if ch not in "\x1c\x1d\x1e\x1f")
+FLOAT_WHITESPACE = (
+    r"[\t\n\x0B\f\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+)
+
 # The text Python's float() accepts after stripping -- decimal
 # digits with single underscores between them, optional fraction and
 # exponent, or inf/infinity/nan, each with an optional sign.
@@ -63,7 +71,8 @@ _NAN = ("nan", "+nan", "-nan")
 def safe_float(c: Column | str) -> Column:
     """Null, blank or unparsable text -> null, else the double value.
 
-    Exactly the strings Python's ``float`` accepts. ``try_cast`` parses
+    Exactly the strings Python's ``float`` accepts (surrounding whitespace
+    as ``float`` skips it, which excludes \\x1c-\\x1f). ``try_cast`` parses
     plain decimal text; Java's parser also takes forms Python rejects
     (``12d``, ``1f``, hex ``0x1p3``, leading control characters), which a
     Python-valid number never has: it starts with a digit, sign or '.', ends
@@ -71,7 +80,7 @@ def safe_float(c: Column | str) -> Column:
     Text with underscores (digit grouping) is checked against the full
     grammar, the only regex on this path.
     """
-    text = py_strip(_col(c).cast("string"))
+    text = F.btrim(_col(c).cast("string"), F.lit(FLOAT_WHITESPACE_CHARS))
     first, last = F.substring(text, 1, 1), F.substring(text, -1, 1)
     numeric = (
         first.isin(*"0123456789+-.") & last.isin(*"0123456789.")

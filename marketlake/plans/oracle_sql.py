@@ -9,7 +9,7 @@ dependent sums and averages are rounded identically on both sides.
 
 from __future__ import annotations
 
-from marketlake.functions.casts import FLOAT_TEXT, PY_WHITESPACE
+from marketlake.functions.casts import FLOAT_TEXT, FLOAT_WHITESPACE, PY_WHITESPACE
 from marketlake.sources.fixtures import cte
 
 FIXTURE_ORDER_EQ = "ingested_at, tiebreak, total_turnover"
@@ -28,8 +28,12 @@ def blank_null(x: str) -> str:
     return f"nullif({strip(x)}, '')"
 
 
+def float_strip(x: str) -> str:
+    return f"regexp_replace({x}, '^{FLOAT_WHITESPACE}+|{FLOAT_WHITESPACE}+$', '', 'g')"
+
+
 def safe_float(x: str) -> str:
-    s = strip(f"CAST({x} AS VARCHAR)")
+    s = float_strip(f"CAST({x} AS VARCHAR)")
     pattern = FLOAT_TEXT.replace("(?i:inf|infinity|nan)", "(?i:inf|infinity|nan)")
     return f"(CASE WHEN regexp_matches({s}, '{pattern}') THEN TRY_CAST(replace({s}, '_', '') AS DOUBLE) END)"
 

@@ -142,3 +142,23 @@ def test_safe_float_fuzz_against_python(spark):
         if not same:
             bad.append((v, want, g))
     assert not bad, bad[:10]
+
+
+def test_strip_and_comma_float_fuzz_against_python(spark):
+    import random
+
+    rng = random.Random(3)
+    ws = " \t\n\x0b\x0c\r\x1c\x1f\x85\xa0 　\x00"
+    alphabet = "0123456789,.-e" + ws + "ab"
+    cases = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 9))) for _ in range(2000)]
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(cases)], "i int, v string").select(
+        "i", py_strip("v").alias("s"), comma_float("v").alias("f")).collect()
+    by_i = {r["i"]: r for r in rows}
+    for i, v in enumerate(cases):
+        assert by_i[i]["s"] == v.strip(), repr(v)
+        try:
+            want = float(v.replace(",", ""))
+        except ValueError:
+            want = None
+        got = by_i[i]["f"]
+        assert got == want or (got is not None and want is not None and math.isnan(got) and math.isnan(want)), repr(v)
