@@ -62,29 +62,23 @@ def _event_time(df: DataFrame) -> DataFrame:
     return df.withColumn("_event_ts", F.timestamp_millis(F.col("ingested_at")))
 
 
+def first_per_key_stream(df: DataFrame, keys: Sequence[str], event_time: str, delay: str) -> DataFrame:
+    """First row per key on a stream; state kept ``delay`` past each key's
+    event time (watermark on ``event_time``, a timestamp column)."""
+    return df.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
+
+
 def equity_clean_stream(df: DataFrame, delay: str = EQUITY_DELAY) -> DataFrame:
     """C7 on a stream: normalise, reject, first arrival per (symbol, trade_date)."""
-    return (
-        df.transform(clean.equity_normalise)
-        .transform(clean.equity_valid)
-        .transform(_event_time)
-        .withWatermark("_event_ts", delay)
-        .dropDuplicatesWithinWatermark(list(clean.EQUITY_KEY))
-        .drop("_event_ts")
-    )
+    valid = df.transform(clean.equity_normalise).transform(clean.equity_valid).transform(_event_time)
+    return first_per_key_stream(valid, clean.EQUITY_KEY, "_event_ts", delay).drop("_event_ts")
 
 
 def fo_clean_stream(df: DataFrame, delay: str = FO_DELAY, per_day: bool = True) -> DataFrame:
     """C8 on a stream: normalise, validity filter, first arrival per contract."""
     keys = clean.FO_CONTRACT_DAY_KEY if per_day else clean.FO_CONTRACT_KEY
-    return (
-        df.transform(clean.fo_normalise)
-        .transform(clean.fo_valid)
-        .transform(_event_time)
-        .withWatermark("_event_ts", delay)
-        .dropDuplicatesWithinWatermark(list(keys))
-        .drop("_event_ts")
-    )
+    valid = df.transform(clean.fo_normalise).transform(clean.fo_valid).transform(_event_time)
+    return first_per_key_stream(valid, keys, "_event_ts", delay).drop("_event_ts")
 
 
 def rejects_stream(df: DataFrame, domain: str) -> DataFrame:
