@@ -109,3 +109,17 @@ def test_jobs_stream_with_dead_letters(spark, sf_dir):
         valid.select("symbol", "trade_date").distinct().count()
     assert dlq.count() == raw.count() - valid.count() > 0
     assert dlq.where("reject_reason IS NULL").count() == 0
+
+
+def test_start_date_prunes_bronze_partitions(spark, sf_dir):
+    from marketlake.operators import adjust as adjust_ops
+    from marketlake.sources import fixtures
+
+    path = scratch_path(spark, "bronze-by-day")
+    catalog.equity_clean(spark, sf_dir).write.partitionBy("trade_date").parquet(path)
+    bronze = spark.read.parquet(path).withColumn("trade_date", F.col("trade_date").cast("string"))
+    corp = fixtures.load(spark, sf_dir, "corporate")
+    silver = adjust_ops.ohlcv_adjusted(bronze, corp, start_date="1997-01-01", prices_unique=True)
+    plan = silver._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(trade_date" in plan and "1997-01-01" in plan
+    assert silver.where("trade_date < '1997-01-01'").count() == 0 and silver.count() > 0
