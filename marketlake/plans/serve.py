@@ -39,6 +39,26 @@ class Lake:
     surveillance: DataFrame | None = None
     equity: DataFrame | None = None
 
+    @classmethod
+    def from_tables(cls, spark: SparkSession, silver: str | None = None, gold: str | None = None,
+                    fo: str | None = None, surveillance: str | None = None,
+                    equity: str | None = None) -> "Lake":
+        """Serve written Parquet tables (e.g. the paths ``run_lake`` returns).
+
+        Partition columns (``trade_year``, ``trade_date``) are read back as
+        written; ``trade_date`` is kept as ISO text.
+        """
+        def read(path):
+            if path is None:
+                return None
+            df = spark.read.parquet(path)
+            if "trade_date" in df.columns:
+                df = df.withColumn("trade_date", F.col("trade_date").cast("string"))
+            return df
+
+        return cls(spark, silver=read(silver), gold=read(gold), fo=read(fo),
+                   surveillance=read(surveillance), equity=read(equity))
+
     def get_ohlcv(self, symbol: str, from_date: str, to_date: str) -> DataFrame:
         """V2: adjusted series of one symbol, inclusive date range, by date."""
         df = self.silver

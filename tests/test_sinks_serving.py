@@ -123,3 +123,18 @@ def test_start_date_prunes_bronze_partitions(spark, sf_dir):
     plan = silver._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(trade_date" in plan and "1997-01-01" in plan
     assert silver.where("trade_date < '1997-01-01'").count() == 0 and silver.count() > 0
+
+
+def test_lake_from_written_tables(spark, sf_dir):
+    from marketlake.sources import fixtures
+
+    load = lambda n: fixtures.load(spark, sf_dir, n)
+    paths = lake.run_lake(load("equity_raw"), load("corporate"), load("fo_raw"),
+                          scratch_path(spark, "lake-serve"), order=catalog.EQ_ORDER, fo_order=catalog.FO_ORDER)
+    lk = Lake.from_tables(spark, silver=paths["silver"], gold=paths["gold"])
+    ohlcv = lk.get_ohlcv("sym7", "1996-01-01", "1997-12-31")
+    assert ohlcv.count() == catalog.serve_ohlcv(spark, sf_dir).count()
+    assert "PartitionFilters" in ohlcv._jdf.queryExecution().executedPlan().toString()
+    breadth_rows = lk.get_market_breadth("1997-01-01", "1998-06-30")
+    assert breadth_rows.count() == catalog.serve_breadth(spark, sf_dir).count()
+    assert "trade_year" not in breadth_rows.columns
