@@ -6,6 +6,8 @@
 * ``daily``   -- silver then gold (gold reads the written silver table)
 * ``compact`` -- compact and z-order tables, one at a time, failures isolated
 * ``stream``  -- run the equity or FO stream cleaner into a bronze table
+* ``serve``   -- answer one serving query from written tables; prints
+  ``{"data": [...], "count": n}`` as the serving API returns it
 
 Tables are Parquet paths. Session settings come from the cluster
 (``spark-submit --conf``); see ``session.cluster_conf`` for starting values.
@@ -58,6 +60,16 @@ def _parser() -> argparse.ArgumentParser:
     st.add_argument("--checkpoint", required=True)
     st.add_argument("--trigger", default="availableNow", help="availableNow or e.g. '60 seconds'")
     st.add_argument("--dead-letters", default=None, help="path for rejected records")
+
+    sv = sub.add_parser("serve", help="one serving query over written tables")
+    sv.add_argument("query", choices=["ohlcv", "breadth", "fo", "surveillance"])
+    sv.add_argument("--table", required=True, help="silver / gold / FO bronze / surveillance path")
+    sv.add_argument("--symbol")
+    sv.add_argument("--from-date")
+    sv.add_argument("--to-date")
+    sv.add_argument("--trade-date")
+    sv.add_argument("--list-type")
+    sv.add_argument("--as-of-date")
     return p
 
 
@@ -85,6 +97,20 @@ def run(argv: list[str], spark: SparkSession | None = None) -> dict:
             src, dst = pair.split("=", 1)
             jobs.append((src, lambda s=src, t=dst: maintain.rewrite(spark, s, t, zorder_by=cols)))
         return maintain.compact_tables(jobs)
+    if args.job == "serve":
+        from marketlake.plans.serve import Lake
+
+        table = {"ohlcv": "silver", "breadth": "gold", "fo": "fo", "surveillance": "surveillance"}
+        lk = Lake.from_tables(spark, **{table[args.query]: args.table})
+        df = {
+            "ohlcv": lambda: lk.get_ohlcv(args.symbol, args.from_date, args.to_date),
+            "breadth": lambda: lk.get_market_breadth(args.from_date, args.to_date),
+            "fo": lambda: lk.get_fo_bhavcopy(args.symbol, args.trade_date),
+            "surveillance": lambda: lk.get_surveillance(args.list_type, args.as_of_date),
+        }[args.query]()
+        # the result of a selective query is returned to the caller (the edge)
+        rows = [r.asDict() for r in df.collect()]
+        return {"data": rows, "count": len(rows)}
     # stream
     schema = clean_stream.RAW_SCHEMAS[args.domain]
     source = clean_stream.read_stream(spark, args.source, schema)

@@ -138,3 +138,17 @@ def test_lake_from_written_tables(spark, sf_dir):
     breadth_rows = lk.get_market_breadth("1997-01-01", "1998-06-30")
     assert breadth_rows.count() == catalog.serve_breadth(spark, sf_dir).count()
     assert "trade_year" not in breadth_rows.columns
+
+
+def test_jobs_serve_returns_rows_and_count(spark, sf_dir):
+    from marketlake import jobs
+    from marketlake.sources import fixtures
+
+    load = lambda n: fixtures.load(spark, sf_dir, n)
+    paths = lake.run_lake(load("equity_raw"), load("corporate"), load("fo_raw"),
+                          scratch_path(spark, "lake-cli"), order=catalog.EQ_ORDER, fo_order=catalog.FO_ORDER)
+    out = jobs.run(["serve", "ohlcv", "--table", paths["silver"], "--symbol", "sym7",
+                    "--from-date", "1996-01-01", "--to-date", "1997-12-31"], spark)
+    assert out["count"] == len(out["data"]) == catalog.serve_ohlcv(spark, sf_dir).count()
+    dates = [r["trade_date"] for r in out["data"]]
+    assert dates == sorted(dates)
