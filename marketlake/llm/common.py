@@ -3,15 +3,24 @@
 from __future__ import annotations
 
 import math
+import os
 import zlib
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import marketlake
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # Python workers import this package; on a cluster it comes with --py-files
+    root = str(Path(marketlake.__file__).resolve().parents[1])
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (env.get("PYTHONPATH"), root) if x)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

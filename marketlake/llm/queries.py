@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import decontaminate, simhash, token_counts, trie_bpe, warc
-from marketlake.llm.common import table
+from marketlake.llm import decontaminate, katz, sentence_dedup, simhash, sketch, token_counts, toxicity, trie_bpe, warc
+from marketlake.llm.common import crc_mod, table
 from marketlake.session import scratch_path
 
 
@@ -29,10 +29,30 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, toxicity.training_labels(table(spark, sf_dir, "labels")))
+    return toxicity.scores(docs, model).select(
+        "doc_id", (crc_mod(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
+
+
+def op3_sentence_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_dedup.dedup_sentences(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_sentences", "n_removed", "removed", "text")
+
+
+def op4_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score(table(spark, sf_dir, "documents"), crc_mod(F.col("doc_id"), 10) == 0)
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op7_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketch.compare_next(table(spark, sf_dir, "documents"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     id_type = pages.schema["page_id"].dataType.simpleString()
@@ -53,7 +73,9 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op6_token_counts, op8_warc, op9_bpe, op10_simhash)
+    f.__name__: f for f in (
+        op1_decontaminate, op2_toxicity, op3_sentence_dedup, op4_katz, op6_token_counts, op7_fingerprint, op8_warc, op9_bpe,
+        op10_simhash)
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
