@@ -11,7 +11,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import decontaminate, katz, sentence_dedup, simhash, sketch, token_counts, toxicity, trie_bpe, warc
+from marketlake.llm import (
+    decontaminate,
+    katz,
+    sentence_dedup,
+    simhash,
+    sketch,
+    token_counts,
+    toxicity,
+    trie_bpe,
+    url_lists,
+    warc,
+)
 from marketlake.llm.common import crc_mod, table
 from marketlake.session import scratch_path
 
@@ -45,6 +56,35 @@ def op4_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz.score(table(spark, sf_dir, "documents"), crc_mod(F.col("doc_id"), 10) == 0)
 
 
+# The tables have no fetch times and no lists. A page is fetched on a day that follows from its id; some pages
+# stand for dated events of lists: their host, its parent domain or their directory is added, others are removed.
+FETCHED = "date_add(DATE '2024-01-01', CAST(page_id * 37 % 365 AS INT))"
+_HOST = "regexp_extract(url, '^[a-z]+://([^/?#:]+)', 1)"
+LIST_EVENTS = f"""
+SELECT CASE page_id % 3 WHEN 0 THEN 'malware' WHEN 1 THEN 'adult' ELSE 'spam' END AS list,
+       concat('host:', {_HOST}) AS key, page_id * 11 % 400 AS offset, page_id % 2 = 0 AS added
+FROM pages WHERE page_id % 5 < 2
+UNION ALL
+SELECT 'phishing', concat('domain:', regexp_extract(url, '^[a-z]+://[^/?#:.]+[.]([^/?#:]+)', 1)), page_id * 7 % 400,
+       page_id % 4 <> 0
+FROM pages WHERE page_id % 11 = 3
+UNION ALL
+SELECT 'tracker', concat('prefix:', {_HOST}, '/', regexp_extract(url, '^[a-z]+://[^/?#:]+/([^/?#]+)/', 1), '/'),
+       page_id * 13 % 400, page_id % 4 <> 1
+FROM pages WHERE page_id % 7 = 2
+UNION ALL
+SELECT 'allow', concat('host:', {_HOST}), page_id * 17 % 400, page_id % 3 <> 0
+FROM pages WHERE page_id % 13 = 5
+"""
+
+
+def op5_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    events = spark.sql(LIST_EVENTS.replace("FROM pages", "FROM {pages}"), pages=pages).select(
+        "list", "key", F.expr("date_add(DATE '2023-12-15', CAST(offset AS INT))").alias("day"), "added")
+    return url_lists.filter_urls(pages.withColumn("fetched", F.expr(FETCHED)), events)
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
@@ -74,7 +114,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_decontaminate, op2_toxicity, op3_sentence_dedup, op4_katz, op6_token_counts, op7_fingerprint, op8_warc, op9_bpe,
+        op1_decontaminate, op2_toxicity, op3_sentence_dedup, op4_katz, op5_url_lists, op6_token_counts, op7_fingerprint, op8_warc, op9_bpe,
         op10_simhash)
 }
 
@@ -103,6 +143,24 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
        sha256(array_to_string(coalesce(items, []), ',')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+""",
+    "op5_url_lists": rf"""
+WITH e AS (SELECT list, key, DATE '2023-12-15' + CAST("offset" AS INT) AS day, max(added::INT) AS held
+           FROM ({LIST_EVENTS.replace('AS offset', 'AS "offset"')}) GROUP BY ALL),
+iv AS (SELECT list, key, held, day AS f, lead(day, 1, DATE '9999-12-31') OVER (PARTITION BY list, key ORDER BY day) AS t
+       FROM e),
+p AS (SELECT page_id, url, {_HOST} AS host, DATE '2024-01-01' + CAST(page_id * 37 % 365 AS INT) AS fd,
+             regexp_extract(url, '^[a-z]+://[^/?#]*(/[^?#]*)', 1) AS path FROM pages),
+m AS (SELECT page_id, list FROM p JOIN iv ON held = 1 AND f <= fd AND fd < t AND (
+        key = 'host:' || host
+        OR (starts_with(key, 'domain:') AND ends_with('.' || host, '.' || substr(key, 8)) AND contains(substr(key, 8), '.'))
+        OR (starts_with(key, 'prefix:') AND starts_with(host || (CASE WHEN path = '' THEN '/' ELSE path END), substr(key, 8))))),
+g AS (SELECT page_id, count(*) FILTER (list <> 'allow') AS n, bool_or(list = 'allow') AS allowed,
+             coalesce(array_to_string(list_sort(list(DISTINCT list) FILTER (list <> 'allow')), ','), '') AS lists
+      FROM m GROUP BY page_id)
+SELECT page_id, host, coalesce(n, 0)::BIGINT AS n_entries, coalesce(lists, '') AS lists,
+       coalesce(allowed, false) AS allowed, coalesce(n, 0) > 0 AND NOT coalesce(allowed, false) AS blocked
+FROM p LEFT JOIN g USING (page_id)
 """,
     "op8_warc": """
 WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes,

@@ -33,10 +33,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketlake.llm.sketch import sketch
+
 SAMPLE_ROWS = 40_000
 FEATURES = 2048
-#: A feature must occur in so many toxic or clean documents of the sample.
-LEAST_DOCS = 5
+#: A feature must occur in so many toxic or clean documents of the sample and tell so much (G²/2);
+#: the first of each holds for samples with fewer toxic documents than ``FEW``.
+LEAST_DOCS, LEAST_G2, FEW = (3, 5), (6.0, 10.0), 1000
+#: A voter's features must be toxic in this share of their documents.
+PRECISION = 0.9
 STEMS = (4, 5, 6, 7)
 WORD_VOTERS, STEM_VOTERS = 6, 3
 PAIRS = 16
@@ -95,14 +100,23 @@ def mine(sample: DataFrame, text_col: str, features: int) -> list[tuple[str, int
                 [pa.array(list(seen), pa.string()), pa.array([v[1] for v in seen.values()], pa.int64()),
                  pa.array([v[0] for v in seen.values()], pa.int64())], names=["feature", "bad", "good"])
 
-    # copies of a text count once
-    rows = sample.groupBy(F.xxhash64(text_col), F.octet_length(text_col)).agg(
-        F.min(text_col).alias("text"), F.max("toxic").alias("toxic")).select("text", "toxic")
-    rows = rows.where(F.col("text").isNotNull())
-    counted = rows.mapInArrow(count, "feature string, bad bigint, good bigint").groupBy("feature").agg(
-        F.sum("bad").alias("bad"), F.sum("good").alias("good")).where(F.greatest("bad", "good") >= LEAST_DOCS)
+    def group(batches):
+        for b in batches:
+            texts = [t or "" for t in b.column(0).to_pylist()]
+            least = [sketch(t, fraction=1.0)[:1].tolist() for t in texts]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(texts, pa.string()), b.column(1), pa.array([x[0] if x else None for x in least], pa.int64())],
+                names=["text", "toxic", "least"])
+
+    # copies count once, and so do near copies: those with the same smallest shingle hash
+    rows = (sample.select(text_col, "toxic").mapInArrow(group, "text string, toxic int, least bigint")
+            .groupBy("least", "toxic").agg(F.min("text").alias("text")).select("text", "toxic"))
     n = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     bad, good = n.get(1, 0) + 1, n.get(0, 0) + 1
+    enough = int(bad > FEW)
+    counted = rows.mapInArrow(count, "feature string, bad bigint, good bigint").groupBy("feature").agg(
+        F.sum("bad").alias("bad"), F.sum("good").alias("good")).where(
+        F.greatest("bad", "good") >= LEAST_DOCS[enough])
 
     def part(k, e):
         return F.when(k > 0, k * F.log(k / e)).otherwise(0.0)
@@ -111,7 +125,7 @@ def mine(sample: DataFrame, text_col: str, features: int) -> list[tuple[str, int
     eb, eg = both * bad / (bad + good), both * good / (bad + good)
     g2 = part(F.col("bad"), eb) + part(F.col("good"), eg) + part(bad - F.col("bad"), bad - eb) + part(
         good - F.col("good"), good - eg)
-    top = counted.withColumn("g2", g2).where("g2 > 8").orderBy(F.desc("g2"), "feature").limit(features)
+    top = counted.withColumn("g2", g2).where(F.col("g2") > LEAST_G2[enough]).orderBy(F.desc("g2"), "feature").limit(features)
     return [(r["feature"], r["bad"], r["good"]) for r in top.collect()]
 
 
@@ -123,12 +137,11 @@ class Lexicon:
     voter: dict[int, int] = field(default_factory=dict)
 
     @classmethod
-    def of(cls, mined: list[tuple[str, int, int]], balance: float) -> Lexicon:
+    def of(cls, mined: list[tuple[str, int, int]]) -> Lexicon:
         out = cls({f: i for i, (f, _, _) in enumerate(mined)})
         words = stems = 0
         for i, (f, bad, good) in enumerate(mined):
-            # only what is mostly toxic, against the share of toxic rows
-            if (bad + 0.5) / (bad + good + 1) < max(0.6, balance):
+            if (bad + 0.5) / (bad + good + 0.5) < PRECISION:
                 continue
             if f.endswith("-"):
                 out.voter[i] = WORD_VOTERS + stems % STEM_VOTERS
@@ -334,8 +347,7 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(
         picked, F.col("id") == F.col("picked_id")).select("text", "toxic")
     mined = mine(sample, "text", features)
-    balance = 0.5
-    lexicon = spark.sparkContext.broadcast(Lexicon.of(mined, balance))
+    lexicon = spark.sparkContext.broadcast(Lexicon.of(mined))
 
     def votes(batches):
         reader = Reader(lexicon.value)
