@@ -133,7 +133,7 @@ def _by_neighbours(near: DataFrame, max_bits: int) -> DataFrame:
     hubs = at.groupBy("hub").agg(F.collect_list("fp").alias("all")).where(F.size("all") > 1)
     pairs = hubs.select(F.explode("all").alias("a"), "all").select("a", F.explode("all").alias("b"))
     return pairs.where((F.col("a") < F.col("b"))
-                       & (F.bit_count(F.col("a").bitwiseXOR("b")) <= max_bits)).distinct()
+                       & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)).distinct()
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,

@@ -226,18 +226,18 @@ def fit_label_model(patterns: np.ndarray, counts: np.ndarray, bad: np.ndarray, g
     """Maximum likelihood from all patterns (counts) and labelled ones (bad, good: rows by class).
 
     The labelled rows are also among ``counts``; they enter as known there
-    instead. First the voters are taken as independent given the class (EM),
-    then the pairs that fire together most beyond that get weights, and all
+    instead. First the voters are taken as independent given the class (rates
+    among the labelled rows, without any by EM), then the pairs that fire together most beyond that get weights, and all
     weights are fitted together (gradient steps on the exact likelihood).
     """
     x = _bits(patterns)
     free = np.maximum(counts - bad - good, 0).astype(np.float64)
     total = max(1.0, free.sum() + bad.sum() + good.sum())
-    # start: a row with more votes is likelier toxic
-    fires = x.sum(1)
-    q = np.clip(0.02 + 0.3 * fires, 0, 0.95)
-    for _ in range(50):
-        toxic, clean = free * q + bad, free * (1 - q) + good
+    # start: a row with more votes is likelier toxic; labelled rows, if there are both kinds, know better
+    q = np.clip(0.02 + 0.3 * x.sum(1), 0, 0.95)
+    labelled = min(bad.sum(), good.sum()) > 0
+    for _ in range(2 if labelled else 50):
+        toxic, clean = (bad, good) if labelled else (free * q + bad, free * (1 - q) + good)
         rate = np.stack([(x.T @ w + 0.05) / (w.sum() + 1.0) for w in (clean, toxic)])
         prior = np.log((toxic.sum() + 0.5) / (clean.sum() + 0.5))
         odds = np.log(rate / (1 - rate))
