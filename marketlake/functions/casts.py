@@ -5,7 +5,9 @@ All are native Catalyst expressions (no Python UDF), safe under ANSI mode.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The characters Python's str.strip() removes by default
@@ -61,42 +63,48 @@ def blank_to_null(c: Column | str) -> Column:
     return F.when(stripped != "", stripped)
 
 
-# The spellings of infinity and not-a-number Python accepts
-# (compared lower-cased).
-_POS_INF = ("inf", "+inf", "infinity", "+infinity")
-_NEG_INF = ("-inf", "-infinity")
-_NAN = ("nan", "+nan", "-nan")
+#: Text with nothing but these characters is parsed as it stands.
+_PLAIN = "0123456789+-.eE"
+
+
+def trim_number(c: Column | str) -> Column:
+    """The text without the whitespace that Python's ``float`` skips around a number."""
+    return F.btrim(_col(c).cast("string"), F.lit(FLOAT_WHITESPACE_CHARS))
+
+
+def parse_number(text: Column | str) -> Column:
+    """The double that Python's ``float`` reads from trimmed text, else null.
+
+    Plain text (digits, signs, point, exponent) goes to ``try_cast``, which
+    agrees with Python on it; forms only Java reads (``12d``, ``1f``,
+    ``0x1p3``, control characters) are not plain. The rest -- grouped digits,
+    inf and nan -- is checked against the full grammar, the only regex here.
+    """
+    text = _col(text)
+    return (
+        F.when(F.translate(text, _PLAIN, "") == "", text.try_cast("double"))
+        .when(text.rlike(FLOAT_TEXT), F.when(text.rlike("(?i)nan$"), F.lit(float("nan"))).otherwise(
+            F.replace(text, F.lit("_"), F.lit("")).try_cast("double")))
+    )
 
 
 def safe_float(c: Column | str) -> Column:
     """Null, blank or unparsable text -> null, else the double value.
 
     Exactly the strings Python's ``float`` accepts (surrounding whitespace
-    as ``float`` skips it, which excludes \\x1c-\\x1f). ``try_cast`` parses
-    plain decimal text; Java's parser also takes forms Python rejects
-    (``12d``, ``1f``, hex ``0x1p3``, leading control characters), which a
-    Python-valid number never has: it starts with a digit, sign or '.', ends
-    in a digit or '.', and has no 'x'. inf/nan words are mapped directly.
-    Text with underscores (digit grouping) is checked against the full
-    grammar, the only regex on this path.
+    as ``float`` skips it, which excludes \\x1c-\\x1f). For many columns at
+    once see ``trim_numbers``, which trims in a projection of its own.
     """
-    text = F.btrim(_col(c).cast("string"), F.lit(FLOAT_WHITESPACE_CHARS))
-    first, last = F.substring(text, 1, 1), F.substring(text, -1, 1)
-    numeric = (
-        first.isin(*"0123456789+-.") & last.isin(*"0123456789.")
-        & ~F.contains(text, F.lit("x")) & ~F.contains(text, F.lit("X"))
-    )
-    grouped = F.when(
-        text.rlike(FLOAT_TEXT), F.replace(text, F.lit("_"), F.lit("")).try_cast("double")
-    )
-    lower = F.lower(text)
-    return (
-        F.when(F.contains(text, F.lit("_")), grouped)
-        .when(numeric, text.try_cast("double"))
-        .when(lower.isin(*_POS_INF), F.lit(float("inf")))
-        .when(lower.isin(*_NEG_INF), F.lit(float("-inf")))
-        .when(lower.isin(*_NAN), F.lit(float("nan")))
-    )
+    return parse_number(trim_number(c))
+
+
+def trim_numbers(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """``df`` with the named text columns as ``trim_number`` leaves them.
+
+    Trimming in one projection and parsing in the next keeps the generated
+    code small: each trimmed text is computed once, not in every branch.
+    """
+    return df.withColumns({c: trim_number(c) for c in columns})
 
 
 def safe_int(c: Column | str) -> Column:
@@ -104,6 +112,16 @@ def safe_int(c: Column | str) -> Column:
     return safe_float(c).try_cast("bigint")
 
 
+def python_float_text(c: Column | str) -> Column:
+    """``str(x)`` of a Python float: no exponent from 1e-4 up to 1e16 (Spark has one from 1e7)."""
+    x = _col(c)
+    size = F.abs(x)
+    plain = F.rtrim(x.cast("decimal(38,21)").cast("string"), F.lit("0"))
+    plain = F.when(F.endswith(plain, F.lit(".")), F.concat(plain, F.lit("0"))).otherwise(plain)
+    odd = ((size >= 1e7) & (size < 1e16)) | ((size < 1e-3) & (size >= 1e-4))
+    return F.when(odd, plain).otherwise(x.cast("string"))
+
+
 def comma_float(c: Column | str) -> Column:
     """``float(str(x).replace(',', ''))`` -> null when unparsable."""
     return safe_float(F.replace(_col(c).cast("string"), F.lit(","), F.lit("")))

@@ -21,7 +21,7 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from marketlake.operators import breadth, maintain
+from marketlake.operators import breadth, clean, maintain
 from marketlake.plans import lake
 from marketlake.streaming import clean_stream
 
@@ -35,12 +35,14 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--corporate", required=True)
     s.add_argument("--out", required=True)
     s.add_argument("--start-date", default=None)
+    s.add_argument("--order", default=",".join(clean.ARRIVAL_ORDER), help="columns of the arrival order")
 
     g = sub.add_parser("gold", help="silver + FO bronze -> gold")
     g.add_argument("--silver", required=True)
     g.add_argument("--fo", required=True)
     g.add_argument("--out", required=True)
     g.add_argument("--fo-raw", action="store_true", help="FO input is raw records (clean it first)")
+    g.add_argument("--order", default=",".join(clean.ARRIVAL_ORDER), help="arrival order of raw FO records")
 
     d = sub.add_parser("daily", help="silver then gold under one root")
     d.add_argument("--equity", required=True)
@@ -48,6 +50,8 @@ def _parser() -> argparse.ArgumentParser:
     d.add_argument("--fo", required=True)
     d.add_argument("--root", required=True)
     d.add_argument("--start-date", default=None)
+    d.add_argument("--order", default=",".join(clean.ARRIVAL_ORDER), help="arrival order of equity records")
+    d.add_argument("--fo-order", default=",".join(clean.ARRIVAL_ORDER), help="arrival order of FO records")
 
     c = sub.add_parser("compact", help="compact + z-order tables (src=dst pairs)")
     c.add_argument("tables", nargs="+", help="SRC=DST")
@@ -70,6 +74,7 @@ def _parser() -> argparse.ArgumentParser:
     sv.add_argument("--trade-date")
     sv.add_argument("--list-type")
     sv.add_argument("--as-of-date")
+    sv.add_argument("--out", help="write the result as JSON instead of returning it")
     return p
 
 
@@ -78,17 +83,19 @@ def run(argv: list[str], spark: SparkSession | None = None) -> dict:
     spark = spark or SparkSession.builder.appName(f"marketlake-{args.job}").getOrCreate()
     read = spark.read.parquet
     if args.job == "silver":
-        df = lake.silver(read(args.equity), read(args.corporate), start_date=args.start_date)
+        df = lake.silver(read(args.equity), read(args.corporate), args.order.split(","), start_date=args.start_date)
         lake.write_silver(df, args.out)
         return {"silver": args.out}
     if args.job == "gold":
         fo = read(args.fo)
-        fo = lake.fo_bronze_for_pcr(fo) if args.fo_raw else fo
+        fo = lake.fo_bronze_for_pcr(fo, args.order.split(",")) if args.fo_raw else fo
         silver = read(args.silver).drop("trade_year")
-        lake.write_gold(breadth.market_breadth(silver, fo, unique_symbol_days=True), args.out)
+        # any silver table may be given, so symbols are counted, not assumed unique
+        lake.write_gold(breadth.market_breadth(silver, fo), args.out)
         return {"gold": args.out}
     if args.job == "daily":
         return lake.run_lake(read(args.equity), read(args.corporate), read(args.fo), args.root,
+                             order=args.order.split(","), fo_order=args.fo_order.split(","),
                              start_date=args.start_date)
     if args.job == "compact":
         cols = [c for c in args.zorder.split(",") if c]
@@ -108,8 +115,13 @@ def run(argv: list[str], spark: SparkSession | None = None) -> dict:
             "fo": lambda: lk.get_fo_bhavcopy(args.symbol, args.trade_date),
             "surveillance": lambda: lk.get_surveillance(args.list_type, args.as_of_date),
         }[args.query]()
-        # the result of a selective query is returned to the caller (the edge)
-        rows = [r.asDict() for r in df.collect()]
+        if args.out:
+            df.write.mode("overwrite").json(args.out)
+            return {"out": args.out, "count": spark.read.text(args.out).count()}
+        # what the filters select goes back to the caller; a whole table only to a path
+        if args.query == "surveillance" and not (args.list_type or args.as_of_date):
+            raise SystemExit("surveillance without a filter returns the whole table: give --out")
+        rows = [r.asDict() for r in df.toLocalIterator()]
         return {"data": rows, "count": len(rows)}
     # stream
     schema = clean_stream.RAW_SCHEMAS[args.domain]

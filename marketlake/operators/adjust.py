@@ -1,22 +1,16 @@
 """Split/bonus back-adjustment of daily prices (silver layer: P1-P7, J1, A1, A2).
 
-Three plans compute the cumulative factor -- the product of all adjusting
+Two plans compute the cumulative factor -- the product of all adjusting
 factors whose ex-date is after the trade date:
 
 * ``cumulative_factor_interval`` (default): per symbol, the factor is constant
   between consecutive ex-dates; those intervals (with their suffix products)
   are built on the small action table and prices join them on symbol with a
   range condition -- one match per price row, fully code-generated.
-* ``cumulative_factor_array``: the adjusting actions are reduced to
-  one row per symbol holding its actions sorted by ex-date; prices join that
-  table on ``symbol`` (broadcast when its measured size is under a bound,
-  shuffled otherwise) and fold the matching factors with higher-order array
-  functions. One output row per price row, no fan-out, no regroup: when the
-  action table is broadcast the price table is never shuffled.
 * ``cumulative_factor_join``: the range join ``symbol = symbol AND
   trade_date < ex_date`` followed by a regroup on the ten price columns and
   ``exp(sum(log f))`` -- the textbook plan, kept as an operator and used to
-  validate the array form.
+  validate the interval form.
 
 Factors of zero follow Spark's ``log(0) = null`` rule of the log-sum form:
 they are skipped, and a price whose matching factors are all zero gets a null
@@ -35,16 +29,10 @@ PRICE_COLUMNS = (
     "total_quantity", "total_turnover", "delivery_pct",
 )
 
-# Size bound for broadcasting the per-symbol action table, in bytes, measured
+# Size bound for broadcasting the interval table, in bytes, measured
 # on the data (not estimated from file statistics).
 BROADCAST_ACTIONS_MAX_BYTES = 64 * 1024 * 1024
 
-# Above this many adjusting actions for one symbol the per-symbol arrays
-# (k actions -> k intervals over k-long suffixes) grow too large; the exact
-# range-join plan is used instead.
-ARRAY_MAX_ACTIONS_PER_SYMBOL = 1_000
-
-
 def since(prices: DataFrame, start_date: str | None) -> DataFrame:
     """``trade_date >= start_date`` (string compare, partition-prunable)."""
     return prices if not start_date else prices.where(F.col("trade_date") >= F.lit(start_date))
@@ -72,76 +60,11 @@ def _trade_day():
     return F.col("trade_date").cast("string").try_cast("date")
 
 
-def actions_by_symbol(adjusting: DataFrame) -> DataFrame:
-    """One row per symbol: its actions as an array sorted by (ex_date, factor).
-
-    Actions without a valid ex-date can never match a price and are dropped.
-    """
-    return (
-        adjusting.where(F.col("ex_date").isNotNull())
-        .groupBy("symbol")
-        .agg(F.array_sort(F.collect_list(F.struct("ex_date", "adj_factor"))).alias("_acts"))
-    )
-
-
-def _measure(adjusting: DataFrame) -> tuple[int, int]:
-    """(bytes, largest per-symbol action count) of the per-symbol action table.
-
-    Measured from per-symbol counts (a partial hash aggregate) *before* any
-    list is collected, so a symbol holding a huge share of the actions is
-    detected without ever building its array. One small job.
-    """
-    per_symbol = (
-        adjusting.where(F.col("ex_date").isNotNull())
-        .groupBy("symbol")
-        .agg(F.count(F.lit(1)).alias("n"), F.max(F.length("symbol")).alias("w"))
-    )
-    row = per_symbol.agg(
-        F.coalesce(F.sum(F.col("n") * 48 + F.col("w") + 32), F.lit(0)).alias("b"),
-        F.coalesce(F.max("n"), F.lit(0)).alias("m"),
-    ).first()
-    return int(row["b"]), int(row["m"])
-
-
-def _fold(acts):
-    matching = F.filter(acts, lambda a: a["ex_date"] > _trade_day())
-    positive = F.filter(matching, lambda a: a["adj_factor"] > 0)
-    product = F.aggregate(positive, F.lit(1.0), lambda acc, a: acc * a["adj_factor"])
-    return (
-        F.when(acts.isNull() | (F.size(matching) == 0), F.lit(1.0))
-        .when(F.size(positive) == 0, F.lit(None).cast("double"))
-        .otherwise(product)
-    )
-
-
-def cumulative_factor_array(
-    prices: DataFrame,
-    actions: DataFrame,
-    broadcast: bool | None = None,
-) -> DataFrame:
-    """Prices with ``cumulative_adj_factor`` (array plan, one row per price row).
-
-    One small job measures the per-symbol action table. ``broadcast=None``
-    broadcasts it only under ``BROADCAST_ACTIONS_MAX_BYTES``; above it the
-    join shuffles on symbol and AQE splits a hot symbol's price partition.
-    A symbol with more than ``ARRAY_MAX_ACTIONS_PER_SYMBOL`` actions switches
-    to the interval plan with window-built intervals.
-    """
-    adjusting = adjusting_actions(actions)
-    size, widest = _measure(adjusting)
-    if widest > ARRAY_MAX_ACTIONS_PER_SYMBOL:
-        # per-symbol arrays would be too long: window-built intervals instead
-        return cumulative_factor_interval(prices, actions, broadcast)
-    by_symbol = actions_by_symbol(adjusting)
-    if broadcast is None:
-        broadcast = size <= BROADCAST_ACTIONS_MAX_BYTES
-    right = F.broadcast(by_symbol) if broadcast else by_symbol
-    return (
-        prices.join(right, "symbol", "left")
-        .withColumn("cumulative_adj_factor", _fold(F.col("_acts")))
-        .drop("_acts")
-        .select(*prices.columns, "cumulative_adj_factor")
-    )
+def _measure(adjusting: DataFrame) -> int:
+    """Bytes of the interval table (one row for each action). One small job."""
+    row = adjusting.where(F.col("ex_date").isNotNull()).agg(
+        F.coalesce(F.sum(F.length("symbol") + 64), F.lit(0)).alias("b")).first()
+    return int(row["b"])
 
 
 def factor_intervals(adjusting: DataFrame) -> DataFrame:
@@ -149,37 +72,16 @@ def factor_intervals(adjusting: DataFrame) -> DataFrame:
 
     With a symbol's actions sorted by (ex_date, factor) as e_1..e_k, a trade
     date d in [e_(i-1), e_i) is matched by exactly the actions i..k, so its
-    factor is the product of that suffix -- multiplied left to right in
-    ex-date order. One row per action: ``_lo`` (null for i = 1), ``_hi``,
-    ``_f`` (null when every matched factor is zero), ``_hit`` = true. Dates
-    on or after e_k match no interval (factor 1.0). All array work happens
-    here, on the small action table.
-    """
-    by_symbol = actions_by_symbol(adjusting)
-    pos = by_symbol.select("symbol", "_acts", F.posexplode("_acts").alias("_i", "_act"))
-    suffix = F.slice("_acts", F.col("_i") + 1, F.size("_acts") - F.col("_i"))
-    positive = F.filter(suffix, lambda a: a["adj_factor"] > 0)
-    product = F.aggregate(positive, F.lit(1.0), lambda acc, a: acc * a["adj_factor"])
-    return pos.select(
-        F.col("symbol").alias("_s"),
-        F.when(F.col("_i") > 0, F.element_at("_acts", F.col("_i"))["ex_date"]).alias("_lo"),
-        F.col("_act")["ex_date"].alias("_hi"),
-        F.when(F.size(positive) > 0, product).alias("_f"),
-        F.lit(True).alias("_hit"),
-    )
-
-
-def factor_intervals_window(adjusting: DataFrame) -> DataFrame:
-    """The same intervals as ``factor_intervals`` built with window functions.
-
-    A running product over each symbol's actions in descending ex-date order
-    gives every suffix product in one O(k) pass, with no arrays -- for
-    symbols with very many actions. The products associate from the latest
-    ex-date backwards, so they equal the array form's up to rounding.
+    factor is the product of that suffix. A running product over the actions
+    in descending order gives every suffix product in one O(k) pass. One row
+    per action: ``_lo`` (null for i = 1), ``_hi``, ``_f`` (null when every
+    matched factor is zero), ``_hit`` = true. Dates on or after e_k match no
+    interval (factor 1.0). Actions without a valid ex-date match no price.
     """
-    acts = adjusting.where(F.col("ex_date").isNotNull()).select("symbol", "ex_date", "adj_factor")
-    asc = Window.partitionBy("symbol").orderBy("ex_date", "adj_factor")
-    desc = (Window.partitionBy("symbol").orderBy(F.desc("ex_date"), F.desc("adj_factor"))
+    acts = adjusting.where(F.col("ex_date").isNotNull()).select("symbol", "ex_date", "adj_factor", "details")
+    # details tell actions of one day with equal factors apart, so both orders are each other's reverse
+    asc = Window.partitionBy("symbol").orderBy("ex_date", "adj_factor", "details")
+    desc = (Window.partitionBy("symbol").orderBy(F.desc("ex_date"), F.desc("adj_factor"), F.desc("details"))
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     positive = F.when(F.col("adj_factor") > 0, F.col("adj_factor"))
     return acts.select(
@@ -204,18 +106,12 @@ def cumulative_factor_interval(
     regroup, and the probe side stays in whole-stage codegen. The interval
     table is broadcast only when its measured size is under
     ``BROADCAST_ACTIONS_MAX_BYTES`` (else shuffled on symbol, AQE splitting a
-    hot symbol). When a symbol has more than ``ARRAY_MAX_ACTIONS_PER_SYMBOL``
-    actions the intervals are built with window functions instead of arrays;
-    either way each price row matches at most one interval.
+    hot symbol).
     """
     adjusting = adjusting_actions(actions)
-    size, widest = _measure(adjusting)
-    if widest > ARRAY_MAX_ACTIONS_PER_SYMBOL:
-        intervals = factor_intervals_window(adjusting)
-    else:
-        intervals = factor_intervals(adjusting)
+    intervals = factor_intervals(adjusting)
     if broadcast is None:
-        broadcast = size <= BROADCAST_ACTIONS_MAX_BYTES
+        broadcast = _measure(adjusting) <= BROADCAST_ACTIONS_MAX_BYTES
     right = F.broadcast(intervals) if broadcast else intervals
     d = _trade_day()
     cond = (
@@ -289,5 +185,4 @@ def ohlcv_adjusted(
     base = prices.select(*PRICE_COLUMNS)
     if not prices_unique:
         base = base.dropDuplicates(list(PRICE_COLUMNS))
-    fold = cumulative_factor_interval if plan == "interval" else cumulative_factor_array
-    return apply_factor(fold(base, actions, broadcast))
+    return apply_factor(cumulative_factor_interval(base, actions, broadcast))

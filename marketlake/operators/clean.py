@@ -30,9 +30,9 @@ EQUITY_KEY = ("symbol", "trade_date")
 FO_CONTRACT_KEY = ("symbol", "instrument_type", "expiry_date", "strike_price", "option_type")
 FO_CONTRACT_DAY_KEY = FO_CONTRACT_KEY + ("trade_date",)
 
-# Batch arrival order: ingestion time first; remaining columns break ties so
-# the choice is deterministic.
-ARRIVAL_ORDER = ("ingested_at",)
+# Arrival order of landed records: the fetch's time, then the record's stored
+# place in it (all records of one fetch share the time). Together they are unique.
+ARRIVAL_ORDER = ("ingested_at", "arrival_seq")
 
 
 def _replace(df: DataFrame, exprs: dict) -> DataFrame:
@@ -97,16 +97,17 @@ def fo_rejects(df: DataFrame) -> DataFrame:
 def first_arrival(
     df: DataFrame,
     keys: Sequence[str],
-    order: Sequence[str] = ARRIVAL_ORDER,
+    order: Sequence[str],
 ) -> DataFrame:
     """Keep, per key, the row that arrived first.
 
-    ``order`` gives the arrival order; all other columns follow as tie
-    breakers (nulls first), making the result deterministic. Output columns
-    keep the input order.
+    ``order`` names the columns of the arrival order and must be unique within
+    a key: then the winner does not depend on which other columns are carried.
+    A missing order column is an error. Output columns keep the input order.
     """
-    keys = list(keys)
-    order = [c for c in order if c in df.columns]
+    keys, order = list(keys), list(order)
+    if missing := [c for c in order if c not in df.columns]:
+        raise ValueError(f"arrival order columns {missing} are missing; land them with the records")
     rest = [c for c in df.columns if c not in keys and c not in order]
     packed = F.struct(*[F.col(c) for c in order + rest]).alias("_first")
     return (
@@ -117,12 +118,12 @@ def first_arrival(
     )
 
 
-def equity_dedup(df: DataFrame, order: Sequence[str] = ARRIVAL_ORDER) -> DataFrame:
+def equity_dedup(df: DataFrame, order: Sequence[str]) -> DataFrame:
     """C3 (batch): first record per (symbol, trade_date)."""
     return first_arrival(df, EQUITY_KEY, order)
 
 
-def fo_dedup_contract(df: DataFrame, order: Sequence[str] = ARRIVAL_ORDER) -> DataFrame:
+def fo_dedup_contract(df: DataFrame, order: Sequence[str]) -> DataFrame:
     """C6 as keyed by the stream job: first record per contract, any day.
 
     In batch there is no state expiry, so this keeps exactly one row per
@@ -131,19 +132,19 @@ def fo_dedup_contract(df: DataFrame, order: Sequence[str] = ARRIVAL_ORDER) -> Da
     return first_arrival(df, FO_CONTRACT_KEY, order)
 
 
-def fo_dedup_contract_day(df: DataFrame, order: Sequence[str] = ARRIVAL_ORDER) -> DataFrame:
+def fo_dedup_contract_day(df: DataFrame, order: Sequence[str]) -> DataFrame:
     """C6 as documented: first record per contract per trading day."""
     return first_arrival(df, FO_CONTRACT_DAY_KEY, order)
 
 
-def equity_clean(df: DataFrame, order: Sequence[str] = ARRIVAL_ORDER) -> DataFrame:
+def equity_clean(df: DataFrame, order: Sequence[str]) -> DataFrame:
     """Normalise -> reject -> first arrival per (symbol, trade_date)."""
     return df.transform(equity_normalise).transform(equity_valid).transform(equity_dedup, order)
 
 
 def fo_clean(
     df: DataFrame,
-    order: Sequence[str] = ARRIVAL_ORDER,
+    order: Sequence[str],
     per_day: bool = True,
 ) -> DataFrame:
     """Normalise -> validity filter -> contract dedup (per day by default)."""

@@ -54,65 +54,101 @@ def compaction_plan(
 
 
 def _sortable(c: Column, dtype: str) -> Column:
-    """An order-preserving numeric image of a column."""
-    if dtype in ("string",):
-        # leading 7 bytes (UTF-8) as an order-preserving non-negative long
-        padded = F.rpad(F.hex(F.substring(c, 1, 7)), 14, "0")
-        return F.conv(padded, 16, 10).cast("bigint")
+    """An order-preserving numeric image of a column that is no string."""
     if dtype in ("date",):
-        return F.unix_date(c).cast("bigint")
+        return F.unix_date(c).cast("double")
     if dtype.startswith("timestamp"):
-        return F.unix_micros(c.cast("timestamp"))
+        return F.unix_micros(c.cast("timestamp")).cast("double")
     return c.cast("double")
 
 
+def _sample_points(df: DataFrame, column: str, points: int) -> list[str]:
+    """At most ``points`` - 1 split points of a text column, from a bounded sample.
+
+    The sample is the distinct values with the smallest hashes, so families of
+    values with a long common prefix are told apart like any others.
+    """
+    values = df.select(F.col(column).alias("v")).where(F.col("v").isNotNull()).distinct()
+    rows = values.orderBy(F.xxhash64("v"), "v").limit(16 * points).collect()
+    ranked = sorted({r["v"] for r in rows}, key=lambda v: v.encode("utf-8"))
+    cuts = [ranked[i * len(ranked) // points] for i in range(1, points)] if ranked else []
+    return sorted(set(cuts), key=lambda v: v.encode("utf-8"))
+
+
+def _text_bucket(c: Column, cuts: list[str]) -> Column:
+    """How many of the sorted ``cuts`` are at most the value, by binary search."""
+    points = F.array(*[F.lit(x) for x in cuts]) if cuts else F.array().cast("array<string>")
+    steps = max(1, len(cuts).bit_length())
+
+    def halve(state, _):
+        middle = F.floor((state["lo"] + state["hi"]) / 2).cast("int")
+        below = (state["lo"] < state["hi"]) & (F.get(points, middle) <= c)
+        return F.struct(F.when(below, middle + 1).otherwise(state["lo"]).alias("lo"),
+                        F.when(below | (state["lo"] >= state["hi"]), state["hi"]).otherwise(middle).alias("hi"))
+
+    start = F.struct(F.lit(0).alias("lo"), F.lit(len(cuts)).alias("hi"))
+    found = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, halve, lambda s: s["lo"])
+    return F.coalesce(found, F.lit(0)).cast("bigint")
+
+
 def with_zorder(df: DataFrame, columns: Sequence[str], bits: int = ZORDER_BITS,
                 accuracy: int = 10000, out: str = "_z") -> DataFrame:
     """Add the interleaved rank-bucket bits of ``columns`` as bigint ``out``.
 
-    Split points come from one ``percentile_approx`` aggregate (2**bits - 1
-    numbers per column, independent of the table size); each row finds its
-    bucket by binary search (``Bucketizer``, JVM-side).
+    Numbers and dates are cut at quantiles from one ``percentile_approx``
+    aggregate, texts at split points of a bounded sample: 2**bits - 1 points
+    per column, independent of the table size. Each row finds its bucket by
+    binary search, JVM-side. ``df`` is read again for the points: give a
+    written table.
     """
     from pyspark.ml.feature import Bucketizer
 
     dtypes = dict(df.dtypes)
-    images = {c: _sortable(F.col(c), dtypes[c]).cast("double") for c in columns}
     n = 2 ** bits
+    texts = {c: _sample_points(df, c, n) for c in columns if dtypes[c] == "string"}
+    images = {c: _sortable(F.col(c), dtypes[c]) for c in columns if c not in texts}
     probs = [i / n for i in range(1, n)]
-    row = df.select(*[F.percentile_approx(images[c], probs, accuracy).alias(c) for c in columns]).first()
-    staged = df.withColumns({f"_img_{j}": images[c] for j, c in enumerate(columns)})
+    row = df.select(*[F.percentile_approx(x, probs, accuracy).alias(c) for c, x in images.items()]).first() if images else {}
+    staged = df
     for j, c in enumerate(columns):
+        if c in texts:
+            staged = staged.withColumn(f"_bkt_{j}", _text_bucket(F.col(c), texts[c]))
+            continue
         inner = sorted({float(x) for x in (row[c] or []) if x is not None and not math.isnan(x)})
-        splits = [-math.inf, *inner, math.inf]
-        staged = Bucketizer(splits=splits, inputCol=f"_img_{j}", outputCol=f"_bkt_{j}",
-                            handleInvalid="keep").transform(staged)
+        staged = Bucketizer(splits=[-math.inf, *inner, math.inf], inputCol=f"_img_{j}", outputCol=f"_bkt_{j}",
+                            handleInvalid="keep").transform(staged.withColumn(f"_img_{j}", images[c])).drop(f"_img_{j}")
     z = F.lit(0).cast("bigint")
     for j in range(len(columns)):
         bucket = F.col(f"_bkt_{j}").cast("bigint")
         for b in range(bits):
             bit = F.shiftright(bucket, b).bitwiseAND(F.lit(1))
             z = z.bitwiseOR(F.shiftleft(bit, b * len(columns) + j))
-    helpers = [f"_img_{j}" for j in range(len(columns))] + [f"_bkt_{j}" for j in range(len(columns))]
-    return staged.withColumn(out, z).drop(*helpers)
+    return staged.withColumn(out, z).drop(*[f"_bkt_{j}" for j in range(len(columns))])
+
 
+def zorder(df: DataFrame, columns: Sequence[str], num_partitions: int | None = None,
+           within: Sequence[str] = ()) -> DataFrame:
+    """M2: cluster rows by the z-value of ``columns`` (content unchanged).
 
-def zorder(df: DataFrame, columns: Sequence[str], num_partitions: int | None = None) -> DataFrame:
-    """M2: cluster rows by the z-value of ``columns`` (content unchanged)."""
+    ``within`` columns (table partitions) come first in the order. Without
+    ``num_partitions`` adaptive execution sizes the partitions from their bytes.
+    """
     cols = [c for c in columns if c in df.columns]
     if not cols:
         return df
-    parts = num_partitions or df.sparkSession.sparkContext.defaultParallelism
     # A row hash as secondary range key: rows sharing one z-value (a hot
     # symbol-day) spread over several output files instead of one task.
     salt = F.xxhash64(*[F.col(c) for c in df.columns])
-    return (
-        with_zorder(df, cols)
-        .withColumn("_salt", salt)
-        .repartitionByRange(parts, "_z", "_salt")
-        .sortWithinPartitions("_z")
-        .drop("_z", "_salt")
-    )
+    keyed = with_zorder(df, cols).withColumn("_salt", salt)
+    order = [*within, "_z", "_salt"]
+    dealt = keyed.repartitionByRange(num_partitions, *order) if num_partitions else keyed.repartitionByRange(*order)
+    return dealt.sortWithinPartitions(*within, "_z").drop("_z", "_salt")
+
+
+def partition_columns(paths: Sequence[str]) -> list[str]:
+    """Columns of a table laid out as ``.../a=1/b=2``, from its directories."""
+    names = [[p.split("=", 1)[0] for p in path.split("/") if "=" in p] for path in paths]
+    return names[0] if names and all(n == names[0] for n in names) else []
 
 
 def rewrite(
@@ -120,25 +156,32 @@ def rewrite(
     src: str,
     dst: str,
     zorder_by: Sequence[str] = ("symbol", "trade_date"),
-    partition_by: Sequence[str] = (),
     target_bytes: int = TARGET_FILE_BYTES,
     min_input_files: int = MIN_INPUT_FILES,
     force: bool = False,
 ) -> int:
     """Compact (and z-order) a Parquet table from ``src`` into ``dst``.
 
-    Runs only when the table has at least ``min_input_files`` data files
-    (or ``force``); the output has ``ceil(bytes / target)`` files. Returns
-    the number of output files, 0 when nothing was rewritten.
+    Each directory is judged by itself: one with at least ``min_input_files``
+    data files (or any, with ``force``) is rewritten into ``ceil(bytes /
+    target)`` files or so, the others are copied as they are. Partition columns
+    stay partition columns. Returns the number of files the rewritten
+    directories are meant to have, 0 when no directory needs it (then ``dst``
+    is not written).
     """
     df = spark.read.parquet(src)
-    totals = compaction_plan(df, target_bytes, min_input_files).agg(
-        F.sum("input_bytes").alias("b"), F.sum("input_files").alias("n")).first()
-    if not force and (totals["n"] or 0) < min_input_files:
+    # one row per directory, file metadata only
+    plan = compaction_plan(df, target_bytes, min_input_files).collect()
+    chosen = [r for r in plan if force or r["rewrite"]]
+    if not chosen:
         return 0
-    n_out = max(1, math.ceil((totals["b"] or 0) / target_bytes))
-    out = zorder(df, zorder_by, n_out)
-    out.write.mode("overwrite").partitionBy(*partition_by).parquet(dst)
+    parts = partition_columns([r["partition"] for r in plan])
+    read = spark.read.option("basePath", src).parquet if parts else spark.read.parquet
+    n_out = sum(r["target_files"] for r in chosen)
+    out = zorder(read(*[r["partition"] for r in chosen]), zorder_by, n_out, within=parts)
+    out.write.mode("overwrite").partitionBy(*parts).parquet(dst)
+    if rest := [r["partition"] for r in plan if r not in chosen]:
+        read(*rest).write.mode("append").partitionBy(*parts).parquet(dst)
     return n_out
 
 

@@ -22,13 +22,14 @@ from marketlake.streaming import clean_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Fixture arrival order (ingestion time, then fixture tie breakers).
-EQ_ORDER = ("ingested_at", "tiebreak", "total_turnover")
-FO_ORDER = ("ingested_at", "tiebreak", "value_in_lakh")
+# Fixture arrival order (ingestion time, stored sequence, then fixture tie breakers).
+EQ_ORDER = ("ingested_at", "arrival_seq", "tiebreak", "total_turnover")
+FO_ORDER = ("ingested_at", "arrival_seq", "tiebreak", "value_in_lakh")
 
 # Parameters of the serving queries.
 SERVE_SYMBOL = "sym7"
 SERVE_FROM, SERVE_TO = "1996-01-01", "1997-12-31"
+SERVE_FO_DAY = "1997-03-02"
 BREADTH_FROM, BREADTH_TO = "1997-01-01", "1998-06-30"
 SILVER_START = "1996-01-01"
 
@@ -40,7 +41,8 @@ def _load(spark: SparkSession, sf_dir: str):
 def _round_breadth(df: DataFrame) -> DataFrame:
     return df.withColumns({
         "total_turnover_cr": F.round("total_turnover_cr", 4),
-        "avg_return_pct": F.round("avg_return_pct", 6),
+        # no negative zero
+        "avg_return_pct": F.when(F.round("avg_return_pct", 6) == 0, 0.0).otherwise(F.round("avg_return_pct", 6)),
     })
 
 
@@ -209,8 +211,7 @@ def actions_range_join(spark, sf_dir):
 
 def cumulative_factor(spark, sf_dir):
     prices = equity_clean(spark, sf_dir)
-    out = adjust.cumulative_factor_join(prices, _load(spark, sf_dir)("corporate"))
-    return out.withColumn("cumulative_adj_factor", F.round("cumulative_adj_factor", 12))
+    return adjust.cumulative_factor_interval(prices.select(*adjust.PRICE_COLUMNS), _load(spark, sf_dir)("corporate"))
 
 
 def _silver(spark, sf_dir, start_date=None):
@@ -276,10 +277,7 @@ def serve_breadth(spark, sf_dir):
 
 
 def serve_fo_bhavcopy(spark, sf_dir):
-    lk = _lake(spark, sf_dir, "fo")
-    day = (lk.fo.where(F.col("symbol") == SERVE_SYMBOL.upper())
-           .agg(F.min("trade_date").alias("d")).first()["d"])
-    return lk.get_fo_bhavcopy(SERVE_SYMBOL, day or "")
+    return _lake(spark, sf_dir, "fo").get_fo_bhavcopy(SERVE_SYMBOL, SERVE_FO_DAY)
 
 
 def serve_surveillance(spark, sf_dir):
@@ -322,10 +320,7 @@ def _stream_keys(spark, sf_dir, domain: str) -> DataFrame:
         keys = list(clean.FO_CONTRACT_DAY_KEY)
     # A multi-year backfill in one run: partition by year, not by day.
     cleaned = cleaned.withColumn("trade_year", F.substring("trade_date", 1, 4))
-    # one state partition per core (fixed in the checkpoint at first start)
-    query = clean_stream.start_query(
-        spark, lambda: clean_stream.write_bronze(cleaned, out, ckpt, partition_by=("trade_year",)),
-        state_partitions=spark.sparkContext.defaultParallelism)
+    query = clean_stream.write_bronze(cleaned, out, ckpt, partition_by=("trade_year",))
     clean_stream.run_available_now(query)
     return spark.read.parquet(out).select(*keys)
 
@@ -345,8 +340,7 @@ def stream_equity_dedup_ttl(spark, sf_dir):
     deduped = ttl_dedup.dedup_with_ttl_rows(valid, list(clean.EQUITY_KEY))
     query = ttl_dedup.start_with_conf(spark, lambda: (
         deduped.writeStream.format("parquet").option("path", out)
-        .option("checkpointLocation", ckpt).trigger(availableNow=True).start()),
-        state_partitions=spark.sparkContext.defaultParallelism)
+        .option("checkpointLocation", ckpt).trigger(availableNow=True).start()))
     clean_stream.run_available_now(query)
     return spark.read.parquet(out).select(*clean.EQUITY_KEY)
 
@@ -365,9 +359,40 @@ def zorder_rewrite(spark, sf_dir):
     return maintain.zorder(equity_clean(spark, sf_dir), ["symbol", "trade_date"])
 
 
+COMPACT_FEEDS = 12
+
+
+def _many_files(spark, sf_dir) -> str:
+    """Line items by ship year, appended feed by feed: one file for each feed and year.
+
+    Years before 1997 come in fewer feeds than a compaction asks for.
+    """
+    path = scratch_path(spark, "small-files")
+    li = fixtures.table(spark, sf_dir, "lineitem").withColumn("trade_year", F.year("l_shipdate"))
+    feed = F.when(F.col("trade_year") < 1997, F.col("l_orderkey") % 4).otherwise(F.col("l_orderkey") % COMPACT_FEEDS)
+    li = li.withColumn("feed", feed)
+    for i in range(COMPACT_FEEDS):
+        # one task for each year: each year's rows of a feed are one file
+        (li.where(F.col("feed") == i).drop("feed").repartition(8, "trade_year")
+         .write.mode("append").partitionBy("trade_year").parquet(path))
+    return path
+
+
 def compaction_plan(spark, sf_dir):
-    parts = [maintain.compaction_plan(fixtures.table(spark, sf_dir, t)) for t in ("lineitem", "orders")]
-    return parts[0].unionByName(parts[1])
+    """M1: which partition directories of a written table need compaction."""
+    plan = maintain.compaction_plan(spark.read.parquet(_many_files(spark, sf_dir)))
+    year = F.regexp_extract("partition", "trade_year=([0-9]+)", 1).cast("int")
+    return plan.select(year.alias("trade_year"), "input_files", "rows", "rewrite")
+
+
+def compaction_rewrite(spark, sf_dir):
+    """M1/M2: the compacted table, still partitioned, with whether its small files are gone."""
+    src, dst = _many_files(spark, sf_dir), scratch_path(spark, "compacted")
+    maintain.rewrite(spark, src, dst, ["l_suppkey", "l_shipdate"])
+    files = maintain.compaction_plan(spark.read.parquet(dst))
+    year = F.regexp_extract("partition", "trade_year=([0-9]+)", 1).cast("int")
+    few = files.select(year.alias("trade_year"), (F.col("input_files") < maintain.MIN_INPUT_FILES).alias("compact"))
+    return spark.read.parquet(dst).join(F.broadcast(few), "trade_year")
 
 
 QUERIES: dict[str, Query] = {
@@ -415,4 +440,5 @@ QUERIES: dict[str, Query] = {
     "stream_fo_clean": stream_fo_clean,
     "zorder_rewrite": zorder_rewrite,
     "compaction_plan": compaction_plan,
+    "compaction_rewrite": compaction_rewrite,
 }

@@ -27,15 +27,15 @@ def _keep(df: DataFrame, cols: Sequence[str], order: Sequence[str]) -> DataFrame
 def silver(
     equity_raw: DataFrame,
     corporate: DataFrame,
-    order: Sequence[str] = clean.ARRIVAL_ORDER,
+    order: Sequence[str],
     start_date: str | None = None,
     plan: str = "interval",
 ) -> DataFrame:
     """Clean equity records (C7) and back-adjust them.
 
     Only the price columns and the arrival order are carried through the
-    dedup shuffle; the order must be unique per key (it is the arrival
-    sequence), so pruning does not change which row wins.
+    dedup shuffle; the order is unique per key (``clean.first_arrival``), so
+    pruning does not change which row wins.
     """
     prices = clean.equity_clean(_keep(equity_raw, SILVER_INPUT, order), order)
     return adjust.ohlcv_adjusted(
@@ -44,7 +44,7 @@ def silver(
     )
 
 
-def fo_bronze_for_pcr(fo_raw: DataFrame, order: Sequence[str] = clean.ARRIVAL_ORDER) -> DataFrame:
+def fo_bronze_for_pcr(fo_raw: DataFrame, order: Sequence[str]) -> DataFrame:
     """C8 restricted to the columns the put-call ratio reads."""
     return clean.fo_clean(_keep(fo_raw, PCR_INPUT, order), order, per_day=True)
 
@@ -53,8 +53,8 @@ def gold(
     equity_raw: DataFrame,
     corporate: DataFrame,
     fo_raw: DataFrame,
-    order: Sequence[str] = clean.ARRIVAL_ORDER,
-    fo_order: Sequence[str] = clean.ARRIVAL_ORDER,
+    order: Sequence[str],
+    fo_order: Sequence[str],
     start_date: str | None = None,
     plan: str = "interval",
 ) -> DataFrame:
@@ -97,8 +97,9 @@ def run_lake(
     corporate: DataFrame,
     fo_raw: DataFrame,
     root: str,
-    order: Sequence[str] = clean.ARRIVAL_ORDER,
-    fo_order: Sequence[str] = clean.ARRIVAL_ORDER,
+    *,
+    order: Sequence[str],
+    fo_order: Sequence[str],
     start_date: str | None = None,
 ) -> dict[str, object]:
     """Daily batch: bronze -> silver (written) -> gold (written).

@@ -9,11 +9,18 @@ dependent sums and averages are rounded identically on both sides.
 
 from __future__ import annotations
 
-from marketlake.functions.casts import FLOAT_TEXT, FLOAT_WHITESPACE, PY_WHITESPACE
 from marketlake.sources.fixtures import cte
 
-FIXTURE_ORDER_EQ = "ingested_at, tiebreak, total_turnover"
-FIXTURE_ORDER_FO = "ingested_at, tiebreak, value_in_lakh"
+# What Python's str.strip() and float() skip, and the text float() accepts.
+PY_WHITESPACE = "[\\x09-\\x0D\\x1C-\\x20\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]"
+FLOAT_WHITESPACE = PY_WHITESPACE.replace("\\x1C-\\x20", "\\x20")
+FLOAT_TEXT = (
+    "^[+-]?(([0-9](_?[0-9])*[.]?|([0-9](_?[0-9])*)?[.][0-9](_?[0-9])*)([eE][+-]?[0-9](_?[0-9])*)?"
+    "|(?i:inf|infinity|nan))$"
+)
+
+FIXTURE_ORDER_EQ = "ingested_at, arrival_seq, tiebreak, total_turnover"
+FIXTURE_ORDER_FO = "ingested_at, arrival_seq, tiebreak, value_in_lakh"
 
 
 def strip(x: str) -> str:
@@ -34,8 +41,7 @@ def float_strip(x: str) -> str:
 
 def safe_float(x: str) -> str:
     s = float_strip(f"CAST({x} AS VARCHAR)")
-    pattern = FLOAT_TEXT.replace("(?i:inf|infinity|nan)", "(?i:inf|infinity|nan)")
-    return f"(CASE WHEN regexp_matches({s}, '{pattern}') THEN TRY_CAST(replace({s}, '_', '') AS DOUBLE) END)"
+    return f"(CASE WHEN regexp_matches({s}, '{FLOAT_TEXT}') THEN TRY_CAST(replace({s}, '_', '') AS DOUBLE) END)"
 
 
 def safe_int(x: str) -> str:
@@ -104,7 +110,7 @@ SILVER = """silver AS (
            CASE WHEN count(a.adj_factor) = 0 THEN 1.0
                 WHEN count(CASE WHEN a.adj_factor > 0 THEN 1 END) = 0 THEN NULL
                 ELSE product(CASE WHEN a.adj_factor > 0 THEN a.adj_factor END
-                             ORDER BY a.ex_date, a.adj_factor) END AS f
+                             ORDER BY a.ex_date DESC, a.adj_factor DESC) END AS f
     FROM eq_clean p LEFT JOIN acts_adj a
       ON p.symbol = a.symbol AND TRY_CAST(p.trade_date AS DATE) < a.ex_date
     GROUP BY p.symbol, p.trade_date) t)"""
@@ -135,7 +141,7 @@ def fo_dedup(src: str, per_day: bool, name: str) -> str:
 
 AD = """ad AS (
   SELECT trade_date, advances, declines, n - advances - declines AS unchanged, total_stocks,
-         total_volume, total_turnover_cr, avg_return_pct,
+         total_volume, total_turnover_cr, CASE WHEN avg_return_pct = 0 THEN 0.0 ELSE avg_return_pct END AS avg_return_pct,
          CAST(advances AS DOUBLE) / nullif(declines, 0) AS ad_ratio
   FROM (
     SELECT trade_date,
@@ -377,10 +383,10 @@ FROM eq_clean p LEFT JOIN acts_adj a
   ON p.symbol = a.symbol AND TRY_CAST(p.trade_date AS DATE) < a.ex_date"""
     q["cumulative_factor"] = with_views(("equity_raw", "corporate"), *eq_chain, ACTS) + f"""
 SELECT {PRICE_COLS},
-       round(CASE WHEN count(adj_factor) > 0
-                  THEN exp(sum(ln(CASE WHEN adj_factor > 0 THEN adj_factor END))) ELSE 1.0 END, 12)
+       CASE WHEN count(adj_factor) = 0 THEN 1.0
+            ELSE product(CASE WHEN adj_factor > 0 THEN adj_factor END ORDER BY ex_date DESC, adj_factor DESC) END
          AS cumulative_adj_factor
-FROM (SELECT p.*, a.adj_factor FROM eq_clean p LEFT JOIN acts_adj a
+FROM (SELECT p.*, a.adj_factor, a.ex_date FROM eq_clean p LEFT JOIN acts_adj a
         ON p.symbol = a.symbol AND TRY_CAST(p.trade_date AS DATE) < a.ex_date) j
 GROUP BY {PRICE_COLS}"""
     since = "eq_since AS (SELECT * FROM eq_clean WHERE trade_date >= '1996-01-01')"
@@ -405,7 +411,7 @@ FROM eq_clean WHERE symbol = 'SYM7' AND trade_date BETWEEN '1996-01-01' AND '199
     q["serve_breadth"] = gold + "\nSELECT * FROM gold WHERE trade_date BETWEEN '1997-01-01' AND '1998-06-30'"
     q["serve_fo_bhavcopy"] = with_views(fo_views, *fo_chain) + """
 SELECT * FROM fo_clean
-WHERE symbol = 'SYM7' AND trade_date = (SELECT min(trade_date) FROM fo_clean WHERE symbol = 'SYM7')"""
+WHERE symbol = 'SYM7' AND trade_date = '1997-03-02'"""
     q["serve_surveillance"] = with_views(("surveillance_raw",)) + (
         "\nSELECT * FROM surveillance_raw WHERE list_type = 'GSM'")
     q["serve_surveillance_day"] = with_views(("surveillance_raw",)) + (
@@ -420,5 +426,11 @@ FROM silver WHERE trade_date BETWEEN '1996-01-01' AND '1997-12-31' GROUP BY symb
     q["stream_fo_clean"] = with_views(fo_views, FO_NORM, FO_VALID) + (
         "\nSELECT DISTINCT symbol, instrument_type, expiry_date, strike_price, option_type, trade_date "
         "FROM fo_valid")
+    feeds = """WITH fed AS (SELECT *, CAST(year(l_shipdate) AS INTEGER) AS trade_year,
+  CASE WHEN year(l_shipdate) < 1997 THEN l_orderkey % 4 ELSE l_orderkey % 12 END AS feed FROM lineitem)"""
+    q["compaction_plan"] = feeds + """
+SELECT trade_year, count(DISTINCT feed) AS input_files, count(*) AS rows, count(DISTINCT feed) >= 10 AS rewrite
+FROM fed GROUP BY trade_year"""
+    q["compaction_rewrite"] = feeds + "\nSELECT * EXCLUDE (feed), true AS compact FROM fed"
     q["zorder_rewrite"] = with_views(eq_views, *eq_chain) + "\nSELECT * FROM eq_clean"
     return q

@@ -76,6 +76,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # pragma: no cover - API absent on some builds
             root = None
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="marketlake-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)

@@ -23,16 +23,21 @@ class View:
 
 _PRICE = "l_extendedprice/l_quantity"
 _DAY = "CAST(CAST(l_shipdate AS DATE) AS STRING)"
+# Derivatives trade on three days of each month, so a contract trades on several days.
+_FO_DAY = "CAST(CAST(date_trunc('month', l_shipdate) AS DATE) + CAST(l_partkey%3 AS INT) AS STRING)"
+# One fetch delivers many records under one ingestion time; their sequence in it is stored.
+_FETCH = "CAST(floor(l_orderkey/20) AS BIGINT)*1000 AS ingested_at"
+_SEQUENCE = "l_orderkey*10+l_linenumber AS arrival_seq"
 
 VIEWS: dict[str, View] = {
     # Equity bhavcopy records (bronze input). ``tiebreak`` orders rows that
-    # share an ingestion time; it is fixture-only.
+    # share an order line; it is fixture-only.
     "equity_raw": View("lineitem", (
-        "l_orderkey*10+l_linenumber AS ingested_at",
+        _FETCH, _SEQUENCE,
         f"{_DAY} AS trade_date",
         "concat(' sym', CAST(l_suppkey AS STRING), ' ') AS symbol",
         "CASE l_returnflag WHEN 'N' THEN 'eq ' WHEN 'A' THEN 'BE' ELSE 'SM' END AS series",
-        "CAST(NULL AS STRING) AS isin",
+        "concat('INE', CAST(l_partkey AS STRING)) AS isin",
         f"{_PRICE} AS open",
         f"{_PRICE}*(1+l_tax) AS high",
         f"{_PRICE}*(1-l_discount) AS low",
@@ -40,40 +45,44 @@ VIEWS: dict[str, View] = {
         f"WHEN l_linenumber%3=0 THEN {_PRICE}*(1-l_discount) "
         f"WHEN l_linenumber%3=1 THEN {_PRICE}*(1+l_tax) "
         f"ELSE {_PRICE} END AS close",
-        "CAST(NULL AS DOUBLE) AS last",
-        "CAST(NULL AS DOUBLE) AS prev_close",
-        "CAST(NULL AS BIGINT) AS total_trades",
+        f"CASE WHEN l_linenumber=5 THEN -1*{_PRICE} ELSE {_PRICE}*(1+l_discount) END AS last",
+        f"CASE WHEN l_linenumber=4 THEN NULL ELSE {_PRICE}*(1-l_tax) END AS prev_close",
+        "CAST(l_orderkey%997 AS BIGINT) AS total_trades",
         "CAST(l_quantity AS BIGINT) AS total_quantity",
         "l_extendedprice AS total_turnover",
-        "CAST(NULL AS BIGINT) AS deliverable_qty",
+        "CASE WHEN l_linenumber=3 THEN NULL ELSE CAST(l_quantity AS BIGINT)%7 END AS deliverable_qty",
         "l_discount*100 AS delivery_pct",
         "'bhavcopy' AS source",
         "l_partkey AS tiebreak",
     )),
-    # Corporate actions; action_type carries the subject text, as details does.
+    # Corporate actions of the whole table, 20 for each symbol; action_type
+    # carries the subject text, as details does. Some ex-dates are malformed.
     "corporate": View("part", (
-        "concat('SYM', CAST(p_partkey%100 AS STRING)) AS symbol",
+        "concat('SYM', CAST(CAST(floor(p_partkey/20) AS BIGINT) AS STRING)) AS symbol",
         "CAST(p_partkey AS BIGINT) AS ingested_at",
         "CASE p_size%5 WHEN 0 THEN 'BONUS - 1:1' "
         "WHEN 1 THEN 'FACE VALUE SPLIT FROM RS 10 TO RS 2' "
         "WHEN 2 THEN 'DIVIDEND - RS 5 PER SHARE' "
         "WHEN 3 THEN 'bonus 3:2' ELSE 'RIGHTS 1:4' END AS action_type",
-        "CAST(DATE '1996-01-01' + CAST(p_partkey*37%2000 AS INT) AS STRING) AS ex_date",
+        "CASE WHEN p_partkey%23=0 THEN 'to be announced' "
+        "ELSE CAST(DATE '1996-01-01' + CAST(p_partkey*37%2000 AS INT) AS STRING) END AS ex_date",
         "CASE p_size%5 WHEN 0 THEN 'BONUS - 1:1' "
         "WHEN 1 THEN 'FACE VALUE SPLIT FROM RS 10 TO RS 2' "
         "WHEN 2 THEN 'DIVIDEND - RS 5 PER SHARE' "
         "WHEN 3 THEN 'bonus 3:2' ELSE 'RIGHTS 1:4' END AS details",
-    ), "p_partkey < 300"),
-    # Derivatives bhavcopy records.
+    )),
+    # Derivatives bhavcopy records; some lack the symbol, the instrument or the expiry.
     "fo_raw": View("lineitem", (
-        "l_orderkey*10+l_linenumber AS ingested_at",
-        f"{_DAY} AS trade_date",
-        "concat(' sym', CAST(l_suppkey AS STRING)) AS symbol",
+        _FETCH, _SEQUENCE,
+        f"{_FO_DAY} AS trade_date",
+        "CASE WHEN l_linenumber=6 AND l_partkey%4=0 THEN '  ' "
+        "ELSE concat(' sym', CAST(l_suppkey AS STRING)) END AS symbol",
         "CASE l_returnflag WHEN 'N' THEN 'optidx' WHEN 'A' THEN 'OPTSTK ' ELSE 'FUTSTK' END "
         "AS instrument_type",
-        "CAST(CAST(l_shipdate AS DATE)+30 AS STRING) AS expiry_date",
+        "CASE WHEN l_linenumber=5 AND l_partkey%4=1 THEN NULL WHEN l_linenumber=4 AND l_partkey%4=2 THEN '' "
+        "ELSE CAST(last_day(CAST(l_shipdate AS DATE)) AS STRING) END AS expiry_date",
         f"CASE WHEN l_returnflag='R' THEN NULL "
-        f"ELSE CAST(floor({_PRICE}/100) AS DOUBLE)*100 END AS strike_price",
+        f"ELSE CAST(floor({_PRICE}/40000) AS DOUBLE)*20000000 + 0.5*(l_partkey%2) END AS strike_price",
         "CASE WHEN l_returnflag='R' THEN '' WHEN l_linestatus='O' THEN 'ce' ELSE 'PE ' END "
         "AS option_type",
         f"{_PRICE} AS open",
@@ -123,7 +132,7 @@ VIEWS: dict[str, View] = {
         "CAST(CAST(ts AS DATE) AS STRING) AS trade_date",
         "CASE event_type WHEN 'purchase' THEN 'FII_DII' ELSE 'MARKET_STATUS' END AS record_type",
         "props AS data",
-    ), "event_type IN ('purchase','error')"),
+    )),
     # Equity landing rows in the exchange's column names, all strings, with
     # blanks, junk and signed/exponent numbers to exercise the safe casts.
     "equity_landing": View("lineitem", (

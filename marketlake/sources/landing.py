@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from marketlake import schemas
 from marketlake.functions.casts import (
-    blank_to_null, comma_float, py_strip, safe_float, safe_int, truthy_text,
+    blank_to_null, comma_float, parse_number, python_float_text, py_strip, safe_float, safe_int, trim_numbers, truthy_text,
 )
 
 
@@ -33,6 +33,12 @@ def _first_present(df: DataFrame, *names: str) -> Column:
     return F.coalesce(*[_get(df, n) for n in names])
 
 
+def _with_trimmed(items: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Number columns trimmed in a projection of their own; absent ones are null."""
+    absent = {n: F.lit(None).cast("string") for n in names if n not in items.columns}
+    return trim_numbers(items.withColumns(absent) if absent else items, names)
+
+
 def _now_ms() -> Column:
     return F.unix_millis(F.current_timestamp())
 
@@ -74,10 +80,11 @@ FO_INT = {"TtlNbOfTxsExctd": "contracts", "OpnIntrst": "open_interest",
 
 def land_equity(items: DataFrame, trade_date: str | None = None) -> DataFrame:
     """Equity bhavcopy items -> equity_raw (source ``bhavcopy``)."""
+    items = _with_trimmed(items, [*EQUITY_FLOAT, *EQUITY_INT])
     cols = {"ingested_at": _ingested(items), "trade_date": _context(items, "trade_date", trade_date)}
     cols.update({dst: _get(items, src) for src, dst in EQUITY_TEXT.items()})
-    cols.update({dst: safe_float(_get(items, src)) for src, dst in EQUITY_FLOAT.items()})
-    cols.update({dst: safe_int(_get(items, src)) for src, dst in EQUITY_INT.items()})
+    cols.update({dst: parse_number(src) for src, dst in EQUITY_FLOAT.items()})
+    cols.update({dst: parse_number(src).try_cast("bigint") for src, dst in EQUITY_INT.items()})
     cols.update({"deliverable_qty": F.lit(None), "delivery_pct": F.lit(None),
                  "source": F.lit("bhavcopy")})
     return _conform(items.select(*[c.alias(n) for n, c in cols.items()]), schemas.EQUITY_RAW)
@@ -85,10 +92,11 @@ def land_equity(items: DataFrame, trade_date: str | None = None) -> DataFrame:
 
 def land_fo(items: DataFrame, trade_date: str | None = None) -> DataFrame:
     """Derivatives bhavcopy items -> fo_raw (instrument codes passed through)."""
+    items = _with_trimmed(items, [*FO_FLOAT, *FO_INT])
     cols = {"ingested_at": _ingested(items), "trade_date": _context(items, "trade_date", trade_date)}
     cols.update({dst: _get(items, src) for src, dst in FO_TEXT.items()})
-    cols.update({dst: safe_float(_get(items, src)) for src, dst in FO_FLOAT.items()})
-    cols.update({dst: safe_int(_get(items, src)) for src, dst in FO_INT.items()})
+    cols.update({dst: parse_number(src) for src, dst in FO_FLOAT.items()})
+    cols.update({dst: parse_number(src).try_cast("bigint") for src, dst in FO_INT.items()})
     return _conform(items.select(*[c.alias(n) for n, c in cols.items()]), schemas.FO_RAW)
 
 
@@ -96,11 +104,16 @@ def land_index(items: DataFrame, trade_date: str | None = None) -> DataFrame:
     """S3: index snapshot items -> index_raw.
 
     Name: ``index``, else ``indexSymbol``, else ``UNKNOWN``. Close: ``last``
-    when it is truthy text, else ``indicativeClose``. Numbers may carry
-    thousands separators. Volume and turnover are not in the snapshot (0).
+    when it is truthy (non-empty text, or a number other than 0), else
+    ``indicativeClose``. Numbers may come typed or as text with thousands
+    separators. Volume and turnover are not in the snapshot (0).
     """
     last = _get(items, "last")
-    close_text = F.when(truthy_text(last), last).otherwise(_get(items, "indicativeClose"))
+    if dict(items.dtypes).get("last", "string") == "string":
+        truthy = truthy_text(last)
+    else:  # a number as delivered: 0 is not truthy, NaN is
+        truthy = last.isNotNull() & (last != 0)
+    close_text = F.when(truthy, last.cast("string")).otherwise(_get(items, "indicativeClose").cast("string"))
     cols = {
         "ingested_at": _ingested(items),
         "trade_date": _context(items, "trade_date", trade_date),
@@ -243,9 +256,12 @@ def columnar_to_rows(columnar: DataFrame, array_cols: Sequence[str],
 
 
 def business_key(domain: str, df: DataFrame) -> Column:
-    """Message key of a record (null parts render as ``None``)."""
+    """Message key of a record (parts render as Python formats them, null as ``None``)."""
+    types = dict(df.dtypes)
+
     def part(c: str) -> Column:
-        return F.coalesce(F.col(c).cast("string"), F.lit("None"))
+        text = python_float_text(F.col(c)) if types[c] == "double" else F.col(c).cast("string")
+        return F.coalesce(text, F.lit("None"))
 
     parts = {
         "equity": ["symbol", "trade_date"],
@@ -263,6 +279,26 @@ def deliverable_key(df: DataFrame) -> Column:
     return F.concat(business_key("equity", df), F.lit("_DEL"))
 
 
+def index_items(payloads: DataFrame) -> DataFrame:
+    """S3 as delivered: one payload with a ``data`` array of items -> one row per item.
+
+    Columns of the payload beside ``data`` (fetch time, trade date) are kept;
+    a payload without items gives no row.
+    """
+    rest = [c for c in payloads.columns if c != "data"]
+    return payloads.select(*rest, F.inline("data"))
+
+
+def with_arrival(items: DataFrame) -> DataFrame:
+    """Number the items of a landing batch in the order they are read (``arrival_seq``).
+
+    All items of one fetch share its ingestion time; the number, stored with
+    the record when it is landed, says which of them came first. It is unique
+    within the batch, not gap-free.
+    """
+    return items.withColumn("arrival_seq", F.monotonically_increasing_id())
+
+
 def enforce_schema(
     records: DataFrame,
     name: str,

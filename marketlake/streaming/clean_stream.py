@@ -2,10 +2,12 @@
 
 The same normalise/filter functions as batch (``operators.clean``) run on a
 streaming DataFrame; de-duplication keeps the first row per key with
-``dropDuplicatesWithinWatermark``. State is bounded by the watermark: the
-delay (24 h equities, 48 h derivatives) is the lateness bound -- a duplicate
-arriving later than that after its first copy is emitted again, and rows
-older than the watermark are dropped.
+``dropDuplicatesWithinWatermark``. The watermark runs on the time a record is
+seen (the time of its micro-batch), not on a time inside the record: no record
+is ever late, whatever order the exchange delivers in, and a key is remembered
+for the delay (24 h equities, 48 h derivatives) after it was first seen. A
+duplicate that comes later than that is emitted again. Cleaned, rejected and
+duplicate records together are the input.
 
 Sinks are partitioned Parquet with a checkpoint under the shared checkpoint
 root, so a restarted query resumes exactly where it stopped (exactly-once
@@ -58,8 +60,8 @@ def parse_messages(messages: DataFrame, schema: T.StructType, value_col: str = "
     return messages.select(decoded.alias("_m")).select("_m.*")
 
 
-def _event_time(df: DataFrame) -> DataFrame:
-    return df.withColumn("_event_ts", F.timestamp_millis(F.col("ingested_at")))
+def _seen_time(df: DataFrame) -> DataFrame:
+    return df.withColumn("_seen_at", F.current_timestamp())
 
 
 def first_per_key_stream(df: DataFrame, keys: Sequence[str], event_time: str, delay: str) -> DataFrame:
@@ -70,15 +72,15 @@ def first_per_key_stream(df: DataFrame, keys: Sequence[str], event_time: str, de
 
 def equity_clean_stream(df: DataFrame, delay: str = EQUITY_DELAY) -> DataFrame:
     """C7 on a stream: normalise, reject, first arrival per (symbol, trade_date)."""
-    valid = df.transform(clean.equity_normalise).transform(clean.equity_valid).transform(_event_time)
-    return first_per_key_stream(valid, clean.EQUITY_KEY, "_event_ts", delay).drop("_event_ts")
+    valid = df.transform(clean.equity_normalise).transform(clean.equity_valid).transform(_seen_time)
+    return first_per_key_stream(valid, clean.EQUITY_KEY, "_seen_at", delay).drop("_seen_at")
 
 
 def fo_clean_stream(df: DataFrame, delay: str = FO_DELAY, per_day: bool = True) -> DataFrame:
     """C8 on a stream: normalise, validity filter, first arrival per contract."""
     keys = clean.FO_CONTRACT_DAY_KEY if per_day else clean.FO_CONTRACT_KEY
-    valid = df.transform(clean.fo_normalise).transform(clean.fo_valid).transform(_event_time)
-    return first_per_key_stream(valid, keys, "_event_ts", delay).drop("_event_ts")
+    valid = df.transform(clean.fo_normalise).transform(clean.fo_valid).transform(_seen_time)
+    return first_per_key_stream(valid, keys, "_seen_at", delay).drop("_seen_at")
 
 
 def rejects_stream(df: DataFrame, domain: str) -> DataFrame:
@@ -122,9 +124,15 @@ def write_bronze(
 RAW_SCHEMAS = {"equity": schemas.EQUITY_RAW, "fo": schemas.FO_RAW}
 
 
-def run_available_now(query: StreamingQuery, timeout_s: int = 600) -> None:
-    """Wait for an availableNow query; stop it if it overruns, then re-raise errors."""
-    finished = query.awaitTermination(timeout_s)
+def run_available_now(query: StreamingQuery, timeout_s: int | None = None) -> None:
+    """Wait until an availableNow query has drained its backlog; re-raise errors.
+
+    There is no time limit unless one is given (tests): then an overrunning
+    query is stopped.
+    """
+    finished = True if timeout_s is None else query.awaitTermination(timeout_s)
+    if timeout_s is None:
+        query.awaitTermination()
     if not finished:
         query.stop()
         raise TimeoutError(f"streaming query {query.name or query.id} did not finish in {timeout_s}s")

@@ -19,7 +19,7 @@ def test_first_arrival_matches_brute_force(spark):
                      rng.choice([None, "EQ", "BE"]), rng.choice([None, 1.5, 2.5, 3.0])))
     schema = "symbol string, trade_date string, ingested_at long, series string, close double"
     got = {(r["symbol"], r["trade_date"]): tuple(r) for r in
-           clean.first_arrival(spark.createDataFrame(rows, schema), ["symbol", "trade_date"]).collect()}
+           clean.first_arrival(spark.createDataFrame(rows, schema), ["symbol", "trade_date"], ["ingested_at"]).collect()}
 
     def order(r):  # arrival, then the other columns in order, nulls first
         return tuple((x is not None, x) for x in (r[2], r[3], r[4]))

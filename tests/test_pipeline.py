@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pytest
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -38,17 +40,17 @@ def test_dedup_hot_key_is_pre_aggregated(spark):
         F.col("id").alias("ingested_at"),
         (F.col("id") * 1.5).alias("close"),
     )
-    out = clean.equity_dedup(df)
+    out = clean.equity_dedup(df, ("ingested_at",))
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.index("partial_min") > plan.index("Exchange")  # partial agg below the exchange
     hot = out.where("symbol = 'HOT'").first()
     assert hot["ingested_at"] == 0 and out.count() == 20000 - 6667 + 1
 
 
-def test_array_and_join_factor_agree(spark, sf_dir):
+def test_interval_and_join_factor_agree(spark, sf_dir):
     prices = clean.equity_clean(_eq(spark, sf_dir), catalog.EQ_ORDER).select(*adjust.PRICE_COLUMNS)
     corp = fixtures.load(spark, sf_dir, "corporate")
-    a = adjust.cumulative_factor_array(prices, corp).select("symbol", "trade_date",
+    a = adjust.cumulative_factor_interval(prices, corp).select("symbol", "trade_date",
                                                              F.col("cumulative_adj_factor").alias("a"))
     j = adjust.cumulative_factor_join(prices, corp).select("symbol", "trade_date",
                                                            F.col("cumulative_adj_factor").alias("j"))
@@ -72,13 +74,13 @@ def test_factor_properties(spark, sf_dir):
 def test_broadcast_is_size_checked(spark, sf_dir, monkeypatch):
     prices = clean.equity_clean(_eq(spark, sf_dir), catalog.EQ_ORDER).select(*adjust.PRICE_COLUMNS)
     corp = fixtures.load(spark, sf_dir, "corporate")
-    small = adjust.cumulative_factor_array(prices, corp)._jdf.queryExecution().executedPlan().toString()
+    small = adjust.cumulative_factor_interval(prices, corp)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastExchange" in small
     monkeypatch.setattr(adjust, "BROADCAST_ACTIONS_MAX_BYTES", 0)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
-        big = adjust.cumulative_factor_array(prices, corp)
+        big = adjust.cumulative_factor_interval(prices, corp)
         assert "BroadcastExchange" not in big._jdf.queryExecution().executedPlan().toString()
         assert big.count() == prices.count()
     finally:
@@ -133,19 +135,6 @@ def test_unique_symbol_days_count_is_exact_and_shuffle_free(spark, sf_dir):
     assert plan.count("Exchange") == 1  # only the per-date partial rows move
 
 
-def test_many_actions_per_symbol_falls_back_to_window_intervals(spark, sf_dir, monkeypatch):
-    prices = clean.equity_clean(_eq(spark, sf_dir), catalog.EQ_ORDER).select(*adjust.PRICE_COLUMNS)
-    corp = fixtures.load(spark, sf_dir, "corporate")
-    normal = adjust.cumulative_factor_array(prices, corp)
-    monkeypatch.setattr(adjust, "ARRAY_MAX_ACTIONS_PER_SYMBOL", 0)
-    fallback = adjust.cumulative_factor_array(prices, corp)
-    plan = fallback._jdf.queryExecution().executedPlan().toString()
-    assert "Window" in plan and "collect_list" not in plan
-    a = normal.select("symbol", "trade_date", F.round("cumulative_adj_factor", 12).alias("f"))
-    b = fallback.select("symbol", "trade_date", F.round("cumulative_adj_factor", 12).alias("f"))
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-
-
 def test_zorder_splits_a_hot_value(spark):
     from marketlake.operators import maintain
 
@@ -160,17 +149,47 @@ def test_zorder_splits_a_hot_value(spark):
     assert z.exceptAll(df).count() == 0 and z.count() == df.count()
 
 
-def test_interval_plan_matches_array_plan_bit_for_bit(spark, sf_dir):
+def test_interval_plan_is_a_broadcast_equi_join(spark, sf_dir):
     prices = clean.equity_clean(_eq(spark, sf_dir), catalog.EQ_ORDER).select(*adjust.PRICE_COLUMNS)
-    corp = fixtures.load(spark, sf_dir, "corporate")
-    a = adjust.cumulative_factor_array(prices, corp)
-    i = adjust.cumulative_factor_interval(prices, corp)
+    i = adjust.cumulative_factor_interval(prices, fixtures.load(spark, sf_dir, "corporate"))
     assert i.count() == prices.count()
-    assert a.exceptAll(i).count() == 0 and i.exceptAll(a).count() == 0
     plan = i._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+def test_zorder_tells_symbols_with_a_common_prefix_apart(spark):
+    from marketlake.operators import maintain
+
+    df = spark.range(500).select(F.format_string("NIFTY50_%04d", "id").alias("symbol"), F.lit("2024-01-01").alias("trade_date"))
+    z = maintain.with_zorder(df, ["symbol", "trade_date"])
+    assert z.select("_z").distinct().count() == 500
+    ranked = [r["symbol"] for r in z.orderBy("_z").collect()]
+    assert ranked == sorted(ranked)
+
+
+def test_tied_arrivals_keep_the_same_row_in_every_plan(spark):
+    """All records of a fetch share a time: the stored sequence decides, whatever columns are carried."""
+    eq = spark.createDataFrame(
+        [(5, 2, "2024-01-02", "ABC", "EQ", 1.0), (5, 1, "2024-01-02", "abc ", "EQ", 9.0), (4, 9, "2024-01-03", "ABC", "EQ", 3.0)],
+        "ingested_at long, arrival_seq long, trade_date string, symbol string, series string, close double")
+    for c in ("open", "high", "low", "total_turnover", "delivery_pct"):
+        eq = eq.withColumn(c, F.col("close"))
+    eq = eq.withColumn("total_quantity", F.lit(1).cast("long"))
+    corp = spark.createDataFrame([], "symbol string, ex_date string, action_type string, details string")
+    full = clean.equity_clean(eq, clean.ARRIVAL_ORDER)
+    silver = lake.silver(eq, corp, clean.ARRIVAL_ORDER)
+    assert sorted((r.trade_date, r.close) for r in full.collect()) == [("2024-01-02", 9.0), ("2024-01-03", 3.0)]
+    assert sorted((r.trade_date, r.close_raw) for r in silver.collect()) == [("2024-01-02", 9.0), ("2024-01-03", 3.0)]
+    fo = spark.createDataFrame(
+        [(7, 1, "2024-01-02", "N", "OPTIDX", "2024-01-25", 100.0, "PE", 1.0, 900), (7, 2, "2024-01-02", "N", "OPTIDX", "2024-01-25", 100.0, "PE", 0.5, 100)],
+        "ingested_at long, arrival_seq long, trade_date string, symbol string, instrument_type string, expiry_date string, "
+        "strike_price double, option_type string, close double, open_interest long")
+    assert [r.open_interest for r in clean.fo_clean(fo, clean.ARRIVAL_ORDER).collect()] == [900]
+    assert [r.open_interest for r in lake.fo_bronze_for_pcr(fo, clean.ARRIVAL_ORDER).collect()] == [900]
+    with pytest.raises(ValueError, match="arrival_seq"):
+        clean.equity_clean(eq.drop("arrival_seq"), clean.ARRIVAL_ORDER)
+
+
 def test_interval_plan_edge_cases(spark):
     prices = spark.createDataFrame(
         [("2024-01-01", "A"), ("2024-02-01", "A"), ("2024-03-01", "A"), ("2024-04-01", "A"),
@@ -189,17 +208,3 @@ def test_interval_plan_edge_cases(spark):
     assert got[("A", "bad-date")] == 1.0
     assert got[("B", "2024-01-01")] is None     # only a zero factor matches
     assert got[("Z", "2024-01-01")] == 1.0
-
-
-def test_window_intervals_agree_with_array_intervals(spark, sf_dir, monkeypatch):
-    prices = clean.equity_clean(_eq(spark, sf_dir), catalog.EQ_ORDER).select(*adjust.PRICE_COLUMNS)
-    corp = fixtures.load(spark, sf_dir, "corporate")
-    exact = adjust.cumulative_factor_interval(prices, corp).select(
-        "symbol", "trade_date", F.col("cumulative_adj_factor").alias("a"))
-    monkeypatch.setattr(adjust, "ARRAY_MAX_ACTIONS_PER_SYMBOL", 0)
-    windowed = adjust.cumulative_factor_interval(prices, corp)
-    assert "Window" in windowed._jdf.queryExecution().executedPlan().toString()
-    both = exact.join(windowed.select("symbol", "trade_date", F.col("cumulative_adj_factor").alias("w")),
-                      ["symbol", "trade_date"])
-    assert both.count() == prices.count()
-    assert both.where(F.abs(F.col("a") - F.col("w")) > 1e-12 * F.abs(F.col("a"))).count() == 0

@@ -74,7 +74,7 @@ def test_compaction_rewrite_and_fault_isolation(spark, sf_dir):
 
 
 def test_parse_messages_round_trip(spark, sf_dir):
-    raw = fixtures.load(spark, sf_dir, "equity_raw").drop("tiebreak")
+    raw = fixtures.load(spark, sf_dir, "equity_raw").drop("tiebreak", "arrival_seq")
     msgs = raw.select(F.to_json(F.struct(*raw.columns)).alias("value"))
     back = clean_stream.parse_messages(msgs, clean_stream.RAW_SCHEMAS["equity"])
     assert back.exceptAll(raw).count() == 0 and raw.exceptAll(back).count() == 0
