@@ -21,7 +21,7 @@ from marketlake.plans import catalog  # noqa: E402
 from marketlake.session import build_session  # noqa: E402
 
 HEADLINE = ("market_breadth", "ohlcv_adjusted", "equity_clean", "put_call_ratio")
-EXTRA = ("fo_clean", "cumulative_factor", "land_equity", "zorder_rewrite")
+EXTRA = ("fo_clean", "cumulative_factor", "land_equity", "land_fo", "zorder_rewrite")
 
 
 def run(spark, name: str, sf_dir: str) -> float:

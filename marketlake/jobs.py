@@ -1,6 +1,9 @@
 """Submit-able jobs: ``spark-submit -m marketlake.jobs <job> ...`` or
 ``python -m marketlake.jobs <job> ...``.
 
+* ``land``    -- as-delivered JSON files of one domain -> typed records, numbered
+  in arrival order, in a Parquet table
+* ``rebuild`` -- rebuild the years of silver that new corporate actions change
 * ``silver``  -- clean equity records and back-adjust them (writes silver)
 * ``gold``    -- market breadth + put-call ratio from silver and FO bronze
 * ``daily``   -- silver then gold (gold reads the written silver table)
@@ -20,9 +23,11 @@ import json
 import sys
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from marketlake.operators import breadth, clean, maintain
 from marketlake.plans import lake
+from marketlake.sources import landing
 from marketlake.streaming import clean_stream
 
 
@@ -30,6 +35,21 @@ def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="marketlake.jobs")
     sub = p.add_subparsers(dest="job", required=True)
 
+    ld = sub.add_parser("land", help="as-delivered JSON lines -> typed records")
+    ld.add_argument("domain", choices=["equity", "fo", "index", "corporate", "surveillance"])
+    ld.add_argument("--source", required=True, help="JSON lines; index payloads hold a data array")
+    ld.add_argument("--out", required=True)
+    ld.add_argument("--trade-date", default=None)
+    ld.add_argument("--list-type", default=None, help="surveillance list of the files")
+    ld.add_argument("--as-of-date", default=None)
+
+    rb = sub.add_parser("rebuild", help="new corporate actions -> rebuilt years of silver")
+    rb.add_argument("--equity", required=True)
+    rb.add_argument("--corporate", required=True, help="all actions, the new ones included")
+    rb.add_argument("--new", required=True, help="the new actions")
+    rb.add_argument("--silver", required=True)
+    rb.add_argument("--order", default=",".join(clean.ARRIVAL_ORDER))
+
     s = sub.add_parser("silver", help="equity records + corporate actions -> silver")
     s.add_argument("--equity", required=True)
     s.add_argument("--corporate", required=True)
@@ -82,6 +102,26 @@ def run(argv: list[str], spark: SparkSession | None = None) -> dict:
     args = _parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName(f"marketlake-{args.job}").getOrCreate()
     read = spark.read.parquet
+    if args.job == "land":
+        # delivered values keep their JSON types; the landing functions read either
+        items = spark.read.json(args.source)
+        if args.domain == "index" and "data" in items.columns:
+            items = landing.index_items(items)
+        items = landing.with_arrival(items)
+        if args.domain in ("equity", "fo", "index"):
+            landed = getattr(landing, f"land_{args.domain}")(items, args.trade_date)
+        elif args.domain == "corporate":
+            landed = landing.land_corporate(items)
+        else:
+            for name, value in (("list_type", args.list_type), ("as_of_date", args.as_of_date)):
+                if value is not None:
+                    items = items.withColumn(name, F.lit(value))
+            landed = landing.land_surveillance([items])
+        landed.write.mode("append").parquet(args.out)
+        return {args.domain: args.out}
+    if args.job == "rebuild":
+        return {"years": lake.rebuild_silver(read(args.equity), read(args.corporate), read(args.new), args.silver,
+                                             args.order.split(","))}
     if args.job == "silver":
         df = lake.silver(read(args.equity), read(args.corporate), args.order.split(","), start_date=args.start_date)
         lake.write_silver(df, args.out)

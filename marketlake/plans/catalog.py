@@ -264,6 +264,16 @@ def _lake(spark, sf_dir, *tables: str) -> Lake:
     return Lake(spark, **{t: build[t]() for t in tables})
 
 
+def silver_after_new_actions(spark, sf_dir):
+    """Silver is built before the last actions arrive, then the years they change are rebuilt."""
+    load, path = _load(spark, sf_dir), scratch_path(spark, "late-actions")
+    corporate = load("corporate")
+    late = F.col("ex_date") < "1997-07-01"  # early ex-dates, known late
+    lake.write_silver(lake.silver(load("equity_raw"), corporate.where(~late), EQ_ORDER), path)
+    lake.rebuild_silver(load("equity_raw"), corporate, corporate.where(late), path, EQ_ORDER)
+    return spark.read.parquet(path).drop("trade_year")
+
+
 def serve_ohlcv(spark, sf_dir):
     return _lake(spark, sf_dir, "silver").get_ohlcv(SERVE_SYMBOL, SERVE_FROM, SERVE_TO)
 
@@ -428,6 +438,7 @@ QUERIES: dict[str, Query] = {
     "put_call_ratio": put_call_ratio,
     "market_breadth": market_breadth,
     "lake_job_gold": lake_job_gold,
+    "silver_after_new_actions": silver_after_new_actions,
     "serve_ohlcv": serve_ohlcv,
     "serve_ohlcv_raw": serve_ohlcv_raw,
     "serve_breadth": serve_breadth,

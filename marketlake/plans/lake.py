@@ -92,6 +92,39 @@ def write_gold(gold_df: DataFrame, path: str) -> None:
     write_partitioned(with_trade_year(gold_df), path, ["trade_year"])
 
 
+def affected_years(silver: DataFrame, new_actions: DataFrame) -> list[int]:
+    """Years of silver whose factors a new action changes: its symbol trades there before the ex-date.
+
+    A few dozen numbers at most, whatever the tables.
+    """
+    latest = (adjust.adjusting_actions(new_actions).groupBy(F.col("symbol").alias("_s"))
+              .agg(F.max("ex_date").alias("_hi")))
+    hit = silver.join(latest, (F.col("symbol") == F.col("_s"))
+                      & (F.col("trade_date").cast("string").try_cast("date") < F.col("_hi")), "left_semi")
+    return sorted(r["trade_year"] for r in hit.select("trade_year").distinct().collect() if r["trade_year"] is not None)
+
+
+def rebuild_silver(
+    equity_raw: DataFrame,
+    corporate: DataFrame,
+    new_actions: DataFrame,
+    path: str,
+    order: Sequence[str],
+) -> list[int]:
+    """After new splits or bonuses, rebuild the years of silver that they change.
+
+    ``corporate`` holds all actions, the new ones included. A back-adjustment
+    reaches from the ex-date to the symbol's first day, so every earlier year
+    in which a symbol with a new action trades is computed anew and replaces
+    its partition; other years are left alone. Returns the rebuilt years.
+    """
+    years = affected_years(equity_raw.sparkSession.read.parquet(path), new_actions)
+    if years:
+        raw = equity_raw.where(F.substring("trade_date", 1, 4).isin([f"{y:04d}" for y in years]))
+        write_silver(silver(raw, corporate, order), path)
+    return years
+
+
 def run_lake(
     equity_raw: DataFrame,
     corporate: DataFrame,
@@ -112,8 +145,7 @@ def run_lake(
     ``start_date`` rebuilds from that date on; it is floored to 1 January so
     every ``trade_year`` partition the dynamic overwrite replaces is rebuilt
     whole. A newly arrived split/bonus changes the factors of all earlier
-    prices of its symbol, so after new actions run with ``start_date=None``
-    (full rebuild). Row counts are observed during the writes (no re-run).
+    prices of its symbol: after new actions run ``rebuild_silver`` first. Row counts are observed during the writes (no re-run).
     """
     from pyspark.sql import Observation
 

@@ -401,6 +401,7 @@ GROUP BY {PRICE_COLS}"""
                       "gold AS (SELECT ad.*, pcr.put_oi, pcr.call_oi, pcr.pcr_oi "
                       "FROM ad LEFT JOIN pcr USING (trade_date))")
     silver_sql = with_views(("equity_raw", "corporate"), *eq_chain, ACTS, SILVER)
+    q["silver_after_new_actions"] = silver_sql + "\nSELECT * FROM silver"
     q["serve_ohlcv"] = silver_sql + """
 SELECT trade_date, symbol, open_adj, high_adj, low_adj, close_adj, total_quantity, total_turnover,
        delivery_pct, cumulative_adj_factor

@@ -54,7 +54,14 @@ def _ingested(df: DataFrame) -> Column:
 
 
 def _conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    """The schema's columns, and the stored arrival number if the batch has one."""
+    kept = ["arrival_seq"] if "arrival_seq" in df.columns else []
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields], *kept)
+
+
+def _project(items: DataFrame, cols: dict[str, Column]) -> DataFrame:
+    kept = ["arrival_seq"] if "arrival_seq" in items.columns else []
+    return items.select(*[c.alias(n) for n, c in cols.items()], *kept)
 
 
 # Exchange column name -> record field, equity bhavcopy.
@@ -87,7 +94,7 @@ def land_equity(items: DataFrame, trade_date: str | None = None) -> DataFrame:
     cols.update({dst: parse_number(src).try_cast("bigint") for src, dst in EQUITY_INT.items()})
     cols.update({"deliverable_qty": F.lit(None), "delivery_pct": F.lit(None),
                  "source": F.lit("bhavcopy")})
-    return _conform(items.select(*[c.alias(n) for n, c in cols.items()]), schemas.EQUITY_RAW)
+    return _conform(_project(items, cols), schemas.EQUITY_RAW)
 
 
 def land_fo(items: DataFrame, trade_date: str | None = None) -> DataFrame:
@@ -97,7 +104,7 @@ def land_fo(items: DataFrame, trade_date: str | None = None) -> DataFrame:
     cols.update({dst: _get(items, src) for src, dst in FO_TEXT.items()})
     cols.update({dst: parse_number(src) for src, dst in FO_FLOAT.items()})
     cols.update({dst: parse_number(src).try_cast("bigint") for src, dst in FO_INT.items()})
-    return _conform(items.select(*[c.alias(n) for n, c in cols.items()]), schemas.FO_RAW)
+    return _conform(_project(items, cols), schemas.FO_RAW)
 
 
 def land_index(items: DataFrame, trade_date: str | None = None) -> DataFrame:
@@ -130,7 +137,7 @@ def land_index(items: DataFrame, trade_date: str | None = None) -> DataFrame:
         "pb_ratio": comma_float(_get(items, "pb")),
         "div_yield": comma_float(_get(items, "dy")),
     }
-    return _conform(items.select(*[c.alias(n) for n, c in cols.items()]), schemas.INDEX_RAW)
+    return _conform(_project(items, cols), schemas.INDEX_RAW)
 
 
 def land_corporate(items: DataFrame) -> DataFrame:
@@ -158,7 +165,7 @@ def land_corporate(items: DataFrame) -> DataFrame:
         "details": text("subject"),
         "series": blank_to_null(F.coalesce(_get(items, "series"), F.lit("EQ"))),
     }
-    return _conform(items.select(*[c.alias(n) for n, c in cols.items()]), schemas.CORPORATE_RAW)
+    return _conform(_project(items, cols), schemas.CORPORATE_RAW)
 
 
 # Item keys of the surveillance lists (first present wins).
