@@ -56,15 +56,26 @@ INSULTS = frozenset((
     "crétin dégoûtant dumm trottel abschaum müll widerlich wertlos erbärmlich").split())
 
 _WORD = re.compile(r"[^\W\d_]+")
+_STRETCHED = re.compile(r"([^\W\d_])\1{3}")
+_MASKED = re.compile(r"[^\W\d_][*#@$]{2,}")
+_UPPER = bytes(range(0x41, 0x5B))
+
+
+def _shouts(text: str) -> bool:
+    """At least 40 ASCII letters, more than half of them capitals."""
+    data = text.encode("utf-8")
+    upper = len(data) - len(data.translate(None, _UPPER))
+    lower = len(data) - len(data.translate(None, _UPPER.lower()))
+    return upper > lower and upper + lower >= 40
+
+
+#: Besides these, words with a letter four times in a row are a pattern.
 _PATTERNS = (
     lambda t: t.count("!!") >= 3,
-    lambda t: len(t) >= 40 and sum(map(str.isupper, t[:4000])) > 0.5 * sum(map(str.isalpha, t[:4000])) > 0,
-    lambda t: _STRETCHED.search(t) is not None,
-    lambda t: _MASKED.search(t) is not None,
+    _shouts,
+    lambda t: any(x in t for x in "*#@$") and _MASKED.search(t) is not None,
 )
-_STRETCHED = re.compile(r"([^\W\d_])\1{3}")
-_MASKED = re.compile(r"[^\W\d_][*#@$]{2,}")
-VOTERS = WORD_VOTERS + STEM_VOTERS + 1 + len(_PATTERNS)
+VOTERS = WORD_VOTERS + STEM_VOTERS + 2 + len(_PATTERNS)
 
 
 def _words(text: str) -> set[str]:
@@ -158,6 +169,7 @@ class Reader:
     def __init__(self, lexicon: Lexicon):
         self.lexicon = lexicon
         self.known: dict[str, tuple[int, ...]] = {}
+        self.stretched: set[str] = set()
 
     def _word(self, w: str) -> tuple[int, ...]:
         number = self.lexicon.number
@@ -168,6 +180,7 @@ class Reader:
         known = self.known
         if len(known) > CACHE_WORDS:
             known.clear()
+            self.stretched.clear()
         found: set[int] = set()
         votes = 0
         words = _words(text)
@@ -175,6 +188,8 @@ class Reader:
             f = known.get(w)
             if f is None:
                 f = known[w] = self._word(w)
+                if _STRETCHED.search(w):
+                    self.stretched.add(w)
             if f:
                 found.update(f)
         for f in found:
@@ -183,9 +198,11 @@ class Reader:
                 votes |= 1 << v
         if not INSULTS.isdisjoint(words):
             votes |= 1 << (WORD_VOTERS + STEM_VOTERS)
+        if not self.stretched.isdisjoint(words):
+            votes |= 1 << (WORD_VOTERS + STEM_VOTERS + 1)
         for i, p in enumerate(_PATTERNS):
             if p(text):
-                votes |= 1 << (WORD_VOTERS + STEM_VOTERS + 1 + i)
+                votes |= 1 << (WORD_VOTERS + STEM_VOTERS + 2 + i)
         return found, votes
 
 
