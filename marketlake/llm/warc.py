@@ -15,6 +15,7 @@ logs the bytes in between as a quarantined gap.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import re
 import zlib
@@ -31,6 +32,9 @@ RECORD_DATE = "2024-01-01T00:00:00Z"
 PREFIX = "urn:x-page:"
 CRLF = "\r\n"
 
+#: A gzip member without content. Spark's text writer puts it after each compressed record; readers skip it.
+EMPTY_MEMBER = gzip.compress(b"", mtime=0)
+
 _VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 _START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
 _HTTP_LENGTH = re.compile(rb"(?im)^content-length:[ \t]*(\d+)")
@@ -72,11 +76,26 @@ def records(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
     return p.select(F.concat(head, block, F.lit(CRLF)).alias("value"))
 
 
-def write(pages: DataFrame, path: str, *, archive_bytes: int = ARCHIVE_BYTES, **columns) -> None:
-    """Write archives of about ``archive_bytes`` each under ``path``."""
+def _packed(batches):
+    for b in batches:
+        packed = [gzip.compress(r + b"\r\n", 6, mtime=0) for r in b.column(0).cast(pa.binary()).to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary())], names=["value"])
+
+
+def write(pages: DataFrame, path: str, *, archive_bytes: int = ARCHIVE_BYTES, compress: bool = True,
+          **columns) -> None:
+    """Write archives of about ``archive_bytes`` (before compression) each under ``path``.
+
+    With ``compress`` every record is a gzip member of its own.
+    """
     payload = columns.get("payload_col", "html")
     mean = pages.agg(F.avg(F.octet_length(payload))).first()[0] or 0
-    (records(pages, **columns).write.mode("overwrite").option("lineSep", CRLF)
+    rows, separator = records(pages, **columns), CRLF
+    if compress:
+        # the text writer passes bytes on as they are
+        rows = rows.mapInArrow(_packed, "value binary").select(F.col("value").cast("string"))
+        separator = EMPTY_MEMBER.decode("latin-1")
+    (rows.write.mode("overwrite").option("lineSep", separator).option("encoding", "ISO-8859-1")
      .option("maxRecordsPerFile", max(1, int(archive_bytes / (mean + 500)))).text(path))
 
 
@@ -99,6 +118,8 @@ def _plain(data: bytes, at: int) -> tuple[dict, bytes, int] | None:
     head = _headers(data[version.end():stop])
     if head is None or not head.get(b"content-length", b"").isdigit():
         return None
+    if b"warc-type" not in head or b"warc-record-id" not in head:
+        return None
     start = stop + 4
     end = start + int(head[b"content-length"])
     if data[end:end + 4] != b"\r\n\r\n":
@@ -120,8 +141,8 @@ def _payload(block: bytes) -> tuple[bytes, bytes]:
     return b"", block
 
 
-def _member(data: bytes, at: int) -> tuple[dict, bytes, int] | None:
-    """The same for a gzip member that holds one record."""
+def _member(data: bytes, at: int) -> tuple[dict | None, bytes, int] | None:
+    """The same for a gzip member that holds one record; no headers for an empty member."""
     unzip = zlib.decompressobj(31)
     try:
         inner = unzip.decompress(memoryview(data)[at:])
@@ -129,8 +150,11 @@ def _member(data: bytes, at: int) -> tuple[dict, bytes, int] | None:
         return None
     if not unzip.eof:
         return None
+    end = len(data) - len(unzip.unused_data)
+    if not inner:
+        return None, b"", end
     found = _plain(inner, 0)
-    return None if found is None or found[2] != len(inner) else (found[0], found[1], len(data) - len(unzip.unused_data))
+    return None if found is None or found[2] != len(inner) else (found[0], found[1], end)
 
 
 def read_archive(data: bytes) -> Iterator[tuple]:
@@ -142,7 +166,8 @@ def read_archive(data: bytes) -> Iterator[tuple]:
             if bad is not None:
                 yield "gap", bad, at - bad, None, None
                 bad = None
-            yield "record", at, found[2] - at, found[0], found[1]
+            if found[0] is not None:
+                yield "record", at, found[2] - at, found[0], found[1]
             at = found[2]
             continue
         if bad is None:
