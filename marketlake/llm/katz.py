@@ -47,7 +47,7 @@ ORDER = 2
 #: Counts above it are not discounted.
 CUTOFF = 5
 #: Bytes of text in a batch of documents, and of text whose n-grams share a hash bucket.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 BUCKET_BYTES = 8 << 20
 
 _END, _BEGIN = 1, 2  # hashes of the end token and of the place before the first token
@@ -63,6 +63,24 @@ def _word_hash(w: bytes) -> int:
     return max(3, xxhash.xxh3_64_intdigest(w))
 
 
+def _pack(a: np.ndarray) -> bytes:
+    """An array byte plane by byte plane: the zeros of small numbers then compress to nothing."""
+    return a.view(np.uint8).reshape(-1, a.itemsize).T.tobytes() if len(a) else b""
+
+
+def _unpack(data: bytes, kind) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(kind).ravel()
+
+
+def _pack_sorted(a: np.ndarray) -> bytes:
+    return _pack(np.diff(a, prepend=np.uint64(0)))
+
+
+def _unpack_sorted(data: bytes) -> np.ndarray:
+    return np.cumsum(_unpack(data, np.uint64), dtype=np.uint64)
+
+
 def _scramble(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     return h ^ (h >> np.uint64(32))
@@ -136,7 +154,7 @@ def _grams_before(before: np.ndarray, starts: np.ndarray, order: int) -> np.ndar
 
 
 def _batch_of(row: dict) -> Batch:
-    return Batch(row["keys"], *(np.frombuffer(row[k], t) for k, t in (
+    return Batch(row["keys"], *(_unpack(row[k], t) for k, t in (
         ("held", bool), ("lengths", np.int64), ("vocabulary", np.uint64), ("stream", np.uint32))))
 
 
@@ -167,9 +185,9 @@ def _tokenise(batch_bytes: int):
                 w.write_batch(ids)
             return _arrow(
                 [f.split()[0] for f in _BATCH.split(", ")], [pa.int64(), *[pa.binary()] * 5],
-                [[part << 32 | made], [sink.getvalue().to_pybytes()], [np.array(held, bool).tobytes()],
-                 [np.array(lengths, np.int64).tobytes()], [np.array(hashes, np.uint64).tobytes()],
-                 [np.concatenate(stream).tobytes()]])
+                [[part << 32 | made], [sink.getvalue().to_pybytes()], [_pack(np.array(held, bool))],
+                 [_pack(np.array(lengths, np.int64))], [_pack(np.array(hashes, np.uint64))],
+                 [_pack(np.concatenate(stream))]])
 
         for b in batches:
             at = 0
@@ -215,7 +233,7 @@ def _ask(orders: range, buckets: int):
                 cut = [(k, a, e) for k, (a, e) in enumerate(_cuts(grams, buckets)) if a < e]
                 yield _arrow(names, types, [
                     [n] * len(cut), [k for k, _, _ in cut], [row["batch"]] * len(cut),
-                    [grams[a:e].tobytes() for _, a, e in cut], [counts[a:e].tobytes() for _, a, e in cut]])
+                    [_pack_sorted(grams[a:e]) for _, a, e in cut], [_pack(counts[a:e]) for _, a, e in cut]])
 
     return run
 
@@ -236,8 +254,8 @@ def _count(table: pa.Table) -> pa.Table:
     n, bucket = table.column("n")[0].as_py(), table.column("bucket")[0].as_py()
     order = np.argsort(table.column("batch").to_numpy(), kind="stable")
     batch = table.column("batch").to_numpy()[order]
-    asked = [np.frombuffer(table.column("grams")[int(i)].as_py(), np.uint64) for i in order]
-    counts = np.concatenate([np.frombuffer(table.column("counts")[int(i)].as_py(), np.uint32) for i in order])
+    asked = [_unpack_sorted(table.column("grams")[int(i)].as_py()) for i in order]
+    counts = np.concatenate([_unpack(table.column("counts")[int(i)].as_py(), np.uint32) for i in order])
     grams, first, place = np.unique(np.concatenate(asked), return_index=True, return_inverse=True)
     total = np.bincount(place, weights=counts, minlength=len(grams)).astype(np.uint64)
     answer = total[place] * np.uint64(2)
@@ -250,9 +268,9 @@ def _count(table: pa.Table) -> pa.Table:
         "kind": ["answer"] * len(asked) + ["model", "counts"],
         "n": [n] * (len(asked) + 2), "bucket": [bucket] * (len(asked) + 2),
         "batch": [*batch.tolist(), None, None],
-        "a": [*(answer[i:j].astype(np.uint32 if total.max(initial=0) < 1 << 30 else np.uint64).tobytes()
-                for i, j in zip(at[:-1], at[1:])), grams[seen].tobytes(), r[low].astype(np.int64).tobytes()],
-        "b": [*[None] * len(asked), total[seen].tobytes(), how_many[low].astype(np.int64).tobytes()],
+        "a": [*(_pack(answer[i:j].astype(np.uint32 if total.max(initial=0) < 1 << 30 else np.uint64))
+                for i, j in zip(at[:-1], at[1:])), _pack_sorted(grams[seen]), _pack(r[low].astype(np.int64))],
+        "b": [*[None] * len(asked), _pack(total[seen]), _pack(how_many[low].astype(np.int64))],
         "total": [*[None] * len(asked), int(total.sum()), None],
         "size": [*map(len, asked), int(seen.sum()), None],
     }
@@ -307,7 +325,7 @@ def _numbers(order: int, total: int, types: int, counts: dict[int, dict[int, int
 def _answers(row: dict, n: int) -> np.ndarray:
     """Counts of the batch's distinct n-grams, in their order."""
     parts = sorted((a for a in row["answers"] if a["n"] == n), key=lambda a: a["bucket"])
-    return np.concatenate([np.frombuffer(a["a"], np.uint32 if len(a["a"]) == 4 * a["size"] else np.uint64)
+    return np.concatenate([_unpack(a["a"], np.uint32 if len(a["a"]) == 4 * a["size"] else np.uint64)
                            for a in parts]).astype(np.uint64)
 
 
@@ -322,22 +340,18 @@ def _probabilities(row: dict, numbers: Numbers, upto: int):
         _, place, _ = batch.distinct(n)
         count = (_answers(row, n) >> np.uint64(1)).astype(np.float64)[place]
         history, at = np.unique(batch.histories(n), return_inverse=True)
-        below, alpha = _weights(row, n, history)
+        below, alpha = _weights(row, n)
         seen = below[at] > 0
         backed_off = np.where(seen, alpha[at], 1.0) * p
         p = np.where(count > 0, numbers.discounted(n, count) / np.maximum(below[at], 1.0), backed_off)
     return batch, known, p
 
 
-def _weights(row: dict, n: int, histories: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Denominator and alpha of the batch's distinct histories; 0 and 1 where never seen."""
-    below, alpha = np.zeros(len(histories)), np.ones(len(histories))
-    for w in row["weights"]:
-        if w["n"] == n:
-            at = np.searchsorted(histories, np.frombuffer(w["grams"], np.uint64))
-            below[at] = np.frombuffer(w["below"], np.float64)
-            alpha[at] = np.frombuffer(w["alpha"], np.float64)
-    return below, alpha
+def _weights(row: dict, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Denominator and alpha of the batch's distinct histories, in their order; 0 and 1 where never seen."""
+    parts = sorted((w for w in row["weights"] if w["n"] == n), key=lambda w: w["bucket"])
+    return (np.concatenate([_unpack(w["below"], np.uint64) for w in parts]).astype(np.float64),
+            np.concatenate([_unpack(w["alpha"], np.float64) for w in parts]))
 
 
 def _ask_weights(n: int, numbers: Numbers, buckets: int):
@@ -359,19 +373,19 @@ def _ask_weights(n: int, numbers: Numbers, buckets: int):
             cut = [(k, a, e) for k, (a, e) in enumerate(_cuts(history, buckets)) if a < e]
             yield _arrow(names, types, [
                 [n] * len(cut), [k for k, _, _ in cut], [row["batch"]] * len(cut),
-                [history[a:e].tobytes() for _, a, e in cut],
-                [np.ascontiguousarray(sums[:, a:e]).tobytes() for _, a, e in cut]])
+                [_pack_sorted(history[a:e]) for _, a, e in cut],
+                [_pack(np.ascontiguousarray(sums[:, a:e]).ravel()) for _, a, e in cut]])
 
     return run
 
 
 def _weigh(table: pa.Table) -> pa.Table:
     """Add up the sums of a bucket's histories; answer each batch with denominator and alpha."""
-    n = table.column("n")[0].as_py()
+    n, bucket = table.column("n")[0].as_py(), table.column("bucket")[0].as_py()
     batch = table.column("batch").to_numpy()
     order = np.argsort(batch, kind="stable")
-    asked = [np.frombuffer(table.column("grams")[int(i)].as_py(), np.uint64) for i in order]
-    sums = np.concatenate([np.frombuffer(table.column("sums")[int(i)].as_py(), np.float64).reshape(3, -1)
+    asked = [_unpack_sorted(table.column("grams")[int(i)].as_py()) for i in order]
+    sums = np.concatenate([_unpack(table.column("sums")[int(i)].as_py(), np.float64).reshape(3, -1)
                            for i in order], axis=1)
     history, place = np.unique(np.concatenate(asked), return_inverse=True)
     count, kept, lower = (np.bincount(place, weights=s, minlength=len(history)) for s in sums)
@@ -382,10 +396,10 @@ def _weigh(table: pa.Table) -> pa.Table:
     at = np.cumsum([0, *map(len, asked)])
     cut = list(zip(at[:-1], at[1:]))
     return pa.table({
-        "n": [n] * len(asked), "batch": batch[order], "grams": [a.tobytes() for a in asked],
-        "below": [below[place[i:j]].tobytes() for i, j in cut],
-        "alpha": [alpha[place[i:j]].tobytes() for i, j in cut],
-    }, schema=pa.schema([("n", pa.int32()), ("batch", pa.int64()), ("grams", pa.binary()), ("below", pa.binary()),
+        "n": [n] * len(asked), "bucket": [bucket] * len(asked), "batch": batch[order],
+        "below": [_pack(below[place[i:j]].astype(np.uint64)) for i, j in cut],
+        "alpha": [_pack(alpha[place[i:j]]) for i, j in cut],
+    }, schema=pa.schema([("n", pa.int32()), ("bucket", pa.int32()), ("batch", pa.int64()), ("below", pa.binary()),
                          ("alpha", pa.binary())]))
 
 
@@ -428,12 +442,12 @@ def score(docs: DataFrame, held_out, *, id_col: str = "doc_id", text_col: str =
      .write.option("path", f"{path}/batches").option("compression", "zstd")
      .bucketBy(groups, "batch").saveAsTable(name))
     try:
-        return _score_batches(spark, name, path, order, buckets, id_col, id_type)
+        return _score_batches(spark, name, path, order, buckets, groups, id_col, id_type)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def _score_batches(spark, name, path, order, buckets, id_col, id_type) -> DataFrame:
+def _score_batches(spark, name, path, order, buckets, groups, id_col, id_type) -> DataFrame:
     def batches() -> DataFrame:
         return spark.table(name)
 
@@ -450,21 +464,22 @@ def _score_batches(spark, name, path, order, buckets, id_col, id_type) -> DataFr
     for r in per_r.groupBy("n", "r").agg(F.sum("m").alias("m")).collect():
         counts[r["n"]][r["r"]] = r["m"]
     numbers = _numbers(order, sums[1]["total"] if 1 in sums else 0, sums[1]["types"] if 1 in sums else 0, counts)
-    answers = (counted.where("kind = 'answer'").groupBy("batch")
+    # the batch table has this many buckets: dealt alike, it stays where it is
+    answers = (counted.where("kind = 'answer'").repartition(groups, "batch").groupBy("batch")
                .agg(F.collect_list(F.struct("n", "bucket", "a", "size")).alias("answers")))
     joined = batches().join(answers, "batch")
-    none = F.expr("cast(array() AS array<struct<n: int, grams: binary, below: binary, alpha: binary>>)")
+    none = F.expr("cast(array() AS array<struct<n: int, bucket: int, below: binary, alpha: binary>>)")
     weights = None
     for n in range(2, order + 1):
         with_lower = joined.withColumn("weights", none) if weights is None else joined.join(weights, "batch")
         at = f"{path}/weights{n}"
         asked = with_lower.mapInArrow(_ask_weights(n, numbers, buckets),
                                       "n int, bucket int, batch bigint, grams binary, sums binary")
-        (asked.groupBy("n", "bucket").applyInArrow(_weigh, "n int, batch bigint, grams binary, below binary, alpha binary")
+        (asked.groupBy("n", "bucket").applyInArrow(_weigh, "n int, bucket int, batch bigint, below binary, alpha binary")
          .write.option("compression", "zstd").parquet(at))
         paths = [f"{path}/weights{k}" for k in range(2, n + 1)]
-        weights = (spark.read.parquet(*paths).groupBy("batch")
-                   .agg(F.collect_list(F.struct("n", "grams", "below", "alpha")).alias("weights")))
+        weights = (spark.read.parquet(*paths).repartition(groups, "batch").groupBy("batch")
+                   .agg(F.collect_list(F.struct("n", "bucket", "below", "alpha")).alias("weights")))
     final = joined.withColumn("weights", none) if weights is None else joined.join(weights, "batch")
     out = final.mapInArrow(_score(numbers), (
         f"key {id_type}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
@@ -476,8 +491,8 @@ def _unpack_counts(batches):
     for b in batches:
         n, r, m = [], [], []
         for row in b.to_pylist():
-            part = np.frombuffer(row["a"], np.int64)
+            part = _unpack(row["a"], np.int64)
             n += [row["n"]] * len(part)
             r += part.tolist()
-            m += np.frombuffer(row["b"], np.int64).tolist()
+            m += _unpack(row["b"], np.int64).tolist()
         yield _arrow(["n", "r", "m"], [pa.int32(), pa.int64(), pa.int64()], [n, r, m])
