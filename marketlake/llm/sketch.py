@@ -12,10 +12,9 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,9 +25,11 @@ SHINGLE = 5
 FRACTION = 1 / 8
 #: Hex digits that a kept hash is written with.
 DIGITS = 12
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
+#: Rows of texts that a task takes apart at a time.
+ROWS = 500
 #: Bytes of text in one block of neighbouring ids, and the most blocks there are (their ends are broadcast).
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 MAX_BLOCKS = 4096
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
@@ -120,18 +121,20 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
         run, f"key {id_type}, n_chars bigint, fingerprint string").withColumnRenamed("key", id_col)
 
 
-def _block(cuts: list):
-    """Number of the id range that an id falls into; rows without an id come first."""
-    ends = np.array(cuts)
+def _block(c: Column, cuts: list[float]) -> Column:
+    """How many of the sorted ``cuts`` are at most the id, by binary search; 0 without an id."""
+    ends = F.array(*[F.lit(float(x)) for x in cuts]) if cuts else F.array().cast("array<double>")
 
-    @F.pandas_udf("int")
-    def block(ids: pd.Series) -> pd.Series:
-        found = np.zeros(len(ids), np.int32)
-        given = ids.notna().to_numpy()
-        found[given] = np.searchsorted(ends, ids[given].to_numpy(), "right")
-        return pd.Series(found)
+    def halve(state, _):
+        middle = F.floor((state["lo"] + state["hi"]) / 2).cast("int")
+        open_ = state["lo"] < state["hi"]
+        right = open_ & (F.get(ends, middle) <= c.cast("double"))
+        return F.struct(F.when(right, middle + 1).otherwise(state["lo"]).alias("lo"),
+                        F.when(right | ~open_, state["hi"]).otherwise(middle).alias("hi"))
 
-    return block
+    start = F.struct(F.lit(0).alias("lo"), F.lit(len(cuts)).alias("hi"))
+    steps = F.sequence(F.lit(1), F.lit(max(1, len(cuts).bit_length())))
+    return F.when(c.isNull(), 0).otherwise(F.aggregate(steps, start, halve, lambda s: s["lo"]))
 
 
 def with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
@@ -151,7 +154,7 @@ def with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     cuts = sorted(set(docs.where(F.col(id_col).isNotNull()).approxQuantile(
         id_col, [i / n for i in range(1, n)], 1 / (4 * n)))) if n > 1 else []
     base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    base = base.withColumn("block", _block(cuts)("id"))
+    base = base.withColumn("block", _block(F.col("id"), cuts))
     firsts = base.groupBy("block").agg(F.min("id").alias("first"), F.max(F.col("id").isNull()).alias("none"))
     firsts = sorted(map(tuple, firsts.collect()))  # at most MAX_BLOCKS rows
     lead = spark.createDataFrame(
@@ -183,7 +186,7 @@ def compare_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
 
     def run(batches):
         held = None  # the row that waits for its next one: block, key, text, sketch
-        for b in batches:
+        for b in (whole.slice(i, ROWS) for whole in batches for i in range(0, whole.num_rows, ROWS)):
             keys, out = b.column(0), []
             for i, (text, block, ahead) in enumerate(zip(*(b.column(c).to_pylist() for c in (1, 2, 3)))):
                 if held is not None and held[0] == block:
