@@ -8,9 +8,9 @@ span is a pre-aggregated minimum, and the spans join it by hash, so that a
 passage shared by a third of all rows is one row on one side and is split by
 adaptive execution on the other.
 
-A span with fewer than ``min_words`` words is not hashed: runs of one-word
-sentences are equal by chance. Rows are named by (id, hash of the text), so
-repeated rows are one document and keep their first copy of everything.
+Every span is hashed, however few words it has; ``min_words`` can set a floor.
+Rows are named by (id, hash of the text), so repeated rows are one document
+and keep their first copy of everything.
 """
 
 from __future__ import annotations
@@ -27,7 +27,8 @@ from pyspark.sql import types as T
 from marketlake.llm.common import fresh
 
 RUN = 3
-MIN_WORDS = 10
+#: Spans with fewer words are not hashed; 0: every span is.
+MIN_WORDS = 0
 
 #: A sentence ends after . ! or ? (and closing quotes or brackets) before white space, or at a line break.
 _END = re.compile(r"(?<=[.!?])[\"'”’»)\]]*\s+|\s*\n\s*")

@@ -170,6 +170,14 @@ def test_repeated_rows_and_ids_are_one_document(spark):
     assert sentence_dedup.dedup_sentences(df.limit(0)).count() == 0
 
 
+def test_short_spans_are_deduplicated(spark):
+    t = "Ja. Nein. Doch."
+    df = spark.createDataFrame([(1, t), (2, f"Own words here. {t} More."), (3, "一 二。\n三。\n四。"), (4, "一 二。\n三。\n四。")],
+                               "doc_id bigint, text string")
+    got = {r.doc_id: r.removed for r in sentence_dedup.dedup_sentences(df).collect()}
+    assert got == {1: [], 2: [[1, 3]], 3: [], 4: [[0, 3]]}
+
+
 # --- sketches -------------------------------------------------------------------------
 
 def test_compare_next_equals_brute_force(spark):
