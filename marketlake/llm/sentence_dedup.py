@@ -11,6 +11,10 @@ adaptive execution on the other.
 Every span is hashed, however few words it has; ``min_words`` can set a floor.
 Rows are named by (id, hash of the text), so repeated rows are one document
 and keep their first copy of everything.
+
+A text of fewer than ``run`` sentences is one span. Sentences of more than
+``LONG`` words are cut into pieces where their words say so, not where they
+begin; pieces then count as sentences.
 """
 
 from __future__ import annotations
@@ -18,6 +22,7 @@ from __future__ import annotations
 import re
 import struct
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -29,38 +34,86 @@ from marketlake.llm.common import fresh
 RUN = 3
 #: Spans with fewer words are not hashed; 0: every span is.
 MIN_WORDS = 0
+#: A span that holds a piece of a cut sentence goes on until it has so many words.
+PIECE_WORDS = 10
+#: A sentence of more words is cut into pieces of at most ``WINDOW`` words.
+LONG, WINDOW = 50, 8
 
-#: A sentence ends after . ! or ? (and closing quotes or brackets) before white space, or at a line break.
-_END = re.compile(r"(?<=[.!?])[\"'”’»)\]]*\s+|\s*\n\s*")
+#: A sentence ends after a stop (and closing quotes or brackets) before white space, after a CJK stop, or at a line break.
+_END = re.compile(r"(?<=[.!?…．؟۔।॥።։])[\"'”’»)\]]*\s+|(?<=[。！？｡])(?![。！？｡])[\"'”’»)\]」』）】》〉］]*\s*|\s*\n\s*")
 
+#: Words; of scripts that put no spaces between words, single characters.
+_UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3041-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_WORD = re.compile(rf"[{_UNSPACED}]|[^\s{_UNSPACED}]+")
 
-def sentences(text: str) -> list[tuple[int, int]]:
-    """[start, end) of each sentence; together with the gaps they are the text."""
-    out, at = [], 0
+
+def _n_words(part: str) -> int:
+    return len(part.split()) if part.isascii() else sum(1 for _ in _WORD.finditer(part))
+
+
+def _pieces(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    """A long sentence cut before each word that has the least hash of any ``WINDOW`` neighbouring words.
+
+    Every window holds a cut, and windows inside a passage cut it alike
+    wherever it stands, so 50 equal words always hold a run of 3 pieces.
+    """
+    at, h = [], []
+    for m in _WORD.finditer(text, start, end):
+        at.append(m.start())
+        h.append(xxhash.xxh3_64_intdigest(m[0].lower().encode("utf-8", "surrogatepass")))
+    windows = np.lib.stride_tricks.sliding_window_view(np.array(h, np.uint64), WINDOW)
+    # of equal hashes the last
+    least = np.arange(len(windows)) + WINDOW - 1 - np.argmin(windows[:, ::-1], axis=1)
+    cuts = [at[i] for i in np.unique(least).tolist() if i]
+    return list(zip([start, *cuts], [*cuts, end]))
+
+
+def _units(text: str) -> tuple[list[tuple[int, int]], list[bool]]:
+    """[start, end) of each sentence or piece, and which are pieces."""
+    whole, at = [], 0
     for m in _END.finditer(text):
         end = m.end()
         if text[at:end].strip():
-            out.append((at, end))
+            whole.append((at, end))
             at = end
     if text[at:].strip():
-        out.append((at, len(text)))
-    elif out:
-        out[-1] = (out[-1][0], len(text))
-    return out
+        whole.append((at, len(text)))
+    elif whole:
+        whole[-1] = (whole[-1][0], len(text))
+    out, piece = [], []
+    for a, b in whole:
+        cut = _pieces(text, a, b) if b - a > LONG and _n_words(text[a:b]) > LONG else [(a, b)]
+        out += cut
+        piece += [len(cut) > 1] * len(cut)
+    return out, piece
+
+
+def sentences(text: str) -> list[tuple[int, int]]:
+    """[start, end) of each sentence, or piece of a long one; together with the gaps they are the text."""
+    return _units(text)[0]
+
 
+def spans(text: str, run: int, min_words: int) -> tuple[list[tuple[int, int]], list[tuple[int, bytes | None]]]:
+    """Sentences, and (end, hash) of the span that starts at each (hash None: too few words).
 
-def spans(text: str, run: int, min_words: int) -> tuple[int, list[bytes | None]]:
-    """Number of sentences, and the hash of the span that starts at each (None: too few words)."""
-    keys = [" ".join(text[a:b].lower().split()) for a, b in sentences(text)]
-    n_words = [k.count(" ") + 1 for k in keys]
+    A span is ``run`` sentences, or all of a text that has fewer; with pieces
+    among them it goes on to ``PIECE_WORDS`` words or the text's end.
+    """
+    cut, piece = _units(text)
+    keys = [" ".join(text[a:b].lower().split()) for a, b in cut]
+    n_words = [_n_words(k) for k in keys] if min_words or any(piece) else []
     out = []
-    for i in range(len(keys) - run + 1):
-        if sum(n_words[i:i + run]) < min_words:
-            out.append(None)
+    for i in range(max(len(keys) - run, 0) + 1 if keys else 0):
+        end = min(i + run, len(keys))
+        if any(piece[i:end]):
+            while sum(n_words[i:end]) < PIECE_WORDS and end < len(keys):
+                end += 1
+        if min_words and sum(n_words[i:end]) < min_words:
+            out.append((end, None))
             continue
         # each sentence ends with a line break, so borders count
-        out.append(xxhash.xxh3_128_digest(("\n".join(keys[i:i + run])).encode("utf-8")))
-    return len(keys), out
+        out.append((end, xxhash.xxh3_128_digest(("\n".join(keys[i:end])).encode("utf-8"))))
+    return cut, out
 
 
 def _row_hash(text_col: str) -> Column:
@@ -76,7 +129,7 @@ def _occurrences(docs: DataFrame, id_col: str, text_col: str, run: int, min_word
             hi, lo, src, at = [], [], [], []
             for k, text in enumerate(b.column(2).to_pylist()):
                 seen = set()
-                for i, s in enumerate(spans(text or "", run, min_words)[1]):
+                for i, (_, s) in enumerate(spans(text or "", run, min_words)[1]):
                     if s is not None and s not in seen:
                         seen.add(s)
                         x, y = struct.unpack("<qq", s)
@@ -113,13 +166,13 @@ def _covered(text: str, starts, run: int, min_words: int) -> tuple[list[tuple[in
     ``starts`` are the first places in this row of spans that another row has
     first; any further place in the row is a repeat in either case.
     """
-    cut = sentences(text)
+    cut, found = spans(text, run, min_words)
     gone = [False] * len(cut)
     seen, starts = set(), set(starts or ())
-    for i, s in enumerate(spans(text, run, min_words)[1]):
+    for i, (end, s) in enumerate(found):
         if s is not None:
             if s in seen or i in starts:
-                gone[i:i + run] = [True] * run
+                gone[i:end] = [True] * (end - i)
             seen.add(s)
     return cut, gone
 
@@ -131,7 +184,7 @@ def dedup_sentences(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     Added (names begin with ``prefix``): n_sentences, n_removed, and removed, the
     [first sentence, sentences] runs cut out. Texts without a removed sentence
     stay byte for byte. A null text stays null with 0 sentences; a text with
-    fewer than ``run`` sentences has no span. Every input row comes back once.
+    fewer than ``run`` sentences is one span. Every input row comes back once.
     """
     later = later_spans(docs, id_col=id_col, text_col=text_col, run=run, min_words=min_words)
     marks = {n: fresh(docs, n) for n in ("starts", "row", "later_id", "later_row")}

@@ -178,6 +178,39 @@ def test_short_spans_are_deduplicated(spark):
     assert got == {1: [], 2: [[1, 3]], 3: [], 4: [[0, 3]]}
 
 
+def test_texts_of_few_sentences_are_deduplicated(spark):
+    rnd = random.Random(5)
+    passage, cjk = words(rnd, 50, 10 ** 6), "".join(chr(0x4e00 + rnd.randrange(5000)) for _ in range(50))
+    rows = [(1, "Just one sentence."), (2, "just  one sentence."), (3, "Two. Sentences."), (4, "Two. Sentences."),
+            (5, " ".join(words(rnd, 30, 10 ** 6) + passage + words(rnd, 40, 10 ** 6))),
+            (6, " ".join(words(rnd, 57, 10 ** 6) + passage + words(rnd, 9, 10 ** 6))),
+            (7, "甲乙。丙丁！」戊己？庚"), (8, "子丑。甲乙。丙丁！」戊己？"),
+            (9, cjk + "天地玄黃" * 3), (10, "宇宙洪荒" * 2 + cjk)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r for r in sentence_dedup.dedup_sentences(df.repartition(3)).collect()}
+    assert [got[d].n_removed for d in (1, 2, 3, 4, 5, 7, 9)] == [0, 1, 0, 2, 0, 0, 0]
+    assert got[8].removed == [[1, 3]] and got[8].text == "子丑。"
+    # long sentences: what both hold goes but for its edges, what stands around it stays
+    own = rows[5][1].split()
+    left = got[6].text.split()
+    assert len(set(left) & set(passage)) <= 4 * sentence_dedup.WINDOW
+    assert set(own) - set(passage) <= set(left) and 0 < got[6].n_removed < got[6].n_sentences
+    assert len(got[10].text) < len(rows[9][1]) - 10 and got[10].text.startswith("宇宙洪荒")
+
+
+def test_any_50_equal_words_of_long_sentences_hold_a_span():
+    for seed in range(300):
+        rnd = random.Random(seed)
+        vocabulary = rnd.choice([2, 30, 10 ** 6])
+        passage = words(rnd, 50, vocabulary)
+        found = []
+        for _ in range(2):
+            text = " ".join(words(rnd, rnd.randrange(60), vocabulary) + ["w"] + passage + ["w"] + words(rnd, rnd.randrange(60), vocabulary))
+            assert len(text.split()) > sentence_dedup.LONG
+            found.append({s for _, s in sentence_dedup.spans(text, 3, 0)[1]})
+        assert found[0] & found[1]
+
+
 # --- sketches -------------------------------------------------------------------------
 
 def test_compare_next_equals_brute_force(spark):
