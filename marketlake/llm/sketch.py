@@ -1,8 +1,9 @@
 """Document fingerprints: threshold-scaled sketches of word shingles.
 
-A sketch keeps every shingle hash below a fixed fraction of the hash range, so
-its size follows the document, sketches of any two documents are comparable,
-and the sketch of a union is the union of the sketches (merge). The share of a
+A sketch keeps every shingle hash below a fixed fraction of the hash range, or
+the least one if none is, so only texts without words have an empty sketch. Its
+size follows the document, sketches of any two documents are comparable, and
+the sketch of a union follows from the sketches (merge). The share of a
 small document's hashes found in a large one's sketch estimates containment
 without the bias that equal-sized sketches have for unequal documents.
 """
@@ -22,7 +23,7 @@ from marketlake.llm.common import blocks_for
 
 SHINGLE = 5
 #: Shingle hashes below this fraction of the range are kept.
-FRACTION = 1 / 8
+FRACTION = 1 / 2
 #: Hex digits that a kept hash is written with.
 DIGITS = 12
 CACHE_WORDS = 200_000
@@ -53,7 +54,7 @@ def _scramble(h: np.ndarray) -> np.ndarray:
 
 
 def sketch(text: str, shingle: int = SHINGLE, fraction: float = FRACTION) -> np.ndarray:
-    """Sorted distinct kept hashes, as 4 * DIGITS bit numbers.
+    """Sorted distinct kept hashes, as 4 * DIGITS bit numbers; the least hash if none is below the fraction.
 
     Words are lower-cased runs between white space; fewer words than
     ``shingle`` make one shingle, none make none.
@@ -67,11 +68,13 @@ def sketch(text: str, shingle: int = SHINGLE, fraction: float = FRACTION) -> np.
     for i in range(k):
         mixed = _scramble(mixed * np.uint64(_MULTIPLIER) + h[i:len(h) - k + 1 + i])
     kept = mixed[mixed < np.uint64(min((1 << 64) - 1, int(fraction * (1 << 64))))]
+    if not len(kept):
+        kept = mixed.min(keepdims=True)
     return np.unique(kept >> np.uint64(64 - 4 * DIGITS))
 
 
 def text_of(s: np.ndarray) -> str:
-    return s.astype(">u8").tobytes().hex() if DIGITS == 16 else "".join(f"{x:0{DIGITS}x}" for x in s.tolist())
+    return s.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - DIGITS // 2:].tobytes().hex()
 
 
 def sketch_of(text: str) -> np.ndarray:
@@ -79,9 +82,11 @@ def sketch_of(text: str) -> np.ndarray:
     return np.array([int(text[i:i + DIGITS], 16) for i in range(0, len(text), DIGITS)], np.uint64)
 
 
-def merge(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def merge(a: np.ndarray, b: np.ndarray, fraction: float = FRACTION) -> np.ndarray:
     """The sketch of both documents together."""
-    return np.union1d(a, b)
+    both = np.union1d(a, b)
+    low = both[both < np.uint64(int(fraction * (1 << 4 * DIGITS)))]
+    return low if len(low) else both[:1]
 
 
 def containment(a: np.ndarray, b: np.ndarray) -> float:
@@ -92,7 +97,7 @@ def containment(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    """Estimated Jaccard similarity; two empty sketches are alike."""
+    """Estimated Jaccard similarity; two empty sketches (texts without words) are alike."""
     if not len(a) and not len(b):
         return 1.0
     both = len(np.intersect1d(a, b, assume_unique=True))

@@ -254,3 +254,18 @@ def test_sketches_merge_and_estimate_containment():
     merged = sketch.merge(a, sketch.sketch(" ".join(large)))
     assert len(np.setxor1d(both, merged)) <= 8
     assert abs(len(a) / 1996 - sketch.FRACTION) < 0.03
+
+
+def test_short_texts_have_a_sketch():
+    """Unlike short texts are not alike, and estimates hold on average however short the texts are."""
+    rnd = random.Random(12)
+    texts = [" ".join(words(rnd, rnd.randrange(1, 13), 10 ** 6)) for _ in range(600)]
+    found = [sketch.sketch(t) for t in texts]
+    assert all(len(s) for s in found) and not len(sketch.sketch(" \n"))
+    assert max(sketch.likeness(a, b) for a, b in zip(found, found[1:])) == 0
+    empty = sketch.sketch("")
+    assert sketch.likeness(empty, empty) == 1 and sketch.likeness(empty, found[0]) == sketch.containment(found[0], empty) == 0
+    for a, b in zip(texts, texts[1:]):
+        both = np.union1d(sketch.sketch(a, fraction=1.0), sketch.sketch(b, fraction=1.0))
+        low = both[both < int(sketch.FRACTION * 2 ** 48)]
+        assert (sketch.merge(sketch.sketch(a), sketch.sketch(b)) == (low if len(low) else both[:1])).all()
