@@ -37,9 +37,8 @@ from marketlake.llm.sketch import sketch
 
 SAMPLE_ROWS = 40_000
 FEATURES = 2048
-#: A feature must occur in so many toxic or clean documents of the sample and tell so much (G²/2);
-#: the first of each holds for samples with fewer toxic documents than ``FEW``.
-LEAST_DOCS, LEAST_G2, FEW = (3, 5), (6.0, 10.0), 1000
+#: A feature must occur in so many toxic or clean documents of the sample and tell so much (G²/2).
+LEAST_DOCS, LEAST_G2 = 3, 6.0
 #: A voter's features must be toxic in this share of their documents.
 PRECISION = 0.9
 STEMS = (4, 5, 6, 7)
@@ -124,10 +123,9 @@ def mine(sample: DataFrame, text_col: str, features: int) -> list[tuple[str, int
             .groupBy("least", "toxic").agg(F.min("text").alias("text")).select("text", "toxic"))
     n = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     bad, good = n.get(1, 0) + 1, n.get(0, 0) + 1
-    enough = int(bad > FEW)
     counted = rows.mapInArrow(count, "feature string, bad bigint, good bigint").groupBy("feature").agg(
         F.sum("bad").alias("bad"), F.sum("good").alias("good")).where(
-        F.greatest("bad", "good") >= LEAST_DOCS[enough])
+        F.greatest("bad", "good") >= LEAST_DOCS)
 
     def part(k, e):
         return F.when(k > 0, k * F.log(k / e)).otherwise(0.0)
@@ -136,7 +134,7 @@ def mine(sample: DataFrame, text_col: str, features: int) -> list[tuple[str, int
     eb, eg = both * bad / (bad + good), both * good / (bad + good)
     g2 = part(F.col("bad"), eb) + part(F.col("good"), eg) + part(bad - F.col("bad"), bad - eb) + part(
         good - F.col("good"), good - eg)
-    top = counted.withColumn("g2", g2).where(F.col("g2") > LEAST_G2[enough]).orderBy(F.desc("g2"), "feature").limit(features)
+    top = counted.withColumn("g2", g2).where(F.col("g2") > LEAST_G2).orderBy(F.desc("g2"), "feature").limit(features)
     return [(r["feature"], r["bad"], r["good"]) for r in top.collect()]
 
 

@@ -144,6 +144,13 @@ def test_toxicity_on_held_out_rows(spark, toxic_docs):
     assert kept == {i for i, r in got.items() if not r.predicted}
 
 
+def test_a_rare_toxic_word_is_mined_from_a_large_sample(spark):
+    """A word of four toxic documents counts at any size of the sample."""
+    rows = [(f"bad{i} text{i}" + " rareslur" * (i < 4), 1) for i in range(1200)] + [(f"good{i} page{i}", 0) for i in range(9000)]
+    found = toxicity.mine(spark.createDataFrame(rows, "text string, toxic int"), "text", 2048)
+    assert ("rareslur", 4, 0) in found
+
+
 def test_toxicity_without_labels(spark):
     docs = spark.createDataFrame([(1, "you idiot"), (2, "fine")], "doc_id bigint, text string")
     none = spark.createDataFrame([], "doc_id bigint, toxic int")
