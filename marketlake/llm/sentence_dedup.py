@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import re
 import struct
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -40,15 +41,18 @@ PIECE_WORDS = 10
 LONG, WINDOW = 50, 8
 
 #: A sentence ends after a stop (and closing quotes or brackets) before white space, after a CJK stop, or at a line break.
-_END = re.compile(r"(?<=[.!?…．؟۔।॥።։])[\"'”’»)\]]*\s+|(?<=[。！？｡])(?![。！？｡])[\"'”’»)\]」』）】》〉］]*\s*|\s*\n\s*")
+_END = re.compile(r"[.!?…．؟۔।॥։።][\"'”’»)\]]*\s+|[。！？｡](?![。！？｡])[\"'”’»)\]」』）】》〉］]*\s*|\n\s*")
 
 #: Words; of scripts that put no spaces between words, single characters.
 _UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3041-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
 _WORD = re.compile(rf"[{_UNSPACED}]|[^\s{_UNSPACED}]+")
+_CHARACTER = re.compile(f"[{_UNSPACED}]")
 
 
 def _n_words(part: str) -> int:
-    return len(part.split()) if part.isascii() else sum(1 for _ in _WORD.finditer(part))
+    if part.isascii() or not _CHARACTER.search(part):
+        return len(part.split())
+    return sum(1 for _ in _WORD.finditer(part))
 
 
 def _pieces(text: str, start: int, end: int) -> list[tuple[int, int]]:
@@ -102,13 +106,14 @@ def spans(text: str, run: int, min_words: int) -> tuple[list[tuple[int, int]], l
     cut, piece = _units(text)
     keys = [" ".join(text[a:b].lower().split()) for a, b in cut]
     n_words = [_n_words(k) for k in keys] if min_words or any(piece) else []
+    ends = [0, *accumulate(n_words)]
     out = []
     for i in range(max(len(keys) - run, 0) + 1 if keys else 0):
         end = min(i + run, len(keys))
         if any(piece[i:end]):
-            while sum(n_words[i:end]) < PIECE_WORDS and end < len(keys):
+            while ends[end] - ends[i] < PIECE_WORDS and end < len(keys):
                 end += 1
-        if min_words and sum(n_words[i:end]) < min_words:
+        if min_words and ends[end] - ends[i] < min_words:
             out.append((end, None))
             continue
         # each sentence ends with a line break, so borders count
