@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from marketlake.llm import (
     decontaminate,
     katz,
+    phrases,
+    posting_lists,
     sentence_dedup,
     simhash,
     sketch,
@@ -22,6 +24,7 @@ from marketlake.llm import (
     trie_bpe,
     url_lists,
     warc,
+    whitening,
 )
 from marketlake.llm.common import crc_mod, table
 from marketlake.session import scratch_path
@@ -112,10 +115,22 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return posting_lists.nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.phrases(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_decontaminate, op2_toxicity, op3_sentence_dedup, op4_katz, op5_url_lists, op6_token_counts, op7_fingerprint, op8_warc, op9_bpe,
-        op10_simhash)
+        op10_simhash, op11_posting_lists, op12_whitening, op13_phrases)
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -170,5 +185,28 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN first IS NOT NULL AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN first IS NOT NULL AND page_id <> first THEN first END AS refers_to
 FROM p LEFT JOIN f USING (payload_digest)
+""",
+    "op13_phrases": rf"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+             translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+g AS (SELECT lang, m, array_to_string(w[s:s+m-1], ' ') AS phrase, count(*) AS f
+      FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS s FROM w, range(1, 6) AS t(m) WHERE len(w) >= m)
+      GROUP BY ALL),
+n AS (SELECT lang, sum(f)::HUGEINT AS n FROM g WHERE m = 1 GROUP BY lang),
+c AS (SELECT * FROM g WHERE m >= 2 AND f >= 100),
+cut AS (SELECT lang, phrase, m, f, k, array_to_string(string_split(phrase, ' ')[1:k], ' ') AS lp,
+               array_to_string(string_split(phrase, ' ')[k+1:m], ' ') AS rp
+        FROM (SELECT *, unnest(range(1, m)) AS k FROM c)),
+s AS (SELECT cut.lang, cut.phrase, cut.f AS a, k, x.f AS l, y.f AS r, n,
+             (1000::HUGEINT * cut.f * n) // (x.f::HUGEINT * y.f) AS score
+      FROM cut JOIN n USING (lang) JOIN g x ON x.lang = cut.lang AND x.m = k AND x.phrase = lp
+      JOIN g y ON y.lang = cut.lang AND y.m = cut.m - k AND y.phrase = rp),
+best AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (SELECT DISTINCT x.lang, x.phrase FROM c x JOIN c y ON y.lang = x.lang AND y.m > x.m AND 100 * y.f >= 100 * x.f
+           AND contains(' ' || y.phrase || ' ', ' ' || x.phrase || ' ')),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+           FROM best ANTI JOIN inside USING (lang, phrase))
+SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score FROM ranked WHERE rank <= 2000
 """,
 }
