@@ -28,6 +28,10 @@ from pyspark.sql import functions as F
 MIN_REVISIT_BYTES = 100
 #: Bytes of an archive; a reading task holds one archive at a time.
 ARCHIVE_BYTES = 32 << 20
+#: A gzip member is unpacked in slices of so many bytes; a record has at most so many header and record bytes.
+SLICE, HEADER_BYTES, RECORD_BYTES = 1 << 16, 1 << 20, 1 << 30
+#: Digits of a length that is taken for one (it fits 64 bits).
+_DIGITS = 18
 RECORD_DATE = "2024-01-01T00:00:00Z"
 PREFIX = "urn:x-page:"
 CRLF = "\r\n"
@@ -76,27 +80,40 @@ def records(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
     return p.select(F.concat(head, block, F.lit(CRLF)).alias("value"))
 
 
-def _packed(batches):
-    for b in batches:
-        packed = [gzip.compress(r + b"\r\n", 6, mtime=0) for r in b.column(0).cast(pa.binary()).to_pylist()]
-        yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary())], names=["value"])
+def _packed(archive_bytes: int, compress: bool):
+    """Records with the number, within this task, of the archive that they go to; packed if ``compress``."""
+
+    def run(batches):
+        archive = held = 0
+        for b in batches:
+            values, at = [], []
+            for r in b.column(0).cast(pa.binary()).to_pylist():
+                if held and held + len(r) > archive_bytes:
+                    archive, held = archive + 1, 0
+                held += len(r)
+                at.append(archive)
+                values.append(gzip.compress(r + b"\r\n", 6, mtime=0) if compress else r)
+            yield pa.RecordBatch.from_arrays([pa.array(values, pa.binary()), pa.array(at, pa.int32())],
+                                             names=["value", "archive"])
+
+    return run
 
 
 def write(pages: DataFrame, path: str, *, archive_bytes: int = ARCHIVE_BYTES, compress: bool = True,
           **columns) -> None:
-    """Write archives of about ``archive_bytes`` (before compression) each under ``path``.
+    """Write archives of at most ``archive_bytes`` (before compression) each under ``path``, or of one longer record.
 
-    With ``compress`` every record is a gzip member of its own.
+    Each writing task cuts its archives where their bytes add up, so long
+    pages that gather in a task make more archives, not longer ones. With
+    ``compress`` every record is a gzip member of its own.
     """
-    payload = columns.get("payload_col", "html")
-    mean = pages.agg(F.avg(F.octet_length(payload))).first()[0] or 0
-    rows, separator = records(pages, **columns), CRLF
+    rows = records(pages, **columns).mapInArrow(_packed(archive_bytes, compress), "value binary, archive int")
+    # the text writer passes the packed bytes on as they are
+    packed, separator, encoding = F.col("value").cast("string"), CRLF, "UTF-8"
     if compress:
-        # the text writer passes bytes on as they are
-        rows = rows.mapInArrow(_packed, "value binary").select(F.col("value").cast("string"))
-        separator = EMPTY_MEMBER.decode("latin-1")
-    (rows.write.mode("overwrite").option("lineSep", separator).option("encoding", "ISO-8859-1")
-     .option("maxRecordsPerFile", max(1, int(archive_bytes / (mean + 500)))).text(path))
+        separator, encoding = EMPTY_MEMBER.decode("latin-1"), "ISO-8859-1"
+    (rows.select(packed.alias("value"), "archive").write.mode("overwrite").option("lineSep", separator)
+     .option("encoding", encoding).partitionBy("archive").text(path))
 
 
 def _headers(block: bytes) -> dict[bytes, bytes] | None:
@@ -112,16 +129,17 @@ def _headers(block: bytes) -> dict[bytes, bytes] | None:
 def _plain(data: bytes, at: int) -> tuple[dict, bytes, int] | None:
     """Headers, block and end of the valid record at ``at``, else None."""
     version = _VERSION.match(data, at)
-    stop = data.find(b"\r\n\r\n", at)
+    stop = data.find(b"\r\n\r\n", at, at + HEADER_BYTES)
     if not version or stop < 0:
         return None
     head = _headers(data[version.end():stop])
-    if head is None or not head.get(b"content-length", b"").isdigit():
+    length = (head or {}).get(b"content-length", b"")
+    if head is None or not length.isdigit() or len(length) > _DIGITS:
         return None
     if b"warc-type" not in head or b"warc-record-id" not in head:
         return None
     start = stop + 4
-    end = start + int(head[b"content-length"])
+    end = start + int(length)
     if data[end:end + 4] != b"\r\n\r\n":
         return None
     block = data[start:end]
@@ -129,6 +147,8 @@ def _plain(data: bytes, at: int) -> tuple[dict, bytes, int] | None:
     if head.get(b"warc-type") == b"response" and digest.startswith(b"sha256:"):
         if hashlib.sha256(_payload(block)[1]).hexdigest().encode() != digest[7:].lower():
             return None
+    if head.get(b"warc-type") == b"revisit" and (m := _HTTP_LENGTH.search(_payload(block)[0])) and len(m[1]) > _DIGITS:
+        return None
     return head, block, end + 4
 
 
@@ -143,14 +163,24 @@ def _payload(block: bytes) -> tuple[bytes, bytes]:
 
 def _member(data: bytes, at: int) -> tuple[dict | None, bytes, int] | None:
     """The same for a gzip member that holds one record; no headers for an empty member."""
-    unzip = zlib.decompressobj(31)
-    try:
-        inner = unzip.decompress(memoryview(data)[at:])
-    except zlib.error:
-        return None
-    if not unzip.eof:
-        return None
-    end = len(data) - len(unzip.unused_data)
+    unzip, parts, size, end = zlib.decompressobj(31), [], 0, at
+    while not unzip.eof:
+        piece = data[end:end + SLICE]
+        end += len(piece)
+        try:
+            part = unzip.decompress(piece)
+        except zlib.error:
+            return None
+        size += len(part)
+        if part:
+            # what is no record is given up at once, and so is what grows beyond bounds
+            if not parts and not b"WARC/1."[:len(part)] == part[:7] or size > RECORD_BYTES:
+                return None
+            parts.append(part)
+        if not piece and not unzip.eof:
+            return None
+    end -= len(unzip.unused_data)
+    inner = b"".join(parts)
     if not inner:
         return None, b"", end
     found = _plain(inner, 0)
@@ -207,7 +237,8 @@ def read(spark: SparkSession, path: str, *, payload: bool = False) -> DataFrame:
 
     ``kind`` is 'record' or 'gap'; offsets and lengths are bytes of the archive
     file. With ``payload`` the body bytes come as well. An empty archive gives
-    no rows.
+    no rows. Records with a length of more than 18 digits, headers of over
+    ``HEADER_BYTES`` or over ``RECORD_BYTES`` in all are quarantined.
     """
     schema = _SCHEMA + (", payload binary" if payload else "")
     names = [f.split()[0] for f in schema.split(", ")]
@@ -227,5 +258,6 @@ def read(spark: SparkSession, path: str, *, payload: bool = False) -> DataFrame:
     text, number = pa.string(), pa.int64()
     arrow = pa.schema([(n, pa.binary() if n == "payload" else number if n in ("offset", "length", "payload_bytes")
                         else text) for n in names])
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+             .select("path", "content"))
     return files.mapInArrow(run, schema)
