@@ -6,9 +6,10 @@ phrase and its parts and n all words. Since a <= r, no phrase that begins with
 a word of count f scores over 1000 n / f: that bound orders the search.
 
 The frontier holds the phrases (at first, words) of at least ``min_count`` that
-have not been grown. Each round grows the best-bounded part of it by one word,
-with exact counts from one pass over the encoded texts, scores what is new, and
-raises the language's threshold to the score of its ``top``-th surviving
+have not been grown. Each round grows the best-bounded part of it by one word:
+a pass over the encoded texts counts the hashes of what they grow to, and a
+second one counts exactly, word by word, what a frequent hash may stand for. It
+scores what is new, and raises the language's threshold to the score of its ``top``-th surviving
 phrase; entries bounded below it leave the frontier. The search ends when none
 is left. A part whose own beginning has not been grown yet is grown on demand.
 
@@ -19,7 +20,6 @@ counting: all its occurrences then have the same word before (or after) them.
 from __future__ import annotations
 
 import math
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +34,8 @@ MIN_COUNT, LONGEST, TOP = 100, 5, 2000
 ROUND_SHARE = 0.5
 #: Bits of the set of phrases to grow that tasks test (16 MB at most); a false hit costs work, never a result.
 LEAST_BITS, MOST_BITS = 16, 27
-#: Words held at once by a counting task, and word hashes by an encoding task.
-_HELD = 300_000
+#: Words of text that a task counts together, and distinct words that it remembers between texts.
+_CHUNK, _HELD = 3_000_000, 300_000
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ,;:!?\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz.........")
 
@@ -46,19 +46,32 @@ def tokens(text: bytes | None) -> list[bytes]:
 
 
 class _Hashes(dict):
-    """64-bit hashes of words, never 0; b'.' is 0."""
+    """64-bit hashes of words, never 0; b'.' is 0. ``names`` has the word of each hash met since the last ``forget``."""
 
     def __init__(self, seed: int):
         super().__init__({b".": 0})
         self.seed = seed
+        self.names: dict[int, bytes] = {}
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > _HELD:
-            self.clear()
-            self[b"."] = 0
         self[word] = h = xxhash.xxh64_intdigest(word, self.seed) or 1
+        # of words with one hash the first; the others are told by their check
+        self.names.setdefault(h, word)
         return h
 
+    def of(self, text: bytes | None) -> np.ndarray:
+        return np.array([self[t] for t in tokens(text)], np.uint64)
+
+    def forget(self) -> None:
+        self.clear()
+        self.names.clear()
+        self[b"."] = 0
+
+
+def _check(word: bytes) -> int:
+    """A second hash: with the first one it tells any two words apart."""
+    return xxhash.xxh3_64_intdigest(word)
+
 
 def _lang(name: str) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(name.encode())], np.uint64)
@@ -91,61 +104,89 @@ def _bits(keys: DataFrame, n: int) -> np.ndarray:
 # --- words ------------------------------------------------------------------------
 
 def _word_counts(docs: DataFrame, seed: int) -> DataFrame:
-    """(lang, h, word, f, clash) of all words; clash: two words have this hash."""
+    """(lang, h, f, clash) of all words; clash: two words have this hash."""
 
     def count(batches):
-        held: Counter = Counter()
         hashes = _Hashes(seed)
+        held: dict[str, list] = {}
+        size = 0
 
         def out():
-            pairs = [(lang, w) for lang, w in held if w != b"."]
-            h = np.array([hashes[w] for _, w in pairs], np.uint64).view(np.int64)
-            batch = pa.RecordBatch.from_arrays(
-                [pa.array([lang for lang, _ in pairs], pa.string()), pa.array(h),
-                 pa.array([w for _, w in pairs], pa.binary()).cast(pa.string()),
-                 pa.array([held[p] for p in pairs], pa.int64())], names=["lang", "h", "word", "c"])
+            for lang, runs in held.items():
+                h, c = np.unique(np.concatenate(runs), return_counts=True)
+                h, c = (h[1:], c[1:]) if len(h) and h[0] == 0 else (h, c)
+                check = np.array([_check(hashes.names[x]) for x in h.tolist()], np.uint64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.repeat(pa.scalar(lang, pa.string()), len(h)), pa.array(h.view(np.int64)),
+                     pa.array(check.view(np.int64)), pa.array(c, pa.int64())], names=["lang", "h", "check", "c"])
+            # words of one hash in one task: each has a row, which says so (in whichever language it was)
+            other = [(w, h, lang) for w, h in hashes.items() if h and hashes.names[h] != w for lang in held]
+            if other:
+                yield pa.RecordBatch.from_pydict(
+                    {"lang": [x for _, _, x in other], "h": np.array([h for _, h, _ in other], np.uint64).view(np.int64),
+                     "check": np.array([_check(w) for w, _, _ in other], np.uint64).view(np.int64), "c": [0] * len(other)},
+                    schema=pa.schema([("lang", pa.string()), ("h", pa.int64()), ("check", pa.int64()), ("c", pa.int64())]))
             held.clear()
-            return batch
+            hashes.forget()
 
         for b in batches:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).cast(pa.large_binary())):
-                for w, c in Counter(tokens(text.as_py())).items():
-                    held[lang, w] += c
-                if len(held) > _HELD:
-                    yield out()
-        yield out()
+                w = hashes.of(text.as_py())
+                held.setdefault(lang, []).append(w)
+                size += len(w)
+                if size >= _CHUNK:
+                    yield from out()
+                    size = 0
+        yield from out()
 
-    return (docs.mapInArrow(count, "lang string, h bigint, word string, c bigint").groupBy("lang", "h")
-            .agg(F.min("word").alias("word"), F.sum("c").alias("f"), (F.min("word") != F.max("word")).alias("clash")))
+    return (docs.mapInArrow(count, "lang string, h bigint, check bigint, c bigint").groupBy("lang", "h")
+            .agg(F.sum("c").alias("f"), (F.min("check") != F.max("check")).alias("clash")))
 
 
 def _encoded(docs: DataFrame, seed: int, frequent) -> DataFrame:
-    """(lang, words): each text as word hashes; 0 for a piece's end or a run of infrequent words."""
+    """(lang, words, names): each text as word hashes; 0 for a piece's end or a run of infrequent words.
+
+    Rows with names are no texts: they give the words of the frequent hashes
+    that a task has met.
+    """
 
     def encode(batches):
-        bits = frequent.value
-        hashes = _Hashes(seed)
+        bits, hashes, met = frequent.value, _Hashes(seed), {}
+        columns = ["lang", "words", "names"]
+
+        def out():
+            for lang, seen in met.items():
+                h = np.array(sorted(seen), np.uint64)
+                names = pa.array([hashes.names[x] for x in h.tolist()], pa.binary()).cast(pa.string())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang], pa.string()), pa.array([h.view(np.int64)], pa.list_(pa.int64())),
+                     pa.ListArray.from_arrays(pa.array([0, len(h)], pa.int32()), names)], names=columns)
+            met.clear()
+            hashes.forget()
+
         for b in batches:
-            out, langs = [], b.column(0).to_pylist()
-            for lang, text in zip(langs, b.column(1).cast(pa.large_binary())):
-                h = np.array([hashes[t] for t in tokens(text.as_py())], np.uint64)
+            rows = []
+            for lang, text in zip(b.column(0).to_pylist(), b.column(1).cast(pa.large_binary())):
+                h = hashes.of(text.as_py())
                 h[~_in(bits, _grown(_lang(lang), h))] = 0
-                out.append(h[(h != 0) | np.r_[False, h[:-1] != 0]] if len(h) else h)
-            ends = np.cumsum([0, *map(len, out)])
+                met.setdefault(lang, set()).update(np.unique(h[h != 0]).tolist())
+                rows.append(h[(h != 0) | np.r_[False, h[:-1] != 0]] if len(h) else h)
+                if len(hashes) > _HELD:
+                    yield from out()
+            ends = np.cumsum([0, *map(len, rows)])
+            words = pa.array(np.concatenate(rows).view(np.int64) if rows else [], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(
-                    np.concatenate(out).view(np.int64) if out else [], pa.int64()))], names=["lang", "words"])
+                [b.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), words),
+                 pa.nulls(len(rows), pa.list_(pa.string()))], names=columns)
+        yield from out()
 
-    return docs.mapInArrow(encode, "lang string, words array<bigint>")
+    return docs.mapInArrow(encode, "lang string, words array<bigint>, names array<string>")
 
 
 # --- growing ----------------------------------------------------------------------
 
-def _ngrams(w: np.ndarray, lang: str, bits: np.ndarray, lengths: list[int], longest: int):
-    """(key, words, count, before, after) arrays of the phrases one word longer than those in ``bits``.
-
-    before and after are the word next to all occurrences, or 0 if they differ.
-    """
+def _ends(w: np.ndarray, lang: str, bits: np.ndarray, lengths: list[int], longest: int):
+    """(length, places, hashes) of the phrases one word longer than those in ``bits``, and the padded words."""
     n = len(w)
     # words from here to the end of the run
     stop = np.where(w == 0, np.arange(n), n)
@@ -156,13 +197,23 @@ def _ngrams(w: np.ndarray, lang: str, bits: np.ndarray, lengths: list[int], long
         ok = run[at] >= m + 1
         at = at[ok]
         key = _grown(_lang(lang) if key is None else key[ok], padded[at + m])
-        if m not in lengths or not len(at):
-            continue
-        hit = _in(bits, key)
-        p = at[hit]
+        if m in lengths and len(at):
+            hit = _in(bits, key)
+            p = at[hit]
+            if len(p):
+                yield m, p, _grown(key[hit], padded[p + m + 1]), padded
+
+
+def _ngrams(w: np.ndarray, lang: str, bits: np.ndarray, likely: np.ndarray, lengths: list[int], longest: int):
+    """(key, words, count, before, after) arrays of the phrases whose hash is in ``likely``.
+
+    before and after are the word next to all occurrences, or 0 if they differ.
+    """
+    for m, p, full, padded in _ends(w, lang, bits, lengths, longest):
+        hit = _in(likely, full)
+        p, full = p[hit], full[hit]
         if not len(p):
             continue
-        full = _grown(key[hit], padded[p + m + 1])
         order = np.argsort(full, kind="stable")
         p, full = p[order], full[order]
         new = np.r_[True, full[1:] != full[:-1]]
@@ -179,35 +230,52 @@ def _ngrams(w: np.ndarray, lang: str, bits: np.ndarray, lengths: list[int], long
         yield full[start], words[start], np.diff(np.r_[start, len(p)]), same[0], same[1]
 
 
-def _grow(texts: DataFrame, shared, lengths: list[int], longest: int, min_count: int) -> DataFrame:
+def _chunks(batches):
+    """{lang: words of many texts, a 0 between them} again and again."""
+    held, size = {}, 0
+    for b in batches:
+        for lang, w in zip(b.column(0).to_pylist(), b.column(1)):
+            w = w.values.to_numpy().view(np.uint64)
+            held.setdefault(lang, []).extend((w, np.zeros(1, np.uint64)))
+            size += len(w)
+            if size >= _CHUNK:
+                yield {k: np.concatenate(v) for k, v in held.items()}
+                held, size = {}, 0
+    yield {k: np.concatenate(v) for k, v in held.items()}
+
+
+def _likely(texts: DataFrame, shared, lengths: list[int], longest: int, min_count: int) -> DataFrame:
+    """(key): hashes that stand for at least ``min_count`` occurrences of grown phrases, of one or by chance of several."""
+
+    def count(batches):
+        for held in _chunks(batches):
+            for lang, w in held.items():
+                for _, _, full, _ in _ends(w, lang, shared.value, lengths, longest):
+                    key, c = np.unique(full, return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(c, pa.int64())], names=["key", "c"])
+
+    return (texts.mapInArrow(count, "key bigint, c bigint").groupBy("key").agg(F.sum("c").alias("c"))
+            .where(F.col("c") >= min_count).select("key"))
+
+
+def _grow(texts: DataFrame, shared, likely, lengths: list[int], longest: int, min_count: int) -> DataFrame:
     """(lang, words, key, size, f, inside) of the frequent phrases one word longer than those of the shared set."""
-    columns = "lang string, words binary, key bigint, c bigint, before bigint, after bigint"
-
-    def emit(held):
-        for lang, runs in held.items():
-            for key, words, c, before, after in _ngrams(np.concatenate(runs), lang, shared.value, lengths, longest):
-                m = words.shape[1]
-                buffers = [None, pa.py_buffer(np.arange(0, 8 * m * len(key) + 1, 8 * m, dtype=np.int32)),
-                           pa.py_buffer(words.astype(">u8").tobytes())]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.repeat(pa.scalar(lang, pa.string()), len(key)), pa.Array.from_buffers(pa.binary(), len(key), buffers),
-                     pa.array(key.view(np.int64)), pa.array(c, pa.int64()), pa.array(before.view(np.int64)),
-                     pa.array(after.view(np.int64))], names=["lang", "words", "key", "c", "before", "after"])
 
     def grow(batches):
-        held, size = {}, 0
-        for b in batches:
-            for lang, w in zip(b.column(0).to_pylist(), b.column(1)):
-                w = w.values.to_numpy().view(np.uint64)
-                held.setdefault(lang, []).extend((w, np.zeros(1, np.uint64)))
-                size += len(w)
-                if size >= 2_000_000:
-                    yield from emit(held)
-                    held, size = {}, 0
-        yield from emit(held)
+        for held in _chunks(batches):
+            for lang, w in held.items():
+                for key, words, c, before, after in _ngrams(w, lang, shared.value, likely.value, lengths, longest):
+                    m = words.shape[1]
+                    buffers = [None, pa.py_buffer(np.arange(0, 8 * m * len(key) + 1, 8 * m, dtype=np.int32)),
+                               pa.py_buffer(words.astype(">u8").tobytes())]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.repeat(pa.scalar(lang, pa.string()), len(key)), pa.Array.from_buffers(pa.binary(), len(key), buffers),
+                         pa.array(key.view(np.int64)), pa.array(c, pa.int64()), pa.array(before.view(np.int64)),
+                         pa.array(after.view(np.int64))], names=["lang", "words", "key", "c", "before", "after"])
 
     size = (F.length("words") / 8).cast("int")
-    counted = (texts.mapInArrow(grow, columns).groupBy("lang", "words", "key")
+    counted = (texts.mapInArrow(grow, "lang string, words binary, key bigint, c bigint, before bigint, after bigint")
+               .groupBy("lang", "words", "key")
                .agg(F.sum("c").alias("f"), *(f(c).alias(f"{n}_{c}") for c in ("before", "after")
                                              for n, f in (("least", F.min), ("most", F.max)))))
     inside = F.lit(False)
@@ -277,7 +345,10 @@ def phrases(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang",
     level = kept(frequent.mapInArrow(first_keys, "lang string, h bigint, f bigint, key bigint").select(
         "lang", bytes8.alias("words"), "key", F.lit(1).alias("size"), "f", F.lit(False).alias("inside")), "known")
     n_words = level.count()
-    texts = kept(_encoded(docs, seed, spark.sparkContext.broadcast(_bits(level, n_words))), "texts")
+    encoded = kept(_encoded(docs, seed, spark.sparkContext.broadcast(_bits(level, n_words))), "texts")
+    texts = encoded.where("names IS NULL").select("lang", "words")
+    names = encoded.where("names IS NOT NULL").select("lang", F.inline(F.arrays_zip(
+        F.col("words").alias("h"), F.col("names").alias("word"))))
     known = level
     bound = F.expr("(CAST(1000 AS DECIMAL(4, 0)) * CAST(n AS DECIMAL(19, 0))) div CAST(f AS DECIMAL(19, 0))")
     frontier = kept(level.join(totals, "lang").withColumn("bound", bound)
@@ -300,7 +371,10 @@ def phrases(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang",
         if not sizes:
             break
         bits = spark.sparkContext.broadcast(_bits(batch, sum(sizes.values())))
-        new = _grow(texts, bits, sorted(sizes), longest, min_count)
+        lengths = sorted(sizes)
+        heavy = kept(_likely(texts, bits, lengths, longest, min_count), "likely")
+        likely = spark.sparkContext.broadcast(_bits(heavy, heavy.count()))
+        new = _grow(texts, bits, likely, lengths, longest, min_count)
         # without what false hits have grown: its beginning may not be known
         new = (new.withColumn("begin", F.expr("substring(words, 1, length(words) - 8)"))
                .join(batch.select("lang", F.col("words").alias("begin")), ["lang", "begin"], "left_semi").drop("begin"))
@@ -335,14 +409,14 @@ def phrases(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang",
                       "transform(sequence(1, cast(length(part) / 8 as int) - 1), i -> substring(part, 1, 8 * i))")).alias("words"))
                   .distinct().join(known.select("lang", "words", "key", "size"), ["lang", "words"])
                   .join(grown.select("lang", "words"), ["lang", "words"], "left_anti").select("lang", "words", "key", "size"))
-    return _first(spark, scores, words, top) if scores is not None else _none(spark)
+    return _first(scores, names, top) if scores is not None else _none(spark)
 
 
 def _none(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], "lang string, rank bigint, phrase string, a bigint, l bigint, r bigint, n bigint, score bigint")
 
 
-def _first(spark: SparkSession, scores: DataFrame, words: DataFrame, top: int) -> DataFrame:
+def _first(scores: DataFrame, names: DataFrame, top: int) -> DataFrame:
     """The first ``top`` of each language, with their words; ties in score and count are told apart by the text."""
     survived = scores.where(~F.col("inside"))
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"))
@@ -351,8 +425,9 @@ def _first(spark: SparkSession, scores: DataFrame, words: DataFrame, top: int) -
     near = survived.join(last, "lang").where(F.struct("score", "a") >= F.col("last"))
     position = near.select("lang", "words", F.posexplode(F.expr(
         "transform(sequence(1, cast(length(words) / 8 as int)), i -> substring(words, 8 * i - 7, 8))")).alias("at", "w"))
-    names = words.select("lang", F.unhex(F.lpad(F.hex("h"), 16, "0")).alias("w"), "word")
-    text = (position.join(names, ["lang", "w"]).groupBy("lang", "words")
+    names = names.select("lang", F.unhex(F.lpad(F.hex("h"), 16, "0")).alias("w"), "word")
+    wanted = names.join(position.select("lang", "w").distinct(), ["lang", "w"], "left_semi").distinct()
+    text = (position.join(wanted, ["lang", "w"]).groupBy("lang", "words")
             .agg(F.array_sort(F.collect_list(F.struct("at", "word"))).alias("parts"))
             .select("lang", "words", F.array_join(F.col("parts.word"), " ").alias("phrase")))
     rank = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
