@@ -24,11 +24,13 @@ import sys
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketlake.operators import breadth, clean, maintain
 from marketlake.plans import lake
+from marketlake.session import exists
 from marketlake.sources import landing
-from marketlake.streaming import clean_stream
+from marketlake.streaming import clean_stream, first_arrival
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -36,7 +38,7 @@ def _parser() -> argparse.ArgumentParser:
     sub = p.add_subparsers(dest="job", required=True)
 
     ld = sub.add_parser("land", help="as-delivered JSON lines -> typed records")
-    ld.add_argument("domain", choices=["equity", "fo", "index", "corporate", "surveillance"])
+    ld.add_argument("domain", choices=["equity", "fo", "index", "corporate", "surveillance", "macro"])
     ld.add_argument("--source", required=True, help="JSON lines; index payloads hold a data array")
     ld.add_argument("--out", required=True)
     ld.add_argument("--trade-date", default=None)
@@ -74,7 +76,8 @@ def _parser() -> argparse.ArgumentParser:
     d.add_argument("--fo-order", default=",".join(clean.ARRIVAL_ORDER), help="arrival order of FO records")
 
     c = sub.add_parser("compact", help="compact + z-order tables (src=dst pairs)")
-    c.add_argument("tables", nargs="+", help="SRC=DST")
+    c.add_argument("tables", nargs="+", help="SRC=DST, or with --journal TABLE")
+    c.add_argument("--journal", default=None, help="compact in place, partition by partition; a folder for the journals")
     c.add_argument("--zorder", default="symbol,trade_date")
 
     st = sub.add_parser("stream", help="stream cleaner into bronze")
@@ -84,6 +87,9 @@ def _parser() -> argparse.ArgumentParser:
     st.add_argument("--checkpoint", required=True)
     st.add_argument("--trigger", default="availableNow", help="availableNow or e.g. '60 seconds'")
     st.add_argument("--dead-letters", default=None, help="path for rejected records")
+    st.add_argument("--quarantine", default=None, help="path for messages that do not decode, with their text and file")
+    st.add_argument("--state", default=None, help="keep the first arrival of each key; remembered keys are stored here")
+    st.add_argument("--order", default=",".join(clean.ARRIVAL_ORDER), help="arrival order, with --state")
 
     sv = sub.add_parser("serve", help="one serving query over written tables")
     sv.add_argument("query", choices=["ohlcv", "breadth", "fo", "surveillance"])
@@ -104,14 +110,24 @@ def run(argv: list[str], spark: SparkSession | None = None) -> dict:
     read = spark.read.parquet
     if args.job == "land":
         # delivered values keep their JSON types; the landing functions read either
-        items = spark.read.json(args.source)
+        items = landing.read_delivered(spark, args.source)
         if args.domain == "index" and "data" in items.columns:
             items = landing.index_items(items)
-        items = landing.with_arrival(items)
+        done = exists(spark, args.out)
+        items = landing.with_arrival(items, landing.delivered_files(spark, args.source),
+                                     landing.next_rank(read(args.out)) if done else 0)
         if args.domain in ("equity", "fo", "index"):
             landed = getattr(landing, f"land_{args.domain}")(items, args.trade_date)
         elif args.domain == "corporate":
             landed = landing.land_corporate(items)
+        elif args.domain == "macro":
+            # payloads as JSON text, whatever they hold; without a record type it is a status
+            data = F.to_json("data") if isinstance(items.schema["data"].dataType, T.StructType) else F.col("data").cast("string")
+            items = items.withColumn("data", data)
+            kind = F.col("record_type") if "record_type" in items.columns else F.lit("MARKET_STATUS")
+            items = items.withColumn("record_type", F.coalesce(kind, F.lit("MARKET_STATUS")))
+            landed = landing.land_macro(items.where("record_type = 'FII_DII'"), items.where("record_type <> 'FII_DII'"),
+                                        args.trade_date)
         else:
             for name, value in (("list_type", args.list_type), ("as_of_date", args.as_of_date)):
                 if value is not None:
@@ -140,9 +156,13 @@ def run(argv: list[str], spark: SparkSession | None = None) -> dict:
     if args.job == "compact":
         cols = [c for c in args.zorder.split(",") if c]
         jobs = []
-        for pair in args.tables:
+        for pair in args.tables if not args.journal else ():
             src, dst = pair.split("=", 1)
             jobs.append((src, lambda s=src, t=dst: maintain.rewrite(spark, s, t, zorder_by=cols)))
+        for table in args.tables if args.journal else ():
+            own = f"{args.journal}/{table.rstrip('/').rsplit('/', 1)[-1]}"
+            jobs.append((table, lambda t=table, j=own: maintain.compact_in_place(
+                spark, t, f"{j}/journal", f"{j}/files", zorder_by=cols)))
         return maintain.compact_tables(jobs)
     if args.job == "serve":
         from marketlake.plans.serve import Lake
@@ -165,20 +185,28 @@ def run(argv: list[str], spark: SparkSession | None = None) -> dict:
         return {"data": rows, "count": len(rows)}
     # stream
     schema = clean_stream.RAW_SCHEMAS[args.domain]
+    if args.state:
+        schema = T.StructType([*schema.fields, T.StructField("arrival_seq", T.DecimalType(38, 0))])
     source = clean_stream.read_stream(spark, args.source, schema)
     cleaned = (clean_stream.equity_clean_stream(source) if args.domain == "equity"
                else clean_stream.fo_clean_stream(source))
     parts = ("trade_date", "series") if args.domain == "equity" else ("trade_date",)
     available = args.trigger == "availableNow"
-    query = clean_stream.write_bronze(cleaned, args.out, args.checkpoint, partition_by=parts,
-                                      available_now=available,
-                                      processing_time=None if available else args.trigger)
+    how = {"available_now": available, "processing_time": None if available else args.trigger}
+    if args.state:
+        begin = first_arrival.start_equity if args.domain == "equity" else first_arrival.start_fo
+        query = begin(source, args.checkpoint, args.out, args.state, order=args.order.split(","), partition_by=parts, **how)
+    else:
+        query = clean_stream.write_bronze(cleaned, args.out, args.checkpoint, partition_by=parts, **how)
     queries = [query]
+    if args.quarantine:
+        bad = clean_stream.malformed_messages(clean_stream.read_messages(spark, args.source),
+                                              clean_stream.RAW_SCHEMAS[args.domain])
+        queries.append(clean_stream.write_bronze(bad, args.quarantine, f"{args.checkpoint}-quarantine", partition_by=(), **how))
     if args.dead_letters:
         dlq = clean_stream.rejects_stream(clean_stream.read_stream(spark, args.source, schema), args.domain)
         queries.append(clean_stream.write_bronze(
-            dlq, args.dead_letters, f"{args.checkpoint}-dead-letters", partition_by=(),
-            available_now=available, processing_time=None if available else args.trigger))
+            dlq, args.dead_letters, f"{args.checkpoint}-dead-letters", partition_by=(), **how))
     for q in queries:
         if available:
             clean_stream.run_available_now(q)

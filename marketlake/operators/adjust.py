@@ -19,7 +19,7 @@ factor.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake.functions.factor import ADJUSTING_ACTION, adjustment_factor
@@ -104,15 +104,17 @@ def cumulative_factor_interval(
     ``_lo <= trade_date < _hi`` as join condition. The intervals of a symbol
     do not overlap, so each price row matches at most one: no fan-out, no
     regroup, and the probe side stays in whole-stage codegen. The interval
-    table is broadcast only when its measured size is under
-    ``BROADCAST_ACTIONS_MAX_BYTES`` (else shuffled on symbol, AQE splitting a
-    hot symbol).
+    table is broadcast, when its measured size is under
+    ``BROADCAST_ACTIONS_MAX_BYTES``; beyond it the factors are carried along
+    each symbol's days instead (``cumulative_factor_asof``).
     """
     adjusting = adjusting_actions(actions)
     intervals = factor_intervals(adjusting)
     if broadcast is None:
         broadcast = _measure(adjusting) <= BROADCAST_ACTIONS_MAX_BYTES
-    right = F.broadcast(intervals) if broadcast else intervals
+    if not broadcast:
+        return cumulative_factor_asof(prices, actions)
+    right = F.broadcast(intervals)
     d = _trade_day()
     cond = (
         (F.col("symbol") == F.col("_s"))
@@ -126,6 +128,42 @@ def cumulative_factor_interval(
     )
 
 
+def cumulative_factor_asof(prices: DataFrame, actions: DataFrame) -> DataFrame:
+    """Prices with ``cumulative_adj_factor``, without a join (for action tables too large to broadcast).
+
+    Intervals and prices are united and sorted by symbol and day; each price
+    carries the factor of the last interval start before it. A symbol's days
+    are cut at the turn of each year, and every interval enters each year that
+    it reaches, so a symbol with a third of all rows is spread over as many
+    tasks as it has years. Years before the first action of any symbol are one
+    stretch. Rows come back as they were, repeated ones included.
+    """
+    intervals = factor_intervals(adjusting_actions(actions))
+    first, last = intervals.agg(F.min(F.year("_hi")), F.max(F.year("_hi"))).first()
+    if first is None:
+        return prices.withColumn("cumulative_adj_factor", F.lit(1.0))
+
+    def stretch(year: Column) -> Column:
+        return F.greatest(F.lit(first - 1), F.least(F.lit(last + 1), year))
+
+    years = F.sequence(stretch(F.coalesce(F.year("_lo"), F.lit(first - 1))), stretch(F.year(F.date_sub("_hi", 1))))
+    starts = intervals.select("_s", "_lo", "_f", F.explode(years).alias("_y")).select(
+        F.col("_s").alias("symbol"), "_y", F.when(F.col("_y") >= first, F.greatest(
+            "_lo", F.make_date("_y", F.lit(1), F.lit(1)))).otherwise(F.col("_lo")).alias("_d"), F.struct("_f").alias("_start"))
+    # after a symbol's last action nothing is adjusted
+    ends = intervals.groupBy("_s").agg(F.max("_hi").alias("_d")).select(
+        F.col("_s").alias("symbol"), stretch(F.year("_d")).alias("_y"), "_d", F.struct(F.lit(1.0).alias("_f")).alias("_start"))
+    rows = prices.withColumns({"_d": _trade_day(), "_y": stretch(F.year(_trade_day()))}).withColumn(
+        "_row", F.struct(*prices.columns)).select("symbol", "_y", "_d", "_row")
+    united = rows.unionByName(starts.unionByName(ends), allowMissingColumns=True)
+    before = (Window.partitionBy("symbol", "_y").orderBy(F.col("_d").asc_nulls_first(), F.col("_row").isNotNull())
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    carried = united.withColumn("_c", F.last("_start", ignorenulls=True).over(before)).where("_row IS NOT NULL")
+    # without a day nothing is known of the actions that follow
+    factor = F.when(F.col("_c").isNull() | F.col("_d").isNull(), F.lit(1.0)).otherwise(F.col("_c._f"))
+    return carried.select("_row.*", factor.alias("cumulative_adj_factor"))
+
+
 def actions_range_join(prices: DataFrame, actions: DataFrame) -> DataFrame:
     """Prices LEFT JOIN adjusting actions ON symbol AND date(trade_date) < ex_date."""
     acts = adjusting_actions(actions).select(

@@ -11,11 +11,16 @@ from __future__ import annotations
 
 import logging
 import math
+import re
+import uuid
 from collections.abc import Callable, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketlake.session import exists
+
 log = logging.getLogger(__name__)
 
 # Compaction target and trigger.
@@ -145,9 +150,19 @@ def zorder(df: DataFrame, columns: Sequence[str], num_partitions: int | None = N
     return dealt.sortWithinPartitions(*within, "_z").drop("_z", "_salt")
 
 
-def partition_columns(paths: Sequence[str]) -> list[str]:
-    """Columns of a table laid out as ``.../a=1/b=2``, from its directories."""
-    names = [[p.split("=", 1)[0] for p in path.split("/") if "=" in p] for path in paths]
+def _plain(path: str) -> str:
+    """A path without its scheme and authority, and without a slash at the end."""
+    return re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", unquote(path)).rstrip("/")
+
+
+def relative(directory: str, root: str) -> str:
+    """The part of a directory below a table's root, ``''`` for the root itself."""
+    return _plain(directory)[len(_plain(root)):].strip("/")
+
+
+def partition_columns(paths: Sequence[str], root: str) -> list[str]:
+    """Columns of a table laid out as ``<root>/a=1/b=2``; directories above the root do not count."""
+    names = [[p.split("=", 1)[0] for p in relative(path, root).split("/") if "=" in p] for path in paths]
     return names[0] if names and all(n == names[0] for n in names) else []
 
 
@@ -175,7 +190,7 @@ def rewrite(
     chosen = [r for r in plan if force or r["rewrite"]]
     if not chosen:
         return 0
-    parts = partition_columns([r["partition"] for r in plan])
+    parts = partition_columns([r["partition"] for r in plan], src)
     read = spark.read.option("basePath", src).parquet if parts else spark.read.parquet
     n_out = sum(r["target_files"] for r in chosen)
     out = zorder(read(*[r["partition"] for r in chosen]), zorder_by, n_out, within=parts)
@@ -185,6 +200,102 @@ def rewrite(
     return n_out
 
 
+# --- compaction with partial progress ---------------------------------------------
+
+JOURNAL = "seq bigint, partition string, location string"
+
+
+def _journal(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(JOURNAL).option("recursiveFileLookup", "true").json(path)
+
+
+def manifest(spark: SparkSession, table: str, journal: str) -> dict[str, str]:
+    """Where each partition of a table is now: {``a=1/b=2``: directory}, one entry per partition.
+
+    Partitions that no compaction has moved are below ``table`` itself.
+    """
+    found = {relative(r["partition"], table): r["partition"] for r in
+             file_stats(spark.read.parquet(table)).select("partition").distinct().collect()}
+    if exists(spark, journal):
+        moved = _journal(spark, journal).groupBy("partition").agg(F.max_by("location", "seq").alias("location")).collect()
+        found |= {r["partition"]: r["location"] for r in moved}
+    return found
+
+
+def _root(location: str, partition: str) -> str:
+    return location[:len(location.rstrip("/")) - len(partition)].rstrip("/") if partition else location
+
+
+def _read_parts(spark: SparkSession, parts: dict[str, str]) -> DataFrame:
+    """Rows of partitions that may lie below several roots, partition columns included."""
+    roots: dict[str, list[str]] = {}
+    for partition, location in sorted(parts.items()):
+        roots.setdefault(_root(location, partition), []).append(location)
+    frames = [spark.read.option("basePath", root).parquet(*where) for root, where in roots.items()]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def read_compacted(spark: SparkSession, table: str, journal: str) -> DataFrame:
+    """A table as its journal has it: each partition wholly from before or wholly from after its compaction."""
+    return _read_parts(spark, manifest(spark, table, journal))
+
+
+def compact_in_place(
+    spark: SparkSession,
+    table: str,
+    journal: str,
+    staging: str,
+    zorder_by: Sequence[str] = ("symbol", "trade_date"),
+    target_bytes: int = TARGET_FILE_BYTES,
+    min_input_files: int = MIN_INPUT_FILES,
+    commit_bytes: int = 64 * 1024 ** 3,
+    after_commit: Callable[[list[str]], None] | None = None,
+) -> list[str]:
+    """M1 with partial progress: compact the partitions that need it, a commit at a time; returns them.
+
+    A commit rewrites partitions of about ``commit_bytes`` together below a
+    new folder of ``staging``, and then appends where they are now to the
+    ``journal``, as one file. Until that file is there readers see the old
+    files, afterwards the new ones. A run that was stopped has kept its
+    commits: the next one plans from the journal, in which those partitions
+    have few files, and does the others. Partitions with fewer than
+    ``min_input_files`` files are not touched, and no file is removed.
+    """
+    now = manifest(spark, table, journal)
+    where = {_plain(location): partition for partition, location in now.items()}
+    stats = None
+    roots: dict[str, list[str]] = {}
+    for partition, location in now.items():
+        roots.setdefault(_root(location, partition), []).append(location)
+    for root, dirs in roots.items():
+        part = compaction_plan(spark.read.option("basePath", root).parquet(*dirs), target_bytes, min_input_files)
+        stats = part if stats is None else stats.unionByName(part)
+    plan = sorted((where[_plain(r["partition"])], r["input_bytes"], r["target_files"])
+                  for r in stats.where("rewrite").collect())
+    columns = partition_columns([f"{table}/{p}" for p in now], table)
+    done: list[str] = []
+    while plan:
+        group, size = [], 0
+        while plan and (not group or size + plan[0][1] <= commit_bytes):
+            size += plan[0][1]
+            group.append(plan.pop(0))
+        names = [p for p, _, _ in group]
+        out = f"{staging}/{uuid.uuid4().hex}"
+        rows = _read_parts(spark, {p: now[p] for p in names})
+        zorder(rows, zorder_by, sum(n for _, _, n in group), within=columns).write.partitionBy(*columns).parquet(out)
+        seq = 1 + (_journal(spark, journal).agg(F.max("seq")).first()[0] or 0) if exists(spark, journal) else 1
+        entries = spark.createDataFrame([(seq, p, f"{out}/{p}" if p else out) for p in names], JOURNAL)
+        # one file, which appears whole or not at all
+        entries.coalesce(1).write.mode("append").json(journal)
+        done += names
+        if after_commit:
+            after_commit(names)
+    return done
+
+
 def compact_tables(tables: Sequence[tuple[str, Callable[[], object]]]) -> dict[str, str]:
     """M3: run each table's compaction in priority order; a failure is logged
     and the run continues with the next table."""

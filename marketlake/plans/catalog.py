@@ -252,8 +252,9 @@ def lake_job_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- serving -------------------------------------------------------------------
 
 def _lake(spark, sf_dir, *tables: str) -> Lake:
-    """A serving surface holding only the named tables (each is a lazy plan;
-    building silver or gold runs the small action-table measurement)."""
+    """A serving surface over the named tables, each written once in a session and scanned by name."""
+    from marketlake.plans.catalog_tables import served
+
     build = {
         "silver": lambda: _silver(spark, sf_dir),
         "gold": lambda: market_breadth(spark, sf_dir),
@@ -261,7 +262,7 @@ def _lake(spark, sf_dir, *tables: str) -> Lake:
         "surveillance": lambda: _load(spark, sf_dir)("surveillance_raw"),
         "equity": lambda: equity_clean(spark, sf_dir),
     }
-    return Lake(spark, **{t: build[t]() for t in tables})
+    return Lake.from_names(spark, **{t: served(spark, sf_dir, t, build[t]) for t in tables})
 
 
 def silver_after_new_actions(spark, sf_dir):
@@ -366,7 +367,10 @@ def stream_fo_clean(spark, sf_dir):
 # --- maintenance -----------------------------------------------------------------
 
 def zorder_rewrite(spark, sf_dir):
-    return maintain.zorder(equity_clean(spark, sf_dir), ["symbol", "trade_date"])
+    """M2 over a written table: its split points and the rewrite read the files, not the cleaning plan."""
+    path = scratch_path(spark, "zorder-input")
+    equity_clean(spark, sf_dir).write.parquet(path)
+    return maintain.zorder(spark.read.parquet(path), ["symbol", "trade_date"])
 
 
 COMPACT_FEEDS = 12

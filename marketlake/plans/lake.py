@@ -74,9 +74,12 @@ def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str]) ->
     """Overwrite only the partitions present in ``df`` (dynamic overwrite).
 
     A rebuild from a start date therefore replaces the touched years and
-    keeps older history, instead of dropping the whole table.
+    keeps older history, instead of dropping the whole table. Rows are dealt by
+    partition first: adaptive execution joins small partitions in a task and
+    splits large ones, so files are bounded in number and in size.
     """
-    (df.write.mode("overwrite")
+    dealt = df.hint("rebalance", *partition_by) if partition_by else df
+    (dealt.write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .partitionBy(*partition_by)
        .parquet(path))

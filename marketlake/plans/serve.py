@@ -59,6 +59,11 @@ class Lake:
         return cls(spark, silver=read(silver), gold=read(gold), fo=read(fo),
                    surveillance=read(surveillance), equity=read(equity))
 
+    @classmethod
+    def from_names(cls, spark: SparkSession, **names: str) -> "Lake":
+        """Serve tables of the session catalog by name (``silver="db.silver"``, ...)."""
+        return cls(spark, **{kind: spark.table(name) for kind, name in names.items()})
+
     def get_ohlcv(self, symbol: str, from_date: str, to_date: str) -> DataFrame:
         """V2: adjusted series of one symbol, inclusive date range, by date."""
         df = self.silver
@@ -73,8 +78,11 @@ class Lake:
 
     def get_ohlcv_raw(self, symbol: str, from_date: str, to_date: str) -> DataFrame:
         """Unadjusted series of one symbol from the cleaned bronze table."""
+        df = self.equity
+        if "trade_year" in df.columns:
+            df = df.where(_year_bounds(from_date, to_date))
         return (
-            self.equity.where((F.col("symbol") == F.lit(symbol.upper()))
+            df.where((F.col("symbol") == F.lit(symbol.upper()))
                               & F.col("trade_date").between(F.lit(from_date), F.lit(to_date)))
             .select(*RAW_OHLCV_COLUMNS)
             .orderBy(F.col("trade_date").asc_nulls_last())
@@ -92,8 +100,11 @@ class Lake:
 
     def get_fo_bhavcopy(self, symbol: str, trade_date: str) -> DataFrame:
         """V4 + O2: all contracts of a symbol on a day, by expiry, strike, type."""
+        df = self.fo
+        if "trade_year" in df.columns:
+            df = df.where(_year_bounds(trade_date, trade_date)).drop("trade_year")
         return (
-            self.fo.where((F.col("symbol") == F.lit(symbol.upper()))
+            df.where((F.col("symbol") == F.lit(symbol.upper()))
                           & (F.col("trade_date") == F.lit(trade_date)))
             .orderBy(F.col("expiry_date").asc_nulls_last(),
                      F.col("strike_price").asc_nulls_last(),

@@ -90,6 +90,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{os.getpid()}-{uuid.uuid4().hex[:12]}"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on whatever file system the path names."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def cluster_conf(
     input_bytes: int,
     total_cores: int,

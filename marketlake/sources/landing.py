@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -195,8 +195,7 @@ def _surveillance_list(items: DataFrame, list_type: str | Column | None,
         "stage": safe_int(_get(items, "stage")).try_cast("int"),
         "reason": blank_to_null(_get(items, "reason")),
     }
-    landed = items.where(non_empty).select(*[c.alias(n) for n, c in cols.items()])
-    return _conform(landed, schemas.SURVEILLANCE_RAW)
+    return _conform(_project(items.where(non_empty), cols), schemas.SURVEILLANCE_RAW)
 
 
 def land_surveillance(
@@ -232,18 +231,31 @@ def land_macro(fii_dii: DataFrame, status: DataFrame, trade_date: str | None = N
         return F.when(is_obj, c).otherwise(F.to_json(F.struct(c.cast("string").alias("raw"))))
 
     def part(df: DataFrame, record_type: str, data: Column) -> DataFrame:
-        return df.select(
-            _ingested(df).alias("ingested_at"),
-            _context(df, "trade_date", trade_date).alias("trade_date"),
-            F.lit(record_type).alias("record_type"),
-            data.alias("data"),
-        )
+        return _project(df, {
+            "ingested_at": _ingested(df),
+            "trade_date": _context(df, "trade_date", trade_date),
+            "record_type": F.lit(record_type),
+            "data": data,
+        })
 
     return part(fii_dii, "FII_DII", F.col("data")).unionByName(
         part(status, "MARKET_STATUS", payload_obj(F.col("data")))
     )
 
 
+def macro_variant(macro: DataFrame) -> DataFrame:
+    """S6 with the payload as VARIANT: any JSON value; text that is no JSON becomes a string in ``raw``."""
+    parsed = F.try_parse_json("data")
+    return macro.withColumn("data", F.coalesce(
+        parsed, F.try_parse_json(F.to_json(F.struct(F.col("data").alias("raw"))))))
+
+
+def macro_fields(macro: DataFrame, paths: dict[str, tuple[str, str]]) -> DataFrame:
+    """One typed column for each (path, type) of a VARIANT payload; null where the path or the type is not met."""
+    return macro.select("ingested_at", "trade_date", "record_type", *[
+        F.try_variant_get("data", path, kind).alias(name) for name, (path, kind) in paths.items()])
+
+
 def columnar_to_rows(columnar: DataFrame, array_cols: Sequence[str],
                      trade_date: str | None = None) -> DataFrame:
     """A columnar payload (parallel arrays) -> one row per index.
@@ -296,14 +308,51 @@ def index_items(payloads: DataFrame) -> DataFrame:
     return payloads.select(*rest, F.inline("data"))
 
 
-def with_arrival(items: DataFrame) -> DataFrame:
-    """Number the items of a landing batch in the order they are read (``arrival_seq``).
+#: Columns that say where a delivered row stood, until it is numbered.
+_PLACE = ("_file", "_block", "_row")
+
+
+def read_delivered(spark: SparkSession, source: str) -> DataFrame:
+    """As-delivered JSON lines with the place of each row: its file and the block of the file it was read from."""
+    df = spark.read.json(source)
+    return df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
+
+
+def delivered_files(spark: SparkSession, source: str) -> DataFrame:
+    """(_file, rank): the files in the order they were delivered, by modification time, then path.
 
-    All items of one fetch share its ingestion time; the number, stored with
-    the record when it is landed, says which of them came first. It is unique
-    within the batch, not gap-free.
+    One small row for each file (the listing that any read of them holds);
+    their content is not read.
     """
-    return items.withColumn("arrival_seq", F.monotonically_increasing_id())
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(source)
+             .select(F.col("path").alias("_file"), "modificationTime"))
+    order = Window.orderBy("modificationTime", "_file")
+    return files.select("_file", (F.row_number().over(order) - 1).cast("decimal(13,0)").alias("rank"))
+
+
+def with_arrival(items: DataFrame, files: DataFrame, first_rank: int = 0) -> DataFrame:
+    """Number delivered items in the order of delivery (``arrival_seq``): by file, then place in the file.
+
+    ``items`` come from ``read_delivered`` (exploded payloads keep their file),
+    ``files`` from ``delivered_files``. All items of one fetch share its
+    ingestion time; the stored number says which came first, whatever sizes the
+    files have and in whichever tasks they were read. Numbers of one file are
+    below those of the next, and all are at or above ``first_rank`` files, so a
+    later run continues where an earlier one stopped. Unique, not gap-free.
+    """
+    # within a task rows keep their order in the block; the lower 33 bits count them
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    placed = items.withColumn("_row", row).join(files, "_file")
+    wide = lambda c: c.cast("decimal(38,0)")
+    number = (wide(F.col("rank") + F.lit(first_rank)) * F.lit(10**15).cast("decimal(16,0)")
+              + wide(F.col("_block"))) * F.lit(10**10).cast("decimal(11,0)") + wide(F.col("_row"))
+    return placed.withColumn("arrival_seq", number.cast("decimal(38,0)")).drop(*_PLACE, "rank")
+
+
+def next_rank(landed: DataFrame) -> int:
+    """The first file rank after those in a landed table."""
+    last = landed.agg(F.max("arrival_seq")).first()[0] if "arrival_seq" in landed.columns else None
+    return 0 if last is None else int(last) // 10**25 + 1
 
 
 def enforce_schema(
@@ -334,6 +383,16 @@ def enforce_schema(
     return (flagged.where("_ok").drop("_ok"), flagged.where(~F.col("_ok")).drop("_ok"))
 
 
+def reject_reason(records: DataFrame, name: str) -> Column:
+    """``missing_<field>`` for the first required field that a record lacks, else null."""
+    defaults = schemas.DEFAULTS.get(name, {})
+    found = F.lit(None).cast("string")
+    for c in reversed(schemas.REQUIRED.get(name, [])):
+        if c not in defaults and c != "ingested_at":
+            found = F.when(_get(records, c).isNull(), F.lit(f"missing_{c}")).otherwise(found)
+    return found
+
+
 def ingest_summary(results: Iterable[tuple[str, DataFrame]]) -> DataFrame:
     """Per domain -- records accepted, rejected, and a status.
 

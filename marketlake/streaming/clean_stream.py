@@ -25,6 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from marketlake import schemas
 from marketlake.operators import clean
+from marketlake.sources import landing
 
 # How long a key is remembered -- 24 h for equities, 48 h for
 # derivative contracts.
@@ -50,16 +51,72 @@ def read_stream(
     return reader.load(path)
 
 
+def read_messages(spark: SparkSession, path: str, stream: bool = True, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Message files as they are: one row (value, source_file) for each line, whatever it holds."""
+    reader = spark.readStream if stream else spark.read
+    if max_files_per_trigger and stream:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.format("text").load(path).select("value", F.col("_metadata.file_path").alias("source_file"))
+
+
+_CORRUPT = "_corrupt_record"
+
+
+def _decoded(messages: DataFrame, schema: T.StructType, value_col: str) -> DataFrame:
+    """Typed columns, the message text, and why it cannot be decoded (null: it can)."""
+    text = F.col(value_col).cast("string")
+    wide = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
+    message = F.from_json(text, wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+    rest = [c for c in messages.columns if c != value_col]
+    # blank lines decode to nothing, broken JSON and values of another type to a corrupt record
+    reason = (F.when(text.isNull() | (F.trim(text) == ""), F.lit("empty_message"))
+              .when(F.col("_m").isNull() | F.col(f"_m.{_CORRUPT}").isNotNull(), F.lit("malformed_message")))
+    return (messages.withColumns({"_m": message, "_text": text}).withColumn("_reason", reason)
+            .select("_m.*", "_text", "_reason", *[F.col(c) for c in rest]).drop(_CORRUPT))
+
+
 def parse_messages(messages: DataFrame, schema: T.StructType, value_col: str = "value") -> DataFrame:
     """Decode value-only JSON messages (e.g. a Kafka topic's ``value``) to typed rows.
 
-    Malformed messages decode to all-null rows and are removed by the
-    cleaners' validity filters.
+    Malformed messages decode to all-null rows, which the cleaners' validity
+    filters remove; ``malformed_messages`` keeps them with their text.
     """
     decoded = F.from_json(F.col(value_col).cast("string"), schema)
     return messages.select(decoded.alias("_m")).select("_m.*")
 
 
+def well_formed(messages: DataFrame, schema: T.StructType, value_col: str = "value") -> DataFrame:
+    """Typed rows of the messages that decode, other columns (the source file) kept."""
+    return _decoded(messages, schema, value_col).where("_reason IS NULL").drop("_text", "_reason")
+
+
+def malformed_messages(messages: DataFrame, schema: T.StructType, value_col: str = "value") -> DataFrame:
+    """Quarantine: the messages that do not decode, (message, reject_reason, other columns) as they came."""
+    rest = [c for c in messages.columns if c != value_col]
+    return (_decoded(messages, schema, value_col).where("_reason IS NOT NULL")
+            .select(F.col("_text").alias("message"), F.col("_reason").alias("reject_reason"), *rest))
+
+
+def split_messages(messages: DataFrame, name: str, value_col: str = "value") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """S12 for messages: (accepted, rejected with a reason, malformed); together they are the input."""
+    schema = schemas.BY_NAME[name]
+    typed = well_formed(messages, schema, value_col)
+    accepted, rejected = landing.enforce_schema(typed, name)
+    return (accepted, rejected.withColumn("reject_reason", landing.reject_reason(rejected, name)),
+            malformed_messages(messages, schema, value_col))
+
+
+def message_outcomes(messages: DataFrame, name: str, value_col: str = "value") -> DataFrame:
+    """One row of counts (input, accepted, rejected, malformed) for a domain's messages, in one pass."""
+    schema = schemas.BY_NAME[name]
+    typed = _decoded(messages, schema, value_col)
+    bad = F.col("_reason").isNotNull()
+    reason = landing.reject_reason(typed, name)
+    # a message without an ingestion time gets the present one
+    return typed.agg(F.count(F.lit(1)).alias("input"), F.count_if(~bad & reason.isNull()).alias("accepted"),
+                     F.count_if(~bad & reason.isNotNull()).alias("rejected"), F.count_if(bad).alias("malformed"))
+
+
 def _seen_time(df: DataFrame) -> DataFrame:
     return df.withColumn("_seen_at", F.current_timestamp())
 

@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from marketlake.plans import catalog
+from marketlake.plans import catalog, catalog_tables, oracle_tables
 from marketlake.plans import oracle_sql as oracles
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -37,7 +37,7 @@ def duck(sf_dir):
 
 
 def test_every_query_has_an_oracle():
-    assert set(oracles.build_all()) == set(catalog.QUERIES)
+    assert set(oracles.build_all()) == set(catalog.QUERIES) and set(oracle_tables.build()) == set(catalog_tables.QUERIES)
     assert set(catalog.QUERIES) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
@@ -47,7 +47,7 @@ def test_entry_smoke(spark):
     assert "pcr_oi" in df.columns and "ad_ratio" in df.columns
 
 
-@pytest.mark.parametrize("name", sorted(oracles.build_all()))
+@pytest.mark.parametrize("name", sorted(oracles.build_all() | oracle_tables.build()))
 def test_query_matches_oracle(spark, sf_dir, duck, name):
     sdf = E.queries()[name](spark, sf_dir)
     cols = sdf.columns
