@@ -8,6 +8,7 @@ import zlib
 from collections.abc import Iterable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,3 +67,26 @@ def binary_list(column: pa.Array) -> list[bytes]:
 def rows(schema: pa.Schema, *columns) -> pa.RecordBatch:
     arrays = [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)]
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+
+#: Bits of a set of keys that is sent to tasks (16 MB at most). It only tells what cannot be in the set:
+#: a false hit costs work, and what depends on it is settled exactly afterwards.
+LEAST_BITS, MOST_BITS = 16, 27
+
+
+def key_bits(keys: DataFrame, n: int) -> np.ndarray:
+    """Set of the (hashed) ``key`` column of ``n`` rows, or-ed together by Spark as a bounded number of 64-bit rows."""
+    size = min(max(LEAST_BITS, math.ceil(math.log2(16 * max(n, 1)))), MOST_BITS)
+    top = f"shiftrightunsigned(key, {64 - size})"
+    got = (keys.select(F.expr(f"shiftright({top}, 6)").alias("at"),
+                       F.expr(f"shiftleft(1L, cast({top} & 63 AS int))").alias("v"))
+           .groupBy("at").agg(F.bit_or("v").alias("v")).toArrow())
+    out = np.zeros(1 << (size - 6), np.int64)
+    out[got.column("at").to_numpy()] = got.column("v").to_numpy()
+    return out.view(np.uint8)
+
+
+def in_bits(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Which of the unsigned keys may be in a set of bits."""
+    at = key >> np.uint64(64 - int(math.log2(len(bits) * 8)))
+    return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1

@@ -27,13 +27,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from marketlake.llm.common import in_bits, key_bits
 from marketlake.session import scratch_path
 
 MIN_COUNT, LONGEST, TOP = 100, 5, 2000
 #: A round grows the best-bounded phrases up to about this share of a language's words.
 ROUND_SHARE = 0.5
-#: Bits of the set of phrases to grow that tasks test (16 MB at most); a false hit costs work, never a result.
-LEAST_BITS, MOST_BITS = 16, 27
 #: Words of text that a task counts together, and distinct words that it remembers between texts.
 _CHUNK, _HELD = 3_000_000, 300_000
 
@@ -84,23 +83,6 @@ def _grown(key: np.ndarray, word: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def _in(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
-    """Which keys may be in a set of bits (its size is a power of two)."""
-    at = key >> np.uint64(64 - int(math.log2(len(bits) * 8)))
-    return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
-
-
-def _bits(keys: DataFrame, n: int) -> np.ndarray:
-    """Set of the ``key`` column: or-ed together by Spark, a bounded number of 64-bit rows."""
-    size = min(max(LEAST_BITS, math.ceil(math.log2(16 * max(n, 1)))), MOST_BITS)
-    at = F.shiftrightunsigned("key", 64 - size)
-    got = (keys.select(F.shiftright(at, 6).alias("at"), F.expr(f"shiftleft(1L, cast(shiftrightunsigned(key, {64 - size}) & 63 as int))").alias("v"))
-           .groupBy("at").agg(F.bit_or("v").alias("v")).toArrow())
-    out = np.zeros(1 << (size - 6), np.int64)
-    out[got.column("at").to_numpy()] = got.column("v").to_numpy()
-    return out.view(np.uint8)
-
-
 # --- words ------------------------------------------------------------------------
 
 def _word_counts(docs: DataFrame, seed: int) -> DataFrame:
@@ -168,7 +150,7 @@ def _encoded(docs: DataFrame, seed: int, frequent) -> DataFrame:
             rows = []
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).cast(pa.large_binary())):
                 h = hashes.of(text.as_py())
-                h[~_in(bits, _grown(_lang(lang), h))] = 0
+                h[~in_bits(bits, _grown(_lang(lang), h))] = 0
                 met.setdefault(lang, set()).update(np.unique(h[h != 0]).tolist())
                 rows.append(h[(h != 0) | np.r_[False, h[:-1] != 0]] if len(h) else h)
                 if len(hashes) > _HELD:
@@ -198,7 +180,7 @@ def _ends(w: np.ndarray, lang: str, bits: np.ndarray, lengths: list[int], longes
         at = at[ok]
         key = _grown(_lang(lang) if key is None else key[ok], padded[at + m])
         if m in lengths and len(at):
-            hit = _in(bits, key)
+            hit = in_bits(bits, key)
             p = at[hit]
             if len(p):
                 yield m, p, _grown(key[hit], padded[p + m + 1]), padded
@@ -210,7 +192,7 @@ def _ngrams(w: np.ndarray, lang: str, bits: np.ndarray, likely: np.ndarray, leng
     before and after are the word next to all occurrences, or 0 if they differ.
     """
     for m, p, full, padded in _ends(w, lang, bits, lengths, longest):
-        hit = _in(likely, full)
+        hit = in_bits(likely, full)
         p, full = p[hit], full[hit]
         if not len(p):
             continue
@@ -345,7 +327,7 @@ def phrases(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang",
     level = kept(frequent.mapInArrow(first_keys, "lang string, h bigint, f bigint, key bigint").select(
         "lang", bytes8.alias("words"), "key", F.lit(1).alias("size"), "f", F.lit(False).alias("inside")), "known")
     n_words = level.count()
-    encoded = kept(_encoded(docs, seed, spark.sparkContext.broadcast(_bits(level, n_words))), "texts")
+    encoded = kept(_encoded(docs, seed, spark.sparkContext.broadcast(key_bits(level, n_words))), "texts")
     texts = encoded.where("names IS NULL").select("lang", "words")
     names = encoded.where("names IS NOT NULL").select("lang", F.inline(F.arrays_zip(
         F.col("words").alias("h"), F.col("names").alias("word"))))
@@ -370,10 +352,10 @@ def phrases(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang",
         sizes = {r["size"]: r["count"] for r in batch.groupBy("size").count().collect()}
         if not sizes:
             break
-        bits = spark.sparkContext.broadcast(_bits(batch, sum(sizes.values())))
+        bits = spark.sparkContext.broadcast(key_bits(batch, sum(sizes.values())))
         lengths = sorted(sizes)
         heavy = kept(_likely(texts, bits, lengths, longest, min_count), "likely")
-        likely = spark.sparkContext.broadcast(_bits(heavy, heavy.count()))
+        likely = spark.sparkContext.broadcast(key_bits(heavy, heavy.count()))
         new = _grow(texts, bits, likely, lengths, longest, min_count)
         # without what false hits have grown: its beginning may not be known
         new = (new.withColumn("begin", F.expr("substring(words, 1, length(words) - 8)"))

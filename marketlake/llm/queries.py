@@ -51,7 +51,8 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_sentence_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentence_dedup.dedup_sentences(table(spark, sf_dir, "documents")).select(
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sentence_dedup.dedup_sentences(docs).select(
         "doc_id", "n_sentences", "n_removed", "removed", "text")
 
 

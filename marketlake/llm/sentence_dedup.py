@@ -3,10 +3,12 @@
 Every run of ``run`` consecutive sentences is hashed (128 bits). The first
 occurrence of a span, in the order of (id, text hash, position), stays; the
 sentences covered by any later occurrence are removed. Repeats inside one row
-are settled in its own task; across rows, the first owner of each repeated
-span is a pre-aggregated minimum, and the spans join it by hash, so that a
-passage shared by a third of all rows is one row on one side and is split by
-adaptive execution on the other.
+are settled in its own task; across rows, the spans are cut once and written,
+the first owner of each repeated span is a pre-aggregated minimum, and the
+spans join it by hash, so that a passage shared by a third of all rows is one
+row on one side and is split by adaptive execution on the other. Counts of the
+spans' 64-bit hashes, also pre-aggregated, say beforehand which spans cannot be
+repeated; those take no part in it.
 
 Every span is hashed, however few words it has; ``min_words`` can set a floor.
 Rows are named by (id, hash of the text), so repeated rows are one document
@@ -21,6 +23,8 @@ from __future__ import annotations
 
 import re
 import struct
+from collections import deque
+from functools import lru_cache
 from itertools import accumulate
 
 import numpy as np
@@ -30,15 +34,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketlake.llm.common import fresh
+from marketlake.llm.common import fresh, in_bits, key_bits
+from marketlake.session import scratch_path
 
 RUN = 3
 #: Spans with fewer words are not hashed; 0: every span is.
 MIN_WORDS = 0
 #: A span that holds a piece of a cut sentence goes on until it has so many words.
-PIECE_WORDS = 10
+PIECE_WORDS = 20
 #: A sentence of more words is cut into pieces of at most ``WINDOW`` words.
-LONG, WINDOW = 50, 8
+LONG, WINDOW = 25, 8
+#: Word hashes that a task remembers, and the longest such word.
+_REMEMBERED, _REMEMBERED_LENGTH = 200_000, 40
 
 #: A sentence ends after a stop (and closing quotes or brackets) before white space, after a CJK stop, or at a line break.
 _END = re.compile(r"[.!?…．؟۔।॥։።][\"'”’»)\]]*\s+|[。！？｡](?![。！？｡])[\"'”’»)\]」』）】》〉］]*\s*|\n\s*")
@@ -64,14 +71,27 @@ def _pieces(text: str, start: int, end: int) -> list[tuple[int, int]]:
     at, h = [], []
     for m in _WORD.finditer(text, start, end):
         at.append(m.start())
-        h.append(xxhash.xxh3_64_intdigest(m[0].lower().encode("utf-8", "surrogatepass")))
-    windows = np.lib.stride_tricks.sliding_window_view(np.array(h, np.uint64), WINDOW)
-    # of equal hashes the last
-    least = np.arange(len(windows)) + WINDOW - 1 - np.argmin(windows[:, ::-1], axis=1)
-    cuts = [at[i] for i in np.unique(least).tolist() if i]
+        w = m[0]
+        h.append(_word_hash(w) if len(w) <= _REMEMBERED_LENGTH else _word_hash.__wrapped__(w))
+    # a queue of the window's places whose hashes rise; of equal hashes the last counts
+    cuts, queue, last = [], deque(), 0
+    for i, x in enumerate(h):
+        while queue and h[queue[-1]] >= x:
+            queue.pop()
+        queue.append(i)
+        if queue[0] <= i - WINDOW:
+            queue.popleft()
+        if i >= WINDOW - 1 and queue[0] > last:
+            last = queue[0]
+            cuts.append(at[last])
     return list(zip([start, *cuts], [*cuts, end]))
 
 
+@lru_cache(_REMEMBERED)
+def _word_hash(word: str) -> int:
+    return xxhash.xxh3_64_intdigest(word.lower().encode("utf-8", "surrogatepass"))
+
+
 def _units(text: str) -> tuple[list[tuple[int, int]], list[bool]]:
     """[start, end) of each sentence or piece, and which are pieces."""
     whole, at = [], 0
@@ -104,20 +124,25 @@ def spans(text: str, run: int, min_words: int) -> tuple[list[tuple[int, int]], l
     among them it goes on to ``PIECE_WORDS`` words or the text's end.
     """
     cut, piece = _units(text)
-    keys = [" ".join(text[a:b].lower().split()) for a, b in cut]
-    n_words = [_n_words(k) for k in keys] if min_words or any(piece) else []
+    some = any(piece)
+    single = (some or min_words) and not text.isascii() and _CHARACTER.search(text)
+    keys, n_words = [], []
+    for a, b in cut:
+        words = text[a:b].lower().split()
+        # each sentence is hashed by itself, so borders between sentences count
+        keys.append(xxhash.xxh3_128_digest(" ".join(words).encode("utf-8")))
+        n_words.append(_n_words(text[a:b]) if single else len(words))
     ends = [0, *accumulate(n_words)]
     out = []
     for i in range(max(len(keys) - run, 0) + 1 if keys else 0):
         end = min(i + run, len(keys))
-        if any(piece[i:end]):
+        if some and any(piece[i:end]):
             while ends[end] - ends[i] < PIECE_WORDS and end < len(keys):
                 end += 1
         if min_words and ends[end] - ends[i] < min_words:
             out.append((end, None))
             continue
-        # each sentence ends with a line break, so borders count
-        out.append((end, xxhash.xxh3_128_digest(("\n".join(keys[i:end])).encode("utf-8"))))
+        out.append((end, xxhash.xxh3_128_digest(b"".join(keys[i:end]))))
     return cut, out
 
 
@@ -154,7 +179,22 @@ def _occurrences(docs: DataFrame, id_col: str, text_col: str, run: int, min_word
 def later_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", run: int = RUN,
                 min_words: int = MIN_WORDS) -> DataFrame:
     """(id, row, starts): for each row with any, the span starts that another row has first."""
-    found = _occurrences(docs, id_col, text_col, run, min_words)
+    spark = docs.sparkSession
+    path = scratch_path(spark, "spans")
+    _occurrences(docs, id_col, text_col, run, min_words).write.parquet(path)
+    found = spark.read.parquet(path)
+    # a repeated span has a repeated hash; a row has each of its spans once
+    path = scratch_path(spark, "repeated-spans")
+    (found.groupBy(F.col("lo").alias("key")).agg(F.count("*").alias("n")).where("n > 1").select("key")
+     .write.parquet(path))
+    repeated = spark.read.parquet(path)
+    bits = spark.sparkContext.broadcast(key_bits(repeated, repeated.count()))
+
+    def possible(batches):
+        for b in batches:
+            yield b.filter(pa.array(in_bits(bits.value, b.column(1).to_numpy().view(np.uint64))))
+
+    found = found.mapInArrow(possible, found.schema)
     # ids in order, null last
     order = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("row").alias("row"))
     first = (found.groupBy("hi", "lo").agg(F.min(order).alias("first"), F.max(order).alias("last"))
@@ -182,13 +222,19 @@ def _covered(text: str, starts, run: int, min_words: int) -> tuple[list[tuple[in
     return cut, gone
 
 
+def result_names(docs: DataFrame, prefix: str = "") -> list[str]:
+    """The names of the columns that ``dedup_sentences`` adds."""
+    return [fresh(docs, f"{prefix}{n}") for n in ("n_sentences", "n_removed", "removed")]
+
+
 def dedup_sentences(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", run: int = RUN,
                     min_words: int = MIN_WORDS, prefix: str = "") -> DataFrame:
     """``docs`` with the removed sentences cut out of the text, and three more columns.
 
     Added (names begin with ``prefix``): n_sentences, n_removed, and removed, the
-    [first sentence, sentences] runs cut out. Texts without a removed sentence
-    stay byte for byte. A null text stays null with 0 sentences; a text with
+    [first sentence, sentences] runs cut out; where the table has a column of
+    that name, the new one gets underscores in front (``result_names``). Texts
+    without a removed sentence stay byte for byte. A null text stays null with 0 sentences; a text with
     fewer than ``run`` sentences is one span. Every input row comes back once.
     """
     later = later_spans(docs, id_col=id_col, text_col=text_col, run=run, min_words=min_words)
@@ -200,9 +246,7 @@ def dedup_sentences(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                         & (keyed[marks["row"]] == later[marks["later_row"]]), "left")
     joined = joined.select(*docs.columns, marks["starts"])
     at, types = docs.columns.index(text_col), docs.schema
-    names = [f"{prefix}n_sentences", f"{prefix}n_removed", f"{prefix}removed"]
-    if {n.lower() for n in names} & {c.lower() for c in docs.columns}:
-        raise ValueError(f"the table has a column called like one of {names}; give another prefix")
+    names = result_names(docs, prefix)
 
     def cut(batches):
         for b in batches:

@@ -211,6 +211,29 @@ def test_any_50_equal_words_of_long_sentences_hold_a_span():
         assert found[0] & found[1]
 
 
+def test_passages_of_mid_sized_sentences_are_caught(spark):
+    """51 shared words, cut by whole sentences or not, in texts whose sentences have up to 50 words."""
+    caught = 0
+    for seed in range(100):
+        rnd = random.Random(seed)
+        passage = words(rnd, 51, 10 ** 6)
+        for i in range(rnd.randrange(4, 30), 51, rnd.randrange(26, 50)):
+            passage[i] += "."
+        found = [{h for _, h in sentence_dedup.spans(" ".join(
+            words(rnd, rnd.randrange(5, 40), 10 ** 6) + passage + words(rnd, rnd.randrange(5, 40), 10 ** 6)) + ".", 3, 0)[1]}
+            for _ in range(2)]
+        caught += bool(found[0] & found[1])
+    assert caught >= 90
+
+
+def test_columns_called_like_the_result(spark):
+    t = "One two three four five. Six seven eight nine ten. Eleven twelve thirteen fourteen."
+    df = spark.createDataFrame([(1, t, 7, "a"), (2, t, 8, "b")], "doc_id bigint, text string, n_removed int, removed string")
+    out = sentence_dedup.dedup_sentences(df)
+    assert out.columns == [*df.columns, *sentence_dedup.result_names(df)] == [*df.columns, "n_sentences", "_n_removed", "_removed"]
+    assert sorted((r.doc_id, r.n_removed, r._n_removed) for r in out.collect()) == [(1, 7, 0), (2, 8, 3)]
+
+
 # --- sketches -------------------------------------------------------------------------
 
 def test_compare_next_equals_brute_force(spark):

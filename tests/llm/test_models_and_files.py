@@ -6,6 +6,7 @@ import hashlib
 import itertools
 import math
 import random
+import time
 import zlib
 from datetime import date, timedelta
 
@@ -279,6 +280,45 @@ def test_salvage_after_damage(pack):
         assert {str(i) for i in untouched} <= set(ids) and len(ids) <= 9
 
 
+def test_salvage_of_huge_lengths_and_false_starts():
+    good = record(1, b"abc")
+    huge = good.replace(b"Content-Length: ", b"Content-Length: " + b"9" * 5000, 1)
+    again = (b"WARC/1.0\r\nWARC-Type: revisit\r\nWARC-Record-ID: <urn:x-page:2>\r\nContent-Length: %d\r\n\r\n")
+    block = b"HTTP/1.1 200 OK\r\nContent-Length: " + b"7" * 30 + b"\r\n\r\n"
+    for bad in (huge, again % len(block) + block + b"\r\n\r\n"):
+        for pack in (bytes, lambda r: gzip.compress(r, mtime=0)):
+            found = list(warc.read_archive(pack(good) + pack(bad) + pack(good)))
+            assert [f[0] for f in found][::len(found) - 1] == ["record", "record"] and "gap" in [f[0] for f in found]
+    # thousands of false gzip starts are passed over quickly
+    noise = b"\x1f\x8b\x08\0\0\0\0\0\0\3" * 20_000
+    began = time.perf_counter()
+    assert [f[0] for f in warc.read_archive(gzip.compress(good) + noise + gzip.compress(good))] == ["record", "gap", "record"]
+    assert time.perf_counter() - began < 20
+
+
+def test_reading_takes_time_in_proportion(spark):
+    one = gzip.compress(record(3, b"x" * 900), mtime=0)
+
+    def seconds(n):
+        data, began = one * n, time.perf_counter()
+        assert sum(1 for _ in warc.read_archive(data)) == n
+        return time.perf_counter() - began
+
+    seconds(500)
+    assert seconds(16_000) < 8 * 4 * seconds(2_000)
+
+
+def test_long_pages_make_more_archives_not_longer_ones(spark):
+    rows = [(i, f"http://a/{i}", "y" * (200_000 if i % 10 == 0 else 50) + str(i)) for i in range(60)]
+    path = scratch_path(spark, "warc-long")
+    warc.write(spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(1), path,
+               archive_bytes=300_000, compress=False)
+    sizes = [r.length for r in spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+             .select("length").collect() if r.length]
+    assert max(sizes) <= 301_000 and len(sizes) >= 6
+    assert warc.read(spark, path).where("kind = 'record'").count() == 60
+
+
 def test_salvage_of_what_is_no_archive():
     assert list(warc.read_archive(b"")) == []
     assert [f[:3] for f in warc.read_archive(b"no archive at all")] == [("gap", 0, 17)]
