@@ -23,18 +23,34 @@ import unicodedata
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from tokenizers import Tokenizer
 
 from marketlake.llm.common import by_bytes
 
-#: Words whose encodings a worker keeps; beyond it the cache is emptied.
-CACHE_WORDS = 300_000
+#: Bytes of encodings that a worker keeps, about; beyond it the cache is emptied.
+CACHE_BYTES = 48 << 20
 #: Pairs of tokens whose compatibility a worker keeps.
-CACHE_PAIRS = 1_000_000
-BATCH_CHARS = 4 << 20
+CACHE_PAIRS = 400_000
+BATCH_CHARS = 2 << 20
 
 # White space as the tokenizer's patterns see it (U+001C to U+001F are none).
 _SPACE = "\t-\r \x85\xa0  -     　"
-_PIECES = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{_SPACE}\p{{L}}\p{{N}}]+")
+# Letters and numbers that this Python's Unicode does not know yet: what they are to a tokenizer, its library says.
+_NEW = [c for c in regex.findall(r"[\p{L}\p{N}]", "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)])))
+        if unicodedata.category(c) == "Cn"]
+
+
+def _classes(tokenizer: Tokenizer) -> tuple[regex.Pattern, dict[int, str]]:
+    """The pattern that cuts words into pieces, and the small letters of new capitals."""
+    split = tokenizer.pre_tokenizer.pre_tokenize_str
+    other = [c for c in _NEW if len(split("!" + c)) == 1]
+    none = "".join(other) or "\0"
+    letter, number = (rf"[\p{{{k}}}--[{none}]]" for k in "LN")
+    pieces = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|{letter}+|{number}|[^{_SPACE}[{letter}||{number}]]+", regex.V1)
+    lowered = {ord(c): tokenizer.normalizer.normalize_str(c) for c in _NEW}
+    return pieces, {c: t for c, t in lowered.items() if t != chr(c)}
+
+
 _SPACES = regex.compile(f"[{_SPACE}]+")
 _ODD = regex.compile("[\x1c-\x1f]")
 
@@ -58,6 +74,8 @@ class TrieBPE:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens.update({i: t for t, i in self.special.items()})
         self._special = regex.compile("|".join(regex.escape(t) for t in self.special)) if self.special else None
+        self._pieces, self._lowered = _classes(Tokenizer.from_file(path))
+        self._capital = regex.compile("[" + "".join(map(chr, self._lowered)) + "]") if self._lowered else None
         self.letters = {chr(b): c for b, c in byte_letters().items()}
         self.rank: dict[int, int] = {}          # the merge that makes a token
         self.halves: dict[int, tuple[int, int]] = {}
@@ -85,7 +103,9 @@ class TrieBPE:
         self.width = {i: len(t) for t, i in inner.items()} | {i: len(t) for t, i in final.items()}
         self.begins = {t[:k] for d in (inner, self.final) for t in d for k in range(1, len(t) + 1)}
         self.pairs: dict[int, bool] = {}
-        self.known: dict[str, tuple[int, str, str]] = {}
+        # special strings are kept under tuples, which no text is equal to
+        self.known: dict[str | tuple[str], tuple[int, str, str]] = {}
+        self.held = 0
 
     def _apart(self, a: int, b: int, limit: int) -> bool:
         """No merge joins the border of tokens a and b before merge ``limit``.
@@ -161,38 +181,42 @@ class TrieBPE:
         table = str.maketrans(self.letters)
         cut = {}
         for c in chunks:
-            ps = [c] if c.isalpha() else _PIECES.findall(c)
+            ps = [c] if c.isalpha() else self._pieces.findall(c)
             # printable ASCII stands for itself
             cut[c] = ps if c.isascii() and c.isprintable() else [
                 p.encode("utf-8").decode("latin-1").translate(table) for p in ps]
         codes = self.encode_words({p for ps in cut.values() for p in ps})
         for c, ps in cut.items():
             ids = [i for p in ps for i in codes[p]]
-            self.known[c] = (len(ids), " ".join(map(str, ids)), " ".join(map(self.tokens.__getitem__, ids)))
+            self.known[c] = entry = (len(ids), " ".join(map(str, ids)), " ".join(map(self.tokens.__getitem__, ids)))
+            self.held += len(c) + len(entry[1]) + len(entry[2]) + 300
         if len(self.pairs) > CACHE_PAIRS:
             self.pairs.clear()
 
-    def chunks(self, text: str) -> list[str]:
-        """Normalised pieces between white space; special strings stand as they are, after a NUL."""
+    def chunks(self, text: str) -> list[str | tuple[str]]:
+        """Normalised pieces between white space; a special string stands as it is, in a tuple."""
         if self._special is not None and self._special.search(text):
             out, at = [], 0
             for m in self._special.finditer(text):
-                out += self.chunks(text[at:m.start()]) + ["\0" + m[0]]
+                out += self.chunks(text[at:m.start()]) + [(m[0],)]
                 at = m.end()
             return out + self.chunks(text[at:])
         text = unicodedata.normalize("NFC", text)
         text = text.replace("Σ", "σ").lower()  # letter by letter, without the final-sigma rule
+        if self._capital is not None and not text.isascii() and self._capital.search(text):
+            text = text.translate(self._lowered)
         return [c for c in _SPACES.split(text) if c] if _ODD.search(text) else text.split()
 
     def run(self, texts: list[str]) -> list[tuple[int, str, str]]:
         """For each text: number of ids, the ids and the decoded text, joined by spaces."""
         cut = [self.chunks(t) for t in texts]
-        if len(self.known) > CACHE_WORDS:
+        if self.held > CACHE_BYTES:
             self.known.clear()
+            self.held = 0
         new = {c for cs in cut for c in cs}.difference(self.known)
-        for c in [c for c in new if c[0] == "\0" and c[1:] in self.special]:
+        for c in [c for c in new if isinstance(c, tuple)]:
             new.discard(c)
-            i = self.special[c[1:]]
+            i = self.special[c[0]]
             self.known[c] = (1, str(i), self.tokens[i])
         self.learn(list(new))
         out = []

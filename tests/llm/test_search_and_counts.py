@@ -91,7 +91,7 @@ def test_bpe_equals_the_library(docs, texts):
 
 
 def test_bpe_caches_may_be_emptied(texts, monkeypatch):
-    monkeypatch.setattr(trie_bpe, "CACHE_WORDS", 5)
+    monkeypatch.setattr(trie_bpe, "CACHE_BYTES", 5)
     monkeypatch.setattr(trie_bpe, "CACHE_PAIRS", 5)
     small = trie_bpe.TrieBPE(public_tokenizers.path("word_bpe_49k.json"))
     some = [t or "" for t in texts[:60]]
@@ -102,3 +102,21 @@ def test_empty_table(spark):
     d = spark.createDataFrame([], "doc_id bigint, text string")
     assert token_counts.token_counts(d, public_tokenizers.path("byte_bpe_50k.json")).count() == 0
     assert trie_bpe.bpe(d, public_tokenizers.path("word_bpe_49k.json")).count() == 0
+
+
+def test_bpe_of_letters_that_python_does_not_know_and_of_nul_before_a_special_string():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, own = Tokenizer.from_file(path), trie_bpe.load(path)
+    texts = [f"a{c}b {c}1 {c}{c}" for c in [*trie_bpe._NEW, *map(chr, range(1, 0xD800, 7))]]
+    texts += ["\0<|ENDOFTEXT|>", "\0<|endoftext|>", "\0\0<|startoftext|> x", "<|endoftext|>\0", "a\0<|ENDOFTEXT|>b"]
+    want = [" ".join(map(str, e.ids)) for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert [g[1] for g in own.run(texts)] == want
+
+
+def test_bpe_cache_is_bounded_by_bytes(monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    own = trie_bpe.TrieBPE(path)
+    monkeypatch.setattr(trie_bpe, "CACHE_BYTES", 50_000)
+    for i in range(40):
+        own.run([" ".join(f"word{i}x{j}" for j in range(60))])
+        assert own.held < 50_000 + 60 * 1000 and len(own.known) < 500
