@@ -47,8 +47,10 @@ ORDER = 2
 #: Counts above it are not discounted.
 CUTOFF = 5
 #: Bytes of text in a batch of documents, and of text whose n-grams share a hash bucket.
-BATCH_BYTES = 8 << 20
-BUCKET_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
+BUCKET_BYTES = 4 << 20
+#: Buckets of the batch table at most (Spark allows 100,000).
+MOST_GROUPS = 50_000
 
 _END, _BEGIN = 1, 2  # hashes of the end token and of the place before the first token
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -230,7 +232,7 @@ def _ask(orders: range, buckets: int):
             batch = _batch_of(row)
             for n in orders:
                 grams, _, counts = batch.distinct(n)
-                cut = [(k, a, e) for k, (a, e) in enumerate(_cuts(grams, buckets)) if a < e]
+                cut = _cuts(grams, buckets)
                 yield _arrow(names, types, [
                     [n] * len(cut), [k for k, _, _ in cut], [row["batch"]] * len(cut),
                     [_pack_sorted(grams[a:e]) for _, a, e in cut], [_pack(counts[a:e]) for _, a, e in cut]])
@@ -238,11 +240,11 @@ def _ask(orders: range, buckets: int):
     return run
 
 
-def _cuts(grams: np.ndarray, buckets: int) -> list[tuple[int, int]]:
-    """Where each bucket lies among sorted hashes: buckets are equal ranges of the hash."""
-    ends = [(k << 64) // buckets for k in range(1, buckets)]
-    at = [0, *np.searchsorted(grams, np.array(ends, np.uint64)).tolist(), len(grams)]
-    return list(zip(at[:-1], at[1:]))
+def _cuts(grams: np.ndarray, buckets: int) -> list[tuple[int, int, int]]:
+    """(bucket, first, end) of the buckets that sorted hashes fall into: buckets are equal ranges of the hash."""
+    bucket = ((grams >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(grams) else np.zeros(0, np.int64)
+    return list(zip(bucket[first].tolist(), first.tolist(), np.r_[first[1:], len(grams)].tolist()))
 
 
 def _count(table: pa.Table) -> pa.Table:
@@ -370,7 +372,7 @@ def _ask_weights(n: int, numbers: Numbers, buckets: int):
             of = at[first[mine]]
             sums = np.stack([np.bincount(of, weights=w, minlength=len(history)) for w in (
                 count[mine], numbers.discounted(n, count[mine]), lower[first[mine]])])
-            cut = [(k, a, e) for k, (a, e) in enumerate(_cuts(history, buckets)) if a < e]
+            cut = _cuts(history, buckets)
             yield _arrow(names, types, [
                 [n] * len(cut), [k for k, _, _ in cut], [row["batch"]] * len(cut),
                 [_pack_sorted(history[a:e]) for _, a, e in cut],
@@ -435,7 +437,7 @@ def score(docs: DataFrame, held_out, *, id_col: str = "doc_id", text_col: str =
     path = path or scratch_path(spark, "katz")
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0]
     buckets = blocks_for(size, bucket_bytes)
-    groups = max(1, min(buckets, blocks_for(size, 2 * batch_bytes)))
+    groups = min(MOST_GROUPS, blocks_for(size, batch_bytes))
     name = f"katz_{uuid.uuid4().hex}"
     (docs.select(id_col, text_col, F.coalesce(held_out, F.lit(False)).alias("held"))
      .mapInArrow(_tokenise(batch_bytes), _BATCH)
