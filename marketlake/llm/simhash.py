@@ -65,15 +65,15 @@ def _signed(x: int) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """(id, fp) for every row; fp as a signed 64-bit number."""
+    """(id, row, fp) for every row; fp as a signed 64-bit number, row a hash of the text."""
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
         for b in batches:
-            fp = [_signed(fingerprint(t, shingle)) for t in binary_list(b.column(1))]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp, pa.int64())], names=["id", "fp"])
+            fp = [_signed(fingerprint(t, shingle)) for t in binary_list(b.column(2))]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fp, pa.int64())], names=["id", "row", "fp"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"id {id_type}, fp bigint")
+    return docs.select(id_col, F.xxhash64(text_col), text_col).mapInArrow(run, f"id {id_type}, row bigint, fp bigint")
 
 
 def hex64(c: Column) -> Column:
@@ -145,30 +145,36 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     or empty text has fingerprint zero and is linked like any other; a null id
     takes part in links; equal rows give equal rows. Other columns are ignored.
     """
+    return _grouped(docs, id_col, text_col, shingle, max_bits, small_bucket).select(
+        F.col("id").alias(id_col), hex64(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_bits: int, small_bucket: int) -> DataFrame:
+    """(fp, id, row, root, component_id) of every row; root names its group."""
     fps = fingerprints(docs, id_col, text_col, shingle).checkpoint()
     distinct = fps.groupBy("fp").agg(F.min("id").alias("least")).checkpoint()
     found = components(links(distinct.select("fp"), max_bits, small_bucket))
     rooted = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "root", F.coalesce("root", "fp"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
-    return fps.join(named, "fp").select(F.col("id").alias(id_col), hex64(F.col("fp")).alias("fingerprint"),
-                                        "component_id")
+    return fps.join(rooted.join(least, "root").select("fp", "root", "component_id"), "fp")
 
 
 def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
              max_bits: int = MAX_BITS) -> DataFrame:
     """One row of each near-duplicate group: that with the smallest id; same columns.
 
-    Rows that repeat an id are one document, of which the row with the smallest
-    hash over all columns stays. Rows without an id cannot be named and stay.
+    Of a group's rows with that id one text stays, that with the smallest hash,
+    so an id whose texts are in two groups can stay with both. Rows that repeat
+    id and text are one document, of which the row with the smallest hash over
+    all columns stays. Rows without an id cannot be named and stay.
     """
-    mark, rank = fresh(docs, "kept_id"), fresh(docs, "kept_rank")
-    keep = (near_duplicates(docs, id_col=id_col, text_col=text_col, shingle=shingle, max_bits=max_bits)
-            .where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias(mark)).distinct())
-    from pyspark.sql import Window
-
-    same = Window.partitionBy(id_col).orderBy(F.xxhash64(*[F.col(c) for c in docs.columns]))
-    kept = docs.join(keep, docs[id_col] == keep[mark]).withColumn(rank, F.row_number().over(same))
-    kept = kept.where(F.col(rank) == 1).select(*docs.columns)
-    return kept.unionByName(docs.where(F.col(id_col).isNull()))
+    names = {n: fresh(docs, n) for n in ("kept_id", "kept_row", "row")}
+    groups = _grouped(docs, id_col, text_col, shingle, max_bits, SMALL_BUCKET).where(F.col("id") == F.col("component_id"))
+    keep = (groups.groupBy("root").agg(F.min(F.struct("id", "row")).alias("first"))
+            .select(F.col("first.id").alias(names["kept_id"]), F.col("first.row").alias(names["kept_row"])))
+    rows = docs.withColumn(names["row"], F.xxhash64(text_col))
+    rows = rows.join(keep, (rows[id_col] == keep[names["kept_id"]]) & (rows[names["row"]] == keep[names["kept_row"]]))
+    one = rows.groupBy(names["kept_id"], names["kept_row"]).agg(
+        F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("one"))
+    return one.select("one.*").unionByName(docs.where(F.col(id_col).isNull()))

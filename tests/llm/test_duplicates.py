@@ -103,6 +103,18 @@ def test_keep_one(spark, near):
     assert kept.where("doc_id is null").count() == 2
 
 
+def test_an_id_with_texts_in_two_groups_keeps_both_places(spark):
+    rnd = random.Random(12)
+    a, b, c = (" ".join(words(rnd, 60, 10 ** 6)) for _ in range(3))
+    rows = [(1, a), (5, a), (5, b), (9, b), (5, c), (5, c), (7, None), (7, "")]
+    df = spark.createDataFrame([(*r, i % 2) for i, r in enumerate(rows)], "doc_id bigint, text string, row int").repartition(4)
+    got = sorted((r.doc_id, r.text or "") for r in simhash.keep_one(df).collect())
+    # a goes with id 1; b and c are found under id 5 alone, each with one row
+    assert got == sorted([(1, a), (5, b), (5, c), (7, "")])
+    empty = df.limit(0)
+    assert simhash.keep_one(empty).count() == 0 and simhash.near_duplicates(empty).count() == 0
+
+
 def test_components_of_chains_and_loops(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(7, 7), (9, 3), (3, 9), (9, 3), (5, 160)]
     got = {r.node: r.root for r in graph.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
