@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from marketlake.llm import decontaminate, sentence_dedup, simhash, toxicity, trie_bpe
-from marketlake.llm.common import fresh, table
+from marketlake.llm.common import table
 from marketlake.llm.queries import tokenizer_path
 from marketlake.session import scratch_path
 
@@ -27,9 +27,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the sentences of repeated spans; a text of which nothing is left goes."""
-    mark = fresh(docs, "cut")
-    found = sentence_dedup.dedup_sentences(docs, prefix=mark)
-    left = (found[f"{mark}n_removed"] == 0) | (found[f"{mark}n_removed"] < found[f"{mark}n_sentences"])
+    n_sentences, n_removed, _ = sentence_dedup.result_names(docs, "cut_")
+    found = sentence_dedup.dedup_sentences(docs, prefix="cut_")
+    left = (found[n_removed] == 0) | (found[n_removed] < found[n_sentences])
     return found.where(left).select(*docs.columns)
 
 
