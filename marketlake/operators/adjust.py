@@ -7,10 +7,9 @@ factors whose ex-date is after the trade date:
   between consecutive ex-dates; those intervals (with their suffix products)
   are built on the small action table and prices join them on symbol with a
   range condition -- one match per price row, fully code-generated.
-* ``cumulative_factor_join``: the range join ``symbol = symbol AND
-  trade_date < ex_date`` followed by a regroup on the ten price columns and
-  ``exp(sum(log f))`` -- the textbook plan, kept as an operator and used to
-  validate the interval form.
+* ``cumulative_factor_asof`` (when the action table is too large to broadcast):
+  interval starts and prices in one sorted pass, each price carrying the factor
+  of the last start before it -- no join.
 
 Factors of zero follow Spark's ``log(0) = null`` rule of the log-sum form:
 they are skipped, and a price whose matching factors are all zero gets a null
@@ -173,20 +172,6 @@ def actions_range_join(prices: DataFrame, actions: DataFrame) -> DataFrame:
     return prices.join(acts, cond, "left").drop("_a_symbol")
 
 
-def cumulative_factor_join(prices: DataFrame, actions: DataFrame) -> DataFrame:
-    """J1 + A2 + A1: range join, regroup on the ten price columns, exp(sum(log f)).
-
-    Identical price rows collapse into one (the regroup is an implicit
-    distinct), as in the textbook plan.
-    """
-    joined = actions_range_join(prices.select(*PRICE_COLUMNS), actions)
-    return joined.groupBy(*PRICE_COLUMNS).agg(
-        F.when(F.count("adj_factor") > 0, F.exp(F.sum(F.log(F.col("adj_factor")))))
-        .otherwise(F.lit(1.0))
-        .alias("cumulative_adj_factor")
-    )
-
-
 def apply_factor(adjusted: DataFrame) -> DataFrame:
     """OHLC times the factor; raw open/close kept; volume not adjusted."""
     f = F.col("cumulative_adj_factor")
@@ -208,7 +193,6 @@ def ohlcv_adjusted(
     actions: DataFrame,
     start_date: str | None = None,
     prices_unique: bool = False,
-    plan: str = "interval",
     broadcast: bool | None = None,
 ) -> DataFrame:
     """Silver table: back-adjusted OHLCV per (symbol, trade_date).
@@ -218,8 +202,6 @@ def ohlcv_adjusted(
     row per symbol and day); otherwise identical rows are collapsed first.
     """
     prices = since(prices, start_date)
-    if plan == "join":
-        return apply_factor(cumulative_factor_join(prices, actions))
     base = prices.select(*PRICE_COLUMNS)
     if not prices_unique:
         base = base.dropDuplicates(list(PRICE_COLUMNS))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from marketlake import schemas
 from marketlake.operators import adjust, breadth, clean, maintain
 from marketlake.plans import lake, tables
-from marketlake.session import scratch_path
+from marketlake.session import exists, scratch_path
 from marketlake.sources import fixtures, landing
 from marketlake.streaming import clean_stream, first_arrival
 
@@ -183,6 +183,17 @@ def silver_by_symbol(spark, sf_dir):
     return silver.join(latest, "symbol").select("symbol", "trade_date", "close_adj", "last_date", "n_days")
 
 
+def serve_with_count(spark, sf_dir):
+    """V6: a served selection with its row count, observed while the rows are written."""
+    from marketlake.plans import catalog
+    from marketlake.plans.serve import with_count
+
+    rows, seen = with_count(catalog.serve_surveillance(spark, sf_dir), "served")
+    path = scratch_path(spark, "served-rows")
+    rows.write.parquet(path)
+    return spark.read.parquet(path).withColumn("count", F.lit(seen.get["count"]).cast("bigint"))
+
+
 # --- maintenance, aggregates, factors -------------------------------------------------------
 
 class _Stopped(Exception):
@@ -212,6 +223,34 @@ def compaction_resumed(spark, sf_dir):
     return maintain.read_compacted(spark, src, journal).withColumn("rewritten", F.col("trade_year").isin(years))
 
 
+def compact_tables_run(spark, sf_dir):
+    """M3: a run over tables of which one is missing; what became of each, and its rows afterwards."""
+    from marketlake.plans import catalog
+
+    small, few, out = catalog._many_files(spark, sf_dir), scratch_path(spark, "few-files"), scratch_path(spark, "compacted-run")
+    fixtures.table(spark, sf_dir, "orders").coalesce(1).write.parquet(few)
+    sources = {"lineitem": (small, ["l_suppkey", "l_shipdate"]), "missing": (f"{out}/no-such-table", ["symbol"]),
+               "orders": (few, ["o_custkey", "o_orderdate"])}
+    status = maintain.compact_tables([(n, lambda n=n, s=s, z=z: maintain.rewrite(spark, s, f"{out}/{n}", z))
+                                      for n, (s, z) in sources.items()])
+    parts = None
+    for name, (source, _) in sources.items():
+        ok, rewritten = status[name] == "ok", exists(spark, f"{out}/{name}")
+        rows = spark.read.parquet(f"{out}/{name}" if rewritten else source) if ok else spark.range(0)
+        part = rows.agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(name).alias("name"), F.lit("ok" if ok else "failed").alias("status"), F.lit(rewritten).alias("rewritten"), "rows")
+        parts = part if parts is None else parts.unionByName(part)
+    return parts
+
+
+def silver_of_repeated_prices(spark, sf_dir):
+    """A2: price rows that come twice are one row of silver."""
+    from marketlake.plans import catalog
+
+    prices = catalog.equity_clean(spark, sf_dir).select(*adjust.PRICE_COLUMNS)
+    return adjust.ohlcv_adjusted(prices.unionByName(prices), fixtures.load(spark, sf_dir, "corporate"))
+
+
 def approx_stocks(spark, sf_dir):
     """A4's twin: distinct symbols by year from stored daily sketches, beside the exact count and whether the bound holds."""
     from marketlake.plans import catalog
@@ -236,5 +275,5 @@ def cumulative_factor_asof(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     landed_arrival, business_keys_deliverable, enforce_schema_rejected, message_outcomes, quarantined_messages, macro_values,
-    stream_equity_first, stream_fo_first, table_scan_by_name, silver_by_symbol, compaction_resumed, approx_stocks,
-    cumulative_factor_asof)}
+    stream_equity_first, stream_fo_first, table_scan_by_name, silver_by_symbol, serve_with_count, compaction_resumed,
+    compact_tables_run, silver_of_repeated_prices, approx_stocks, cumulative_factor_asof)}

@@ -29,7 +29,6 @@ def silver(
     corporate: DataFrame,
     order: Sequence[str],
     start_date: str | None = None,
-    plan: str = "interval",
 ) -> DataFrame:
     """Clean equity records (C7) and back-adjust them.
 
@@ -40,7 +39,7 @@ def silver(
     prices = clean.equity_clean(_keep(equity_raw, SILVER_INPUT, order), order)
     return adjust.ohlcv_adjusted(
         prices.select(*SILVER_INPUT), corporate, start_date=start_date,
-        prices_unique=True, plan=plan,
+        prices_unique=True,
     )
 
 
@@ -56,11 +55,10 @@ def gold(
     order: Sequence[str],
     fo_order: Sequence[str],
     start_date: str | None = None,
-    plan: str = "interval",
 ) -> DataFrame:
     """Flagship: market breadth with put-call ratio, one row per trade date."""
     return breadth.market_breadth(
-        silver(equity_raw, corporate, order, start_date, plan),
+        silver(equity_raw, corporate, order, start_date),
         fo_bronze_for_pcr(fo_raw, fo_order),
     )
 

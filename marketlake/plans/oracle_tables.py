@@ -85,6 +85,14 @@ SELECT symbol, trade_date, close_adj, max(trade_date) OVER (PARTITION BY symbol)
   CASE WHEN year(l_shipdate) < 1997 THEN l_orderkey % 4 ELSE l_orderkey % 12 END AS feed FROM lineitem),
 files AS (SELECT trade_year, count(DISTINCT feed) >= 10 AS rewritten FROM fed GROUP BY trade_year)
 SELECT fed.* EXCLUDE (feed), rewritten FROM fed JOIN files USING (trade_year)"""
+    q["serve_with_count"] = with_views(("surveillance_raw",)) + """
+SELECT *, count(*) OVER () AS count FROM surveillance_raw WHERE list_type = 'GSM'"""
+    q["compact_tables_run"] = """
+SELECT 'lineitem' AS name, 'ok' AS status, true AS rewritten, count(*) AS rows FROM lineitem
+UNION ALL SELECT 'missing', 'failed', false, 0
+UNION ALL SELECT 'orders', 'ok', false, count(*) FROM orders"""
+    q["silver_of_repeated_prices"] = with_views(("equity_raw", "corporate"), *eq_chain, ACTS, SILVER) + f"""
+SELECT {_silver_cols()} FROM silver"""
     q["approx_stocks"] = with_views(("equity_raw",), *eq_chain) + """
 SELECT CAST(year(CAST(trade_date AS DATE)) AS INTEGER) AS trade_year, count(DISTINCT symbol) AS total_stocks, true AS within_bound
 FROM eq_clean GROUP BY 1"""

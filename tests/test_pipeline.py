@@ -47,12 +47,20 @@ def test_dedup_hot_key_is_pre_aggregated(spark):
     assert hot["ingested_at"] == 0 and out.count() == 20000 - 6667 + 1
 
 
+def regrouped_factor(prices, actions):
+    """The textbook form: every later action of a price, and the product by a sum of logarithms."""
+    joined = adjust.actions_range_join(prices.select(*adjust.PRICE_COLUMNS), actions)
+    product = F.exp(F.sum(F.log("adj_factor")))
+    return joined.groupBy(*adjust.PRICE_COLUMNS).agg(
+        F.when(F.count("adj_factor") > 0, product).otherwise(F.lit(1.0)).alias("cumulative_adj_factor"))
+
+
 def test_interval_and_join_factor_agree(spark, sf_dir):
     prices = clean.equity_clean(_eq(spark, sf_dir), catalog.EQ_ORDER).select(*adjust.PRICE_COLUMNS)
     corp = fixtures.load(spark, sf_dir, "corporate")
     a = adjust.cumulative_factor_interval(prices, corp).select("symbol", "trade_date",
                                                              F.col("cumulative_adj_factor").alias("a"))
-    j = adjust.cumulative_factor_join(prices, corp).select("symbol", "trade_date",
+    j = regrouped_factor(prices, corp).select("symbol", "trade_date",
                                                            F.col("cumulative_adj_factor").alias("j"))
     both = a.join(j, ["symbol", "trade_date"])
     assert both.count() == prices.count()
