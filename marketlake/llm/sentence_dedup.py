@@ -151,25 +151,33 @@ def _row_hash(text_col: str) -> Column:
 
 
 def _occurrences(docs: DataFrame, id_col: str, text_col: str, run: int, min_words: int) -> DataFrame:
-    """(hi, lo, id, row, at) of the distinct spans of each row, at its first place."""
+    """(hi, lo, id, row, at) of the distinct spans of each row, at its first place.
+
+    Each row has one more, with at = -1: hi is its number of sentences, and lo
+    1 if it repeats a span of its own.
+    """
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def cut(batches):
         for b in batches:
-            hi, lo, src, at = [], [], [], []
+            keys, src, at = [], [], []
             for k, text in enumerate(b.column(2).to_pylist()):
-                seen = set()
-                for i, (_, s) in enumerate(spans(text or "", run, min_words)[1]):
-                    if s is not None and s not in seen:
-                        seen.add(s)
-                        x, y = struct.unpack("<qq", s)
-                        hi.append(x)
-                        lo.append(y)
-                        src.append(k)
-                        at.append(i)
+                units, found = spans(text or "", run, min_words)
+                first: dict[bytes, int] = {}
+                n = 0
+                for i, (_, s) in enumerate(found):
+                    if s is not None:
+                        n += 1
+                        first.setdefault(s, i)
+                keys += first
+                keys.append(struct.pack("<qq", len(units), int(len(first) < n)))
+                at += first.values()
+                at.append(-1)
+                src += [k] * (len(first) + 1)
+            words = np.frombuffer(b"".join(keys), "<i8").reshape(-1, 2)
             src = pa.array(src, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hi, pa.int64()), pa.array(lo, pa.int64()), b.column(0).take(src), b.column(1).take(src),
+                [pa.array(words[:, 0]), pa.array(words[:, 1]), b.column(0).take(src), b.column(1).take(src),
                  pa.array(at, pa.int32())], names=["hi", "lo", "id", "row", "at"])
 
     return docs.select(F.col(id_col).alias("id"), _row_hash(text_col).alias("row"), text_col).mapInArrow(
@@ -178,11 +186,12 @@ def _occurrences(docs: DataFrame, id_col: str, text_col: str, run: int, min_word
 
 def later_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", run: int = RUN,
                 min_words: int = MIN_WORDS) -> DataFrame:
-    """(id, row, starts): for each row with any, the span starts that another row has first."""
+    """(id, row, starts, n, own): the span starts that another row has first, the sentences, and whether a span repeats within."""
     spark = docs.sparkSession
     path = scratch_path(spark, "spans")
     _occurrences(docs, id_col, text_col, run, min_words).write.parquet(path)
-    found = spark.read.parquet(path)
+    every = spark.read.parquet(path)
+    found = every.where("at >= 0")
     # a repeated span has a repeated hash; a row has each of its spans once
     path = scratch_path(spark, "repeated-spans")
     (found.groupBy(F.col("lo").alias("key")).agg(F.count("*").alias("n")).where("n > 1").select("key")
@@ -194,7 +203,9 @@ def later_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         for b in batches:
             yield b.filter(pa.array(in_bits(bits.value, b.column(1).to_numpy().view(np.uint64))))
 
-    found = found.mapInArrow(possible, found.schema)
+    path = scratch_path(spark, "possible-spans")
+    found.mapInArrow(possible, found.schema).write.parquet(path)
+    found = spark.read.parquet(path)
     # ids in order, null last
     order = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("row").alias("row"))
     first = (found.groupBy("hi", "lo").agg(F.min(order).alias("first"), F.max(order).alias("last"))
@@ -202,7 +213,9 @@ def later_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
              .select("hi", "lo", F.col("first.id").alias("first_id"), F.col("first.row").alias("first_row")))
     later = found.join(first, ["hi", "lo"]).where(
         ~(F.col("id").eqNullSafe(F.col("first_id")) & (F.col("row") == F.col("first_row"))))
-    return later.groupBy("id", "row").agg(F.collect_set("at").alias("starts"))
+    about = every.where("at < 0").select("id", "row", F.lit(None).cast("int").alias("at"), F.col("hi").alias("n"), F.col("lo").alias("own"))
+    return (later.select("id", "row", "at").unionByName(about, allowMissingColumns=True).groupBy("id", "row")
+            .agg(F.collect_set("at").alias("starts"), F.max("n").alias("n"), (F.max("own") > 0).alias("own")))
 
 
 def _covered(text: str, starts, run: int, min_words: int) -> tuple[list[tuple[int, int]], list[bool]]:
@@ -238,23 +251,24 @@ def dedup_sentences(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     fewer than ``run`` sentences is one span. Every input row comes back once.
     """
     later = later_spans(docs, id_col=id_col, text_col=text_col, run=run, min_words=min_words)
-    marks = {n: fresh(docs, n) for n in ("starts", "row", "later_id", "later_row")}
+    marks = {n: fresh(docs, n) for n in ("starts", "row", "later_id", "later_row", "n", "own")}
     later = later.select(F.col("id").alias(marks["later_id"]), F.col("row").alias(marks["later_row"]),
-                         F.col("starts").alias(marks["starts"]))
+                         *(F.col(c).alias(marks[c]) for c in ("starts", "n", "own")))
     keyed = docs.withColumn(marks["row"], _row_hash(text_col))
     joined = keyed.join(later, keyed[id_col].eqNullSafe(later[marks["later_id"]])
                         & (keyed[marks["row"]] == later[marks["later_row"]]), "left")
-    joined = joined.select(*docs.columns, marks["starts"])
+    joined = joined.select(*docs.columns, marks["starts"], marks["n"], marks["own"])
     at, types = docs.columns.index(text_col), docs.schema
     names = result_names(docs, prefix)
 
     def cut(batches):
         for b in batches:
             texts, n, removed = [], [], []
-            for text, starts in zip(b.column(at).to_pylist(), b.column(b.num_columns - 1).to_pylist()):
-                if text is None:
-                    texts.append(None)
-                    n.append(0)
+            places, sizes, own = (b.column(b.num_columns - k).to_pylist() for k in (3, 2, 1))
+            for text, starts, size, again in zip(b.column(at).to_pylist(), places, sizes, own):
+                if text is None or not starts and not again:
+                    texts.append(text)
+                    n.append(0 if text is None else size)
                     removed.append([])
                     continue
                 parts, gone = _covered(text, starts, run, min_words)
@@ -268,7 +282,7 @@ def dedup_sentences(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                 removed.append(runs)
                 texts.append("".join(text[a:e] for (a, e), g in zip(parts, gone) if not g).rstrip()
                              if runs else text)
-            columns = [pa.array(texts, pa.string()) if i == at else b.column(i) for i in range(b.num_columns - 1)]
+            columns = [pa.array(texts, pa.string()) if i == at else b.column(i) for i in range(b.num_columns - 3)]
             columns += [pa.array(n, pa.int64()), pa.array([sum(r[1] for r in x) for x in removed], pa.int64()),
                         pa.array(removed, pa.list_(pa.list_(pa.int64())))]
             yield pa.RecordBatch.from_arrays(columns, names=[*types.names, *names])
