@@ -47,7 +47,7 @@ ORDER = 2
 #: Counts above it are not discounted.
 CUTOFF = 5
 #: Bytes of text in a batch of documents, and of text whose n-grams share a hash bucket.
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 5 << 20
 BUCKET_BYTES = 4 << 20
 #: Buckets of the batch table at most (Spark allows 100,000).
 MOST_GROUPS = 50_000
