@@ -130,14 +130,19 @@ def plain_dedup(rows, run, least):
 
     first, out = {}, {}
     for d, t in sorted(rows, key=lambda r: (r[0] is None, r[0])):
-        keys = [" ".join((t or "")[a:b].lower().split()) for a, b in sentence_dedup.sentences(t or "")]
+        cut, piece = sentence_dedup._units(t or "")
+        keys = [" ".join((t or "")[a:b].lower().split()) for a, b in cut]
+        n_words = [len(k.split()) for k in keys]
         gone = set()
-        for i in range(len(keys) - run + 1):
-            span = tuple(keys[i:i + run])
-            if sum(len(k.split()) for k in span) < least:
+        for i in range(max(len(keys) - run, 0) + 1 if keys else 0):
+            end = min(i + run, len(keys))
+            while any(piece[i:i + run]) and sum(n_words[i:end]) < sentence_dedup.PIECE_WORDS and end < len(keys):
+                end += 1
+            span = tuple(keys[i:end])
+            if sum(n_words[i:end]) < least:
                 continue
             if span in first and first[span] != (d, i):
-                gone.update(range(i, i + run))
+                gone.update(range(i, end))
             first.setdefault(span, (d, i))
         out[d] = (len(keys), sorted(gone))
     return out
