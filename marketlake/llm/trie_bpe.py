@@ -40,15 +40,20 @@ _NEW = [c for c in regex.findall(r"[\p{L}\p{N}]", "".join(map(chr, [*range(0xD80
         if unicodedata.category(c) == "Cn"]
 
 
-def _classes(tokenizer: Tokenizer) -> tuple[regex.Pattern, dict[int, str]]:
-    """The pattern that cuts words into pieces, and the small letters of new capitals."""
+# Cuts words into pieces where no character is one of those that a tokenizer's library knows less of.
+_PIECES = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{{L}}\p{{N}}]+")
+
+
+def _classes(tokenizer: Tokenizer) -> tuple[frozenset[str], regex.Pattern, dict[int, str]]:
+    """New characters that are no letters or numbers to the library, the pattern for words that hold one
+    (slower by far), and the small letters of new capitals."""
     split = tokenizer.pre_tokenizer.pre_tokenize_str
-    other = [c for c in _NEW if len(split("!" + c)) == 1]
-    none = "".join(other) or "\0"
+    other = frozenset(c for c in _NEW if len(split("!" + c)) == 1)
+    none = "".join(sorted(other)) or "\0"
     letter, number = (rf"[\p{{{k}}}--[{none}]]" for k in "LN")
     pieces = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|{letter}+|{number}|[^{_SPACE}[{letter}||{number}]]+", regex.V1)
     lowered = {ord(c): tokenizer.normalizer.normalize_str(c) for c in _NEW}
-    return pieces, {c: t for c, t in lowered.items() if t != chr(c)}
+    return other, pieces, {c: t for c, t in lowered.items() if t != chr(c)}
 
 
 _SPACES = regex.compile(f"[{_SPACE}]+")
@@ -74,7 +79,7 @@ class TrieBPE:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens.update({i: t for t, i in self.special.items()})
         self._special = regex.compile("|".join(regex.escape(t) for t in self.special)) if self.special else None
-        self._pieces, self._lowered = _classes(Tokenizer.from_file(path))
+        self._other, self._pieces, self._lowered = _classes(Tokenizer.from_file(path))
         self._capital = regex.compile("[" + "".join(map(chr, self._lowered)) + "]") if self._lowered else None
         self.letters = {chr(b): c for b, c in byte_letters().items()}
         self.rank: dict[int, int] = {}          # the merge that makes a token
@@ -181,7 +186,10 @@ class TrieBPE:
         table = str.maketrans(self.letters)
         cut = {}
         for c in chunks:
-            ps = [c] if c.isalpha() else self._pieces.findall(c)
+            if c.isalpha():
+                ps = [c]
+            else:
+                ps = (_PIECES if c.isascii() or self._other.isdisjoint(c) else self._pieces).findall(c)
             # printable ASCII stands for itself
             cut[c] = ps if c.isascii() and c.isprintable() else [
                 p.encode("utf-8").decode("latin-1").translate(table) for p in ps]
