@@ -28,7 +28,7 @@ from tokenizers import Tokenizer
 from marketlake.llm.common import by_bytes
 
 #: Bytes of encodings that a worker keeps, about; beyond it the cache is emptied.
-CACHE_BYTES = 48 << 20
+CACHE_BYTES = 80 << 20
 #: Pairs of tokens whose compatibility a worker keeps.
 CACHE_PAIRS = 400_000
 BATCH_CHARS = 2 << 20
@@ -81,6 +81,7 @@ class TrieBPE:
         self._special = regex.compile("|".join(regex.escape(t) for t in self.special)) if self.special else None
         self._other, self._pieces, self._lowered = _classes(Tokenizer.from_file(path))
         self._capital = regex.compile("[" + "".join(map(chr, self._lowered)) + "]") if self._lowered else None
+        self.digits = {i: str(i) for i in self.tokens}
         self.letters = {chr(b): c for b, c in byte_letters().items()}
         self.rank: dict[int, int] = {}          # the merge that makes a token
         self.halves: dict[int, tuple[int, int]] = {}
@@ -183,7 +184,7 @@ class TrieBPE:
 
     def learn(self, chunks: list[str]) -> None:
         """Add texts without white space to the cache: (count, ids, decoded)."""
-        table = str.maketrans(self.letters)
+        table, digits, tokens = str.maketrans(self.letters), self.digits, self.tokens
         cut = {}
         for c in chunks:
             if c.isalpha():
@@ -195,8 +196,8 @@ class TrieBPE:
                 p.encode("utf-8").decode("latin-1").translate(table) for p in ps]
         codes = self.encode_words({p for ps in cut.values() for p in ps})
         for c, ps in cut.items():
-            ids = [i for p in ps for i in codes[p]]
-            self.known[c] = entry = (len(ids), " ".join(map(str, ids)), " ".join(map(self.tokens.__getitem__, ids)))
+            ids = codes[ps[0]] if len(ps) == 1 else [i for p in ps for i in codes[p]]
+            self.known[c] = entry = (len(ids), " ".join([digits[i] for i in ids]), " ".join([tokens[i] for i in ids]))
             self.held += len(c) + len(entry[1]) + len(entry[2]) + 300
         if len(self.pairs) > CACHE_PAIRS:
             self.pairs.clear()
