@@ -81,19 +81,18 @@ def _sample_points(df: DataFrame, column: str, points: int) -> list[str]:
 
 
 def _text_bucket(c: Column, cuts: list[str]) -> Column:
-    """How many of the sorted ``cuts`` are at most the value, by binary search."""
-    points = F.array(*[F.lit(x) for x in cuts]) if cuts else F.array().cast("array<string>")
-    steps = max(1, len(cuts).bit_length())
+    """How many of the sorted ``cuts`` are at most the value, by binary search.
 
-    def halve(state, _):
-        middle = F.floor((state["lo"] + state["hi"]) / 2).cast("int")
-        below = (state["lo"] < state["hi"]) & (F.get(points, middle) <= c)
-        return F.struct(F.when(below, middle + 1).otherwise(state["lo"]).alias("lo"),
-                        F.when(below | (state["lo"] >= state["hi"]), state["hi"]).otherwise(middle).alias("hi"))
-
-    start = F.struct(F.lit(0).alias("lo"), F.lit(len(cuts)).alias("hi"))
-    found = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, halve, lambda s: s["lo"])
-    return F.coalesce(found, F.lit(0)).cast("bigint")
+    The number found so far grows by halving strides; a point beyond the last is
+    null and adds nothing. One comparison and one number a step: this runs for
+    every row, twice where a range partitioner samples.
+    """
+    if not cuts:
+        return F.lit(0).cast("bigint")
+    points = F.array(*[F.lit(x) for x in cuts])
+    strides = F.array(*[F.lit(1 << b) for b in reversed(range(len(cuts).bit_length()))])
+    found = F.aggregate(strides, F.lit(0), lambda n, stride: F.when(F.get(points, n + stride - 1) <= c, n + stride).otherwise(n))
+    return found.cast("bigint")
 
 
 def with_zorder(df: DataFrame, columns: Sequence[str], bits: int = ZORDER_BITS,
@@ -143,11 +142,12 @@ def zorder(df: DataFrame, columns: Sequence[str], num_partitions: int | None = N
         return df
     # A row hash as secondary range key: rows sharing one z-value (a hot
     # symbol-day) spread over several output files instead of one task.
+    # It is no column, so it is not shuffled.
     salt = F.xxhash64(*[F.col(c) for c in df.columns])
-    keyed = with_zorder(df, cols).withColumn("_salt", salt)
-    order = [*within, "_z", "_salt"]
+    keyed = with_zorder(df, cols)
+    order = [*within, "_z", salt]
     dealt = keyed.repartitionByRange(num_partitions, *order) if num_partitions else keyed.repartitionByRange(*order)
-    return dealt.sortWithinPartitions(*within, "_z").drop("_z", "_salt")
+    return dealt.sortWithinPartitions(*within, "_z").drop("_z")
 
 
 def _plain(path: str) -> str:

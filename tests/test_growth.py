@@ -38,3 +38,23 @@ def test_plain_numbers_are_told_by_all_of_their_characters(spark):
             return None
     assert [str(x) for x in got] == [str(python(t)) for t in texts]
     assert "translate(" not in optimized(df.select(safe_float("t")))
+
+
+def test_every_cut_is_found_by_the_binary_search(spark):
+    from marketlake.operators import maintain
+
+    for n in (0, 1, 2, 3, 7, 8, 100):
+        cuts = [f"k{i:03d}" for i in range(0, 2 * n, 2)]
+        values = [*cuts, *[f"{c}x" for c in cuts], "", "a", "z"]
+        df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v string")
+        plan = df.select("v", maintain._text_bucket(F.col("v"), cuts).alias("b"))
+        assert "named_struct" not in optimized(plan)
+        assert all(r.b == (0 if r.v is None else sum(c <= r.v for c in cuts)) for r in plan.collect())
+
+
+def test_the_row_hash_of_a_zorder_is_not_shuffled(spark):
+    from marketlake.operators import maintain
+
+    df = spark.range(100).select("id", (F.col("id") % 7).alias("k"))
+    shuffled = [line for line in optimized(maintain.zorder(df, ["id", "k"], 4)).splitlines() if "_salt" in line]
+    assert not shuffled
