@@ -374,21 +374,24 @@ def zorder_rewrite(spark, sf_dir):
 
 
 COMPACT_FEEDS = 12
+# Tasks for the years of a feed: this many less one in a row, and those without a date, have one each.
+COMPACT_YEARS = 16
 
 
 def _many_files(spark, sf_dir) -> str:
-    """Line items by ship year, appended feed by feed: one file for each feed and year.
+    """Line items by ship year, in feeds: one file for each feed and year.
 
     Years before 1997 come in fewer feeds than a compaction asks for.
     """
     path = scratch_path(spark, "small-files")
     li = fixtures.table(spark, sf_dir, "lineitem").withColumn("trade_year", F.year("l_shipdate"))
     feed = F.when(F.col("trade_year") < 1997, F.col("l_orderkey") % 4).otherwise(F.col("l_orderkey") % COMPACT_FEEDS)
-    li = li.withColumn("feed", feed)
-    for i in range(COMPACT_FEEDS):
-        # one task for each year: each year's rows of a feed are one file
-        (li.where(F.col("feed") == i).drop("feed").repartition(8, "trade_year")
-         .write.mode("append").partitionBy("trade_year").parquet(path))
+    li = li.withColumn("feed", feed).where(F.col("feed").between(0, COMPACT_FEEDS - 1))
+    # each year's rows of a feed are one file: a task for each of them, by number, as hashes would
+    # put several years into one; all feeds are dealt in one reading of the table
+    year = F.coalesce(F.pmod("trade_year", F.lit(COMPACT_YEARS - 1)), F.lit(COMPACT_YEARS - 1))
+    dealt = li.repartitionById(COMPACT_FEEDS * COMPACT_YEARS, (F.col("feed") * COMPACT_YEARS + year).cast("int"))
+    dealt.drop("feed").write.partitionBy("trade_year").parquet(path)
     return path
 
 
