@@ -8,6 +8,7 @@ the DuckDB oracle.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -312,6 +313,20 @@ def adhoc_sql(spark, sf_dir):
 
 # --- streaming -----------------------------------------------------------------
 
+# Micro-batches to cut a landing into, files in each, and records in a file: more in each as the landing
+# grows, so the fixed cost of a batch (state and files of every task) is not paid for a few records.
+STREAM_BATCHES, BATCH_FILES, MOST_BATCH_FILES = 4, 4, 400
+FILE_RECORDS, MOST_FILE_RECORDS = 4_000, 250_000
+
+
+def _land_messages(raw: DataFrame, path: str) -> int:
+    """Write records as JSON message files; returns how many files a micro-batch takes."""
+    n = raw.count()
+    records = min(max(n // (STREAM_BATCHES * BATCH_FILES), FILE_RECORDS), MOST_FILE_RECORDS)
+    raw.write.option("maxRecordsPerFile", records).mode("overwrite").json(path, compression="gzip")
+    return min(max(math.ceil(n / records / STREAM_BATCHES), BATCH_FILES), MOST_BATCH_FILES)
+
+
 def _stream_keys(spark, sf_dir, domain: str) -> DataFrame:
     view = "equity_raw" if domain == "equity" else "fo_raw"
     src = scratch_path(spark, f"{domain}-landing")
@@ -319,10 +334,9 @@ def _stream_keys(spark, sf_dir, domain: str) -> DataFrame:
     ckpt = scratch_path(spark, f"{domain}-checkpoint")
     # Land the raw records as JSON message files (several per table so the
     # stream runs several micro-batches).
-    (fixtures.load(spark, sf_dir, view).write.option("maxRecordsPerFile", 10000)
-     .mode("overwrite").json(src))
+    files = _land_messages(fixtures.load(spark, sf_dir, view), src)
     stream = clean_stream.read_stream(spark, src, clean_stream.RAW_SCHEMAS[domain],
-                                      fmt="json", max_files_per_trigger=2)
+                                      fmt="json", max_files_per_trigger=files)
     if domain == "equity":
         cleaned = clean_stream.equity_clean_stream(stream)
         keys = list(clean.EQUITY_KEY)
@@ -331,7 +345,9 @@ def _stream_keys(spark, sf_dir, domain: str) -> DataFrame:
         keys = list(clean.FO_CONTRACT_DAY_KEY)
     # A multi-year backfill in one run: partition by year, not by day.
     cleaned = cleaned.withColumn("trade_year", F.substring("trade_date", 1, 4))
-    query = clean_stream.write_bronze(cleaned, out, ckpt, partition_by=("trade_year",))
+    # the keys of 24 or 48 hours do not stay in the executors' heap
+    query = clean_stream.start_query(
+        spark, lambda: clean_stream.write_bronze(cleaned, out, ckpt, partition_by=("trade_year",)), conf=clean_stream.ROCKSDB)
     clean_stream.run_available_now(query)
     return spark.read.parquet(out).select(*keys)
 
@@ -343,10 +359,9 @@ def stream_equity_dedup_ttl(spark, sf_dir):
     src = scratch_path(spark, "equity-landing-ttl")
     out = scratch_path(spark, "equity-bronze-ttl")
     ckpt = scratch_path(spark, "equity-checkpoint-ttl")
-    (fixtures.load(spark, sf_dir, "equity_raw").write.option("maxRecordsPerFile", 20000)
-     .mode("overwrite").json(src))
+    files = _land_messages(fixtures.load(spark, sf_dir, "equity_raw"), src)
     stream = clean_stream.read_stream(spark, src, clean_stream.RAW_SCHEMAS["equity"], fmt="json",
-                                      max_files_per_trigger=2)
+                                      max_files_per_trigger=files)
     valid = stream.transform(clean.equity_normalise).transform(clean.equity_valid)
     deduped = ttl_dedup.dedup_with_ttl_rows(valid, list(clean.EQUITY_KEY))
     query = ttl_dedup.start_with_conf(spark, lambda: (
