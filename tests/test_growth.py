@@ -58,3 +58,73 @@ def test_the_row_hash_of_a_zorder_is_not_shuffled(spark):
     df = spark.range(100).select("id", (F.col("id") % 7).alias("k"))
     shuffled = [line for line in optimized(maintain.zorder(df, ["id", "k"], 4)).splitlines() if "_salt" in line]
     assert not shuffled
+
+
+def _lineitem(spark, path, rows=4000):
+    i = F.col("id")
+    spark.range(rows).select(
+        i.alias("l_orderkey"), (i % 50).alias("l_partkey"), (i % 9).alias("l_suppkey"), (i % 7 + 1).cast("int").alias("l_linenumber"),
+        (i % 40 + 1).cast("double").alias("l_quantity"), (i + 1).cast("double").alias("l_extendedprice"), F.lit(0.0).alias("l_discount"),
+        F.lit(0.1).alias("l_tax"), F.lit("N").alias("l_returnflag"), F.lit("O").alias("l_linestatus"),
+        F.expr("cast(date_add(DATE'1993-01-01', cast(id % 2000 as int)) as timestamp)").alias("l_shipdate"),
+    ).write.parquet(f"{path}/lineitem.parquet")
+    return str(path)
+
+
+def _data_files(folder, ending):
+    return [os.path.join(d, f) for d, _, files in os.walk(folder) for f in files if f.endswith(ending) and not f.startswith(".")]
+
+
+def test_small_files_are_one_for_each_feed_and_year_and_share_no_task(spark, tmp_path):
+    from marketlake.plans import catalog
+
+    out = catalog._many_files(spark, _lineitem(spark, tmp_path))
+    files = _data_files(out, ".parquet")
+    # a task's number is in the name of what it writes: no task has two years or feeds
+    tasks = [os.path.basename(f).split("-")[1] for f in files]
+    assert len(set(tasks)) == len(tasks) == 4 * 4 + 2 * 12
+    assert spark.read.parquet(out).count() == 4000
+
+
+def test_a_delivery_is_many_files_with_each_symbols_day_in_one(spark, tmp_path):
+    from marketlake.plans import catalog_tables
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        path = catalog_tables._delivered(spark, _lineitem(spark, tmp_path))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    rows = spark.read.json(path).select("TckrSymb", "trade_date", F.substring("ISIN", 4, 9).alias("part"),
+                                        F.col("_metadata.file_path").alias("file"))
+    delivery = F.expr("case when part % 10 < 1 then 0 when part % 10 < 3 then 1 when part % 10 < 6 then 2 else 3 end")
+    files = rows.where("TckrSymb is not null").withColumn("d", delivery)
+    assert files.groupBy("d").agg(F.count_distinct("file").alias("n")).where("n < 2").isEmpty()
+    assert files.groupBy("d", "TckrSymb", "trade_date").agg(F.count_distinct("file").alias("n")).where("n > 1").isEmpty()
+
+
+def test_micro_batches_do_not_grow_in_number_with_the_landing(spark, tmp_path):
+    from marketlake.plans import catalog
+
+    for n in (40_000, 400_000):
+        path = str(tmp_path / str(n))
+        per_batch = catalog._land_messages(spark.range(0, n, 1, 1), path)
+        files = _data_files(path, ".json.gz")
+        assert 2 <= -(-len(files) // per_batch) <= catalog.STREAM_BATCHES + 1
+        assert spark.read.schema("id long").json(path).count() == n
+
+
+def test_buckets_of_symbols_are_joined_without_sorts(spark, tmp_path):
+    from marketlake.plans import catalog_tables
+
+    spark.range(3000).select(F.concat(F.lit("S"), F.col("id") % 5).alias("symbol"), F.lit(1.0).alias("close_adj"), F.expr(
+        "cast(date_add(DATE'1996-01-01', cast(id as int)) as string)").alias("trade_date")).createOrReplaceTempView("silver_rows")
+    before = catalog_tables.served
+    catalog_tables.served = lambda *_: "silver_rows"
+    try:
+        out = catalog_tables.silver_by_symbol(spark, str(tmp_path))
+    finally:
+        catalog_tables.served = before
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "SortMergeJoin" not in plan
+    got = {(r.symbol, r.last_date, r.n_days) for r in out.collect()}
+    assert got == {(f"S{k}", f"2004-03-{14 + k}", 600) for k in range(5)}
