@@ -1,6 +1,7 @@
 """Nearest neighbours, whitening and phrases against plain versions."""
 
 import collections
+import random
 import re
 
 import numpy as np
@@ -197,3 +198,26 @@ def test_words_with_one_hash_are_told_apart(spark):
     hashes.update({b"b": 7, b"d": 7})
     hashes.names[7] = b"b"
     assert hashes.of(b"B. D").tolist() == [7, 0, 7] and phrases._check(b"b") != phrases._check(b"d")
+
+
+def test_words_cut_by_arrow_are_those_of_split():
+    rnd = random.Random(2)
+    for n in [0, 1, 2] + [30] * 500:
+        text = "".join(rnd.choice(" \t\n\x0b\x0c\r\x1c\x85\xa0 .,;:!?aAbZé\0日") for _ in range(n)).encode()
+        at, words = phrases._coded(text)
+        assert [words[i] for i in at] == phrases.tokens(text) and len(set(words)) == len(words)
+    assert phrases._coded(None)[1] == []
+
+
+def test_missing_parts_are_counted_and_sets_of_hashes_are_let_go(spark, monkeypatch):
+    # "a b" to "a b c d" come often, but only the rare "x" promises much: their counts are asked for
+    rows = [("l", "x a b c d")] * 3 + [("l", "a b c d y")] * 40 + [("l", "a. b. c. d. y")] * 40
+    df = spark.createDataFrame(rows, "lang string, text string").coalesce(1)
+    sent, gone = [], []
+    cls = type(spark.sparkContext.broadcast(0))
+    first, last = cls.__init__, cls.destroy
+    monkeypatch.setattr(cls, "__init__", lambda self, *a, **k: sent.append(1) or first(self, *a, **k))
+    monkeypatch.setattr(cls, "destroy", lambda self, *a, **k: gone.append(1) or last(self, *a, **k))
+    got = phrases.phrases(df, min_count=2, top=1, round_share=0.001)
+    assert sorted(map(tuple, got.collect())) == plain_phrases(rows, 2, 5, 1)
+    assert sent and len(sent) == len(gone)
