@@ -16,6 +16,7 @@ leaf chooses among tokens that end a word.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import unicodedata
@@ -27,7 +28,7 @@ from tokenizers import Tokenizer
 
 from marketlake.llm.common import by_bytes
 
-#: Bytes of encodings that a worker keeps, about; beyond it the cache is emptied.
+#: Bytes of encodings that a worker keeps, about; half of it is used anew, what was not used meanwhile is forgotten.
 CACHE_BYTES = 80 << 20
 #: Pairs of tokens whose compatibility a worker keeps.
 CACHE_PAIRS = 400_000
@@ -107,10 +108,12 @@ class TrieBPE:
                     inner[t] = i
         self.inner, self.final = inner, final if suffix else inner
         self.width = {i: len(t) for t, i in inner.items()} | {i: len(t) for t, i in final.items()}
-        self.begins = {t[:k] for d in (inner, self.final) for t in d for k in range(1, len(t) + 1)}
+        # every beginning of a token, with the id of the inner token that it is, or -1
+        self.begins = {t[:k]: -1 for d in (inner, self.final) for t in d for k in range(1, len(t) + 1)} | inner
         self.pairs: dict[int, bool] = {}
         # special strings are kept under tuples, which no text is equal to
-        self.known: dict[str | tuple[str], tuple[int, str, str]] = {}
+        self.known: dict[str | tuple[str], tuple[str, str]] = {}
+        self.older: dict[str | tuple[str], tuple[str, str]] = {}
         self.held = 0
 
     def _apart(self, a: int, b: int, limit: int) -> bool:
@@ -143,7 +146,7 @@ class TrieBPE:
         out, before = {}, ""
         states, lows = [-1], [0]
         inner, final, width, begins, pairs, apart = (
-            self.inner, self.final, self.width, self.begins, self.pairs, self._apart)
+            self.inner.get, self.final.get, self.width, self.begins.get, self.pairs, self._apart)
         for w in sorted(words):
             n, k = len(w), 0
             top = min(n - 1, len(states) - 1)
@@ -152,23 +155,27 @@ class TrieBPE:
             del states[k + 1:], lows[k + 1:]
             low = lows[k]
             for end in range(k + 1, n + 1):
-                while low < end and w[low:end] not in begins:
+                t = begins(w[low:end])
+                while t is None:
                     low += 1
-                tokens = final if end == n else inner
-                for start in range(low, end):
-                    t = tokens.get(w[start:end])
-                    if t is None:
-                        continue
-                    if start == 0:
-                        break
-                    key = states[start] << 20 | t
-                    fits = pairs.get(key)
-                    if fits is None:
-                        fits = pairs[key] = apart(states[start], t, 1 << 40)
-                    if fits:
-                        break
-                else:
-                    raise ValueError(f"no token ends {w[:end]!r}")
+                    t = begins(w[low:end]) if low < end else -1
+                if end == n:
+                    t = final(w[low:end], -1)
+                start = low
+                while True:
+                    if t >= 0:
+                        if start == 0:
+                            break
+                        key = states[start] << 20 | t
+                        fits = pairs.get(key)
+                        if fits is None:
+                            fits = pairs[key] = apart(states[start], t, 1 << 40)
+                        if fits:
+                            break
+                    start += 1
+                    if start >= end:
+                        raise ValueError(f"no token ends {w[:end]!r}")
+                    t = inner(w[start:end], -1) if end < n else final(w[start:end], -1)
                 if end < n:
                     states.append(t)
                     lows.append(low)
@@ -183,25 +190,42 @@ class TrieBPE:
         return out
 
     def learn(self, chunks: list[str]) -> None:
-        """Add texts without white space to the cache: (count, ids, decoded)."""
-        table, digits, tokens = str.maketrans(self.letters), self.digits, self.tokens
-        cut = {}
+        """Add texts without white space, and their pieces, to the cache: (ids, decoded)."""
+        table, digits, tokens, known = str.maketrans(self.letters), self.digits, self.tokens, self.known
+        cut, pieces = {}, set()
         for c in chunks:
-            if c.isalpha():
-                ps = [c]
-            else:
+            if not c.isalpha():
                 ps = (_PIECES if c.isascii() or self._other.isdisjoint(c) else self._pieces).findall(c)
-            # printable ASCII stands for itself
-            cut[c] = ps if c.isascii() and c.isprintable() else [
-                p.encode("utf-8").decode("latin-1").translate(table) for p in ps]
-        codes = self.encode_words({p for ps in cut.values() for p in ps})
+                if len(ps) > 1:
+                    cut[c] = ps
+                    pieces.update(ps)
+                    continue
+            pieces.add(c)
+        pieces.difference_update(known)
+        # printable ASCII stands for itself
+        letters = {p: p if p.isascii() and p.isprintable() else p.encode("utf-8").decode("latin-1").translate(table)
+                   for p in self._unknown(pieces)}
+        codes, held = self.encode_words(list(letters.values())), 0
+        for p, w in letters.items():
+            ids = codes[w]
+            known[p] = entry = (" ".join([digits[i] for i in ids]), " ".join([tokens[i] for i in ids]))
+            held += len(p) + len(entry[0]) + len(entry[1]) + 300
         for c, ps in cut.items():
-            ids = codes[ps[0]] if len(ps) == 1 else [i for p in ps for i in codes[p]]
-            self.known[c] = entry = (len(ids), " ".join([digits[i] for i in ids]), " ".join([tokens[i] for i in ids]))
-            self.held += len(c) + len(entry[1]) + len(entry[2]) + 300
+            ids, decoded = zip(*[known[p] for p in ps])
+            known[c] = entry = (" ".join(ids), " ".join(decoded))
+            held += len(c) + len(entry[0]) + len(entry[1]) + 300
+        self.held += held
         if len(self.pairs) > CACHE_PAIRS:
             self.pairs.clear()
 
+    def _unknown(self, chunks: set) -> set:
+        """Those without an older encoding; an older one is kept for longer."""
+        again = chunks & self.older.keys()
+        for c in again:
+            self.known[c] = entry = self.older.pop(c)
+            self.held += len(c) + len(entry[0]) + len(entry[1]) + 300
+        return chunks - again
+
     def chunks(self, text: str) -> list[str | tuple[str]]:
         """Normalised pieces between white space; a special string stands as it is, in a tuple."""
         if self._special is not None and self._special.search(text):
@@ -218,21 +242,30 @@ class TrieBPE:
 
     def run(self, texts: list[str]) -> list[tuple[int, str, str]]:
         """For each text: number of ids, the ids and the decoded text, joined by spaces."""
+        on = gc.isenabled()
+        gc.disable()  # many small lists are made, none of them in a cycle
+        try:
+            return self._run(texts)
+        finally:
+            if on:
+                gc.enable()
+
+    def _run(self, texts: list[str]) -> list[tuple[int, str, str]]:
         cut = [self.chunks(t) for t in texts]
-        if self.held > CACHE_BYTES:
-            self.known.clear()
-            self.held = 0
-        new = {c for cs in cut for c in cs}.difference(self.known)
+        if self.held > CACHE_BYTES // 2:
+            self.older, self.known, self.held = self.known, {}, 0
+        new = self._unknown(set().union(*cut).difference(self.known))
         for c in [c for c in new if isinstance(c, tuple)]:
             new.discard(c)
             i = self.special[c[0]]
-            self.known[c] = (1, str(i), self.tokens[i])
+            self.known[c] = (str(i), self.tokens[i])
         self.learn(list(new))
         out = []
         for cs in cut:
             if cs:
-                n, ids, decoded = zip(*map(self.known.__getitem__, cs))
-                out.append((sum(n), " ".join(ids), " ".join(decoded)))
+                ids, decoded = zip(*map(self.known.__getitem__, cs))
+                ids = " ".join(ids)
+                out.append((ids.count(" ") + 1, ids, " ".join(decoded)))
             else:
                 out.append((0, "", ""))
         return out

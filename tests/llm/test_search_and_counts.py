@@ -120,3 +120,15 @@ def test_bpe_cache_is_bounded_by_bytes(monkeypatch):
     for i in range(40):
         own.run([" ".join(f"word{i}x{j}" for j in range(60))])
         assert own.held < 50_000 + 60 * 1000 and len(own.known) < 500
+
+
+def test_bpe_encodes_pieces_once_and_keeps_those_in_use(monkeypatch):
+    own = trie_bpe.TrieBPE(public_tokenizers.path("word_bpe_49k.json"))
+    monkeypatch.setattr(trie_bpe, "CACHE_BYTES", 50_000)
+    asked, encode = [], own.encode_words
+    monkeypatch.setattr(own, "encode_words", lambda words: asked.extend(words) or encode(words))
+    for i in range(40):
+        own.run([" ".join(["evergreenx, (evergreenx) Evergreenx!", *(f"word{i}x{j}" for j in range(60))])])
+        own.run(["evergreenx's\t“evergreenx”"])
+    assert asked.count("evergreenx") == 1
+    assert len(own.known) + len(own.older) < 500
