@@ -327,6 +327,16 @@ def _land_messages(raw: DataFrame, path: str) -> int:
     return min(max(math.ceil(n / records / STREAM_BATCHES), BATCH_FILES), MOST_BATCH_FILES)
 
 
+# State partitions a core: each costs a Python worker, a load and a commit in every micro-batch.
+CORE_STATE_PARTITIONS = 4
+
+
+def _state_partitions(spark) -> int:
+    """As many state partitions as keep all cores busy; not more than the session's shuffle partitions."""
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(most, CORE_STATE_PARTITIONS * spark.sparkContext.defaultParallelism)
+
+
 def _stream_keys(spark, sf_dir, domain: str) -> DataFrame:
     view = "equity_raw" if domain == "equity" else "fo_raw"
     src = scratch_path(spark, f"{domain}-landing")
@@ -366,7 +376,8 @@ def stream_equity_dedup_ttl(spark, sf_dir):
     deduped = ttl_dedup.dedup_with_ttl_rows(valid, list(clean.EQUITY_KEY))
     query = ttl_dedup.start_with_conf(spark, lambda: (
         deduped.writeStream.format("parquet").option("path", out)
-        .option("checkpointLocation", ckpt).trigger(availableNow=True).start()))
+        .option("checkpointLocation", ckpt).trigger(availableNow=True).start()),
+        state_partitions=_state_partitions(spark))
     clean_stream.run_available_now(query)
     return spark.read.parquet(out).select(*clean.EQUITY_KEY)
 

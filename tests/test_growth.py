@@ -128,3 +128,45 @@ def test_buckets_of_symbols_are_joined_without_sorts(spark, tmp_path):
     assert "SortAggregate" not in plan and "SortMergeJoin" not in plan
     got = {(r.symbol, r.last_date, r.n_days) for r in out.collect()}
     assert got == {(f"S{k}", f"2004-03-{14 + k}", 600) for k in range(5)}
+
+
+def test_ttl_state_grows_with_buckets_of_keys_and_rows_stay_whole(spark):
+    import time
+
+    from marketlake.session import scratch_path
+    from marketlake.streaming import ttl_dedup
+
+    schema = "ingested_at long, symbol string, price double, big long, at timestamp"
+    src = scratch_path(spark, "ttl-grow")
+
+    def arrive(rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+
+    def run(out, ckpt, **how):
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+        q = ttl_dedup.start_with_conf(spark, lambda: (
+            ttl_dedup.dedup_with_ttl_rows(stream, ["symbol", "price"], **how).writeStream.format("parquet").option("path", out)
+            .option("checkpointLocation", ckpt).trigger(availableNow=True).start()), state_partitions=2)
+        clean_stream.run_available_now(q, timeout_s=300)
+        return q.lastProgress["stateOperators"][0]["numRowsTotal"]
+
+    nan, big = float("nan"), 2**60 + 1
+    out, ckpt = scratch_path(spark, "ttl-grow-out"), scratch_path(spark, "ttl-grow-ckpt")
+    many = [(9, f"s{i}", 1.0, big, None) for i in range(300)]
+    # a key comes again in its batch (earlier in order) and in the next one; nulls and numbers that are none are keys too
+    arrive([*many, (5, "s7", 1.0, None, None), (1, None, nan, 1, None), (2, None, nan, 2, None), (3, None, None, 3, None)])
+    assert run(out, ckpt, buckets=4) <= 4
+    arrive([(1, "s7", 1.0, 0, None), (1, "new", 0.0, 0, None), (2, "new", -0.0, 1, None), (0, None, nan, 0, None), (0, None, None, 0, None)])
+    assert run(out, ckpt, buckets=4) <= 8
+    got = {(r.symbol, str(r.price)): (r.ingested_at, r.big) for r in spark.read.parquet(out).collect()}
+    want = {(f"s{i}", "1.0"): (9, big) for i in range(300)} | {("s7", "1.0"): (5, None), (None, "nan"): (1, 1), (None, "None"): (3, 3),
+                                                               ("new", "0.0"): (1, 0)}
+    assert got == want and spark.read.parquet(out).count() == len(want)
+    assert spark.read.parquet(out).schema.simpleString() == spark.createDataFrame([], schema).schema.simpleString()
+    # a key is forgotten its time after it was first seen
+    out, ckpt = scratch_path(spark, "ttl-short-out"), scratch_path(spark, "ttl-short-ckpt")
+    run(out, ckpt, ttl_ms=500)
+    time.sleep(1)
+    arrive([(1, "s7", 1.0, 4, None)])
+    run(out, ckpt, ttl_ms=500)
+    assert 4 in [r.big for r in spark.read.parquet(out).where("symbol = 's7'").collect()]
