@@ -26,6 +26,33 @@ def test_messages_are_decoded_once_under_a_filter_on_the_outcome(spark, pick):
     assert not {"_drawn", "_text", "_reason"} & set(out.columns)
 
 
+def test_messages_are_read_to_their_end(spark):
+    record, other = '{"ingested_at": 5, "trade_date": "d"}', '{"ingested_at": 6}'
+    whole = [record, f" {record}\t\r", '{"ingested_at": 5, "symbol": "}{"}', '{"ingested_at": 5, "more": {"x": [1, NaN]}, "open": -Infinity}',
+             '{"ingested_at": 5, "open": NaN} ', "{}"]
+    more = [f"{record}x", f"{record} {other}", f"{record},{other}", f"{record}}}", f"{record}]", f"{record}] }}", f'{record},"======"] }}',
+            f"[{record},{other}]", f"[{record}] }}", f"[{record}]", f'{record},"x":1', '{"ingested_at": 5, "more": {"x": 1}}}']
+    messages = spark.createDataFrame(list(enumerate(whole + more)), "id long, value string")
+    bad = {r.message: r.reject_reason for r in clean_stream.malformed_messages(messages, schemas.EQUITY_RAW).collect()}
+    assert bad == {m: "malformed_message" for m in more}
+    assert {r.id for r in clean_stream.well_formed(messages, schemas.EQUITY_RAW).collect()} == set(range(len(whole)))
+    row = clean_stream.message_outcomes(messages, "macro").first()
+    assert (row.input, row.accepted + row.rejected, row.malformed) == (len(whole + more), len(whole), len(more))
+
+
+def test_quarantine_keeps_whole_texts(spark, monkeypatch):
+    from marketlake.plans import catalog_tables
+
+    texts = ['{"ingested_at":1,"symbol":"A \\":1.25","open":-0.0625,"close":1.0E7,"x":"1.5"', '{"ingested_at":"soon","open":1.0E-4}', " "]
+    messages = spark.createDataFrame(list(enumerate(texts)), "id long, value string")
+    monkeypatch.setattr(catalog_tables, "_messages", lambda *_: {"equity": ("equity_raw", messages)})
+    out = catalog_tables.quarantined_messages(spark, "")
+    assert optimized(out).count("regexp_extract_all(") == 1
+    got = {r.id: (r.message, r.closed) for r in out.collect()}
+    assert got == {0: ('{"ingested_at":1,"symbol":"A \\":1.25","open":-0.062500000000000,"close":10000000.000000000000000,"x":"1.5"', False),
+                   1: ('{"ingested_at":"soon","open":0.000100000000000}', True), 2: (" ", False)}
+
+
 def test_plain_numbers_are_told_by_all_of_their_characters(spark):
     texts = ["1.5", " 1.5 ", "1.5\n", "", "-", "1e3", "12d", "1_0", " 2", "1\n2", "+.5", "nan", None]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
